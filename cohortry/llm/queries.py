@@ -15,12 +15,36 @@ def _vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import digests, scan
+
+    return digests(scan(table(spark, sf_dir, "documents")))
+
+
+def op8_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import digests
+
+    return digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_digests
 
@@ -28,7 +52,7 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_best_fit_packing, op10_bpe_tree)}
+    return {f.__name__: f for f in (op3_prefix_fingerprints, op4_best_fit_packing, op7_secret_scan, op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
