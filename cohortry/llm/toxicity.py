@@ -63,8 +63,11 @@ class _Known(dict):
     def __reduce__(self):
         return _Known, (self.terms,)
 
-    def counts(self, data: bytes | None) -> Counter:
-        return Counter(chain.from_iterable(map(self.__getitem__, words(data))))
+    def counts(self, data: bytes | None) -> list[tuple[int, int]]:
+        """(term, count) of a text; without any term, none. All words together, to the next power of two, are one more term."""
+        own = words(data)
+        found = Counter(chain.from_iterable(map(self.__getitem__, own)))
+        return [*sorted(found.items()), (len(self.terms), 1 << len(own).bit_length())] if found else []
 
 
 @dataclass
@@ -127,8 +130,8 @@ class ToxicityModel:
 
     def vector(self, data: bytes | None) -> tuple[list[int], np.ndarray]:
         counts = self.known.counts(data)
-        terms = sorted(counts)
-        weights = self.weigh(terms, [counts[t] for t in terms])
+        terms = [t for t, _ in counts]
+        weights = self.weigh(terms, [n for _, n in counts])
         return terms, weights
 
     def weigh(self, terms: list[int], counts: list[int]) -> np.ndarray:
@@ -207,7 +210,7 @@ def _document_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[int
     return int(got.get(-1, 0)), np.array([got.get(i, 0) for i in range(len(terms))], float)
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, least_chi2: float = 30.0, least_lift: float = 3.0) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, least_chi2: float = 45.0, least_lift: float = 3.0) -> ToxicityModel:
     """Learn from labelled rows whose crc32(doc_id as text) mod 4 is not 2.
 
     ``examples`` bounds the labelled rows learnt from: those of the smallest hash of their id.
@@ -233,13 +236,12 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     chosen = counts.select("word", chi2.alias("chi2"), lift.alias("lift")).filter((F.col("chi2") >= least_chi2) & ((F.col("lift") >= least_lift) | (F.col("lift") <= 1 / least_lift))).orderBy(F.desc("chi2"), "word").limit(terms).collect()
     at = {bytes(r.word): i for i, r in enumerate(chosen)}
     total, df = _document_frequencies(rows, at)
-    idf = np.log((1 + total) / (1 + df)) + 1
+    idf = np.append(np.log((1 + total) / (1 + df)) + 1, 1.0)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(at)
         for batch in batches:
-            found = [known.counts(data) for data in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            keys = [sorted(c.items()) for c in found]
+            keys = [known.counts(data) for data in batch.column(1).cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([[t for t, _ in k] for k in keys], pa.list_(pa.int32())), pa.array([[c for _, c in k] for k in keys], pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms", "counts"])
 
     got = sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>").groupBy("terms", "counts").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).orderBy("terms", "counts").collect()
@@ -247,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     kept = [r for r in got if r.terms]
     model = ToxicityModel(at, idf, None, np.array([r.n for r in kept]), np.array([r.toxic for r in kept]), [r.doc_id for r in kept], zero, bad / n)
     if kept:
-        matrix = np.zeros((len(kept), len(at)), np.float32)
+        matrix = np.zeros((len(kept), len(idf)), np.float32)
         for i, r in enumerate(kept):
             matrix[i, r.terms] = model.weigh(r.terms, r.counts)
         model.index = BlockMaxIndex(matrix)
