@@ -15,6 +15,12 @@ def _vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import scores
+
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op3_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprint import fingerprints
 
@@ -52,7 +58,7 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_prefix_fingerprints, op4_best_fit_packing, op7_secret_scan, op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree)}
+    return {f.__name__: f for f in (op2_log_bilinear_lm, op3_prefix_fingerprints, op4_best_fit_packing, op7_secret_scan, op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
