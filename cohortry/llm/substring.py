@@ -4,7 +4,8 @@ A count-min sketch stands before the exact grouping. Each task counts its window
 cells and sends what it saw once and more often; the sketches are added per range of cells, and only
 which cells hold two or more is kept. The sketch overestimates, so a window that occurs twice anywhere
 passes; only windows that pass are sent, by hash, to find the smallest doc_id that holds them, and
-joined with these. The sketch is at most ``MOST_BITS`` wide in each row; on inputs that fill
+joined with these. A copy of a whole text with a smaller doc_id loses all words that windows cover, so its
+windows stay out of all this, as long as the copies' keys are few enough to be sent to every task. The sketch is at most ``MOST_BITS`` wide in each row; on inputs that fill
 it, more windows pass and the result stays the same.
 
 Defined results: a null or empty text has no words and loses none; texts under ``window`` words lose none; a
@@ -18,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,7 @@ from .words import window_hashes, word_hashes, word_spans
 ROWS = 2
 SHARDS = 64
 LEAST_BITS, MOST_BITS = 18, 28
+MOST_COPIES = 2_000_000
 NO_ID = (1 << 63) - 1
 
 
@@ -114,6 +117,29 @@ def repeated_windows(rows: DataFrame, size: int, bits: int) -> DataFrame:
     return rows.select("doc_id", "key", "text").mapInArrow(run, "hash long, doc_id long, key long, at int")
 
 
+def later_copies(rows: DataFrame) -> np.ndarray:
+    """Sorted keys of rows whose whole text a row with a smaller doc_id has; none if there are more than MOST_COPIES."""
+    prints = rows.select("doc_id", "key", F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"))
+    firsts = prints.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("a", "b", "first")
+    found = saved(prints.join(firsts, ["a", "b"]).filter("first < doc_id").select("key").distinct(), "copies")
+    if found.count() > MOST_COPIES:
+        return np.empty(0, np.int64)
+    return np.sort(found.toPandas()["key"].to_numpy(np.int64))
+
+
+def without(rows: DataFrame, keys: np.ndarray) -> DataFrame:
+    """Rows whose key isn't among these few."""
+    if not len(keys):
+        return rows
+    shared = rows.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~np.isin(batch.column(1).to_numpy(), shared.value)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _bits(rows: DataFrame) -> int:
     """Two cells or more for each word there can be, within the bounds."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -121,16 +147,21 @@ def _bits(rows: DataFrame) -> int:
 
 
 def removals(rows: DataFrame, size: int) -> DataFrame:
-    """(key, starts): the windows of a row that start in a document with a smaller doc_id, by word number."""
-    windows = saved(repeated_windows(rows, size, _bits(rows)), "windows")
+    """(key, starts): the windows of a row that start in a document with a smaller doc_id, by word number; -1 stands for all words of a copy."""
+    copies = later_copies(rows)
+    windows = saved(repeated_windows(without(rows, copies), size, _bits(rows)), "windows")
     firsts = windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("hash", "first")
-    return windows.join(firsts, "hash").filter("first < doc_id").groupBy("key").agg(F.collect_set("at").alias("starts"))
+    found = windows.join(firsts, "hash").filter("first < doc_id").groupBy("key").agg(F.collect_set("at").alias("starts"))
+    whole = rows.sparkSession.createDataFrame(pd.DataFrame({"key": copies}), "key long")
+    return found.unionByName(whole.select("key", F.array(F.lit(-1)).alias("starts")))
 
 
 def _kept(data: bytes | None, starts: list[int] | None, size: int) -> tuple[int, list[bytes]]:
     words = data.split() if data else []
-    if not starts:
+    if not starts or len(words) < size:
         return len(words), words
+    if starts[0] < 0:
+        return len(words), []
     cover = np.zeros(len(words) + 1, np.int32)
     np.add.at(cover, np.array(starts), 1)
     np.add.at(cover, np.array(starts) + size, -1)
@@ -142,9 +173,11 @@ def _with_removals(docs: DataFrame, size: int) -> DataFrame:
     """All columns of ``docs`` and ``_starts``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    rows = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("key"), text.alias("text"))
+    ids = docs.select(doc_id.alias("doc_id")).groupBy("doc_id").count().filter("count > 1")
+    key = F.xxhash64(doc_id, text) if ids.take(1) else doc_id  # an id is the shorter key
+    rows = docs.select(doc_id.alias("doc_id"), key.alias("key"), text.alias("text"))
     found = removals(rows, size).select(F.col("key").alias("_key"), F.col("starts").alias("_starts"))
-    return docs.withColumn("_key", F.xxhash64(doc_id, text)).join(found, "_key", "left").drop("_key")
+    return docs.withColumn("_key", key).join(found, "_key", "left").drop("_key")
 
 
 def digests(docs: DataFrame, size: int = 50) -> DataFrame:
@@ -173,7 +206,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
             columns, texts = batch.columns[:-1], batch.column(at).to_pylist()
             lengths = columns[chars].to_pylist() if chars is not None else []
             for i, starts in enumerate(batch.columns[-1].to_pylist()):
-                if starts:
+                if starts and len(texts[i].encode().split()) >= size:
                     texts[i] = b" ".join(_kept(texts[i].encode(), starts, size)[1]).decode()
                     if chars is not None:
                         lengths[i] = len(texts[i])
