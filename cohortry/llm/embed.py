@@ -1,6 +1,6 @@
 """Near-duplicate embeddings by spherical-cap filters of structured random product codes.
 
-After a random rotation a vector is split in two halves; a filter is a pair of code words, one of each
+After a random rotation, one of ``ROTATIONS``, a vector is split in two halves; a filter is a pair of code words, one of each
 half's random code, and a unit vector passes it if the halves' products with the two code words sum to
 ``alpha`` or more. The passing filters are listed from the two sorted score lists, without a look at the
 others. Vectors meet in the filters that they share, and every pair there is verified by its cosine in
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .common import saved
 from .graph import components
 
-SHARED, PART, IN_FILTER = 6.0, 512, 300
+ROTATIONS, SHARED, PART, IN_FILTER = 8, 12.0, 512, 300
 
 
 def share_passing(alpha: float, cosine: float) -> float:
@@ -48,16 +48,16 @@ def plan(n: int, cosine: float) -> tuple[int, float]:
         low, high = 0.0, 6.0
         for _ in range(40):
             alpha = (low + high) / 2
-            many = words * words * (1 - NormalDist().cdf(alpha)) * share_passing(alpha, cosine) > SHARED
+            many = words * words * (1 - NormalDist().cdf(alpha)) * share_passing(alpha, cosine) > SHARED / ROTATIONS
             low, high = (alpha, high) if many else (low, alpha)
         if n * (1 - NormalDist().cdf(low)) <= IN_FILTER or words >= 4096:
             return words, low
         words *= 2
 
 
-def codes(d: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def codes(d: int, words: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rotation, and the code of each half."""
-    rng = np.random.default_rng(11)
+    rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
     return rotation, rng.standard_normal((d // 2, words)), rng.standard_normal((d - d // 2, words))
 
@@ -72,6 +72,16 @@ def decode(one: np.ndarray, two: np.ndarray, alpha: float) -> np.ndarray:
     return np.sort(np.repeat(first, n) * len(two) + order[np.arange(n.sum()) - starts])
 
 
+def all_filters(x: np.ndarray, words: int, alpha: float, rotated: list) -> list[np.ndarray]:
+    """Numbers of the filters that each unit vector passes, over all rotations, ascending."""
+    half, out = x.shape[1] // 2, []
+    for k, (rotation, one, two) in enumerate(rotated):
+        y = x @ rotation
+        s, t = y[:, :half] @ one, y[:, half:] @ two
+        out.append([decode(u, v, alpha) + k * words * words for u, v in zip(s, t, strict=True)])
+    return [np.concatenate(own) for own in zip(*out, strict=True)]
+
+
 def _units(blobs: list[bytes], kind: str) -> np.ndarray:
     x = np.frombuffer(b"".join(blobs), kind).reshape(len(blobs), -1).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)
@@ -95,13 +105,12 @@ def _clean(rows: DataFrame, kind: str) -> DataFrame:
 
 def _filters(nodes: DataFrame, d: int, kind: str, words: int, alpha: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rotation, one, two = codes(d, words)
+        rotated = [codes(d, words, seed) for seed in range(ROTATIONS)]
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                x = _units(part.column(2).to_pylist(), kind) @ rotation
-                s, t = x[:, : d // 2] @ one, x[:, d // 2 :] @ two
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([decode(u, v, alpha) for u, v in zip(s, t, strict=True)], pa.list_(pa.int64()))], names=["node", "copies", "vector", "filters"])
+                found = all_filters(_units(part.column(2).to_pylist(), kind), words, alpha, rotated)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(pa.int64()))], names=["node", "copies", "vector", "filters"])
 
     return nodes.select("node", "copies", "vector").mapInArrow(run, "node long, copies long, vector binary, filters array<long>")
 
