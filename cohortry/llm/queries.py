@@ -15,6 +15,12 @@ def _vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import main_texts
+
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm import scores
 
@@ -70,7 +76,7 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_log_bilinear_lm, op3_prefix_fingerprints, op4_best_fit_packing, op5_spherical_cap_filters, op6_ngram_jaccard_join, op7_secret_scan, op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree)}
+    return {f.__name__: f for f in (op1_wrapper_extraction, op2_log_bilinear_lm, op3_prefix_fingerprints, op4_best_fit_packing, op5_spherical_cap_filters, op6_ngram_jaccard_join, op7_secret_scan, op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
