@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
-def _vocabulary(name: str = "byte_bpe_50k.json") -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -36,7 +36,7 @@ def op3_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), _vocabulary())
+    return pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def op5_spherical_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_digests
 
-    return encode_digests(table(spark, sf_dir, "documents"), _vocabulary())
+    return encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
