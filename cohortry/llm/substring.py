@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,12 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return ((hashes >> np.uint64(32 * row)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
-def repeated_cells(texts: DataFrame, size: int, bits: int) -> list[bytes]:
+def _others(batch: pa.RecordBatch, keys: np.ndarray) -> pa.RecordBatch:
+    """Rows (doc_id, key, text) whose key isn't among these."""
+    return batch.filter(pa.array(~np.isin(batch.column(1).to_numpy(), keys))) if len(keys) else batch
+
+
+def repeated_cells(rows: DataFrame, size: int, bits: int, copies: Broadcast) -> list[bytes]:
     """Per row of the merged sketch, a bit map of the cells that count two or more."""
     shard_cells = (1 << bits) // SHARDS
 
@@ -75,9 +81,9 @@ def repeated_cells(texts: DataFrame, size: int, bits: int) -> list[bytes]:
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], names=["shard", "once", "more"])
 
         for batch in batches:
-            for _, hashes, *_ in _windows(batch.column(0), size):
+            for _, hashes, *_ in _windows(_others(batch, copies.value).column(2), size):
                 held.append(hashes)
-                if sum(map(len, held)) > 4_000_000:
+                if sum(map(len, held)) > 2_000_000:
                     yield from sent()
         if held:
             yield from sent()
@@ -93,18 +99,21 @@ def repeated_cells(texts: DataFrame, size: int, bits: int) -> list[bytes]:
         for shard, have in counts.items():
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([np.packbits(have >= 2, bitorder="little").tobytes()], pa.binary())], names=["shard", "bits"])
 
-    got = texts.select("text").mapInArrow(sketches, "shard int, once binary, more binary").repartition("shard").mapInArrow(added, "shard int, bits binary")
+    got = rows.select("doc_id", "key", "text").mapInArrow(sketches, "shard int, once binary, more binary").repartition("shard").mapInArrow(added, "shard int, bits binary")
     found = {r.shard: bytes(r.bits) for r in got.toLocalIterator()}  # at most ROWS * 2**MOST_BITS bits
     return [b"".join(found.get(row * SHARDS + i, bytes(shard_cells // 8)) for i in range(SHARDS)) for row in range(ROWS)]
 
 
-def repeated_windows(rows: DataFrame, size: int, bits: int) -> DataFrame:
-    """(hash, doc_id, key, at) of each window whose cells all count two or more; ``rows`` has doc_id, key, text."""
-    shared = rows.sparkSession.sparkContext.broadcast(repeated_cells(rows, size, bits))
+def repeated_windows(rows: DataFrame, size: int, bits: int, copies: np.ndarray) -> DataFrame:
+    """(hash, doc_id, key, at) of each window whose cells all count two or more; ``rows`` has doc_id, key, text, of which keys in ``copies`` stay out."""
+    send = rows.sparkSession.sparkContext.broadcast
+    known = send(copies)
+    shared = send(repeated_cells(rows, size, bits, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [np.frombuffer(x, np.uint8) for x in shared.value]
         for batch in batches:
+            batch = _others(batch, known.value)
             ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, hashes, row, at in _windows(batch.column(2), size):
                 for k, bitmap in enumerate(maps):
@@ -127,19 +136,6 @@ def later_copies(rows: DataFrame) -> np.ndarray:
     return np.sort(found.toPandas()["key"].to_numpy(np.int64))
 
 
-def without(rows: DataFrame, keys: np.ndarray) -> DataFrame:
-    """Rows whose key isn't among these few."""
-    if not len(keys):
-        return rows
-    shared = rows.sparkSession.sparkContext.broadcast(keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(~np.isin(batch.column(1).to_numpy(), shared.value)))
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def _bits(rows: DataFrame) -> int:
     """Two cells or more for each word there can be, within the bounds."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -149,7 +145,7 @@ def _bits(rows: DataFrame) -> int:
 def removals(rows: DataFrame, size: int) -> DataFrame:
     """(key, starts): the windows of a row that start in a document with a smaller doc_id, by word number; -1 stands for all words of a copy."""
     copies = later_copies(rows)
-    windows = saved(repeated_windows(without(rows, copies), size, _bits(rows)), "windows")
+    windows = saved(repeated_windows(rows, size, _bits(rows), copies), "windows")
     firsts = windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("hash", "first")
     found = windows.join(firsts, "hash").filter("first < doc_id").groupBy("key").agg(F.collect_set("at").alias("starts"))
     whole = rows.sparkSession.createDataFrame(pd.DataFrame({"key": copies}), "key long")
