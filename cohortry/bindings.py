@@ -81,7 +81,7 @@ def _render(name: str, dialect: dict[str, str], raw: str) -> str:
     text = re.sub(r"\{(\w+)\(([^()]*)\)\}", lambda m: dialect[m[1]].format(m[2]), VIEWS[name])
     for key in ("ARRAY", "EMPTY", "STR"):
         text = text.replace("{" + key + "}", dialect[key])
-    text = text.replace("{DAY}", str(DAY)).replace("{FIRST_DAY}", str(FIRST_DAY))
+    text = text.replace("{DAY}", f"cast({DAY} as bigint)").replace("{FIRST_DAY}", str(FIRST_DAY))
     for t in RAW:
         text = text.replace("{" + t + "}", raw.format(t))
     return text.replace("{{", "{").replace("}}", "}")

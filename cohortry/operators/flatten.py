@@ -173,8 +173,8 @@ ENVELOPE = "struct<service:string,body:string>"
 
 
 def route_requests(messages: DataFrame, services: list[str]) -> DataFrame:
-    """(value, service, body, error): bad JSON and unknown services carry an error."""
+    """The messages with service, body and error: bad JSON and unknown services carry an error."""
     parsed = messages.withColumn("m", F.from_json("value", ENVELOPE, {"mode": "PERMISSIVE"}))
     service = F.col("m.service")
     error = F.when(F.try_parse_json("value").isNull(), "bad message").when(service.isNull(), "no service").when(~service.isin(services), "unknown service")
-    return parsed.select("value", service.alias("service"), F.col("m.body").alias("body"), error.alias("error"))
+    return parsed.select(*messages.columns, service.alias("service"), F.col("m.body").alias("body"), error.alias("error"))

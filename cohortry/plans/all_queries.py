@@ -1,4 +1,4 @@
 """All registered queries of the platform's own operators."""
 
-from . import scalar_queries  # noqa: F401
+from . import export_queries, report_queries, scalar_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

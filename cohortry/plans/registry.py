@@ -10,11 +10,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None):
+def query(oracle: str | None = None, name: str | None = None):
     def add(f):
-        QUERIES[f.__name__] = f
+        key = name or f.__name__
+        QUERIES[key] = f
         if oracle:
-            ORACLES[f.__name__] = oracle
+            ORACLES[key] = oracle
         return f
 
     return add
