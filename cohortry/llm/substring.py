@@ -16,12 +16,11 @@ own row. Two windows are equal if their 64-bit hashes are.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,13 +53,22 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return ((hashes >> np.uint64(32 * row)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
+def passing(hashes: np.ndarray, maps: list[np.ndarray], bits: int) -> np.ndarray:
+    """Places of the hashes whose cells all count two or more."""
+    hit = np.arange(len(hashes))
+    for k, bitmap in enumerate(maps):
+        cells = _cells(hashes[hit], k, bits)
+        hit = hit[np.flatnonzero((bitmap[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1)]
+    return hit
+
+
 def _others(batch: pa.RecordBatch, keys: np.ndarray) -> pa.RecordBatch:
     """Rows (doc_id, key, text) whose key isn't among these."""
     return batch.filter(pa.array(~np.isin(batch.column(1).to_numpy(), keys))) if len(keys) else batch
 
 
-def repeated_cells(rows: DataFrame, size: int, bits: int, copies: Broadcast) -> list[bytes]:
-    """Per row of the merged sketch, a bit map of the cells that count two or more."""
+def repeated_cells(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> list[bytes]:
+    """Per row of the merged sketch of all hashes, a bit map of the cells that count two or more."""
     shard_cells = (1 << bits) // SHARDS
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +89,7 @@ def repeated_cells(rows: DataFrame, size: int, bits: int, copies: Broadcast) ->
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], names=["shard", "once", "more"])
 
         for batch in batches:
-            for _, hashes, *_ in _windows(_others(batch, copies.value).column(2), size):
+            for hashes in hashes_of(batch):
                 held.append(hashes)
                 if sum(map(len, held)) > 2_000_000:
                     yield from sent()
@@ -99,7 +107,7 @@ def repeated_cells(rows: DataFrame, size: int, bits: int, copies: Broadcast) ->
         for shard, have in counts.items():
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([np.packbits(have >= 2, bitorder="little").tobytes()], pa.binary())], names=["shard", "bits"])
 
-    got = rows.select("doc_id", "key", "text").mapInArrow(sketches, "shard int, once binary, more binary").repartition("shard").mapInArrow(added, "shard int, bits binary")
+    got = rows.mapInArrow(sketches, "shard int, once binary, more binary").repartition("shard").mapInArrow(added, "shard int, bits binary")
     found = {r.shard: bytes(r.bits) for r in got.toLocalIterator()}  # at most ROWS * 2**MOST_BITS bits
     return [b"".join(found.get(row * SHARDS + i, bytes(shard_cells // 8)) for i in range(SHARDS)) for row in range(ROWS)]
 
@@ -108,7 +116,7 @@ def repeated_windows(rows: DataFrame, size: int, bits: int, copies: np.ndarray)
     """(hash, doc_id, key, at) of each window whose cells all count two or more; ``rows`` has doc_id, key, text, of which keys in ``copies`` stay out."""
     send = rows.sparkSession.sparkContext.broadcast
     known = send(copies)
-    shared = send(repeated_cells(rows, size, bits, known))
+    shared = send(repeated_cells(rows.select("doc_id", "key", "text"), lambda batch: (h for _, h, *_ in _windows(_others(batch, known.value).column(2), size)), bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [np.frombuffer(x, np.uint8) for x in shared.value]
@@ -116,10 +124,8 @@ def repeated_windows(rows: DataFrame, size: int, bits: int, copies: np.ndarray)
             batch = _others(batch, known.value)
             ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, hashes, row, at in _windows(batch.column(2), size):
-                for k, bitmap in enumerate(maps):
-                    cells = _cells(hashes, k, bits)
-                    hit = np.flatnonzero((bitmap[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1)
-                    hashes, row, at = hashes[hit], row[hit], at[hit]
+                hit = passing(hashes, maps, bits)
+                hashes, row, at = hashes[hit], row[hit], at[hit]
                 if len(hashes):
                     yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids[a + row]), pa.array(keys[a + row]), pa.array(at.astype(np.int32))], names=["hash", "doc_id", "key", "at"])
 
@@ -136,10 +142,14 @@ def later_copies(rows: DataFrame) -> np.ndarray:
     return np.sort(found.toPandas()["key"].to_numpy(np.int64))
 
 
+def sketch_bits(expected: float) -> int:
+    """Two cells or more for each expected hash, within the bounds."""
+    return min(max(int(2 * expected).bit_length(), LEAST_BITS), MOST_BITS)
+
+
 def _bits(rows: DataFrame) -> int:
-    """Two cells or more for each word there can be, within the bounds."""
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return min(max(int(size / 3).bit_length(), LEAST_BITS), MOST_BITS)
+    """For one window for each six bytes of text."""
+    return sketch_bits((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 6)
 
 
 def removals(rows: DataFrame, size: int) -> DataFrame:
