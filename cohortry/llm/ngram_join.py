@@ -4,9 +4,10 @@ Shingles have one global order: rare ones first (by hash), then those that a tas
 by how often. Two sets of similarity t or more share a shingle among the first |x| - ceil(t |x|) + 1 of each, so
 index lists are kept of these only, each sorted by set size with the shingle's position.
 
-Index level: in a list only the block of sizes that can match is read, and positions bound the overlap.
-Answer level: equal sets are one node. First each list links neighbours by size, which is linear in its
-length; what is verified there groups nodes, and nodes of one group need no more comparison for their
+Index level: a count-min sketch drops shingles of one set; in a list only the block of sizes that can match is
+read, positions bound the overlap, and 256 bits of parity bound the difference of two sets.
+Answer level: equal sets are one node. First each list links each node with the one before it and with the
+first, which is linear in its length; what is verified there groups nodes, and nodes of one group need no more comparison for their
 component. Lists whose nodes lie in one group are then skipped whole; in the others only pairs across
 groups are left, and of these a pair (x, y) falls away if a set r, highly similar to x with its similarity
 known, has a known similarity to y that is too far off: Jaccard distance is a metric. All
@@ -29,16 +30,19 @@ from pyspark.sql import functions as F
 
 from .common import saved, slices
 from .graph import components
+from .substring import passing, repeated_cells, sketch_bits
 from .words import mix, window_hashes, word_hashes, word_spans
 
 FREQUENT, LONG_LIST = 200_000, 5_000
 MOST_COPIES = 1_000_000
+TOP, TRUE, NONE = np.uint64(1 << 63), np.ones(1, bool), np.empty(0, np.uint64)
+PARITY = [f"b{i}" for i in range(4)]
 
 
 def shingle_sets(texts: pa.Array, k: int, ranks: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, shingles, offsets per row) of slices of rows; each row's distinct shingles in the global order.
 
-    ``ranks``: the frequent shingles, from less to more frequent.
+    Shingles are 63-bit hashes. ``ranks``: the frequent ones, from less to more frequent.
     """
     by_hash = rank_of = None
     if ranks is not None and len(ranks):
@@ -46,26 +50,23 @@ def shingle_sets(texts: pa.Array, k: int, ranks: np.ndarray | None = None) -> It
         by_hash = ranks[rank_of]
     for a, _, data, offsets in slices(texts):
         starts, ends, first = word_spans(data, offsets)
-        rows = len(first) - 1
         words = word_hashes(data, starts, ends, lower=True)
-        hashes = window_hashes(words, k)
-        row = np.repeat(np.arange(rows), np.diff(first))[: len(hashes)]
-        good = np.arange(len(hashes)) + k <= first[row + 1] if len(hashes) else np.empty(0, bool)
-        hashes, row = hashes[good], row[good]
-        short = [i for i in np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < k)).tolist()]
-        if short:
-            own = [window_hashes(words[first[i] : first[i + 1]], int(first[i + 1] - first[i]))[0] for i in short]
-            hashes, row = np.concatenate([hashes, np.array(own, np.uint64)]), np.concatenate([row, short])
-        order = hashes >> np.uint64(1)
-        if by_hash is not None and len(hashes):
-            at = np.minimum(np.searchsorted(by_hash, hashes), len(by_hash) - 1)
-            order = np.where(by_hash[at] == hashes, np.uint64(1 << 63) + rank_of[at].astype(np.uint64), order)
-        by = np.lexsort((order, row))
-        hashes, row = hashes[by], row[by]
-        new = np.ones(len(hashes), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
-        hashes, row = hashes[new], row[new]
-        yield a, hashes, np.searchsorted(row, np.arange(rows + 1))
+        order = window_hashes(words, k) >> np.uint64(1)
+        if by_hash is not None and len(order):
+            at = np.minimum(np.searchsorted(by_hash, order), len(by_hash) - 1)
+            order = np.where(by_hash[at] == order, TOP + rank_of[at].astype(np.uint64), order)
+        out = []
+        for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            if j - i >= k:
+                own = np.sort(order[i : j - k + 1])
+                out.append(own[np.concatenate([TRUE, own[1:] != own[:-1]])])
+            else:
+                out.append(window_hashes(words[i:j], j - i) >> np.uint64(1) if j > i else NONE)
+        shingles = np.concatenate([NONE, *out])
+        often = np.flatnonzero(shingles >= TOP)
+        if len(often):
+            shingles[often] = ranks[(shingles[often] - TOP).astype(np.int64)]
+        yield a, shingles, np.cumsum([0, *map(len, out)])
 
 
 def _nodes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -75,127 +76,185 @@ def _nodes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, mix(sums[offsets[1:]] - sums[offsets[:-1]] + sizes) | np.uint64(1), np.uint64(0)).view(np.int64)
 
 
+def _parity(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """256 bits of each row's set, a bit being the parity of the shingles that fall on it: rows x 4."""
+    bit, n, out = (mix(hashes) & np.uint64(255)).astype(np.int64), len(offsets) - 1, []
+    for a in range(0, n, 2048):
+        b = min(a + 2048, n)
+        row = np.repeat(np.arange(b - a), np.diff(offsets[a : b + 1]))
+        odd = np.bincount(row * 256 + bit[offsets[a] : offsets[b]], minlength=(b - a) * 256) & 1
+        out.append(np.packbits(odd.astype(np.uint8).reshape(b - a, 256), axis=1).view(np.int64))
+    return np.concatenate(out) if out else np.empty((0, 4), np.int64)
+
+
+def _may_match(n, m, bits_n: np.ndarray, bits_m: np.ndarray, percent: int) -> np.ndarray:
+    """False where sizes or parities rule the similarity out: each differing bit is a shingle of one set alone."""
+    total = n.astype(np.int64) + m
+    differ = np.bitwise_count((bits_n ^ bits_m).view(np.uint64)).sum(axis=-1)
+    return (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (differ <= total - 2 * -(-percent * total // (100 + percent)))
+
+
+def index_length(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many of the first shingles of the smaller set of a pair must be looked at."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
 def _summaries(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (doc_id, node, n) of all documents, and with n = -1 (null, shingle, count) of shingles that a task saw in two."""
+    """Rows (doc_id, node, n, parity) of all documents, and with n = -1 (count, shingle) of shingles that a task saw in two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held = ["doc_id", "node", "n"], []
+        names, held = ["doc_id", "node", "n", *PARITY], []
 
         def repeated() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             found, n = found[n > 1], n[n > 1]
-            return pa.RecordBatch.from_arrays([pa.array(n), pa.array(found.view(np.int64)), pa.array(np.full(len(n), -1))], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(n), pa.array(found.view(np.int64)), pa.array(np.full(len(n), -1)), *(pa.nulls(len(n), pa.int64()) for _ in PARITY)], names=names)
 
         for batch in batches:
             ids = batch.column(0)
             for a, hashes, offsets in shingle_sets(batch.column(1), k):
-                yield pa.RecordBatch.from_arrays([ids.slice(a, len(offsets) - 1), pa.array(_nodes(hashes, offsets)), pa.array(np.diff(offsets))], names=names)
+                yield pa.RecordBatch.from_arrays([ids.slice(a, len(offsets) - 1), pa.array(_nodes(hashes, offsets)), pa.array(np.diff(offsets)), *(pa.array(x) for x in _parity(hashes, offsets).T.copy())], names=names)
                 held.append(hashes)
                 if sum(map(len, held)) > 4_000_000:
                     yield repeated()
         if held:
             yield repeated()
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long")
+    return docs.mapInArrow(run, "doc_id long, node long, n long, " + ", ".join(f"{b} long" for b in PARITY))
 
 
-def _postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, copied: pd.DataFrame, k: int, percent: int) -> DataFrame:
-    """(token, part, node, n, at) of the first shingles of each node; lists of frequent shingles are dealt into parts."""
+def _postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, copied: pd.DataFrame, expected: int, k: int, percent: int) -> DataFrame:
+    """(token, part, node, n, at) of the first shingles of each node that a count-min sketch saw twice; lists of frequent shingles are dealt into parts."""
     order = np.argsort(ranks)
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, ranks[order], counts[order], copied["node"].to_numpy(np.int64), copied["first"].to_numpy(np.int64)))
+    send = docs.sparkSession.sparkContext.broadcast
+    shared = send((ranks, ranks[order], counts[order], copied["node"].to_numpy(np.int64), copied["first"].to_numpy(np.int64)))
+
+    def firsts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        by_rank, _, _, nodes, first = shared.value
+        ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
+        for a, hashes, offsets in shingle_sets(batch.column(1), k, by_rank):
+            node, n = _nodes(hashes, offsets), np.diff(offsets)
+            use = n > 0
+            if len(nodes):
+                at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+                use &= (nodes[at] != node) | (first[at] == ids[a : a + len(n)])
+            row = np.repeat(np.arange(len(n)), n)
+            place = np.arange(len(hashes)) - offsets[row]
+            good = np.flatnonzero((place < prefix_length(n, percent)[row]) & use[row])
+            yield hashes[good], node[row[good]], n[row[good]], place[good]
+
+    bits = sketch_bits(expected)
+    seen = send(repeated_cells(docs, lambda batch: (mix(token) for token, *_ in firsts(batch)), bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_rank, by_hash, often, nodes, firsts = shared.value
+        _, by_hash, often, _, _ = shared.value
+        maps = [np.frombuffer(x, np.uint8) for x in seen.value]
         for batch in batches:
-            ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
-            for a, hashes, offsets in shingle_sets(batch.column(1), k, by_rank):
-                node, n = _nodes(hashes, offsets), np.diff(offsets)
-                own = ids[a : a + len(n)]
-                use = n > 0
-                if len(nodes):
-                    at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
-                    use &= (nodes[at] != node) | (firsts[at] == own)
-                row = np.repeat(np.arange(len(n)), n)
-                place = np.arange(len(hashes)) - offsets[row]
-                good = np.flatnonzero((place < prefix_length(n, percent)[row]) & use[row])
-                token, row, place = hashes[good], row[good], place[good]
+            for columns in firsts(batch):
+                hit = passing(mix(columns[0]), maps, bits)
+                token, node, n, place = (x[hit] for x in columns)
                 part = np.zeros(len(token), np.int64)
                 if len(by_hash) and len(token):
                     at = np.minimum(np.searchsorted(by_hash, token), len(by_hash) - 1)
                     parts = np.where(by_hash[at] == token, often[at] // LONG_LIST + 1, 1)
-                    part = (mix(node[row].view(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(part.astype(np.int32)), pa.array(node[row]), pa.array(n[row].astype(np.int32)), pa.array(place.astype(np.int32))], names=["token", "part", "node", "n", "at"])
+                    part = (mix(node.view(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(part.astype(np.int32)), pa.array(node), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32))], names=["token", "part", "node", "n", "at"])
 
     return docs.mapInArrow(run, "token long, part int, node long, n int, at int")
 
 
+def _shared_lists(lists: DataFrame) -> DataFrame:
+    """Entries of lists that hold two nodes or more."""
+    two = lists.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("token")
+    return lists.join(two, "token", "left_semi")
+
+
+def _arrays(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
+    """Columns as arrays, the parity as one of rows x 4."""
+    return [*(batch.column(c).to_numpy() for c in names), np.stack([batch.column(b).to_numpy() for b in PARITY], 1)]
+
+
+def _pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.stack([np.minimum(x, y), np.maximum(x, y)], 1)
+
+
 def _neighbours(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each node with the one before it by size in each part of a list, and with the part's first."""
+    """Pairs of each node with the one before it in each part of a list, and with the part's first.
+
+    Nodes with the most shared shingles come first: what many edited copies were made from has no shingles of its own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = last = None  # of the part that the batch before ended in
         for batch in batches:
-            token, part, node, n = (batch.column(i).to_numpy() for i in range(4))
-            if not len(token):
+            columns = _arrays(batch, ["token", "part", "node", "n"])
+            if not len(columns[0]):
                 continue
             if last is not None:
-                token, part, node, n = (np.concatenate([[h, x], y]) for h, x, y in zip(head, last, (token, part, node, n), strict=True))
+                columns = [np.concatenate([[h, x], y]) for h, x, y in zip(head, last, columns, strict=True)]
+            token, part, node, n, bits = columns
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1])
             heads = np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))
             i = np.flatnonzero(~new)
-            pairs = np.unique(np.concatenate([np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1)[(np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent) & (node[i] != node[j])] for j in (i - 1, heads[i])]), axis=0)
-            head, last = (tuple(x[at] for x in (token, part, node, n)) for at in (heads[-1], len(token) - 1))
+            found = []
+            for j in (i - 1, heads[i]):
+                good = (node[i] != node[j]) & _may_match(n[i], n[j], bits[i], bits[j], percent)
+                found.append(_pairs(node[i[good]], node[j[good]]))
+            pairs = np.unique(np.concatenate(found), axis=0)
+            head, last = ([x[at] for x in columns] for at in (heads[-1], len(token) - 1))
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["x", "y"])
 
-    ordered = lists.select("token", "part", "node", "n").repartition("token", "part").sortWithinPartitions("token", "part", "n", "node")
+    ordered = lists.select("token", "part", "node", "n", *PARITY, "own").repartition("token", "part").sortWithinPartitions("token", "part", "own", "n", "node")
     return ordered.mapInArrow(run, "x long, y long").distinct()
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of nodes of different groups in a list whose sizes and positions allow the overlap."""
+    """All pairs of nodes of different groups in a list that sizes, positions and parities leave."""
 
-    def pairs(node, group, n, at) -> np.ndarray:
-        names, inverse, sizes = np.unique(group, return_inverse=True, return_counts=True)
-        few = np.flatnonzero(inverse != sizes.argmax())
-        out = []
-        for i in few.tolist():
+    def pairs(node, group, n, at, bits) -> np.ndarray:
+        _, inverse, sizes = np.unique(group, return_inverse=True, return_counts=True)
+        largest, out = sizes.argmax(), []
+        indexed = at < index_length(n, percent)
+        for i in np.flatnonzero(inverse != largest).tolist():
             a, b = np.searchsorted(n, [-(-int(n[i]) * percent // 100), int(n[i]) * 100 // percent + 1])
             j = np.arange(a, b)
-            j = j[(group[j] != group[i]) & ((inverse[j] == sizes.argmax()) | (j < i))]
+            j = j[(inverse[j] != inverse[i]) & ((inverse[j] == largest) | (j < i)) & np.where(n[j] <= n[i], indexed[j], indexed[i])]
             bound = np.minimum(at[j], at[i]) + np.minimum(n[j] - at[j], n[i] - at[i])
             j = j[bound * (100 + percent) >= percent * (n[j].astype(np.int64) + n[i])]
-            out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1))
+            j = j[_may_match(n[j], n[i], bits[j], bits[i], percent)]
+            out.append(_pairs(np.full(len(j), node[i]), node[j]))
         return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, of = [], None
 
-        def found() -> Iterator[pa.RecordBatch]:
-            got = np.unique(pairs(*(np.concatenate(x) for x in zip(*held, strict=True))), axis=0)
+        def found() -> np.ndarray:
+            got = pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))
             held.clear()
-            if len(got):
-                yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], names=["x", "y"])
+            return got
 
         for batch in batches:
-            token, *rest = (batch.column(i).to_numpy() for i in range(5))
-            edges = [0, *(np.flatnonzero(np.diff(token)) + 1).tolist(), len(token)]
+            token, *rest = _arrays(batch, ["token", "node", "group", "n", "at"])
+            edges, got = [0, *(np.flatnonzero(np.diff(token)) + 1).tolist(), len(token)], []
             for a, b in zip(edges, edges[1:], strict=False):
                 if a == b:
                     continue
                 if held and token[a] != of:
-                    yield from found()
+                    got.append(found())
                 of = token[a]
                 held.append([x[a:b] for x in rest])
-        if held:
-            yield from found()
+            if got and len(all_ := np.unique(np.concatenate(got), axis=0)):
+                yield pa.RecordBatch.from_arrays([pa.array(all_[:, 0]), pa.array(all_[:, 1])], names=["x", "y"])
+        if held and len(all_ := found()):
+            yield pa.RecordBatch.from_arrays([pa.array(all_[:, 0]), pa.array(all_[:, 1])], names=["x", "y"])
 
-    ordered = lists.select("token", "node", "group", "n", "at").repartition("token").sortWithinPartitions("token", "n", "node")
+    ordered = lists.select("token", "node", "group", "n", "at", *PARITY).repartition("token").sortWithinPartitions("token", "n", "node")
     return ordered.mapInArrow(run, "x long, y long").distinct()
 
 
@@ -250,24 +309,24 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     copied = ours.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("first")).filter("rows > 1").select("node", "first")
     copied = copied.toPandas().sort_values("node") if copied.count() <= MOST_COPIES else pd.DataFrame({"node": [], "first": []}, dtype="int64")
     ranks, counts = often["node"].to_numpy(np.int64).view(np.uint64), often["count"].to_numpy(np.int64)
-    lists = _postings(rows, ranks, counts, copied, k, percent)
-    near = saved(_neighbours(lists, percent), "near")
+    expected = (ours.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
+    lists = saved(_shared_lists(_postings(rows, ranks, counts, copied, expected, k, percent)), "lists")
+    parities = ours.filter("n > 0").groupBy("node").agg(F.first("n").alias("size"), *(F.first(b).alias(b) for b in PARITY))
+    shared = lists.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(parities, "node")
+    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    nodes = saved(shared.select("node", (length - F.col("shared")).cast("long").alias("own"), *PARITY), "nodes")
+    near = saved(_neighbours(lists.join(nodes, "node"), percent), "near")
     first = saved(_verified(rows, near, k), "verified")
     groups = components(_linked(first, percent))
-    lists = saved(_shared_lists(lists), "lists").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"), *PARITY)
+    lists = lists.join(grouped, "node")
     open_ = lists.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("token")
     left = _across(lists.join(open_, "token", "left_semi"), percent)
     left = saved(_not_far(left.join(first.select("x", "y"), ["x", "y"], "left_anti"), first, percent), "across")
     links = _linked(first, percent)
     if left.take(1):
-        links = links.unionByName(_linked(saved(_verified(rows, left, k), "verified"), percent))
+        links = saved(links.unionByName(_linked(_verified(rows, left, k), percent)), "links")
         groups = components(links)
     named = ours.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     smallest = named.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
     return named.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
-
-
-def _shared_lists(lists: DataFrame) -> DataFrame:
-    """Entries of lists that hold two nodes or more."""
-    two = lists.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("token")
-    return lists.join(two, "token", "left_semi").select("token", "node", "n", "at")
