@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import discard, saved
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -31,7 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: u and its smaller neighbours go to the smallest of these
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        edges = saved(small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a > b").distinct(), "links")
+        old, edges = edges, saved(small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a > b").distinct(), "links")
+        discard(old)
         now = _state(edges)
         if now == before:
             break

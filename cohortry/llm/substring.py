@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import pack_cells, unpack_cells
-from .common import saved, slices
+from .common import discard, saved, slices
 from .words import window_hashes, word_hashes, word_spans
 
 ROWS = 2
@@ -139,7 +139,9 @@ def later_copies(rows: DataFrame) -> np.ndarray:
     found = saved(prints.join(firsts, ["a", "b"]).filter("first < doc_id").select("key").distinct(), "copies")
     if found.count() > MOST_COPIES:
         return np.empty(0, np.int64)
-    return np.sort(found.toPandas()["key"].to_numpy(np.int64))
+    keys = np.sort(found.toPandas()["key"].to_numpy(np.int64))
+    discard(found)
+    return keys
 
 
 def sketch_bits(expected: float) -> int:
@@ -157,7 +159,9 @@ def removals(rows: DataFrame, size: int) -> DataFrame:
     copies = later_copies(rows)
     windows = saved(repeated_windows(rows, size, _bits(rows), copies), "windows")
     firsts = windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("hash", "first")
-    found = windows.join(firsts, "hash").filter("first < doc_id").groupBy("key").agg(F.collect_set("at").alias("starts"))
+    firsts = saved(firsts, "firsts")  # so that Spark can split the join's largest partitions
+    found = saved(windows.join(firsts, "hash").filter("first < doc_id").groupBy("key").agg(F.collect_set("at").alias("starts")), "starts")
+    discard(windows, firsts)
     whole = rows.sparkSession.createDataFrame(pd.DataFrame({"key": copies}), "key long")
     return found.unionByName(whole.select("key", F.array(F.lit(-1)).alias("starts")))
 
