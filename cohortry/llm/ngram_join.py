@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices
+from .common import discard, saved, slices
 from .graph import components
 from .substring import passing, repeated_cells, sketch_bits
 from .words import mix, window_hashes, word_hashes, word_spans
@@ -278,11 +278,13 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(x, y, both, n, m): sizes of the intersection and of the two sets, of each pair."""
+    """The saved table (x, y, both, n, m) of the sizes of the intersection and of the two sets of each pair."""
     sets = saved(_sets_of(docs, pairs, k), "sets")
     left = pairs.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("of_x")), "x")
     whole = left.join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("of_y")), "y")
-    return whole.select("x", "y", F.size(F.array_intersect("of_x", "of_y")).cast("long").alias("both"), F.size("of_x").cast("long").alias("n"), F.size("of_y").cast("long").alias("m"))
+    out = saved(whole.select("x", "y", F.size(F.array_intersect("of_x", "of_y")).cast("long").alias("both"), F.size("of_x").cast("long").alias("n"), F.size("of_y").cast("long").alias("m")), "verified")
+    discard(sets)
+    return out
 
 
 def _linked(verified: DataFrame, percent: int) -> DataFrame:
@@ -316,17 +318,18 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
     nodes = saved(shared.select("node", (length - F.col("shared")).cast("long").alias("own"), *PARITY), "nodes")
     near = saved(_neighbours(lists.join(nodes, "node"), percent), "near")
-    first = saved(_verified(rows, near, k), "verified")
+    first = _verified(rows, near, k)
     groups = components(_linked(first, percent))
     grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"), *PARITY)
-    lists = lists.join(grouped, "node")
-    open_ = lists.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("token")
-    left = _across(lists.join(open_, "token", "left_semi"), percent)
+    open_ = lists.join(grouped.select("node", "group"), "node").groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("token")
+    left = _across(lists.join(open_, "token", "left_semi").join(grouped, "node"), percent)
     left = saved(_not_far(left.join(first.select("x", "y"), ["x", "y"], "left_anti"), first, percent), "across")
-    links = _linked(first, percent)
     if left.take(1):
-        links = saved(links.unionByName(_linked(_verified(rows, left, k), percent)), "links")
-        groups = components(links)
+        second = _verified(rows, left, k)
+        groups = components(_linked(first, percent).unionByName(_linked(second, percent)))
+        discard(second)
+    groups = saved(groups, "groups")
+    discard(lists, nodes, near, first, left)
     named = ours.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     smallest = named.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
     return named.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -18,8 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the row with the smallest doc_id, and every row without an id."""
-    joined = ngram_join.join(docs)
+    """Of each group of documents linked by five-word shingles at 0.8 the row with the smallest doc_id, and every row without an id."""
+    joined = ngram_join.join(docs, k=5, percent=80)
     gone = joined.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").take(1):  # repeated rows
