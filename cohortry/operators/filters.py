@@ -13,9 +13,9 @@ ROSTER_ROLES = ("researcher", "admin", "superadmin", "study_coordinator")  # fix
 
 
 def shareable_records(records: DataFrame, participants: DataFrame) -> DataFrame:
-    """Records whose own scope and whose participant's current scope allow sharing."""
+    """Records of which neither the own scope nor the participant's current one is ``no_sharing``; an unknown scope passes."""
     blocked = participants.filter("sharing_scope = 'no_sharing'").select("user_id")
-    return records.filter("sharing_scope <> 'no_sharing'").join(blocked, "user_id", "left_anti")
+    return records.filter(~F.col("sharing_scope").eqNullSafe("no_sharing")).join(blocked, "user_id", "left_anti")
 
 
 def is_export_configured() -> Column:
