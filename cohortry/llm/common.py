@@ -74,6 +74,22 @@ def slices(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int
         a = b
 
 
+def largest(df: DataFrame, column: str, most: int) -> DataFrame:
+    """At most ``most`` rows, those of the largest values of a positive count: all of some size class or none of it.
+
+    The classes are sixteenths of powers of two, so finding the smallest takes few rows, and no task sends more than it keeps.
+    """
+    size = F.floor(F.log2(column) * 16)
+    classes = df.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect()  # some hundred rows
+    least, total = None, 0
+    for r in classes:
+        total += r.n
+        if total > most:
+            break
+        least = r["size"]
+    return df.filter(size >= least) if least is not None else df.limit(0)
+
+
 def crc32_mod(col: str, k: int):
     """crc32 of an id written as text, modulo ``k``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % k

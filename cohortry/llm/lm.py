@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import from_planes, pack_cells, planes, unpack_cells
-from .common import crc32_mod, saved, slices
+from .common import crc32_mod, largest, saved, slices
 from .words import mix, word_hashes, word_spans
 
 BUCKETS, TARGETS, CONTEXTS, HOT = 48, 768, 64, 200_000
@@ -130,7 +130,7 @@ class Classes:
 
 
 def frequent(counts: DataFrame) -> Classes:
-    top = counts.filter("bucket >= 0").orderBy(F.desc("n"), "hash").limit(HOT).toPandas()
+    top = largest(counts.filter("bucket >= 0"), "n", HOT).toPandas().sort_values(["n", "hash"], ascending=[False, True])
     rank = np.arange(len(top))
     bucket = top["bucket"].to_numpy(np.int64)
     target, context = np.where(rank < TARGETS, rank, TARGETS + bucket), np.where(rank < CONTEXTS, rank, CONTEXTS + bucket)
