@@ -216,14 +216,15 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     ``examples`` bounds the labelled rows learnt from: those of the smallest hash of their id.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    given = (
+    usable = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc32_mod("doc_id", 4) != 2))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(examples)
     )
+    share = min(1.0, 1.05 * examples / max(usable.count(), 1))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
+    given = usable.filter(place < int(share * (1 << 32))).orderBy(place, "doc_id").limit(examples)  # a little more than ``examples`` rows are sorted
     sample = rows.join(F.broadcast(given), "doc_id")  # at most ``examples`` rows are broadcast
     n, bad = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n:
