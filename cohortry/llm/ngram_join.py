@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, saved, slices
+from .common import discard, largest, saved, slices
 from .graph import components
 from .substring import passing, repeated_cells, sketch_bits
 from .words import mix, window_hashes, word_hashes, word_spans
@@ -307,12 +307,15 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     summaries = saved(_summaries(rows, k), "summaries")
     ours = summaries.filter("n >= 0")
-    often = summaries.filter("n < 0").groupBy("node").agg(F.sum("doc_id").alias("count")).orderBy(F.desc("count"), "node").limit(FREQUENT).toPandas().iloc[::-1]
+    often = summaries.filter("n < 0").groupBy("node").agg(F.sum("doc_id").alias("count"))
+    often = largest(often, "count", FREQUENT).toPandas().sort_values(["count", "node"])
     copied = ours.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("first")).filter("rows > 1").select("node", "first")
     copied = copied.toPandas().sort_values("node") if copied.count() <= MOST_COPIES else pd.DataFrame({"node": [], "first": []}, dtype="int64")
     ranks, counts = often["node"].to_numpy(np.int64).view(np.uint64), often["count"].to_numpy(np.int64)
     expected = (ours.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
-    lists = saved(_shared_lists(_postings(rows, ranks, counts, copied, expected, k, percent)), "lists")
+    postings = saved(_postings(rows, ranks, counts, copied, expected, k, percent), "postings")
+    lists = saved(_shared_lists(postings), "lists")
+    discard(postings)
     parities = ours.filter("n > 0").groupBy("node").agg(F.first("n").alias("size"), *(F.first(b).alias(b) for b in PARITY))
     shared = lists.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(parities, "node")
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
