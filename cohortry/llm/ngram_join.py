@@ -7,7 +7,7 @@ index lists are kept of these only, each sorted by set size with the shingle's p
 Index level: a count-min sketch drops shingles of one set; in a list only the block of sizes that can match is
 read, positions bound the overlap, and 256 bits of parity bound the difference of two sets.
 Answer level: equal sets are one node. First each list links each node with the one before it and with the
-first, which is linear in its length; what is verified there groups nodes, and nodes of one group need no more comparison for their
+first, and each node's likeliest pair of these is verified, a pair a node at most; what is found groups nodes, and nodes of one group need no more comparison for their
 component. Lists whose nodes lie in one group are then skipped whole; in the others only pairs across
 groups are left, and of these a pair (x, y) falls away if a set r, highly similar to x with its similarity
 known, has a known similarity to y that is too far off: Jaccard distance is a metric. All
@@ -21,6 +21,7 @@ is never the name of a component of others, and alone gives null. Sets are of 64
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,7 @@ from .words import mix, window_hashes, word_hashes, word_spans
 
 FREQUENT, LONG_LIST = 200_000, 5_000
 MOST_COPIES = 1_000_000
+LIKELY_TURNS = 2
 TOP, TRUE, NONE = np.uint64(1 << 63), np.ones(1, bool), np.empty(0, np.uint64)
 PARITY = [f"b{i}" for i in range(4)]
 
@@ -87,10 +89,14 @@ def _parity(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, 4), np.int64)
 
 
-def _may_match(n, m, bits_n: np.ndarray, bits_m: np.ndarray, percent: int) -> np.ndarray:
-    """False where sizes or parities rule the similarity out: each differing bit is a shingle of one set alone."""
+def _differ(bits_n: np.ndarray, bits_m: np.ndarray) -> np.ndarray:
+    """In how many bits two parities differ; for each there is a shingle of one set alone."""
+    return np.bitwise_count((bits_n ^ bits_m).view(np.uint64)).sum(axis=-1, dtype=np.int64)
+
+
+def _may_match(n, m, differ: np.ndarray, percent: int) -> np.ndarray:
+    """False where sizes or differing bits rule the similarity out."""
     total = n.astype(np.int64) + m
-    differ = np.bitwise_count((bits_n ^ bits_m).view(np.uint64)).sum(axis=-1)
     return (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (differ <= total - 2 * -(-percent * total // (100 + percent)))
 
 
@@ -179,12 +185,27 @@ def _arrays(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
     return [*(batch.column(c).to_numpy() for c in names), np.stack([batch.column(b).to_numpy() for b in PARITY], 1)]
 
 
-def _pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.stack([np.minimum(x, y), np.maximum(x, y)], 1)
+PAIRS = "x long, y long, differ long"
+
+
+def _pairs(x: np.ndarray, y: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    return np.stack([np.minimum(x, y), np.maximum(x, y), differ], 1)
+
+
+def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate([np.empty((0, 3), np.int64), *found]), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(3)], names=["x", "y", "differ"])
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Each node's pair of fewest differing bits: at most a pair a node."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("x").alias("u"), F.col("y").alias("v")), F.struct(F.col("y").alias("u"), F.col("x").alias("v")))).alias("e"), "differ").select("e.u", "e.v", "differ")
+    best = ends.groupBy("u").agg(F.min_by("v", F.struct("differ", "v")).alias("v"))
+    return best.select(F.least("u", "v").alias("x"), F.greatest("u", "v").alias("y")).distinct()
 
 
 def _neighbours(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each node with the one before it in each part of a list, and with the part's first.
+    """(x, y, differ) of each node with the one before it in each part of a list, and with the part's first.
 
     Nodes with the most shared shingles come first: what many edited copies were made from has no shingles of its own.
     """
@@ -204,18 +225,18 @@ def _neighbours(lists: DataFrame, percent: int) -> DataFrame:
             i = np.flatnonzero(~new)
             found = []
             for j in (i - 1, heads[i]):
-                good = (node[i] != node[j]) & _may_match(n[i], n[j], bits[i], bits[j], percent)
-                found.append(_pairs(node[i[good]], node[j[good]]))
-            pairs = np.unique(np.concatenate(found), axis=0)
+                differ = _differ(bits[i], bits[j])
+                good = (node[i] != node[j]) & _may_match(n[i], n[j], differ, percent)
+                found.append(_pairs(node[i[good]], node[j[good]], differ[good]))
             head, last = ([x[at] for x in columns] for at in (heads[-1], len(token) - 1))
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["x", "y"])
+            yield _pair_batch(found)
 
     ordered = lists.select("token", "part", "node", "n", *PARITY, "own").repartition("token", "part").sortWithinPartitions("token", "part", "own", "n", "node")
-    return ordered.mapInArrow(run, "x long, y long").distinct()
+    return ordered.mapInArrow(run, PAIRS).distinct()
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of nodes of different groups in a list that sizes, positions and parities leave."""
+    """(x, y, differ) of all nodes of different groups in a list that sizes, positions and parities leave."""
 
     def pairs(node, group, n, at, bits) -> np.ndarray:
         _, inverse, sizes = np.unique(group, return_inverse=True, return_counts=True)
@@ -227,9 +248,10 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
             j = j[(inverse[j] != inverse[i]) & ((inverse[j] == largest) | (j < i)) & np.where(n[j] <= n[i], indexed[j], indexed[i])]
             bound = np.minimum(at[j], at[i]) + np.minimum(n[j] - at[j], n[i] - at[i])
             j = j[bound * (100 + percent) >= percent * (n[j].astype(np.int64) + n[i])]
-            j = j[_may_match(n[j], n[i], bits[j], bits[i], percent)]
-            out.append(_pairs(np.full(len(j), node[i]), node[j]))
-        return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+            differ = _differ(bits[j], bits[i])
+            good = _may_match(n[j], n[i], differ, percent)
+            out.append(_pairs(np.full(good.sum(), node[i]), node[j[good]], differ[good]))
+        return np.concatenate([np.empty((0, 3), np.int64), *out])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, of = [], None
@@ -249,13 +271,12 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
                     got.append(found())
                 of = token[a]
                 held.append([x[a:b] for x in rest])
-            if got and len(all_ := np.unique(np.concatenate(got), axis=0)):
-                yield pa.RecordBatch.from_arrays([pa.array(all_[:, 0]), pa.array(all_[:, 1])], names=["x", "y"])
-        if held and len(all_ := found()):
-            yield pa.RecordBatch.from_arrays([pa.array(all_[:, 0]), pa.array(all_[:, 1])], names=["x", "y"])
+            yield _pair_batch(got)
+        if held:
+            yield _pair_batch([found()])
 
     ordered = lists.select("token", "node", "group", "n", "at", *PARITY).repartition("token").sortWithinPartitions("token", "n", "node")
-    return ordered.mapInArrow(run, "x long, y long").distinct()
+    return ordered.mapInArrow(run, PAIRS).distinct()
 
 
 def _sets_of(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
@@ -301,6 +322,17 @@ def _not_far(pairs: DataFrame, verified: DataFrame, percent: int) -> DataFrame:
     return through.filter(F.col("over").isNull() | (F.abs(F.col("over") - F.col("near")) <= 1 - percent / 100 + 1e-9)).select("x", "y")
 
 
+def union_of(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs whose nodes are in different groups."""
+    of = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    both = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left")
+    return both.filter(F.coalesce("of_x", "x") != F.coalesce("of_y", "y")).select("x", "y", "differ")
+
+
 def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -320,19 +352,22 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     shared = lists.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(parities, "node")
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
     nodes = saved(shared.select("node", (length - F.col("shared")).cast("long").alias("own"), *PARITY), "nodes")
-    near = saved(_neighbours(lists.join(nodes, "node"), percent), "near")
-    first = _verified(rows, near, k)
-    groups = components(_linked(first, percent))
+    near = saved(_likeliest(_neighbours(lists.join(nodes, "node"), percent)), "near")
+    checked = [_verified(rows, near, k)]
+    groups = components(_linked(checked[0], percent))
     grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"), *PARITY)
     open_ = lists.join(grouped.select("node", "group"), "node").groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("token")
-    left = _across(lists.join(open_, "token", "left_semi").join(grouped, "node"), percent)
-    left = saved(_not_far(left.join(first.select("x", "y"), ["x", "y"], "left_anti"), first, percent), "across")
-    if left.take(1):
-        second = _verified(rows, left, k)
-        groups = components(_linked(first, percent).unionByName(_linked(second, percent)))
-        discard(second)
+    left = saved(_across(lists.join(open_, "token", "left_semi").join(grouped, "node"), percent), "across")
+    for turn in range(LIKELY_TURNS + 1):  # first each node's likeliest pair, which leaves few pairs across groups; at last all
+        known = union_of(checked)
+        open_pairs = _apart(left.join(known.select("x", "y"), ["x", "y"], "left_anti"), groups)
+        todo = saved(_likeliest(open_pairs) if turn < LIKELY_TURNS else _not_far(open_pairs.select("x", "y"), known, percent), "todo")
+        if todo.take(1):
+            checked.append(_verified(rows, todo, k))
+            groups = components(_linked(union_of(checked), percent))
+        discard(todo)
     groups = saved(groups, "groups")
-    discard(lists, nodes, near, first, left)
+    discard(lists, nodes, near, left, *checked)
     named = ours.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     smallest = named.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
     return named.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))

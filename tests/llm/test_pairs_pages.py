@@ -72,7 +72,7 @@ def test_parity_never_rules_out_a_match():
         n, m = np.array([len(x)]), np.array([len(both) - len(x)])
         inter = len(set(x.tolist()) & set(y.tolist()))
         if 100 * inter >= 85 * (n[0] + m[0] - inter):
-            assert ngram_join._may_match(n, m, bits[:1], bits[1:], 85)[0]
+            assert ngram_join._may_match(n, m, ngram_join._differ(bits[:1], bits[1:]), 85)[0]
 
 
 def test_embeddings_against_brute_force(spark):
