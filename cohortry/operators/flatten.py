@@ -13,7 +13,7 @@ from .filters import export_configured
 ATTACHMENT_TYPES = ("attachment_blob", "attachment_csv", "attachment_json_blob", "attachment_json_table", "attachment_v2")
 METADATA_FIELDS = ("deviceInfo", "startDate", "endDate")
 COMMON_COLUMNS = ("recordId", "studyIds", "assessmentGuid", "createdOn", "isTestData", "clientInfo", "healthCode", "participantVersion", "userAgent", "phoneInfo", "dataGroups")
-ROSTER_EXCLUDED = ("synapseUserId", "orgMembership", "type")
+ROSTER_EXCLUDED = ("orgMembership", "type")
 NO_ASSESSMENT_APPS = ("arc", "inv-arc")
 CONTAINER_ASSESSMENT = "container"
 
@@ -119,11 +119,11 @@ def study_table_rows(rows: DataFrame, fanout: DataFrame, studies: DataFrame) ->
     return rows.join(targets, "record_id")
 
 
-def flatten_roster(participants: DataFrame) -> DataFrame:
-    """Every field as text: objects as JSON, arrays and missing values empty."""
+def flatten_roster(participants: DataFrame, excluded: tuple[str, ...] = ROSTER_EXCLUDED) -> DataFrame:
+    """Every field but the excluded ones as text: objects as JSON, arrays and missing values empty."""
     out = []
     for f in participants.schema.fields:
-        if f.name in ROSTER_EXCLUDED:
+        if f.name in excluded:
             continue
         if isinstance(f.dataType, T.ArrayType):
             value = F.lit("")

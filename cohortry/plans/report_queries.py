@@ -37,8 +37,8 @@ def demographics_configured(spark, sf_dir):
 
 @query(with_views("studies", "select study_id from studies where project_id is not null and team_id is not null and study_id like '%1%'"))
 def tabulation_configured(spark, sf_dir):
-    apps = view(spark, sf_dir, "studies").withColumn("providers", F.when(F.contains("study_id", F.lit("1")), F.create_map(F.lit("fitbit"), F.lit("x"))).otherwise(F.create_map(F.lit("other"), F.lit("x"))))
-    return P.tabulation_configured(apps, "fitbit").select("study_id")
+    apps = view(spark, sf_dir, "studies").withColumn("providers", F.when(F.contains("study_id", F.lit("1")), F.create_map(F.lit("wearable"), F.lit("x"))).otherwise(F.create_map(F.lit("other"), F.lit("x"))))
+    return P.tabulation_configured(apps, "wearable").select("study_id")
 
 
 @query(with_views("studies", "select app_id, study_id from studies where app_id in ('app1', 'app3')"))
