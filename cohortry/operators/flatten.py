@@ -28,13 +28,14 @@ def tabulate_json(payloads: DataFrame, schema: DataFrame) -> DataFrame:
     tables = keys.join(schema.select("endpoint_id", "table_key").distinct(), ["endpoint_id", "table_key"], "left_semi")
     rows = tables.withColumn("row", F.when(F.startswith("raw", F.lit("[")), F.from_json("raw", "array<string>")).when(F.startswith("raw", F.lit("{")), F.array("raw")))
     rows = rows.select("*", F.posexplode("row").alias("row_no", "object")).filter(F.startswith("object", F.lit("{")))
-    cells = rows.select("health_code", "created_date", "endpoint_id", "table_key", "row_no", "object", F.from_json("object", "map<string,variant>").alias("tokens"), F.from_json("object", "map<string,string>").alias("texts"))
+    cells = rows.select("health_code", "created_date", "endpoint_id", "table_key", "row_no", F.explode(F.array(F.struct(F.from_json("object", "map<string,variant>").alias("tokens"), F.from_json("object", "map<string,string>").alias("texts")))).alias("o"))  # parsed once: Spark doesn't copy expressions over an explode
+    cells = cells.select("health_code", "created_date", "endpoint_id", "table_key", "row_no", "o.tokens", "o.texts")
     each = cells.join(schema, ["endpoint_id", "table_key"])
     token = F.to_json(F.try_element_at("tokens", "column_id"))
     raw = F.when(F.startswith(token, F.lit("{")) | F.startswith(token, F.lit("[")), F.try_element_at("texts", "column_id")).otherwise(token)
     kinds = ("BOOLEAN", "DATE", "DOUBLE", "INTEGER", "STRING", "LARGETEXT", "FILEHANDLEID")
     value = F.coalesce(*(F.when(F.col("kind") == k, S.typed_json_value("raw", k)) for k in kinds))
-    typed = each.withColumn("raw", raw).withColumn("value", value).withColumn("value", F.when((F.col("kind") == "STRING") & F.col("max_length").isNotNull(), F.expr("left(value, max_length)")).otherwise(F.col("value")))
+    typed = each.withColumn("raw", F.explode(F.array(raw))).withColumn("value", value).withColumn("value", F.when((F.col("kind") == "STRING") & F.col("max_length").isNotNull(), F.expr("left(value, max_length)")).otherwise(F.col("value")))
     return typed.filter("value is not null").select("health_code", "created_date", F.concat_ws(".", "endpoint_id", "table_key").alias("table_id"), "row_no", "column_id", "kind", "value")
 
 
