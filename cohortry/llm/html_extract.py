@@ -9,8 +9,13 @@ kinds of tags. The result of aligning does not depend on how pages are shared ou
 of their own pages, which are then aligned with each other in two levels.
 
 A host's wrapper tells which of its places hold the article: article elements, else the main element, else the
-place under which most slot text outside links stands. A page's text is what its tokens put into the slots
-there, without menus, forms, adverts, notices, comments and the like.
+place under which most slot text outside links stands. Text that is the same at its place on several pages
+is the host's template: it has no weight in that choice, and a line of nothing else isn't given. Several pages are
+pages whose texts outside menus and the like differ, so copies of a page don't make its text a template, and
+neither does what stands on one page only (an optional part). Where nothing at all differs, constants count as text.
+A page's text is what its tokens put into the slots there, without menus, forms, adverts, notices, comments
+and the like, and without a header outside article and main elements. Names never rule out html, body and main
+elements; an article element with the name of, say, a comment is only read if most of the host's text stands in such.
 
 Defined results: a null, empty or tagless html gives its bare text or none; a null url is the host ''; pages
 with equal ids are extracted each on its own; a page that lacks its host's places is judged by its own wrapper.
@@ -45,6 +50,8 @@ LISTS = frozenset("ul ol dl table menu dir select".split())
 NOISE_TAGS = frozenset("nav aside footer form button select option textarea script style noscript template iframe object svg canvas dialog menu head title input label".split())
 NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar menu nav navbar navigation breadcrumb breadcrumbs cookie cookies consent notice notices newsletter subscribe share sharing social related recommended popup modal comment comments disqus reply replies masthead pagination pager contentinfo complementary".split())
 PAGE_NOISE = frozenset({"header", "footer"})
+NEVER_NOISE = frozenset({"html", "body", "main", "article"})
+ABOUT = frozenset("no not non has have with without".split())  # no-sidebar: a word on the page's layout, not what the element is
 
 
 class Node:
@@ -56,16 +63,18 @@ class Node:
 
 
 def _node(tag: str, attributes: str) -> Node:
-    noise, names = tag in NOISE_TAGS, []
+    noise, listed, names = tag in NOISE_TAGS, False, []
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         words = value.split()
         if key == "hidden":
             continue
-        noise = noise or any(w in NOISE_WORDS for x in words for w in re.split(r"[-_]+", x)) or any(w in PAGE_NOISE for w in words) and tag != "article"
+        parts = [re.split(r"[-_]+", x) for x in words]
+        listed = listed or any(w in NOISE_WORDS for x in parts if x[0] not in ABOUT for w in x) or any(w in PAGE_NOISE for w in words) and tag != "article"
         if key != "id":
             names += [re.sub(r"\d+", "0", w) for w in words[:3]]
-    return Node(tag, ".".join([tag, *names]) + "!" * noise, noise)
+    noise = noise or listed and tag not in NEVER_NOISE
+    return Node(tag, ".".join([tag, *names]) + ("!" if noise else "?" if listed and tag == "article" else ""), noise)
 
 
 def parse(html: str) -> Node:
@@ -115,27 +124,41 @@ def parse(html: str) -> Node:
     return root
 
 
-# A wrapper's part: [optional, repeated, grouped, text, characters, {label: part}]; ``text`` is the digest of a
-# constant text, "" for a slot and None for an element; ``grouped``: its children come in any order, again and again.
-OPTIONAL, REPEATED, GROUPED, TEXT, CHARS, PARTS = range(6)
+# A wrapper's part: [optional, repeated, grouped, text, characters, {label: part}, pages]; ``text`` is the digest of
+# all texts at this place if no page has others, "" for a slot and None for an element; ``grouped``: its children come in any order, again and again;
+# ``pages``: of a constant, the digests of the pages that hold it, the two smallest ones at most.
+OPTIONAL, REPEATED, GROUPED, TEXT, CHARS, PARTS, PAGES = range(7)
 
 
-def _leaf(text: str) -> list:
-    return [False, False, False, hashlib.md5(text.encode("utf-8", "replace")).hexdigest(), len(text), {}]
+def _leaf(text: str, page: str) -> list:
+    return [False, False, False, hashlib.md5(text.encode("utf-8", "replace")).hexdigest(), len(text), {}, [page]]
 
 
-def wrapper_of(node: Node) -> list:
+def _page_digest(node: Node) -> str:
+    """Of the page's text outside noise."""
+    digest, stack = hashlib.md5(), [node]
+    while stack:
+        for child in stack.pop().children:
+            if isinstance(child, str):
+                digest.update((" ".join(child.split()) + "\n").encode("utf-8", "replace"))
+            elif not child.noise:
+                stack.append(child)
+    return digest.hexdigest()[:16]
+
+
+def wrapper_of(node: Node, page: str | None = None) -> list:
     """The wrapper of one page."""
-    out: list = [False, False, False, None, 0, {}]
+    page = page or _page_digest(node)
+    out: list = [False, False, False, None, 0, {}, []]
     parts, last = out[PARTS], None
     for child in node.children:
         if isinstance(child, str):
             text = " ".join(child.split())
             if not text:
                 continue
-            label, part = "#text", _leaf(text)
+            label, part = "#text", _leaf(text, page)
         else:
-            label, part = child.label, wrapper_of(child)
+            label, part = child.label, wrapper_of(child, page)
         if label in parts:
             parts[label] = align(parts[label], part, again=True)
             parts[label][REPEATED] = True
@@ -148,7 +171,7 @@ def wrapper_of(node: Node) -> list:
 
 
 def align(a: list, b: list, again: bool = False) -> list:
-    """One wrapper of what two match. Inside one page (``again``) copies add up their characters just the same."""
+    """One wrapper of what two match. Inside one page (``again``) the copies' texts are one text of their place."""
     labels = _merged_order(list(a[PARTS]), list(b[PARTS]))
     grouped = a[GROUPED] or b[GROUPED] or labels is None
     parts = {}
@@ -158,8 +181,11 @@ def align(a: list, b: list, again: bool = False) -> list:
             parts[label] = list(x or y)
             parts[label][OPTIONAL] = True
         else:
-            parts[label] = align(x, y)
-    return [a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], grouped, a[TEXT] if a[TEXT] == b[TEXT] else "", a[CHARS] + b[CHARS], parts]
+            parts[label] = align(x, y, again)
+    text = a[TEXT]
+    if text is not None and (again or text != b[TEXT]):
+        text = hashlib.md5((text + b[TEXT]).encode()).hexdigest() if again else ""
+    return [a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], grouped, text, a[CHARS] + b[CHARS], parts, sorted({*a[PAGES], *b[PAGES]})[:2] if text else []]
 
 
 def _merged_order(a: list[str], b: list[str]) -> list[str] | None:
@@ -191,67 +217,113 @@ def expression(part: list, label: str = "") -> str:
     return f"({inner})+" * part[REPEATED] + inner * (not part[REPEATED]) if not part[OPTIONAL] else f"({inner}){'*' if part[REPEATED] else '?'}"
 
 
+def _tag(label: str) -> str:
+    return label.split(".")[0].rstrip("!?")
+
+
 def places(wrapper: list) -> list[list[str]]:
     """Paths of the elements that hold the article."""
-    for is_root in (lambda x: x.split(".")[0] == "article", lambda x: x.split(".")[0] == "main" or "main" in x.split(".")[1:]):
-        found: list[list[str]] = []
+    constants = not _text(wrapper, "", False, links=True, listed=True)
+    every = _text(wrapper, "", constants, links=True, listed=True)
+    clean = lambda x: _tag(x) == "article" and not x.endswith("?")
+    for is_root, least in ((clean, 1), (lambda x: _tag(x) == "article", every / 2), (lambda x: _tag(x) == "main" or "main" in x.split(".")[1:], 1)):
+        found: list[tuple[list[str], int]] = []
         stack = [([], wrapper)]
         while stack:
             path, part = stack.pop()
             for label, p in part[PARTS].items():
                 if label.endswith("!"):
                     continue
-                (found.append([*path, label]) if is_root(label) else stack.append(([*path, label], p)))
-        if found:
-            return sorted(found)
+                if is_root(label):
+                    found.append(([*path, label], _text(p, label.rstrip("?"), constants, links=True)))
+                else:
+                    stack.append(([*path, label], p))
+        if found and sum(n for _, n in found) >= max(least, 1):
+            return sorted(path for path, n in found if n)
     path, part = [], wrapper
     while True:
-        sizes = {label: _slot_text(p, label) for label, p in part[PARTS].items()}
+        sizes = {label: _text(p, label, constants) for label, p in part[PARTS].items()}
         best = max(sizes, key=lambda x: (sizes[x], x), default=None)
-        if best is None or best == "#text" or best.split(".")[0] in ("p", "h1") or sizes[best] < 0.7 * sum(sizes.values()):
+        if best is None or not sizes[best] or best == "#text" or _tag(best) in ("p", "h1") or sizes[best] < 0.7 * sum(sizes.values()):
             return [path]
         path, part = [*path, best], part[PARTS][best]
 
 
-def _slot_text(part: list, label: str) -> int:
-    if label.endswith("!") or label.split(".")[0] in ("a", "header"):
+def _template(part: list) -> bool:
+    """Whether this is a text that is constant over several pages."""
+    return bool(part[TEXT]) and len(part[PAGES]) > 1
+
+
+def _text(part: list, label: str, constants: bool, links: bool = False, listed: bool = False) -> int:
+    """Characters of text that isn't the template's, with ``constants`` also of such; ``listed``: also in articles with a listed name."""
+    if label.endswith("!") or label.endswith("?") and not listed or not links and _tag(label) in ("a", "header"):
         return 0
-    return part[CHARS] if part[TEXT] is not None else sum(_slot_text(p, x) for x, p in part[PARTS].items())
+    if part[TEXT] is not None:
+        return part[CHARS] if constants or not _template(part) else 0
+    return sum(_text(p, x, constants, links, listed) for x, p in part[PARTS].items())
+
+
+def _constants(part: list) -> dict:
+    """The template's texts under a place, as a tree of labels."""
+    out: dict = {}
+    for label, p in part[PARTS].items():
+        if p[TEXT] is not None:
+            if _template(p):
+                out[label] = {}
+        elif not label.endswith("!") and (own := _constants(p)):
+            out[label] = own
+    return out
+
+
+def reading(wrapper: list) -> list:
+    """How the host's pages are read: the path of each place and the template's texts there."""
+    alone = not _text(wrapper, "", False, links=True, listed=True)  # nothing differs: no template to be told
+    out = []
+    for path in places(wrapper):
+        part = wrapper
+        for label in path:
+            part = part[PARTS][label]
+        out.append([path, {} if alone else _constants(part)])
+    return out
 
 
-def slot_texts(page: Node, roots: list[list[str]]) -> list[str] | None:
+def slot_texts(page: Node, roots: list) -> list[str] | None:
     """Blocks that the page's tokens put into the slots under these places; None if it has none of them."""
-    wanted, blocks, line = {tuple(r) for r in roots}, [], []
-    found = False
+    wanted, blocks, line = {tuple(path): template for path, template in roots}, [], []
+    found = slot = False
 
     def flush() -> None:
+        nonlocal slot
         text = " ".join(entities.unescape("".join(line)).split())
-        if text:
+        if text and slot:
             blocks.append(text)
         line.clear()
+        slot = False
 
-    def put(node: Node) -> None:
+    def put(node: Node, template: dict, inside: bool) -> None:
+        nonlocal slot
         for child in node.children:
             if isinstance(child, str):
                 line.append(child)
-            elif child.noise:
+                slot = slot or "#text" not in template and not child.isspace()
+            elif child.noise or child.label.endswith("?") or child.tag == "header" and not inside:
                 if child.tag in BLOCK:
                     flush()
-            elif child.tag in BLOCK:
-                flush()
-                put(child)
-                flush()
             else:
-                if child.tag in ("br", "wbr"):
+                if child.tag in BLOCK:
+                    flush()
+                elif child.tag in ("br", "wbr"):
                     line.append(" " if child.tag == "br" else "")
-                put(child)
+                put(child, template.get(child.label, {}), inside or child.tag in ("article", "main"))
+                if child.tag in BLOCK:
+                    flush()
 
     def walk(node: Node, path: tuple[str, ...]) -> None:
         nonlocal found
         if path in wanted:
             found = True
             flush()
-            put(node)
+            put(node, wanted[path], any(_tag(x) in ("article", "main") or "main" in x.split(".")[1:] for x in path))
             flush()
             return
         for child in node.children:
@@ -262,13 +334,14 @@ def slot_texts(page: Node, roots: list[list[str]]) -> list[str] | None:
     return blocks if found else None
 
 
-def extract(html: str | None, roots: list[list[str]] | None) -> str:
+def extract(html: str | None, roots: list | None) -> str:
+    """``roots``: the host's reading."""
     if not html:
         return ""
     page = parse(html)
     blocks = slot_texts(page, roots) if roots is not None else None
     if blocks is None:
-        blocks = slot_texts(page, places(wrapper_of(page)))
+        blocks = slot_texts(page, reading(wrapper_of(page)))
     return "\n".join(blocks or [])
 
 
@@ -315,7 +388,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     @F.udf("string")
     def chosen(wrapper: str) -> str:
-        return json.dumps(places(json.loads(wrapper)))
+        return json.dumps(reading(json.loads(wrapper)))
 
     hosts = saved(wrappers(pages).select("host", chosen("wrapper").alias("roots")), "wrappers")
     size = hosts.agg(F.sum(F.octet_length("host") + F.octet_length("roots"))).first()[0] or 0

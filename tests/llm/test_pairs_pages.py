@@ -116,6 +116,35 @@ def test_main_texts(spark):
     assert got[50] == ["First long text here\nSecond line"] and got[51] == ["bare <text>"] and got[52] == [""] and sorted(got[53]) == ["", "cut"]
 
 
+def read_by_host(pages):
+    wrapper = None
+    for p in map(html_extract.parse, pages):
+        wrapper = html_extract.wrapper_of(p) if wrapper is None else html_extract.align(wrapper, html_extract.wrapper_of(p))
+    return [html_extract.extract(p, html_extract.reading(wrapper)) for p in pages]
+
+
+def test_constant_text_of_a_host_is_template():
+    inner = lambda i: f'<h1>T{i}</h1><div class="xq">Get our <b>free</b> app today<ul><li>safe</li><li>fast</li></ul></div><p>By <i>writer {i}</i></p>' + ("<blockquote>once</blockquote>" if i == 2 else "")
+    want = [f"T{i}\nBy writer {i}" + "\nonce" * (i == 2) for i in range(4)]
+    pages = [f"<html><body><nav>N{i}</nav><article>{inner(i)}</article></body></html>" for i in (0, 1, 2, 2, 3)]
+    pages[3] = pages[3].replace("N2", "N9")  # the same page with another menu
+    assert read_by_host(pages) == [want[i] for i in (0, 1, 2, 2, 3)]
+    assert read_by_host([pages[2], pages[3]]) == ["T2\nGet our free app today\nsafe\nfast\nBy writer 2\nonce"] * 2  # nothing differs
+    plain = [f'<html><body class="no-sidebar right-sidebar"><header>Site {i}</header><div class="w with-sidebar">{inner(i)}</div><div class="foo">Imprint and so on</div></body></html>' for i in range(4)]
+    assert read_by_host(plain) == want
+    heads = [f"<html><body><header>Site {i}</header><p>a{i} one</p><ul><li>b{i} two</li></ul></body></html>" for i in range(3)]
+    assert read_by_host(heads) == [f"a{i} one\nb{i} two" for i in range(3)]
+
+
+def test_names_alone_never_rule_out_an_article():
+    long = lambda i: f"<h1>T{i}</h1><p>{'long text ' * 9}{i}</p>"
+    text = lambda i: f"T{i}\n{('long text ' * 9)}{i}"
+    assert read_by_host([f'<body class="share"><article class="post related">{long(i)}</article></body>' for i in range(3)]) == [text(i) for i in range(3)]
+    comment = '<article class="comment"><p>well {}</p></article>'
+    assert read_by_host([f'<body><main class="popup">{long(i)}{comment.format(i)}</main></body>' for i in range(3)]) == [text(i) for i in range(3)]
+    assert read_by_host([f"<body><article>{long(i)}{comment.format(i)}</article></body>" for i in range(3)]) == [text(i) for i in range(3)]
+
+
 def test_wrapper_is_union_free_and_order_independent():
     pages = [html_extract.wrapper_of(html_extract.parse(page(i, [f"p{j} {i}" for j in range(i % 4)], "<ul><li>x" if i % 2 else ""))) for i in range(8)]
     one = two = None
