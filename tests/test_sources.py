@@ -26,6 +26,16 @@ def test_archives(spark, tmp_path):
     assert got["many.zip"] == [(None, "too many entries")] and got["large.zip"] == [(None, "entry too large")] and got["broken.zip"][0][0] is None
 
 
+def test_archives_of_the_query_follow_the_rows_and_show_errors(spark, tmp_path):
+    from cohortry.plans.export_queries import expand_archives
+
+    keys = [*range(1, 2601), 2555]  # the archive of 2550 to 2599 holds a name twice
+    spark.createDataFrame([(k, f"ü {k}") for k in keys], "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    got = {r.archive: r.entries for r in expand_archives(spark, str(tmp_path)).collect()}
+    want = {i: sum(k % 20 == i for k in keys if not 2550 <= k < 2600) for i in range(20)}
+    assert got == want | {None: 1}
+
+
 def test_schema_problems(spark, tmp_path):
     column = lambda i, kind, n: {"columnId": i, "columnType": kind, "maxLength": n}
     doc = {"endpoints": [{"endpointId": "e", "scopeName": "s", "url": "u", "tables": [{"tableKey": "t", "columns": [column("a", "STRING", 10), column("b", "STRING", None), column("c", "INTEGER", None), column(None, "INTEGER", None)]}]}]}
