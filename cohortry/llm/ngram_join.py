@@ -110,28 +110,32 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _summaries(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (doc_id, node, n, parity) of all documents, and with n = -1 (count, shingle) of shingles that a task saw in two."""
+    """Rows (doc_id, node, n, parity) of all documents, and with n = -1 (count, shingle) of shingles that a task saw in two.
+
+    A third column ``key`` of the documents is kept.
+    """
+    keyed = docs.columns[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held = ["doc_id", "node", "n", *PARITY], []
+        names, held = ["doc_id", "node", "n", *PARITY, *keyed], []
 
         def repeated() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             found, n = found[n > 1], n[n > 1]
-            return pa.RecordBatch.from_arrays([pa.array(n), pa.array(found.view(np.int64)), pa.array(np.full(len(n), -1)), *(pa.nulls(len(n), pa.int64()) for _ in PARITY)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(n), pa.array(found.view(np.int64)), pa.array(np.full(len(n), -1)), *(pa.nulls(len(n), pa.int64()) for _ in [*PARITY, *keyed])], names=names)
 
         for batch in batches:
             ids = batch.column(0)
             for a, hashes, offsets in shingle_sets(batch.column(1), k):
-                yield pa.RecordBatch.from_arrays([ids.slice(a, len(offsets) - 1), pa.array(_nodes(hashes, offsets)), pa.array(np.diff(offsets)), *(pa.array(x) for x in _parity(hashes, offsets).T.copy())], names=names)
+                yield pa.RecordBatch.from_arrays([ids.slice(a, len(offsets) - 1), pa.array(_nodes(hashes, offsets)), pa.array(np.diff(offsets)), *(pa.array(x) for x in _parity(hashes, offsets).T.copy()), *(batch.column(c).slice(a, len(offsets) - 1) for c in keyed)], names=names)
                 held.append(hashes)
                 if sum(map(len, held)) > 4_000_000:
                     yield repeated()
         if held:
             yield repeated()
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, " + ", ".join(f"{b} long" for b in PARITY))
+    return docs.mapInArrow(run, "doc_id long, node long, n long, " + ", ".join(f"{b} long" for b in [*PARITY, *keyed]))
 
 
 def _postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, copied: pd.DataFrame, expected: int, k: int, percent: int) -> DataFrame:
@@ -333,10 +337,12 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("of_x", "x") != F.coalesce("of_y", "y")).select("x", "y", "differ")
 
 
-def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _grouped(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """The summaries of all rows with the group of each; rows without shingles have no group of their own."""
     summaries = saved(_summaries(rows, k), "summaries")
     ours = summaries.filter("n >= 0")
     often = summaries.filter("n < 0").groupBy("node").agg(F.sum("doc_id").alias("count"))
@@ -368,6 +374,24 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         discard(todo)
     groups = saved(groups, "groups")
     discard(lists, nodes, near, left, *checked)
-    named = ours.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    return ours.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+
+
+def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id."""
+    named = _grouped(_rows(docs), k, percent)
     smallest = named.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
     return named.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def row_key(text: str = "text"):
+    """What tells rows of one id apart."""
+    return F.xxhash64(F.col(text).cast("string"))
+
+
+def not_first(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """(doc_id, key) of the rows that aren't the first of their group by id and key; a null id comes after all others."""
+    named = _grouped(_rows(docs).withColumn("key", row_key()), k, percent).filter("n > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = named.groupBy("group").agg(F.min(place).alias("first"))
+    return named.join(first, "group").filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "key").distinct()

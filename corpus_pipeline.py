@@ -18,13 +18,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles at 0.8 the row with the smallest doc_id, and every row without an id."""
-    joined = ngram_join.join(docs, k=5, percent=80)
-    gone = joined.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").take(1):  # repeated rows
-        none = kept.filter(F.col("doc_id").isNull())
-        kept = kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"]).unionByName(none)
+    """Of each group of documents linked by five-word shingles at 0.8 the first row by doc_id (null last) and text hash, and every other row without words."""
+    gone = ngram_join.not_first(docs, k=5, percent=80)
+    keyed = docs.withColumn("_key", ngram_join.row_key())
+    kept = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["doc_id"]) & (keyed["_key"] == gone["key"]), "left_anti").drop("_key")
+    if docs.groupBy("doc_id").count().filter("count > 1").take(1):  # repeated rows
+        bare = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        kept = kept.filter(~bare).dropDuplicates(["doc_id", "text"]).unionByName(kept.filter(bare))
     return kept
 
 

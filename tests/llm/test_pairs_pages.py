@@ -61,6 +61,17 @@ def test_set_join_against_brute_force(spark):
     assert ngram_join.join(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_near_duplicates_go_by_row(spark):
+    import corpus_pipeline
+
+    base = [[f"{c}{i}" for i in range(80)] for c in "abcd"]
+    near = lambda i, *more: " ".join([*base[i], *more])
+    rows = [(1, near(0)), (2, near(0, "x")), (2, near(1)), (3, near(2)), (3, near(2, "y")), (None, near(3)), (None, near(3, "z")), (None, near(1, "u")), (None, None), (None, None), (4, ""), (3, near(2))]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    got = sorted(((r.doc_id, (r.text or "")[:2]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, "a0"), (2, "b0"), (3, "c0"), (None, "d0"), (None, ""), (None, ""), (4, "")], key=str)
+
+
 def test_parity_never_rules_out_a_match():
     rng = np.random.default_rng(5)
     for _ in range(200):
