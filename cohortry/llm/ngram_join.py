@@ -13,6 +13,9 @@ groups are left, and of these a pair (x, y) falls away if a set r, highly simila
 known, has a known similarity to y that is too far off: Jaccard distance is a metric. All
 others are verified on whole sets.
 
+``join`` gives components only, by these short cuts: links inside a group are not looked for. ``links`` takes none
+of them and gives every link between different sets, and with ``members`` which rows have each set.
+
 Defined results: a null or empty text has an empty set and is its own component; a text with fewer words
 than a shingle has its whole word sequence as one; rows with equal ids or texts are all returned; a null id
 is never the name of a component of others, and alone gives null. Sets are of 64-bit hashes.
@@ -341,8 +344,8 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _grouped(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """The summaries of all rows with the group of each; rows without shingles have no group of their own."""
+def _shared(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The summaries of all rows, the saved lists of two nodes or more, and of each node its size and parity."""
     summaries = saved(_summaries(rows, k), "summaries")
     ours = summaries.filter("n >= 0")
     often = summaries.filter("n < 0").groupBy("node").agg(F.sum("doc_id").alias("count"))
@@ -355,6 +358,12 @@ def _grouped(rows: DataFrame, k: int, percent: int) -> DataFrame:
     lists = saved(_shared_lists(postings), "lists")
     discard(postings)
     parities = ours.filter("n > 0").groupBy("node").agg(F.first("n").alias("size"), *(F.first(b).alias(b) for b in PARITY))
+    return ours, lists, parities
+
+
+def _grouped(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """The summaries of all rows with the group of each; rows without shingles have no group of their own."""
+    ours, lists, parities = _shared(rows, k, percent)
     shared = lists.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(parities, "node")
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
     nodes = saved(shared.select("node", (length - F.col("shared")).cast("long").alias("own"), *PARITY), "nodes")
@@ -395,3 +404,22 @@ def not_first(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     first = named.groupBy("group").agg(F.min(place).alias("first"))
     return named.join(first, "group").filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "key").distinct()
+
+
+def members(docs: DataFrame, k: int = 4) -> DataFrame:
+    """Per row: doc_id, node (0: no shingles)."""
+    return _summaries(_rows(docs), k).filter("n >= 0").select("doc_id", "node")
+
+
+def links(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """Every link between different sets, once: x, y (nodes of ``members``, x < y), both (shared shingles), n, m (sizes).
+
+    All pairs that lists, positions and parities leave are verified, so the work grows with the pairs that are nearly links.
+    """
+    rows = _rows(docs)
+    _, lists, parities = _shared(rows, k, percent)
+    alone = parities.select("node", F.col("node").alias("group"), *PARITY)
+    pairs = saved(_across(lists.join(alone, "node"), percent).select("x", "y").distinct(), "pairs")
+    verified = _verified(rows, pairs, k)
+    discard(lists, pairs)
+    return verified.join(_linked(verified, percent), (F.col("x") == F.col("a")) & (F.col("y") == F.col("b")), "left_semi")

@@ -61,6 +61,25 @@ def test_set_join_against_brute_force(spark):
     assert ngram_join.join(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_every_link_of_the_set_join(spark):
+    rng = random.Random(9)
+    base = [[f"{c}{i}" for i in range(60)] for c in "abc"]
+    texts = []
+    for i in range(60):
+        w = list(base[i % 3])
+        w[57 + rng.randrange(3)] = f"z{rng.randrange(9)}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame([*((i, t, "x") for i, t in enumerate([*texts, texts[0]])), (None, "a b", "x"), (None, None, "x")], SCHEMA)
+    rows = ngram_join.members(docs).collect()
+    of = {r.doc_id: r.node for r in rows if r.doc_id is not None}
+    assert len(rows) == 63 and of[60] == of[0] and sum(r.node == 0 for r in rows) == 1
+    sets = {of[i]: shingles(t) for i, t in enumerate(texts)}
+    want = {(a, b, len(sets[a] & sets[b]), len(sets[a]), len(sets[b])) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    got = [tuple(r) for r in ngram_join.links(docs).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert len(want) > len(sets)  # more links than components need
+
+
 def test_near_duplicates_go_by_row(spark):
     import corpus_pipeline
 
