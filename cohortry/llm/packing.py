@@ -1,11 +1,11 @@
-"""Best-fit packing of tokenised documents into sequences of a fixed size, bulk-synchronously.
+"""Best-fit packing of tokenised documents into sequences of a fixed size, in supersteps over runs.
 
 Documents are range-sorted by length and gaps by size. In a superstep all documents of one
 length look for their successor, the smallest gap that holds them; the k-th document by rank
 takes the k-th such gap, the gaps shrink, and the next smaller length follows. Documents of one
 length are interchangeable, and so are gaps of one size, so the sorted lists are kept as runs: at
 most ``capacity`` lengths and a bounded number of gap runs, whatever the number of documents. The
-supersteps work on these runs; ranks, places and everything else that has a row per document is
+supersteps work on these runs, one after another on the driver, in place of sweeps dealt over tasks; ranks, places and everything else that has a row per document is
 computed by Spark.
 
 Defined results: a null text is an empty document with only the end id; repeated rows are packed
