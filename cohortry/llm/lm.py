@@ -1,15 +1,16 @@
 """A log-bilinear language model, trained in numpy with noise-contrastive estimation.
 
 Two context words, each by its class, predict the class of the next token: with context vectors r and
-target vectors q, s(t | c1, c2) = (r1[c1] + r2[c2]) . q[t] + b[t]. A class is one of the most frequent
+target vectors q, s(t | c1, c2) = (r1[c1] + r2[c2]) . q[t] + b[t]. A target's class is one of the ``TARGETS`` most frequent
 words, the end, or one of ``BUCKETS`` shapes of the other words (last sign, characters outside
-ASCII, last letters); inside a shape a word has its share of the training counts after absolute
+ASCII, last letters); the first context's is one of the ``CONTEXTS`` most frequent words or a shape, the second's always
+a shape. These numbers don't grow with the input. Inside a shape a word has its share of the training counts after absolute
 discounting, and unknown words share what the discount frees. So the probabilities of all known
 tokens and of one unknown word per shape sum to 1 after any context.
 
 Training tables are counts over all training texts: every task adds up its (context, context, target)
-counts, the sums are merged by Spark into shards, and in each round every shard trains a copy of the
-parameters on draws from its counts, with noise from the unigram counts; the driver averages the copies.
+counts and the sums are merged by Spark into shards. One task then trains on all of them, in ``PASSES`` passes with
+the expected noise of the unigram counts; nothing is trained per shard or averaged.
 Scores come from one batched matrix product over all context pairs with exact normalisers.
 
 The counts of the ``HOT`` most frequent words go to every task; a text's other words are joined with the
