@@ -1,16 +1,17 @@
 """Substring dedup: words covered by a window of words that an earlier document holds too.
 
-A count-min sketch stands before the exact grouping. Each task counts its windows in ``ROWS`` rows of
-cells and sends what it saw once and more often; the sketches are added per range of cells, and only
-which cells hold two or more is kept. The sketch overestimates, so a window that occurs twice anywhere
-passes; only windows that pass are sent, by hash, to find the smallest doc_id that holds them, and
-joined with these. A copy of a whole text with a smaller doc_id loses all words that windows cover, so its
-windows stay out of all this, as long as the copies' keys are few enough to be sent to every task. The sketch is at most ``MOST_BITS`` wide in each row; on inputs that fill
-it, more windows pass and the result stays the same.
+Each window has an anchor, the least hash among the runs of half its words that it holds, so that equal windows
+have equal anchors and neighbouring windows mostly share one. Windows in a row with one anchor make a block.
+A count-min sketch stands before the exact grouping: each task counts the anchors of its blocks in ``ROWS`` rows
+of cells, the sketches are added per range of cells, and which cells hold two or more is kept. A window that
+occurs twice has an anchor that is counted twice at least, so none is lost. In the second pass only blocks whose
+anchor passes are grouped, exactly: equal blocks by content find the smallest doc_id that holds them, and only where an
+anchor has blocks of different content are the windows of each such content, taken once, compared one by one.
+The sketch is at most ``MOST_BITS`` wide in each row; on inputs that fill it, more blocks pass and the result stays the same.
 
 Defined results: a null or empty text has no words and loses none; texts under ``window`` words lose none; a
 null id counts as the largest; rows with equal ids don't take words from each other, and each keeps its
-own row. Two windows are equal if their 64-bit hashes are.
+own row; very long texts are read whole, and columns of any other name are kept. Two windows are equal if their 64-bit hashes are.
 """
 
 from __future__ import annotations
@@ -19,34 +20,53 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import pack_cells, unpack_cells
-from .common import discard, saved, slices
-from .words import window_hashes, word_hashes, word_spans
+from .common import discard, new_names, saved, slices
+from .words import mix, window_hashes, word_hashes, word_spans
 
 ROWS = 2
 SHARDS = 64
 LEAST_BITS, MOST_BITS = 18, 28
-MOST_COPIES = 2_000_000
+FLUSH = 500_000
 NO_ID = (1 << 63) - 1
+_C = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _windows(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, hash, row from there, word number in the row) of all windows of a slice of rows."""
+def _least(x: np.ndarray, span: int) -> np.ndarray:
+    """The least of each ``span`` consecutive entries."""
+    done = 1
+    while done * 2 <= span:
+        x = np.minimum(x[: len(x) - done], x[done:])
+        done *= 2
+    return np.minimum(x[: len(x) - (span - done)], x[span - done :])
+
+
+def text_blocks(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, window hashes, and of each block its first window among these, row from there, first word number, anchor) of a slice of rows."""
+    half = (size + 1) // 2
+    span = size - half + 1
     for a, _, data, offsets in slices(texts):
         starts, ends, first = word_spans(data, offsets)
         if len(starts) < size:
             continue
-        hashes = window_hashes(word_hashes(data, starts, ends, lower=False), size)
-        row = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(hashes)]
-        at = np.arange(len(hashes))
-        good = np.flatnonzero(at + size <= first[row + 1])
-        row = row[good]
-        yield a, hashes[good], row, good - first[row]
+        runs = window_hashes(word_hashes(data, starts, ends, lower=False), half)
+        n = len(starts) - size + 1
+        row = np.repeat(np.arange(len(first) - 1), np.diff(first))[:n]
+        good = np.flatnonzero(np.arange(n) + size <= first[row + 1])
+        if not len(good):
+            continue
+        row, at = row[good], good - first[row[good]]
+        hashes = mix(runs[:n] * _C + runs[size - half : size - half + n])[good]
+        anchors = mix(_least(runs, span)[good])
+        new = np.ones(len(good), bool)
+        new[1:] = (anchors[1:] != anchors[:-1]) | (row[1:] != row[:-1])
+        here = np.arange(len(good))
+        begin = np.flatnonzero((here - np.maximum.accumulate(np.where(new, here, 0))) % span == 0)  # a periodic text has no block without an end
+        yield a, hashes, begin, row[begin], at[begin], anchors[begin]
 
 
 def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -62,11 +82,6 @@ def passing(hashes: np.ndarray, maps: list[np.ndarray], bits: int) -> np.ndarray
     return hit
 
 
-def _others(batch: pa.RecordBatch, keys: np.ndarray) -> pa.RecordBatch:
-    """Rows (doc_id, key, text) whose key isn't among these."""
-    return batch.filter(pa.array(~np.isin(batch.column(1).to_numpy(), keys))) if len(keys) else batch
-
-
 def repeated_cells(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> list[bytes]:
     """Per row of the merged sketch of all hashes, a bit map of the cells that count two or more."""
     shard_cells = (1 << bits) // SHARDS
@@ -79,7 +94,8 @@ def repeated_cells(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterat
             held.clear()
             for row in range(ROWS):
                 cells = np.sort(_cells(hashes, row, bits))
-                new = np.concatenate([[True], cells[1:] != cells[:-1]])
+                new = np.ones(len(cells), bool)
+                new[1:] = cells[1:] != cells[:-1]
                 more = np.unique(cells[~new])
                 cells = cells[new]
                 edges = np.arange(SHARDS + 1) * shard_cells
@@ -88,11 +104,15 @@ def repeated_cells(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterat
                 blobs = [[pack_cells(x[e[i] : e[i + 1]] - np.uint32(edges[i])) for i in range(SHARDS)] for x, e in ((cells, a), (more, b))]
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], names=["shard", "once", "more"])
 
+        total = 0
         for batch in batches:
             for hashes in hashes_of(batch):
-                held.append(hashes)
-                if sum(map(len, held)) > 2_000_000:
+                if len(hashes):
+                    held.append(hashes)
+                    total += len(hashes)
+                if total > FLUSH:
                     yield from sent()
+                    total = 0
         if held:
             yield from sent()
 
@@ -112,36 +132,28 @@ def repeated_cells(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterat
     return [b"".join(found.get(row * SHARDS + i, bytes(shard_cells // 8)) for i in range(SHARDS)) for row in range(ROWS)]
 
 
-def repeated_windows(rows: DataFrame, size: int, bits: int, copies: np.ndarray) -> DataFrame:
-    """(hash, doc_id, key, at) of each window whose cells all count two or more; ``rows`` has doc_id, key, text, of which keys in ``copies`` stay out."""
-    send = rows.sparkSession.sparkContext.broadcast
-    known = send(copies)
-    shared = send(repeated_cells(rows.select("doc_id", "key", "text"), lambda batch: (h for _, h, *_ in _windows(_others(batch, known.value).column(2), size)), bits))
+def repeated_blocks(rows: DataFrame, size: int, bits: int) -> DataFrame:
+    """(anchor, content, doc_id, key, at, hashes) of each block whose anchor's cells all count two or more; ``rows`` has doc_id, key, text."""
+    shared = rows.sparkSession.sparkContext.broadcast(repeated_cells(rows.select("text"), lambda batch: (x[-1] for x in text_blocks(batch.column(0), size)), bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [np.frombuffer(x, np.uint8) for x in shared.value]
         for batch in batches:
-            batch = _others(batch, known.value)
             ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for a, hashes, row, at in _windows(batch.column(2), size):
-                hit = passing(hashes, maps, bits)
-                hashes, row, at = hashes[hit], row[hit], at[hit]
-                if len(hashes):
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids[a + row]), pa.array(keys[a + row]), pa.array(at.astype(np.int32))], names=["hash", "doc_id", "key", "at"])
-
-    return rows.select("doc_id", "key", "text").mapInArrow(run, "hash long, doc_id long, key long, at int")
-
-
-def later_copies(rows: DataFrame) -> np.ndarray:
-    """Sorted keys of rows whose whole text a row with a smaller doc_id has; none if there are more than MOST_COPIES."""
-    prints = rows.select("doc_id", "key", F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"))
-    firsts = prints.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("a", "b", "first")
-    found = saved(prints.join(firsts, ["a", "b"]).filter("first < doc_id").select("key").distinct(), "copies")
-    if found.count() > MOST_COPIES:
-        return np.empty(0, np.int64)
-    keys = np.sort(found.toPandas()["key"].to_numpy(np.int64))
-    discard(found)
-    return keys
+            for a, hashes, begin, row, at, anchors in text_blocks(batch.column(2), size):
+                hit = passing(anchors, maps, bits)
+                if not len(hit):
+                    continue
+                length = np.diff(begin, append=len(hashes))
+                content = mix(mix(hashes[begin[hit]] * _C + hashes[begin[hit] + length[hit] - 1]) + length[hit].astype(np.uint64))
+                use = np.zeros(len(begin), bool)
+                use[hit] = True
+                offsets = np.concatenate([[0], np.cumsum(length[hit])])
+                windows = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes[np.repeat(use, length)].view(np.int64)))
+                row = a + row[hit]
+                yield pa.RecordBatch.from_arrays([pa.array(anchors[hit].view(np.int64)), pa.array(content.view(np.int64)), pa.array(ids[row]), pa.array(keys[row]), pa.array(at[hit].astype(np.int32)), windows], names=["anchor", "content", "doc_id", "key", "at", "hashes"])
+
+    return rows.select("doc_id", "key", "text").mapInArrow(run, "anchor long, content long, doc_id long, key long, at int, hashes array<long>")
 
 
 def sketch_bits(expected: float) -> int:
@@ -149,45 +161,54 @@ def sketch_bits(expected: float) -> int:
     return min(max(int(2 * expected).bit_length(), LEAST_BITS), MOST_BITS)
 
 
-def _bits(rows: DataFrame) -> int:
-    """For one window for each six bytes of text."""
-    return sketch_bits((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 6)
+def _bits(rows: DataFrame, size: int) -> int:
+    """For one word for each six bytes of text, and two anchors in each ``size - size/2 + 2`` words."""
+    return sketch_bits((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / (3 * (size - (size + 1) // 2 + 2)))
 
 
 def removals(rows: DataFrame, size: int) -> DataFrame:
-    """(key, starts): the windows of a row that start in a document with a smaller doc_id, by word number; -1 stands for all words of a copy."""
-    copies = later_copies(rows)
-    windows = saved(repeated_windows(rows, size, _bits(rows), copies), "windows")
-    firsts = windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("hash", "first")
-    firsts = saved(firsts, "firsts")  # so that Spark can split the join's largest partitions
-    found = saved(windows.join(firsts, "hash").filter("first < doc_id").groupBy("key").agg(F.collect_set("at").alias("starts")), "starts")
-    discard(windows, firsts)
-    whole = rows.sparkSession.createDataFrame(pd.DataFrame({"key": copies}), "key long")
-    return found.unionByName(whole.select("key", F.array(F.lit(-1)).alias("starts")))
-
-
-def _kept(data: bytes | None, starts: list[int] | None, size: int) -> tuple[int, list[bytes]]:
+    """(key, spans): the runs of windows (at, n) of a row that start in a document with a smaller doc_id, by word number."""
+    blocks = saved(repeated_blocks(rows, size, _bits(rows, size)), "blocks")
+    of = ["anchor", "content"]
+    # of each content the first document; contents of one anchor that differ are compared window by window
+    firsts = saved(blocks.groupBy(*of).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "firsts")
+    mixed = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("low"), F.max("first").alias("high")).filter("n > 1 and low < high").select("anchor")
+    contents = firsts.join(mixed, "anchor", "left_semi")
+    holders = blocks.join(contents.select(*of, F.col("first").alias("doc_id")), [*of, "doc_id"]).groupBy(*of, "doc_id").agg(F.first("hashes").alias("hashes"))
+    windows = saved(holders.select(*of, F.col("doc_id").alias("first"), F.posexplode("hashes").alias("i", "hash")), "windows")
+    earlier = saved(windows.groupBy("hash").agg(F.min("first").alias("low"), F.max("first").alias("high")).filter("low < high").select("hash", "low"), "earlier")  # so that Spark can split the join's largest partitions
+    parts = windows.join(earlier, "hash").filter("low < first").groupBy(*of).agg(F.collect_set("i").alias("also"))  # at most size - size/2 + 1 a block
+    wanted = saved(firsts.join(parts, of, "left").filter("first < last or also is not null").select(*of, "first", "also"), "wanted")
+    whole = F.array(F.struct(F.col("at"), F.size("hashes").alias("n")))
+    single = F.transform(F.coalesce("also", F.array().cast("array<int>")), lambda i: F.struct((F.col("at") + i).alias("at"), F.lit(1).alias("n")))
+    spans = blocks.join(wanted, of).select("key", F.explode(F.when(F.col("first") < F.col("doc_id"), whole).otherwise(single)).alias("span"))
+    found = saved(spans.groupBy("key").agg(F.collect_list("span").alias("spans")), "spans")
+    discard(blocks, firsts, windows, earlier, wanted)
+    return found
+
+
+def _kept(data: bytes | None, spans: list[dict] | None, size: int) -> tuple[int, list[bytes]]:
     words = data.split() if data else []
-    if not starts or len(words) < size:
+    if not spans or len(words) < size:
         return len(words), words
-    if starts[0] < 0:
-        return len(words), []
     cover = np.zeros(len(words) + 1, np.int32)
-    np.add.at(cover, np.array(starts), 1)
-    np.add.at(cover, np.array(starts) + size, -1)
+    at, n = (np.array([s[c] for s in spans]) for c in ("at", "n"))
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + n + size - 1, -1)
     keep = np.flatnonzero(np.cumsum(cover[:-1]) == 0)
     return len(words), [words[i] for i in keep.tolist()]
 
 
-def _with_removals(docs: DataFrame, size: int) -> DataFrame:
-    """All columns of ``docs`` and ``_starts``."""
+def _with_removals(docs: DataFrame, size: int, spans: str) -> DataFrame:
+    """All columns of ``docs`` and one named ``spans``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     ids = docs.select(doc_id.alias("doc_id")).groupBy("doc_id").count().filter("count > 1")
     key = F.xxhash64(doc_id, text) if ids.take(1) else doc_id  # an id is the shorter key
     rows = docs.select(doc_id.alias("doc_id"), key.alias("key"), text.alias("text"))
-    found = removals(rows, size).select(F.col("key").alias("_key"), F.col("starts").alias("_starts"))
-    return docs.withColumn("_key", key).join(found, "_key", "left").drop("_key")
+    (own,) = new_names([*docs.columns, spans], "key")
+    found = removals(rows, size).select(F.col("key").alias(own), F.col("spans").alias(spans))
+    return docs.withColumn(own, key).join(found, own, "left").drop(own)
 
 
 def digests(docs: DataFrame, size: int = 50) -> DataFrame:
@@ -196,28 +217,29 @@ def digests(docs: DataFrame, size: int = 50) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, sha = [], [], []
-            for data, starts in zip(batch.column(1).cast(pa.large_binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                n, kept = _kept(data, starts, size)
+            for data, spans in zip(batch.column(1).cast(pa.large_binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                n, kept = _kept(data, spans, size)
                 n_words.append(n)
                 n_removed.append(n - len(kept))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return _with_removals(docs.select("doc_id", "text"), size).select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "_starts").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _with_removals(docs.select("doc_id", "text"), size, "spans").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     """The same rows and columns; a text that loses words becomes its kept words joined by one space, others stay as they are."""
     names = docs.columns
+    (spans,) = new_names(names, "spans")
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns, texts = batch.columns[:-1], batch.column(at).to_pylist()
             lengths = columns[chars].to_pylist() if chars is not None else []
-            for i, starts in enumerate(batch.columns[-1].to_pylist()):
-                if starts and len(texts[i].encode().split()) >= size:
-                    texts[i] = b" ".join(_kept(texts[i].encode(), starts, size)[1]).decode()
+            for i, own in enumerate(batch.columns[-1].to_pylist()):
+                if own:
+                    texts[i] = b" ".join(_kept(texts[i].encode(), own, size)[1]).decode()
                     if chars is not None:
                         lengths[i] = len(texts[i])
             columns[at] = pa.array(texts, columns[at].type)
@@ -225,4 +247,4 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
                 columns[chars] = pa.array(lengths, columns[chars].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return _with_removals(docs, size).select(*names, "_starts").mapInArrow(run, docs.schema)
+    return _with_removals(docs, size, spans).select(*names, spans).mapInArrow(run, docs.schema)

@@ -103,6 +103,35 @@ def test_substring_dedup_against_brute_force(spark):
     assert substring.digests(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_substring_dedup_of_edited_and_periodic_texts(spark):
+    rng = random.Random(11)
+    base = [words_of(rng, 400) for _ in range(4)]
+    rows = []
+    for i in range(80):
+        w = rng.choice(base).split()
+        a = rng.randrange(300)
+        w = w[a : a + rng.randint(40, 400)]
+        for _ in range(rng.choice([0, 1, 2, 5])):
+            w[rng.randrange(len(w))] = rng.choice("xyz")
+        rows.append((rng.randrange(70) if i % 9 else None, " ".join(w), "x"))
+    rows += [(200 + i, "a b " * (60 + i) + "c d e " * 40, "x") for i in range(4)] + [(i, "short text", "x") for i in range(300, 320)] + [(400, "y " * 30_000 + base[0] + " w" * 20_000, "x"), (401, base[0] + " w" * 100, "x")]
+    got = substring.digests(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == sorted(((i, *w) for (i, *_), w in zip(rows, brute_kept(rows, 50))), key=str)
+    for size in (1, 2, 3, 7):
+        got = substring.digests(spark.createDataFrame(rows[:30], SCHEMA), size=size).collect()
+        assert sorted(((r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == sorted(brute_kept(rows[:30], size), key=str)
+
+
+def test_substring_dedup_of_short_null_and_clashing_rows(spark):
+    short = spark.createDataFrame([(i, "ten words of text that no window holds at all" if i else None) for i in range(20)], "doc_id long, text string").coalesce(1)
+    assert all(r.n_removed == 0 for r in substring.digests(short).collect()) and substring.digests(short.filter("doc_id = 0")).count() == 1
+    names = ["key", "_key", "Spans", "at", "n_chars"]
+    long = " ".join(f"w{i}" for i in range(70))
+    docs = spark.createDataFrame([(i, long, *range(5)) for i in range(3)], "doc_id long, text string, " + ", ".join(f"{c} long" for c in names))
+    got = sorted(map(tuple, substring.remove_repeats(docs).collect()))
+    assert got == [(0, long, 0, 1, 2, 3, 4), (1, "", 0, 1, 2, 3, 0), (2, "", 0, 1, 2, 3, 0)] and substring.remove_repeats(docs).columns == docs.columns
+
+
 def test_nearest_by_blocks_is_exact():
     rng = np.random.default_rng(6)
     x = np.where(rng.random((500, 30)) < 0.15, rng.random((500, 30)), 0).astype(np.float32)
