@@ -172,18 +172,18 @@ def removals(rows: DataFrame, size: int) -> DataFrame:
     of = ["anchor", "content"]
     # of each content the first document; contents of one anchor that differ are compared window by window
     firsts = saved(blocks.groupBy(*of).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "firsts")
-    mixed = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("low"), F.max("first").alias("high")).filter("n > 1 and low < high").select("anchor")
+    mixed = saved(firsts.groupBy("anchor").agg(F.min("first").alias("low"), F.max("first").alias("high")).filter("low < high").select("anchor"), "mixed")
     contents = firsts.join(mixed, "anchor", "left_semi")
     holders = blocks.join(contents.select(*of, F.col("first").alias("doc_id")), [*of, "doc_id"]).groupBy(*of, "doc_id").agg(F.first("hashes").alias("hashes"))
     windows = saved(holders.select(*of, F.col("doc_id").alias("first"), F.posexplode("hashes").alias("i", "hash")), "windows")
     earlier = saved(windows.groupBy("hash").agg(F.min("first").alias("low"), F.max("first").alias("high")).filter("low < high").select("hash", "low"), "earlier")  # so that Spark can split the join's largest partitions
     parts = windows.join(earlier, "hash").filter("low < first").groupBy(*of).agg(F.collect_set("i").alias("also"))  # at most size - size/2 + 1 a block
     wanted = saved(firsts.join(parts, of, "left").filter("first < last or also is not null").select(*of, "first", "also"), "wanted")
-    whole = F.array(F.struct(F.col("at"), F.size("hashes").alias("n")))
+    whole = F.array(F.struct("at", "n"))
     single = F.transform(F.coalesce("also", F.array().cast("array<int>")), lambda i: F.struct((F.col("at") + i).alias("at"), F.lit(1).alias("n")))
-    spans = blocks.join(wanted, of).select("key", F.explode(F.when(F.col("first") < F.col("doc_id"), whole).otherwise(single)).alias("span"))
+    spans = blocks.select(*of, "doc_id", "key", "at", F.size("hashes").alias("n")).join(wanted, of).select("key", F.explode(F.when(F.col("first") < F.col("doc_id"), whole).otherwise(single)).alias("span"))
     found = saved(spans.groupBy("key").agg(F.collect_list("span").alias("spans")), "spans")
-    discard(blocks, firsts, windows, earlier, wanted)
+    discard(blocks, firsts, mixed, windows, earlier, wanted)
     return found
 
 
