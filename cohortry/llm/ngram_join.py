@@ -5,20 +5,23 @@ by how often. Two sets of similarity t or more share a shingle among the first |
 index lists are kept of these only, each sorted by set size with the shingle's position.
 
 Index level: a count-min sketch drops shingles of one set; in a list only the block of sizes that can match is
-read, positions bound the overlap, and 256 bits of parity bound the difference of two sets.
+read, positions bound the overlap, and parities bound the difference of two sets: 256 bits in the lists, then
+as many as a set has shingles for the pairs that are left.
 Answer level: equal sets are one node. First each list links each node with the one before it and with the
 first, and each node's likeliest pair of these is verified, a pair a node at most; what is found groups nodes, and nodes of one group need no more comparison for their
 component. Lists whose nodes lie in one group are then skipped whole; in the others only pairs across
 groups are left, and of these a pair (x, y) falls away if a set r, highly similar to x with its similarity
 known, has a known similarity to y that is too far off: Jaccard distance is a metric. All
-others are verified on whole sets.
+others are verified on whole sets. Long lists are dealt into tiles of two parts each. To verify, each text is sent to its pair's
+end of more pairs, whose own text is sent once for each ``PER_TASK`` of them.
 
 ``join`` gives components only, by these short cuts: links inside a group are not looked for. ``links`` takes none
 of them and gives every link between different sets, and with ``members`` which rows have each set.
 
 Defined results: a null or empty text has an empty set and is its own component; a text with fewer words
 than a shingle has its whole word sequence as one; rows with equal ids or texts are all returned; a null id
-is never the name of a component of others, and alone gives null. Sets are of 64-bit hashes.
+is never the name of a component of others, and alone gives null; very long texts are read whole; other columns, whatever their
+names, play no part. Sets are of 63-bit hashes.
 """
 
 from __future__ import annotations
@@ -27,18 +30,17 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, largest, saved, slices
+from .common import discard, largest, new_names, saved, slices
 from .graph import components
 from .substring import passing, repeated_cells, sketch_bits
 from .words import mix, window_hashes, word_hashes, word_spans
 
 FREQUENT, LONG_LIST = 200_000, 5_000
-MOST_COPIES = 1_000_000
+PER_TASK = 256
 LIKELY_TURNS = 2
 TOP, TRUE, NONE = np.uint64(1 << 63), np.ones(1, bool), np.empty(0, np.uint64)
 PARITY = [f"b{i}" for i in range(4)]
@@ -92,6 +94,24 @@ def _parity(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, 4), np.int64)
 
 
+def _wide_parity(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The parity of each row's set in as many bits as its shingles, rounded up to a power of two, 256 at least."""
+    bit, out = mix(hashes), []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        size = 1 << max(8, (b - a - 1).bit_length())
+        odd = np.bincount((bit[a:b] & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+    return pa.array(out, pa.binary())
+
+
+def _wide_differ(one: bytes, two: bytes) -> int:
+    """In how many bits two parities differ, the longer one folded to the length of the shorter."""
+    x, y = (np.frombuffer(b, np.uint64) for b in (one, two))
+    size = min(len(x), len(y))
+    folded = np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) ^ np.bitwise_xor.reduce(y.reshape(-1, size), axis=0)
+    return int(np.bitwise_count(folded).sum())
+
+
 def _differ(bits_n: np.ndarray, bits_m: np.ndarray) -> np.ndarray:
     """In how many bits two parities differ; for each there is a shingle of one set alone."""
     return np.bitwise_count((bits_n ^ bits_m).view(np.uint64)).sum(axis=-1, dtype=np.int64)
@@ -113,39 +133,42 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _summaries(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (doc_id, node, n, parity) of all documents, and with n = -1 (count, shingle) of shingles that a task saw in two.
-
-    A third column ``key`` of the documents is kept.
-    """
-    keyed = docs.columns[2:]
+    """Rows (doc_id, print, node, n, parities) of all documents, and with n = -1 (count, shingle) of shingles that a task saw in two."""
+    fields = ["doc_id", "print", "node", "n", *PARITY]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held = ["doc_id", "node", "n", *PARITY, *keyed], []
+        names, held = [*fields, "wide"], []
 
         def repeated() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             found, n = found[n > 1], n[n > 1]
-            return pa.RecordBatch.from_arrays([pa.array(n), pa.array(found.view(np.int64)), pa.array(np.full(len(n), -1)), *(pa.nulls(len(n), pa.int64()) for _ in [*PARITY, *keyed])], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(n), pa.nulls(len(n), pa.int64()), pa.array(found.view(np.int64)), pa.array(np.full(len(n), -1)), *(pa.nulls(len(n), pa.int64()) for _ in PARITY), pa.nulls(len(n), pa.binary())], names=names)
 
+        total = 0
         for batch in batches:
-            ids = batch.column(0)
             for a, hashes, offsets in shingle_sets(batch.column(1), k):
-                yield pa.RecordBatch.from_arrays([ids.slice(a, len(offsets) - 1), pa.array(_nodes(hashes, offsets)), pa.array(np.diff(offsets)), *(pa.array(x) for x in _parity(hashes, offsets).T.copy()), *(batch.column(c).slice(a, len(offsets) - 1) for c in keyed)], names=names)
+                n = len(offsets) - 1
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), batch.column(2).slice(a, n), pa.array(_nodes(hashes, offsets)), pa.array(np.diff(offsets)), *(pa.array(x) for x in _parity(hashes, offsets).T.copy()), _wide_parity(hashes, offsets)], names=names)
                 held.append(hashes)
-                if sum(map(len, held)) > 4_000_000:
+                total += len(hashes)
+                if total > 2_000_000:
                     yield repeated()
+                    total = 0
         if held:
             yield repeated()
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, " + ", ".join(f"{b} long" for b in [*PARITY, *keyed]))
+    return docs.select("doc_id", "text", "print").mapInArrow(run, ", ".join(f"{c} long" for c in fields) + ", wide binary")
+
 
+def _postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, copied: tuple[np.ndarray, np.ndarray], expected: int, k: int, percent: int) -> DataFrame:
+    """(token, part, node, n, at) of the first shingles of each node that a count-min sketch saw twice; lists of frequent shingles are dealt into parts.
 
-def _postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, copied: pd.DataFrame, expected: int, k: int, percent: int) -> DataFrame:
-    """(token, part, node, n, at) of the first shingles of each node that a count-min sketch saw twice; lists of frequent shingles are dealt into parts."""
+    ``copied``: nodes that many rows have, ascending, and the one id whose row counts; what more copies there are give the same entries again.
+    """
     order = np.argsort(ranks)
     send = docs.sparkSession.sparkContext.broadcast
-    shared = send((ranks, ranks[order], counts[order], copied["node"].to_numpy(np.int64), copied["first"].to_numpy(np.int64)))
+    shared = send((ranks, ranks[order], counts[order], *copied))
 
     def firsts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         by_rank, _, _, nodes, first = shared.value
@@ -161,7 +184,7 @@ def _postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, copied: pd
             good = np.flatnonzero((place < prefix_length(n, percent)[row]) & use[row])
             yield hashes[good], node[row[good]], n[row[good]], place[good]
 
-    bits = sketch_bits(expected)
+    docs, bits = docs.select("doc_id", "text"), sketch_bits(expected)
     seen = send(repeated_cells(docs, lambda batch: (mix(token) for token, *_ in firsts(batch)), bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,10 +204,10 @@ def _postings(docs: DataFrame, ranks: np.ndarray, counts: np.ndarray, copied: pd
     return docs.mapInArrow(run, "token long, part int, node long, n int, at int")
 
 
-def _shared_lists(lists: DataFrame) -> DataFrame:
-    """Entries of lists that hold two nodes or more."""
-    two = lists.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("token")
-    return lists.join(two, "token", "left_semi")
+def _shared_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries of lists that hold two nodes or more, and the saved table of these lists."""
+    two = saved(lists.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("token"), "shared")
+    return lists.join(two, "token", "left_semi"), two
 
 
 def _arrays(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
@@ -192,16 +215,38 @@ def _arrays(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
     return [*(batch.column(c).to_numpy() for c in names), np.stack([batch.column(b).to_numpy() for b in PARITY], 1)]
 
 
-PAIRS = "x long, y long, differ long"
+PAIRS = "x long, y long, differ long, size long"
 
 
-def _pairs(x: np.ndarray, y: np.ndarray, differ: np.ndarray) -> np.ndarray:
-    return np.stack([np.minimum(x, y), np.maximum(x, y), differ], 1)
+def _pairs(x: np.ndarray, y: np.ndarray, differ: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return np.stack([np.minimum(x, y), np.maximum(x, y), differ, size], 1).astype(np.int64)
 
 
 def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.unique(np.concatenate([np.empty((0, 3), np.int64), *found]), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(3)], names=["x", "y", "differ"])
+    """Each pair once, with its differing bits and the size of the larger set."""
+    pairs = np.concatenate([np.empty((0, 4), np.int64), *found])
+    pairs = pairs[np.lexsort(pairs.T[:2])]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[new, i]) for i in range(4)], names=["x", "y", "differ", "size"])
+
+
+def _narrowed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the parities in full width leave; ``nodes`` has (node, size, wide) and is a saved table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+            differ = np.array([_wide_differ(x, y) for x, y in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True)], np.int64)
+            good = pa.array(_may_match(n, m, differ, percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good), pa.array(differ).filter(good), batch.column(2).filter(good)], names=["x", "y", "differ", "size"])
+
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}"))
+    pairs = saved(pairs, "pairs")
+    large = pairs.filter("size > 256").join(of("x"), "x").join(of("y"), "y").select("x", "y", "size", "n_x", "n_y", "wide_x", "wide_y").mapInArrow(run, PAIRS)
+    out = saved(pairs.filter("size <= 256").unionByName(large), "narrowed")
+    discard(pairs)
+    return out
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
@@ -234,7 +279,7 @@ def _neighbours(lists: DataFrame, percent: int) -> DataFrame:
             for j in (i - 1, heads[i]):
                 differ = _differ(bits[i], bits[j])
                 good = (node[i] != node[j]) & _may_match(n[i], n[j], differ, percent)
-                found.append(_pairs(node[i[good]], node[j[good]], differ[good]))
+                found.append(_pairs(node[i[good]], node[j[good]], differ[good], np.maximum(n[i[good]], n[j[good]])))
             head, last = ([x[at] for x in columns] for at in (heads[-1], len(token) - 1))
             yield _pair_batch(found)
 
@@ -243,75 +288,115 @@ def _neighbours(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """(x, y, differ) of all nodes of different groups in a list that sizes, positions and parities leave."""
+    """(x, y, differ, size) of all nodes of different groups in a list that sizes, positions and parities leave; ``lists`` has the length of each entry's list.
 
-    def pairs(node, group, n, at, bits) -> np.ndarray:
+    A list of more than ``LONG_LIST`` entries is dealt by node into parts, and each two parts meet in a tile of their own.
+    """
+
+    def pairs(mine, two_parts, node, group, n, at, bits) -> Iterator[np.ndarray]:
         _, inverse, sizes = np.unique(group, return_inverse=True, return_counts=True)
-        largest, out = sizes.argmax(), []
+        largest = sizes.argmax()
         indexed = at < index_length(n, percent)
         for i in np.flatnonzero(inverse != largest).tolist():
             a, b = np.searchsorted(n, [-(-int(n[i]) * percent // 100), int(n[i]) * 100 // percent + 1])
             j = np.arange(a, b)
-            j = j[(inverse[j] != inverse[i]) & ((inverse[j] == largest) | (j < i)) & np.where(n[j] <= n[i], indexed[j], indexed[i])]
+            j = j[(inverse[j] != inverse[i]) & ((inverse[j] == largest) | (j < i)) & np.where(n[j] <= n[i], indexed[j], indexed[i]) & ((mine[j] != mine[i]) | ~two_parts)]
             bound = np.minimum(at[j], at[i]) + np.minimum(n[j] - at[j], n[i] - at[i])
             j = j[bound * (100 + percent) >= percent * (n[j].astype(np.int64) + n[i])]
             differ = _differ(bits[j], bits[i])
             good = _may_match(n[j], n[i], differ, percent)
-            out.append(_pairs(np.full(good.sum(), node[i]), node[j[good]], differ[good]))
-        return np.concatenate([np.empty((0, 3), np.int64), *out])
+            if good.any():
+                yield _pairs(np.full(good.sum(), node[i]), node[j[good]], differ[good], np.maximum(n[j[good]], n[i]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, of = [], None
 
-        def found() -> np.ndarray:
-            got = pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        def found() -> Iterator[pa.RecordBatch]:
+            got, total = [], 0
+            mine, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            return got
+            for more in pairs(mine, of[1] != of[2], *rest):
+                got.append(more)
+                total += len(more)
+                if total > 100_000:
+                    yield _pair_batch(got)
+                    got, total = [], 0
+            if got:
+                yield _pair_batch(got)
 
         for batch in batches:
-            token, *rest = _arrays(batch, ["token", "node", "group", "n", "at"])
-            edges, got = [0, *(np.flatnonzero(np.diff(token)) + 1).tolist(), len(token)], []
+            token, low, high, *rest = _arrays(batch, ["token", "low", "high", "part", "node", "group", "n", "at"])
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            edges = [*np.flatnonzero(new).tolist(), len(token)]
             for a, b in zip(edges, edges[1:], strict=False):
-                if a == b:
-                    continue
-                if held and token[a] != of:
-                    got.append(found())
-                of = token[a]
+                tile = (token[a], low[a], high[a])
+                if held and tile != of:
+                    yield from found()
+                of = tile
                 held.append([x[a:b] for x in rest])
-            yield _pair_batch(got)
         if held:
-            yield _pair_batch([found()])
+            yield from found()
 
-    ordered = lists.select("token", "node", "group", "n", "at", *PARITY).repartition("token").sortWithinPartitions("token", "n", "node")
-    return ordered.mapInArrow(run, PAIRS).distinct()
+    parts = F.ceil(F.col("entries") / LONG_LIST).cast("int")
+    dealt = lists.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    ordered = tiles.select("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "group", "n", "at", *PARITY)
+    return ordered.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "n", "node").mapInArrow(run, PAIRS).dropDuplicates(["x", "y"])
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(node, shingles) of the nodes in the pairs."""
+def _texts(rows: DataFrame, ours: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The saved table (node, text) of the nodes in the pairs, one text for each."""
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    of = saved(ours.groupBy("node").agg(F.min("print").alias("print")).join(wanted, "node", "left_semi"), "wanted")
+    bits = sketch_bits(of.count())
+    # a bounded bit map, twice the same hash in each, keeps most other texts from being sent; the join decides
+    shared = rows.sparkSession.sparkContext.broadcast(repeated_cells(of.select("print"), lambda batch: iter([np.repeat(mix(batch.column(0).to_numpy().view(np.uint64)), 2)]), bits))
 
-    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps = [np.frombuffer(x, np.uint8) for x in shared.value]
         for batch in batches:
-            for _, hashes, offsets in shingle_sets(batch.column(1), k):
-                yield pa.RecordBatch.from_arrays([pa.array(_nodes(hashes, offsets)), pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64))).cast(pa.list_(pa.int64()))], names=["node", "shingles"])
+            hit = passing(mix(batch.column(0).to_numpy().view(np.uint64)), maps, bits)
+            if len(hit):
+                yield batch.take(pa.array(hit))
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in every(batches):
-            yield batch.filter(pa.array(np.isin(batch.column(0).to_numpy(), shared.value)))
-
-    if wanted.count() > MOST_COPIES:
-        return docs.mapInArrow(every, "node long, shingles array<long>").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    shared = docs.sparkSession.sparkContext.broadcast(wanted.toPandas()["node"].to_numpy(np.int64))
-    return docs.mapInArrow(listed, "node long, shingles array<long>").dropDuplicates(["node"])
+    some = rows.select("print", "text").mapInArrow(run, "print long, text string").groupBy("print").agg(F.first("text").alias("text"))
+    out = saved(some.join(of, "print").select("node", "text"), "texts")
+    discard(of)
+    return out
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+def _verified(texts: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """The saved table (x, y, both, n, m) of the sizes of the intersection and of the two sets of each pair."""
-    sets = saved(_sets_of(docs, pairs, k), "sets")
-    left = pairs.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("of_x")), "x")
-    whole = left.join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("of_y")), "y")
-    out = saved(whole.select("x", "y", F.size(F.array_intersect("of_x", "of_y")).cast("long").alias("both"), F.size("of_x").cast("long").alias("n"), F.size("of_y").cast("long").alias("m")), "verified")
-    discard(sets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, owner = NONE, None
+        for batch in batches:
+            owners, others = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for a, hashes, offsets in shingle_sets(batch.column(2), k):
+                found = []
+                for i, (s, e) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True), a):
+                    if others[i] is None:
+                        own, owner = hashes[s:e].copy(), owners[i]
+                        continue
+                    assert owner == owners[i]
+                    at = np.minimum(np.searchsorted(own, hashes[s:e]), len(own) - 1)
+                    both, sizes = int(np.count_nonzero(own[at] == hashes[s:e])), (len(own), e - s)
+                    x, y = (owner, others[i]) if owner < others[i] else (others[i], owner)
+                    found.append((x, y, both, *(sizes if x == owner else sizes[::-1])))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["x", "y", "both", "n", "m"])
+
+    degrees = saved(pairs.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "degrees")
+    of = lambda c: degrees.select(F.col("node").alias(c), F.col("degree").alias(f"of_{c}"))
+    first = (F.col("of_x") > F.col("of_y")) | ((F.col("of_x") == F.col("of_y")) & (F.col("x") < F.col("y")))
+    ends = pairs.join(of("x"), "x").join(of("y"), "y").select(F.when(first, F.col("x")).otherwise(F.col("y")).alias("owner"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("other"), F.greatest("of_x", "of_y").alias("degree"))
+    dealt = saved(ends.select("owner", "other", F.pmod(F.xxhash64("other"), F.ceil(F.col("degree") / PER_TASK)).cast("int").alias("salt")), "dealt")
+    others = dealt.join(texts, F.col("other") == F.col("node")).select("owner", "other", "text", "salt")
+    heads = dealt.select("owner", "salt").distinct().join(texts, F.col("owner") == F.col("node")).select("owner", F.lit(None).cast("long").alias("other"), "text", "salt")
+    ordered = others.unionByName(heads).repartition("owner", "salt").sortWithinPartitions("owner", "salt", F.col("other").asc_nulls_first())
+    out = saved(ordered.mapInArrow(run, "x long, y long, both long, n long, m long"), "verified")
+    discard(degrees, dealt)
     return out
 
 
@@ -320,13 +405,15 @@ def _linked(verified: DataFrame, percent: int) -> DataFrame:
 
 
 def _not_far(pairs: DataFrame, verified: DataFrame, percent: int) -> DataFrame:
-    """Pairs without those that a known similarity to a highly similar set rules out."""
+    """The saved table of pairs without those that a known similarity to a highly similar set rules out."""
     far = 1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
     known = verified.select("x", "y", far.alias("far"))
     both = known.unionByName(known.select(F.col("y").alias("x"), F.col("x").alias("y"), "far"))
-    best = both.groupBy("x").agg(F.min_by("y", "far").alias("r"), F.min("far").alias("near"))
+    best = saved(both.groupBy("x").agg(F.min_by("y", "far").alias("r"), F.min("far").alias("near")), "best")  # so that Spark can split the join's largest partitions
     through = pairs.join(best, "x", "left").join(both.select(F.col("x").alias("r"), "y", F.col("far").alias("over")), ["r", "y"], "left")
-    return through.filter(F.col("over").isNull() | (F.abs(F.col("over") - F.col("near")) <= 1 - percent / 100 + 1e-9)).select("x", "y")
+    out = saved(through.filter(F.col("over").isNull() | (F.abs(F.col("over") - F.col("near")) <= 1 - percent / 100 + 1e-9)).select("x", "y"), "todo")
+    discard(best)
+    return out
 
 
 def union_of(frames: list[DataFrame]) -> DataFrame:
@@ -341,56 +428,81 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), row_key().alias("print"))
 
 
 def _shared(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The summaries of all rows, the saved lists of two nodes or more, and of each node its size and parity."""
+    """Saved: the summaries of all rows; the lists of two nodes or more; and of each node its size and parities."""
     summaries = saved(_summaries(rows, k), "summaries")
     ours = summaries.filter("n >= 0")
     often = summaries.filter("n < 0").groupBy("node").agg(F.sum("doc_id").alias("count"))
     often = largest(often, "count", FREQUENT).toPandas().sort_values(["count", "node"])
-    copied = ours.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("first")).filter("rows > 1").select("node", "first")
-    copied = copied.toPandas().sort_values("node") if copied.count() <= MOST_COPIES else pd.DataFrame({"node": [], "first": []}, dtype="int64")
+    copied = ours.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("first")).filter("rows > 1")
+    copied = largest(copied, "rows", FREQUENT).toPandas().sort_values("node")
     ranks, counts = often["node"].to_numpy(np.int64).view(np.uint64), often["count"].to_numpy(np.int64)
     expected = (ours.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
-    postings = saved(_postings(rows, ranks, counts, copied, expected, k, percent), "postings")
-    lists = saved(_shared_lists(postings), "lists")
-    discard(postings)
-    parities = ours.filter("n > 0").groupBy("node").agg(F.first("n").alias("size"), *(F.first(b).alias(b) for b in PARITY))
-    return ours, lists, parities
+    postings = saved(_postings(rows, ranks, counts, (copied["node"].to_numpy(np.int64), copied["first"].to_numpy(np.int64)), expected, k, percent), "postings")
+    lists, two = _shared_lists(postings)
+    lists = saved(lists, "lists")
+    discard(postings, two)
+    nodes = lists.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(ours.groupBy("node").agg(F.first("n").alias("size"), *(F.first(b).alias(b) for b in [*PARITY, "wide"])), "node")
+    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    return summaries, lists, saved(nodes.select("node", "size", (length - F.col("shared")).cast("long").alias("own"), *PARITY, "wide"), "nodes")
 
 
-def _grouped(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """The summaries of all rows with the group of each; rows without shingles have no group of their own."""
-    ours, lists, parities = _shared(rows, k, percent)
-    shared = lists.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(parities, "node")
-    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    nodes = saved(shared.select("node", (length - F.col("shared")).cast("long").alias("own"), *PARITY), "nodes")
-    near = saved(_likeliest(_neighbours(lists.join(nodes, "node"), percent)), "near")
-    checked = [_verified(rows, near, k)]
+def _open_pairs(lists: DataFrame, grouped: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The saved pairs of the lists whose nodes are in two groups or more."""
+    entries = saved(lists.join(grouped.select("node", "group", *PARITY), "node"), "entries")
+    open_ = saved(entries.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("entries")).filter("low < high").select("token", "entries"), "open")
+    out = _narrowed(_across(entries.join(open_, "token"), percent), nodes, percent)
+    discard(entries, open_)
+    return out
+
+
+def _grouped(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The saved summaries of all rows, and the saved table (node, component) of the nodes that are linked."""
+    summaries, lists, nodes = _shared(rows, k, percent)
+    listed = lists.join(nodes.select("node", "own", *PARITY), "node")
+    nearest = _narrowed(_neighbours(listed, percent), nodes, percent)
+    near = saved(_likeliest(nearest), "near")
+    texts = [_texts(rows, summaries.filter("n >= 0"), near)]
+    checked = [_verified(texts[0], near, k)]
     groups = components(_linked(checked[0], percent))
     grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"), *PARITY)
-    open_ = lists.join(grouped.select("node", "group"), "node").groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("token")
-    left = saved(_across(lists.join(open_, "token", "left_semi").join(grouped, "node"), percent), "across")
-    for turn in range(LIKELY_TURNS + 1):  # first each node's likeliest pair, which leaves few pairs across groups; at last all
-        known = union_of(checked)
-        open_pairs = _apart(left.join(known.select("x", "y"), ["x", "y"], "left_anti"), groups)
-        todo = saved(_likeliest(open_pairs) if turn < LIKELY_TURNS else _not_far(open_pairs.select("x", "y"), known, percent), "todo")
-        if todo.take(1):
-            checked.append(_verified(rows, todo, k))
-            groups = components(_linked(union_of(checked), percent))
-        discard(todo)
+    left = _open_pairs(lists, grouped, nodes, percent)
+    some = saved(_apart(left.join(checked[0].select("x", "y"), ["x", "y"], "left_anti"), groups), "apart")
+    if some.take(1):
+        texts.append(_texts(rows, summaries.filter("n >= 0"), some))
+        for turn in range(LIKELY_TURNS + 1):  # first each node's likeliest pair, which leaves few pairs across groups; at last all
+            known = union_of(checked)
+            open_pairs = _apart(some.join(known.select("x", "y"), ["x", "y"], "left_anti"), groups)
+            todo = saved(_likeliest(open_pairs), "todo") if turn < LIKELY_TURNS else _not_far(open_pairs.select("x", "y"), known, percent)
+            more = bool(todo.take(1))
+            if more:
+                checked.append(_verified(texts[1], todo, k))
+                groups = components(_linked(union_of(checked), percent))
+            discard(todo)
+            if not more:
+                break
     groups = saved(groups, "groups")
-    discard(lists, nodes, near, left, *checked)
-    return ours.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    discard(lists, nodes, nearest, near, left, some, *texts, *checked)
+    return summaries, groups
+
+
+def _named(summaries: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with the group of each; rows without shingles have no group of their own."""
+    return summaries.filter("n >= 0").select("doc_id", "print", "node", "n").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
 
 
 def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
-    named = _grouped(_rows(docs), k, percent)
-    smallest = named.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
-    return named.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    summaries, groups = _grouped(_rows(docs), k, percent)
+    named = _named(summaries, groups)
+    smallest = saved(named.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("least")), "smallest")  # so that Spark can split the join's largest partitions
+    out = saved(named.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")), "joined")
+    discard(summaries, groups, smallest)
+    return out
 
 
 def row_key(text: str = "text"):
@@ -399,11 +511,31 @@ def row_key(text: str = "text"):
 
 
 def not_first(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, key) of the rows that aren't the first of their group by id and key; a null id comes after all others."""
-    named = _grouped(_rows(docs).withColumn("key", row_key()), k, percent).filter("n > 0")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    first = named.groupBy("group").agg(F.min(place).alias("first"))
-    return named.join(first, "group").filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "key").distinct()
+    """The saved table (doc_id, print) of the rows that aren't the first of their group by id and print; a null id comes after all others."""
+    summaries, groups = _grouped(_rows(docs), k, percent)
+    named = _named(summaries, groups).filter("n > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")
+    first = saved(named.groupBy("group").agg(F.min(place).alias("first")), "first")
+    out = saved(named.join(first, "group").filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "print").distinct(), "later")
+    discard(summaries, groups, first)
+    return out
+
+
+def first_rows(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """Of each group of linked rows the first by id (null last) and print, and every row without words; all columns.
+
+    Of rows of one id and text the one with the least hash of all columns stays, unless they have neither id nor words.
+    """
+    own, doc_id, whole = new_names(docs.columns, "print", "id_of", "row_of")
+    gone = not_first(docs, k, percent).select(F.col("doc_id").alias(doc_id), F.col("print").alias(own))
+    keyed = docs.withColumn(own, row_key())
+    same_id = F.col("doc_id").cast("long").eqNullSafe(gone[doc_id])
+    kept = keyed.join(gone, same_id & (keyed[own] == gone[own]), "left_anti")
+    if not docs.groupBy("doc_id").count().filter("count > 1").take(1):
+        return kept.select(*docs.columns)
+    bare = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    one = kept.filter(~bare).groupBy("doc_id", own).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias(whole))
+    return one.select(f"{whole}.*").unionByName(kept.filter(bare).select(*docs.columns))
 
 
 def members(docs: DataFrame, k: int = 4) -> DataFrame:
@@ -417,9 +549,9 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     All pairs that lists, positions and parities leave are verified, so the work grows with the pairs that are nearly links.
     """
     rows = _rows(docs)
-    _, lists, parities = _shared(rows, k, percent)
-    alone = parities.select("node", F.col("node").alias("group"), *PARITY)
-    pairs = saved(_across(lists.join(alone, "node"), percent).select("x", "y").distinct(), "pairs")
-    verified = _verified(rows, pairs, k)
-    discard(lists, pairs)
+    summaries, lists, nodes = _shared(rows, k, percent)
+    pairs = _open_pairs(lists, nodes.withColumn("group", F.col("node")), nodes, percent)
+    texts = _texts(rows, summaries.filter("n >= 0"), pairs)
+    verified = _verified(texts, pairs.select("x", "y"), k)
+    discard(summaries, lists, nodes, pairs, texts)
     return verified.join(_linked(verified, percent), (F.col("x") == F.col("a")) & (F.col("y") == F.col("b")), "left_semi")

@@ -80,6 +80,42 @@ def test_every_link_of_the_set_join(spark):
     assert len(want) > len(sets)  # more links than components need
 
 
+def test_set_join_of_tiles_large_sets_and_few_rows(spark, monkeypatch):
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(700)]
+    rows = []
+    for i in range(90):  # sets of several hundred shingles, most pairs under the bound, long lists
+        w = list(common)
+        for a in range(i % 7):
+            w[100 * a : 100 * a + 20] = [f"u{i % 13}_{a}_{j}" for j in range(20)]
+        rows.append((i, " ".join(w[: rng.choice([300, 650, 700])]), "x"))
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 7)
+    monkeypatch.setattr(ngram_join, "PER_TASK", 3)
+    sets = {i: shingles(t) for i, t, _ in rows}
+    near = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    want = roots(near, sets)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()} == want and len(set(want.values())) > 3
+    of = {r.doc_id: r.node for r in ngram_join.members(docs).collect()}
+    assert {(r.x, r.y) for r in ngram_join.links(docs).collect()} == {(min(of[a], of[b]), max(of[a], of[b])) for a, b in near if of[a] != of[b]}
+    few = spark.createDataFrame([(1, None, "x"), (2, "", "x")], SCHEMA).coalesce(1)
+    assert sorted(map(tuple, ngram_join.join(few).collect())) == [(1, 0, 1), (2, 0, 2)]
+    assert [tuple(r) for r in ngram_join.join(docs.filter("doc_id = 1")).collect()] == [(1, len(sets[1]), 1)]
+
+
+def test_near_duplicates_with_clashing_columns(spark):
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(90))
+    names = ["print", "_print", "node", "id_of", "Row_of", "n_chars"]
+    docs = spark.createDataFrame([(1, text, *range(6)), (2, text + " x", *range(6)), (3, text, *range(6)), (7, text[:200], *range(6)), (7, text[:200], *range(1, 7))], "doc_id long, text string, " + ", ".join(f"{c} long" for c in names))
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [1, 7]
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").count() == 0
+    four = spark.createDataFrame([(i, ["a b", None, "", "a b c"][i], "s") for i in range(4)], "doc_id long, text string, source string").repartition(4)
+    assert corpus_pipeline.drop_near_duplicates(spark, four, "").count() == 4
+
+
 def test_near_duplicates_go_by_row(spark):
     import corpus_pipeline
 
