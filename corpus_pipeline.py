@@ -6,7 +6,6 @@ Each stage works on all that its predecessor kept; all but the last return the c
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortry.llm import ngram_join, packing, queries, secret_scan, substring, toxicity
 from cohortry.llm.common import saved, table
@@ -19,13 +18,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by five-word shingles at 0.8 the first row by doc_id (null last) and text hash, and every other row without words."""
-    gone = ngram_join.not_first(docs, k=5, percent=80)
-    keyed = docs.withColumn("_key", ngram_join.row_key())
-    kept = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["doc_id"]) & (keyed["_key"] == gone["key"]), "left_anti").drop("_key")
-    if docs.groupBy("doc_id").count().filter("count > 1").take(1):  # repeated rows
-        bare = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-        kept = kept.filter(~bare).dropDuplicates(["doc_id", "text"]).unionByName(kept.filter(bare))
-    return kept
+    return ngram_join.first_rows(docs, k=5, percent=80)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
