@@ -147,17 +147,15 @@ def blank_fill(m, keys: list[str]) -> Column:
     return F.map_concat(F.map_from_arrays(F.array(*map(F.lit, keys)), F.array(*(F.lit("") for _ in keys))), _c(m))
 
 
-def typed_json_value(raw, kind: str, max_length: int | None = None) -> Column:
-    """A JSON token as text of a column type: the type of the token decides, not its looks.
+# Fixed values.
+KINDS = ("BOOLEAN", "DATE", "DOUBLE", "INTEGER", "STRING", "LARGETEXT", "FILEHANDLEID")
 
-    BOOLEAN takes booleans, DATE texts in ISO-8601 (to epoch milliseconds), DOUBLE and INTEGER numbers
-    (integers are truncated), STRING anything (cut), LARGETEXT the JSON as it stands; any other kind gives null.
-    """
-    raw = _c(raw)
-    token = F.schema_of_variant(F.try_parse_json(raw))
+
+def typed_token(v, token, raw, kind: str) -> Column:
+    """A variant, the name of its type and its JSON as text of a column type; see ``typed_json_value``."""
+    v, token, raw = _c(v), _c(token), _c(raw)
     number = token.isin("BIGINT", "DOUBLE") | F.startswith(token, F.lit("DECIMAL"))
-    text = F.when(token == "STRING", F.try_variant_get(F.try_parse_json(raw), "$", "string"))
-    none = F.lit(None).cast("string")
+    text = F.when(token == "STRING", F.try_variant_get(v, "$", "string"))
     present = token.isNotNull() & (token != "VOID")
     if kind == "BOOLEAN":
         return F.when(token == "BOOLEAN", raw)
@@ -166,12 +164,22 @@ def typed_json_value(raw, kind: str, max_length: int | None = None) -> Column:
     if kind == "DOUBLE":
         return F.when(number, raw)
     if kind == "INTEGER":
-        return F.when(number, F.try_variant_get(F.try_parse_json(raw), "$", "bigint").cast("string"))
+        return F.when(number, F.try_variant_get(v, "$", "bigint").cast("string"))
     if kind == "STRING":
-        value = F.coalesce(text, raw)
-        return F.when(present, F.substring(value, 1, max_length) if max_length else value)
+        return F.when(present, F.coalesce(text, raw))
     if kind == "LARGETEXT":
         return F.when(present, raw)
     if kind == "FILEHANDLEID":
         return F.when(present, F.sha2(raw, 256))
-    return none
+    return F.lit(None).cast("string")
+
+
+def typed_json_value(raw, kind: str, max_length: int | None = None) -> Column:
+    """A JSON token as text of a column type: the type of the token decides, not its looks.
+
+    BOOLEAN takes booleans, DATE texts in ISO-8601 (to epoch milliseconds), DOUBLE and INTEGER numbers
+    (integers are truncated), STRING anything (cut), LARGETEXT the JSON as it stands; any other kind gives null.
+    """
+    v = F.try_parse_json(_c(raw))
+    value = typed_token(v, F.schema_of_variant(v), raw, kind)
+    return F.substring(value, 1, max_length) if kind == "STRING" and max_length else value

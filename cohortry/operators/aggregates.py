@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,11 +89,8 @@ def out_of_compliance(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("weekly_percent") < F.coalesce("threshold", F.lit(0)))
 
 
-def report_frame(metrics: DataFrame, app_column: str, report_suffix: str, start_date: str, scheduler: str = "") -> DataFrame:
-    """(app_id, report_id, date) before the metrics' own columns."""
+def report_frame(metrics: DataFrame, app_column: str, report_suffix: str, start: str, scheduler: str = "") -> DataFrame:
+    """(app_id, report_id, date) before the metrics' own columns; the date is that of the start, an ISO time, in its own zone."""
     rest = [c for c in metrics.columns if c != app_column]
-    return metrics.select(F.col(app_column).alias("app_id"), F.lit(scheduler + report_suffix).alias("report_id"), F.lit(start_date).alias("date"), *rest)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    date = datetime.fromisoformat(start).date().isoformat()
+    return metrics.select(F.col(app_column).alias("app_id"), F.lit(scheduler + report_suffix).alias("report_id"), F.lit(date).alias("date"), *rest)

@@ -18,25 +18,35 @@ NO_ASSESSMENT_APPS = ("arc", "inv-arc")
 CONTAINER_ASSESSMENT = "container"
 
 
-def tabulate_json(payloads: DataFrame, schema: DataFrame) -> DataFrame:
-    """(health_code, created_date, table_id, row_no, column_id, kind, value): typed cells of all tables.
+def table_objects(payloads: DataFrame, schema: DataFrame) -> DataFrame:
+    """(health_code, created_date, endpoint_id, table_key, row_no, object): the objects of the tables that the schema has.
 
-    ``schema`` has (endpoint_id, table_key, column_id, kind, max_length). A top-level array has a row per object, an object
-    one; rows without a value are left out.
+    A top-level array has a row per object, an object one; empty objects are left out.
     """
     keys = payloads.select("health_code", "created_date", "endpoint_id", F.explode(F.from_json("payload", "map<string,string>")).alias("table_key", "raw"))
     tables = keys.join(schema.select("endpoint_id", "table_key").distinct(), ["endpoint_id", "table_key"], "left_semi")
-    rows = tables.withColumn("row", F.when(F.startswith("raw", F.lit("[")), F.from_json("raw", "array<string>")).when(F.startswith("raw", F.lit("{")), F.array("raw")))
-    rows = rows.select("*", F.posexplode("row").alias("row_no", "object")).filter(F.startswith("object", F.lit("{")))
-    cells = rows.select("health_code", "created_date", "endpoint_id", "table_key", "row_no", F.explode(F.array(F.struct(F.from_json("object", "map<string,variant>").alias("tokens"), F.from_json("object", "map<string,string>").alias("texts")))).alias("o"))  # parsed once: Spark doesn't copy expressions over an explode
-    cells = cells.select("health_code", "created_date", "endpoint_id", "table_key", "row_no", "o.tokens", "o.texts")
-    each = cells.join(schema, ["endpoint_id", "table_key"])
-    token = F.to_json(F.try_element_at("tokens", "column_id"))
-    raw = F.when(F.startswith(token, F.lit("{")) | F.startswith(token, F.lit("[")), F.try_element_at("texts", "column_id")).otherwise(token)
-    kinds = ("BOOLEAN", "DATE", "DOUBLE", "INTEGER", "STRING", "LARGETEXT", "FILEHANDLEID")
-    value = F.coalesce(*(F.when(F.col("kind") == k, S.typed_json_value("raw", k)) for k in kinds))
-    typed = each.withColumn("raw", F.explode(F.array(raw))).withColumn("value", value).withColumn("value", F.when((F.col("kind") == "STRING") & F.col("max_length").isNotNull(), F.expr("left(value, max_length)")).otherwise(F.col("value")))
-    return typed.filter("value is not null").select("health_code", "created_date", F.concat_ws(".", "endpoint_id", "table_key").alias("table_id"), "row_no", "column_id", "kind", "value")
+    row = F.when(F.startswith("raw", F.lit("[")), F.from_json("raw", "array<string>")).when(F.startswith("raw", F.lit("{")), F.array("raw"))
+    rows = tables.select("health_code", "created_date", "endpoint_id", "table_key", F.posexplode(row).alias("row_no", "object"))
+    return rows.filter(F.startswith("object", F.lit("{")) & ~F.rlike("object", F.lit(r"^\{\s*\}$")))
+
+
+def tabulate_json(payloads: DataFrame, schema: DataFrame) -> DataFrame:
+    """(health_code, created_date, table_id, row_no, column_id, kind, value): typed cells of all tables.
+
+    ``schema`` has (endpoint_id, table_key, column_id, kind, max_length). Each row also has a cell ``rawData``, the id of its whole
+    JSON; cells without a value and columns that the schema lacks are left out.
+    """
+    rows = table_objects(payloads, schema)
+    known = schema.select("endpoint_id", "table_key", "column_id", "kind", "max_length")
+    cells = rows.select("*", F.explode(F.from_json("object", "map<string,variant>")).alias("column_id", "v")).join(known, ["endpoint_id", "table_key", "column_id"])
+    typed = cells.withColumn("token", F.schema_of_variant("v")).withColumn("text", F.to_json("v"))
+    nested = F.startswith("text", F.lit("{")) | F.startswith("text", F.lit("["))
+    raw = F.when(nested, F.try_element_at(F.from_json("object", "map<string,string>"), "column_id")).otherwise(F.col("text"))  # nested JSON keeps its order of keys
+    value = F.coalesce(*(F.when(F.col("kind") == k, S.typed_token("v", "token", raw, k)) for k in S.KINDS))
+    value = F.when((F.col("kind") == "STRING") & F.col("max_length").isNotNull(), F.left(value, F.col("max_length"))).otherwise(value)
+    table_id = F.concat_ws(".", "endpoint_id", "table_key").alias("table_id")
+    whole = rows.select("health_code", "created_date", table_id, "row_no", F.lit("rawData").alias("column_id"), F.lit("FILEHANDLEID").alias("kind"), F.sha2("object", 256).alias("value"))
+    return typed.select("health_code", "created_date", table_id, "row_no", "column_id", "kind", value.alias("value")).filter("value is not null").unionByName(whole)
 
 
 def extract_attachments(rows: DataFrame, json_columns: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -52,10 +62,11 @@ def wide_upload_rows(rows: DataFrame, metadata_keys: list[str], data_keys: list[
     return rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in common), *(cell("metadata", k).alias(k) for k in sorted(metadata_keys)), *(cell("data", k).alias(k) for k in sorted(data_keys)))
 
 
-def upload_table_row(records: DataFrame, participants: DataFrame, metadata_keys: list[str]) -> DataFrame:
-    """A row per record with an assessment; some apps' records without one get a container's."""
+def upload_table_row(records: DataFrame, uploads: DataFrame, participants: DataFrame, metadata_keys: list[str]) -> DataFrame:
+    """A row per record with an assessment, created when its upload was; some apps' records without one get a container's."""
     guid = F.coalesce("assessment_guid", F.when(F.col("app_id").isin(*NO_ASSESSMENT_APPS), F.lit(CONTAINER_ASSESSMENT)))
-    joined = records.withColumn("assessment_guid", guid).filter("assessment_guid is not null").join(participants.select("user_id", "health_code", "data_groups"), "user_id")
+    some = records.drop("created_ms").withColumn("assessment_guid", guid).filter("assessment_guid is not null").join(uploads.select("record_id", "created_ms"), "record_id")
+    joined = some.join(participants.select("user_id", "health_code", "data_groups"), "user_id")
     return joined.select("record_id", "app_id", "assessment_guid", "created_ms", "health_code", F.coalesce(S.join_sorted_groups("data_groups"), F.lit("")).alias("data_groups"), F.array_contains("data_groups", "test_user").alias("is_test"), S.blank_fill("metadata", metadata_keys).alias("metadata"))
 
 
@@ -104,20 +115,36 @@ def export_annotations(records: DataFrame) -> DataFrame:
     return texts.unionByName(version)
 
 
-def export_manifest(fanout: DataFrame, records: DataFrame) -> DataFrame:
-    """(record_id, n_studies, app_key, study_keys, md5): one notice a record, with its object keys by study."""
+def export_manifest(fanout: DataFrame, records: DataFrame, studies: DataFrame, apps: DataFrame, bucket: str, exported_on: str) -> DataFrame:
+    """(record_id, app_record, study_records): one notice a record, with where its file is at app level and by study.
+
+    ``records`` has (record_id, filename, created_ms, content_md5), the digest of the content in Base64; ``studies`` and ``apps``
+    have (project_id, folder_id) of their exports.
+    """
+    file = records.select("record_id", "filename", "created_ms", S.base64_md5_to_hex("content_md5").alias("md5"))
+    of_study = studies.select("study_id", F.struct("project_id", "folder_id").alias("_of_study")).distinct()
+    of_app = apps.select("app_id", F.struct("project_id", "folder_id").alias("_of_app")).distinct()
+    each = fanout.join(of_study, "study_id", "left").join(of_app, "app_id", "left").join(file, "record_id")
+    place = F.when(F.col("study_id").isNull(), F.col("_of_app")).otherwise(F.col("_of_study"))
     key = S.raw_object_key("app_id", "study_id", F.timestamp_millis("created_ms"), S.upload_filename("record_id", "filename"))
-    each = fanout.join(records.select("record_id", "filename", "created_ms"), "record_id").withColumn("key", key)
-    pairs = F.sort_array(F.collect_list(F.when(F.col("study_id").isNotNull(), F.struct("study_id", "key"))))
-    return each.groupBy("record_id").agg(F.count("study_id").alias("n_studies"), F.max(F.when(F.col("study_id").isNull(), F.col("key"))).alias("app_key"), F.map_from_entries(pairs).alias("study_keys"), F.md5(F.first("filename")).alias("md5"))
+    record = F.struct(place["project_id"].alias("project_id"), place["folder_id"].alias("folder_id"), F.lit(bucket).alias("bucket"), key.alias("key"), "md5", F.lit(exported_on).alias("exported_on"))
+    pairs = F.collect_list(F.when(F.col("study_id").isNotNull(), F.struct("study_id", "record")))
+    grouped = each.select("record_id", "study_id", record.alias("record")).groupBy("record_id")
+    return grouped.agg(F.max(F.when(F.col("study_id").isNull(), F.col("record"))).alias("app_record"), F.map_from_entries(F.sort_array(pairs)).alias("study_records"))
+
 
+def study_table_rows(rows: DataFrame, fanout: DataFrame, studies: DataFrame, participants: DataFrame) -> DataFrame:
+    """A copy of an upload row for each of its studies with an upload table, with that study's external id; only beside an app-level export.
 
-def study_table_rows(rows: DataFrame, fanout: DataFrame, studies: DataFrame) -> DataFrame:
-    """A copy of an upload row for each of its studies with an upload table; only beside an app-level export."""
+    ``rows`` has record_id, user_id and metadata; ``participants`` has external_ids, a map by study.
+    """
     at_app = fanout.filter("study_id is null").select("record_id")
     on = export_configured(studies).filter("upload_table").select("study_id").distinct()
     targets = fanout.filter("study_id is not null").join(at_app, "record_id", "left_semi").join(on, "study_id", "left_semi").select("record_id", "study_id")
-    return rows.join(targets, "record_id")
+    own = participants.select("user_id", F.explode("external_ids").alias("study_id", "_external"))
+    each = rows.join(targets, "record_id").join(own, ["user_id", "study_id"], "left")
+    more = F.create_map(F.lit("externalId"), S.strip_study_suffix("_external", "study_id"))
+    return each.withColumn("metadata", F.when(F.col("_external").isNull(), F.col("metadata")).otherwise(F.map_concat("metadata", more))).drop("_external")
 
 
 def flatten_roster(participants: DataFrame, excluded: tuple[str, ...] = ROSTER_EXCLUDED) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,11 +71,11 @@ def replace_file_handles(rows: DataFrame, summaries: DataFrame, columns: list[st
     """Attachment ids by zip entry names, else by the failure; blanks stay. Of equal ids the last summary counts."""
     text = F.coalesce("zip_entry", "failure", F.lit(UNKNOWN_ERROR))
     last = summaries.filter("file_handle_id is not null").groupBy("file_handle_id").agg(F.max_by(text, "seq").alias("_text"))
-    out = rows
+    out, spread = rows, F.concat(F.lit("\0"), F.xxhash64(*rows.columns).cast("string"))
     for c in columns:
-        out = out.join(last.select(F.col("file_handle_id").alias(c), F.col("_text").alias(f"_{c}")), c, "left")
         blank = F.col(c).isNull() | (F.trim(c) == "")
-        out = out.withColumn(c, F.when(blank, F.col(c)).otherwise(F.coalesce(f"_{c}", F.lit(UNKNOWN_ERROR)))).drop(f"_{c}")
+        keyed = out.withColumn("_key", F.when(blank, spread).otherwise(F.col(c)))  # blanks match nothing, and don't meet in one task
+        out = keyed.join(last.withColumnRenamed("file_handle_id", "_key"), "_key", "left").withColumn(c, F.when(blank, F.col(c)).otherwise(F.coalesce("_text", F.lit(UNKNOWN_ERROR)))).drop("_text", "_key")
     return out.select(*rows.columns)
 
 
@@ -83,6 +85,21 @@ def user_data_extract(requests: DataFrame, participants: DataFrame, data_rows: D
     return data_rows.join(who, "health_code").filter("upload_date between start_date and end_date").drop("start_date", "end_date")
 
 
+def extract_tables(requests: DataFrame, participants: DataFrame, tables: dict[str, DataFrame], whole: dict[str, DataFrame]) -> DataFrame:
+    """(request_id, table_id, kind, row): rows, as JSON, of every mapped table for each request's user and dates, and of the request's app every survey or metadata table whole.
+
+    Mapped tables have health_code and upload_date, the others app_id.
+    """
+    parts = []
+    for name, rows in tables.items():
+        own = user_data_extract(requests, participants, rows)
+        parts.append(own.select("request_id", F.lit(name).alias("table_id"), F.lit("data").alias("kind"), F.to_json(F.struct(*rows.columns)).alias("row")))
+    for name, rows in whole.items():
+        own = rows.join(requests.select("request_id", "app_id"), "app_id")
+        parts.append(own.select("request_id", F.lit(name).alias("table_id"), F.lit("survey").alias("kind"), F.to_json(F.struct(*rows.columns)).alias("row")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def canonical_schemas(schemas: DataFrame, table_map: DataFrame) -> DataFrame:
     """(table_id, schema_id, revision): of the schemas mapped to a table the one of highest revision, ties by id."""
     mapped = schemas.join(table_map, ["app_id", "schema_id", "revision"])

@@ -29,6 +29,8 @@ def _folder(spark, name: str) -> str:
         import uuid
 
         return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{name}-") + "/out"
 
 
@@ -121,9 +123,18 @@ def _extract(spark, sf_dir):
     return J.user_data_extract(*(view(spark, sf_dir, v) for v in ("requests", "participants", "data_rows")))
 
 
-@query(with_views("data_rows participants requests", f"select request_id, record_id, cast(upload_date as varchar) as upload_date from {_EXTRACT}"))
+_TABLES = f"""(select request_id, 'rows' as table_id, 'data' as kind, record_id as key from {_EXTRACT} where foo <> 'N' union all select request_id, 'returns', 'data', record_id from {_EXTRACT} where foo = 'N'
+    union all select request_id, 'metadata', 'survey', threshold from studies s join requests q on q.app_id = s.app_id where threshold is not null)"""
+
+
+def _tables(spark, sf_dir):
+    rows, studies = view(spark, sf_dir, "data_rows"), view(spark, sf_dir, "studies").filter("threshold is not null").select("app_id", "study_id", F.col("threshold").cast("long").alias("record_id"))
+    return J.extract_tables(*(view(spark, sf_dir, v) for v in ("requests", "participants")), {"rows": rows.filter("foo <> 'N'"), "returns": rows.filter("foo = 'N'")}, {"metadata": studies})
+
+
+@query(with_views("data_rows participants requests studies", f"select request_id, table_id, kind, cast(key as bigint) as key from {_TABLES}"))
 def user_data_extract(spark, sf_dir):
-    return _extract(spark, sf_dir).select("request_id", "record_id", F.col("upload_date").cast("string").alias("upload_date"))
+    return _tables(spark, sf_dir).select("request_id", "table_id", "kind", F.get_json_object("row", "$.record_id").cast("long").alias("key"))
 
 
 @query(with_views("data_rows participants requests", f"select request_id, foo as table_id, count(*) as n from {_EXTRACT} group by all"))
@@ -143,13 +154,15 @@ def mask_identifier(spark, sf_dir):
     return L.mask_identifier(view(spark, sf_dir, "data_rows"), "health_code").select("record_id", F.coalesce("health_code", F.lit("")).alias("health_code"), "foo")
 
 
-@query(with_views("data_rows participants requests", f"select r.request_id, coalesce(n_tables, 0) as n_tables, coalesce(n_errors, 0) as n_errors, case when coalesce(n_tables, 0) = 0 then 'no data' when coalesce(n_errors, 0) > 0 then 'with errors' else 'ok' end as status from requests r left join (select request_id, count(distinct foo) as n_tables from {_EXTRACT} group by all) e on e.request_id = r.request_id left join (select request_id, 1 as n_errors from requests where request_id % 4 = 0) f on f.request_id = r.request_id"))
+@query(with_views("data_rows participants requests studies", f"select r.request_id, coalesce(n_tables, 0) as n_tables, coalesce(n_rows, 0) as n_rows, coalesce(n_surveys, 0) as n_surveys, coalesce(n_errors, 0) as n_errors, case when coalesce(n_tables, 0) = 0 then 'no data' when coalesce(n_errors, 0) > 0 then 'with errors' else 'ok' end as status from requests r left join (select request_id, count(distinct table_id) filter (kind = 'data') as n_tables, count(*) as n_rows, count(*) filter (kind = 'survey') as n_surveys from {_TABLES} group by all) e on e.request_id = r.request_id left join (select request_id, 1 as n_errors from requests where request_id % 4 = 0) f on f.request_id = r.request_id"))
 def write_extract_bundle(spark, sf_dir):
-    rows, requests = _extract(spark, sf_dir).withColumnRenamed("foo", "table_id"), view(spark, sf_dir, "requests")
+    requests = view(spark, sf_dir, "requests")
     path = _folder(spark, "bundle")
-    K.write_extract_bundle(rows, path)
-    back = spark.read.option("header", True).csv(path)
-    return K.extract_status(requests, back, requests.filter("request_id % 4 = 0").select("request_id"))
+    K.write_extract_bundle(_tables(spark, sf_dir), requests.filter("request_id % 4 = 0").select("request_id", F.lit("Error downloading survey: no such table").alias("message")), path)
+    data, surveys = (spark.read.option("header", True).option("escape", '"').csv(f"{path}/{kind}") for kind in ("data", "survey"))
+    status = K.extract_status(requests, data, spark.read.text(f"{path}/error.log"))
+    n = data.withColumn("survey", F.lit(0)).unionByName(surveys.withColumn("survey", F.lit(1))).filter("get_json_object(row, '$.record_id') is not null").groupBy("request_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("survey").alias("n_surveys"))
+    return status.join(n, "request_id", "left").select("request_id", "n_tables", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"), F.coalesce("n_surveys", F.lit(0).cast("long")).alias("n_surveys"), "n_errors", "status")
 
 
 @query(with_views("participants", "select user_id, case when email is not null and email_verified then 'email' when phone is not null and phone_verified then 'phone' else 'invalid' end as channel, coalesce(case when email is not null and email_verified then email when phone is not null and phone_verified then phone end, '') as address from participants"))
@@ -194,8 +207,8 @@ def out_of_compliance(spark, sf_dir):
 
 @query(with_views("participants", "select cast(user_id as varchar) as user_id, app_id, '' as roles, coalesce(cast(phone_verified as varchar), '') as phone_verified, coalesce(time_zone, '') as time_zone, '{\"a\":' || cast(user_id as varchar) || '}' as attributes from participants"))
 def flatten_roster(spark, sf_dir):
-    people = view(spark, sf_dir, "participants").select("user_id", "app_id", "roles", "phone_verified", "time_zone", F.create_map(F.lit("a"), "user_id").alias("attributes"), F.lit("x").alias("type"))
-    return L.flatten_roster(people)
+    people = view(spark, sf_dir, "participants").select("user_id", "app_id", "roles", "phone_verified", "time_zone", F.create_map(F.lit("a"), "user_id").alias("attributes"), F.lit("x").alias("type"), F.lit("7").alias("platform_user_id"))
+    return L.flatten_roster(people, (*L.ROSTER_EXCLUDED, "platform_user_id"))
 
 
 @query(with_views("uploads", "select coalesce(case when upload_id % 11 = 0 then 'submission_error' when upload_id % 13 = 0 then 'completion_error' end, lower(status)) as metric, count(*) as n from uploads group by all"))
@@ -244,12 +257,22 @@ def wide_upload_rows(spark, sf_dir):
     return _wide(spark, sf_dir)
 
 
-@query(with_views("upload_rows", f"select *, 'study1-StudyOne-click-FirstClick' as file_name from ({_WIDE})"))
+_CSV = """select 'study1-StudyOne-' || assessment_guid || '-First' || assessment_guid as file_name, cast(record_id as varchar) as recordId, study_id as studyIds, assessment_guid as assessmentGuid, cast(created_ms as varchar) as createdOn, cast(is_test as varchar) as isTestData,
+    'app ' || kind as clientInfo, health_code as healthCode, coalesce(cast(participant_version as varchar), '') as participantVersion, '' as userAgent, 'phone' as phoneInfo, case when kind = 1 then 'a,b' else '' end as dataGroups,
+    case when kind < 2 then 'a' else '' end as A, case kind when 0 then assessment_guid else '' end as B, case kind when 2 then health_code else '' end as C, case kind when 0 then 'x' else '' end as X, case kind when 0 then '' else health_code end as Y from upload_rows where assessment_guid in ('click', 'view')"""
+
+
+@query(with_views("upload_rows", _CSV))
 def write_assessment_csv(spark, sf_dir):
-    path = _folder(spark, "csv")
-    K.write_assessment_csv(_wide(spark, sf_dir).withColumn("file_name", K.assessment_file_name(F.lit("study1"), F.lit("Study One"), F.lit("click"), F.lit("First: Click"))), path)
-    back = spark.read.option("header", True).csv(path)
-    return back.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in back.columns))
+    """Two assessments with all common columns, written and read back."""
+    own = {"recordId": "record_id", "studyIds": "study_id", "assessmentGuid": "assessment_guid", "createdOn": "created_ms", "isTestData": "is_test", "clientInfo": "concat('app ', kind)", "healthCode": "health_code", "participantVersion": "participant_version", "userAgent": "cast(null as string)", "phoneInfo": "'phone'", "dataGroups": "case when kind = 1 then 'a,b' end"}
+    rows = _maps(spark, sf_dir).select(*(F.expr(own[c]).alias(c) for c in L.COMMON_COLUMNS), "metadata", "data")
+    path, guids = _folder(spark, "csv"), ("click", "view")
+    names = {r.g: r.name for r in spark.createDataFrame([(g,) for g in guids], "g string").select("g", K.assessment_file_name("study1", "Study One", "g", F.concat(F.lit("First: "), "g")).alias("name")).collect()}
+    written = K.write_assessment_csv(rows, names, path)
+    sets = [spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in columns)).csv(f"{path}/{name}").withColumn("file_name", F.lit(name)) for name, columns in written.items()]
+    back = sets[0].unionByName(sets[1], allowMissingColumns=True)
+    return back.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in back.columns))
 
 
 @query("select c_custkey as healthCode, cast(c_nationkey as varchar) as n, c_mktsegment as segment from customer")
@@ -280,11 +303,13 @@ def upsert_latest(spark, sf_dir):
     return K.upsert_latest(orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 = 1"), ["o_custkey"], "o_orderkey")
 
 
-@query("select concat('app', cast(user_id % 4 as varchar)) as app_id, concat('study', cast(user_id % 3 as varchar)) as study_id, strftime(timezone('America/Los_Angeles', timezone('UTC', ts)), '%Y-%m-%d') as date, count(*) as n from events group by all")
+@query("select app_id, study_id, date, concat_ws('/', app_id, nullif(study_id, ''), date, cast(event_id as varchar) || '-f ' || event_type) as key from (select *, concat('app', cast(user_id % 4 as varchar)) as app_id, case when user_id % 3 = 0 then '' else concat('study', cast(user_id % 3 as varchar)) end as study_id, strftime(timezone('America/Los_Angeles', timezone('UTC', ts)), '%Y-%m-%d') as date from events)")
 def write_dated_layout(spark, sf_dir):
     e, path = table(spark, sf_dir, "events"), _folder(spark, "dated")
-    K.write_dated_layout(e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("app"), (F.col("user_id") % 4).cast("string")).alias("app_id"), F.concat(F.lit("study"), (F.col("user_id") % 3).cast("string")).alias("study_id")), path, "ts")
-    return spark.read.parquet(path).groupBy("app_id", "study_id", F.col("date").cast("string").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    study = F.when(F.col("user_id") % 3 != 0, F.concat(F.lit("study"), (F.col("user_id") % 3).cast("string")))
+    K.write_dated_layout(e.select(F.col("event_id").alias("upload_id"), F.concat(F.lit("f "), "event_type").alias("filename"), F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("app"), (F.col("user_id") % 4).cast("string")).alias("app_id"), study.alias("study_id")), path, "ts")
+    both = spark.read.parquet(f"{path}/studies").unionByName(spark.read.parquet(f"{path}/apps").withColumn("study_id", F.lit("")))
+    return both.select("app_id", "study_id", F.col("date").cast("string").alias("date"), "key")
 
 
 @query("select coalesce(a.l_suppkey % 50, b.s_suppkey % 50) as dest, coalesce(a.n, 0) as expected, coalesce(b.n, 0) as written, coalesce(a.n, 0) = coalesce(b.n, 0) as matches from (select l_suppkey % 50 as l_suppkey, count(*) as n from lineitem where l_suppkey % 50 <> 7 group by 1) a full join (select l_suppkey % 50 as s_suppkey, count(*) as n from lineitem where l_linenumber < 7 or l_suppkey % 2 = 0 group by 1) b on a.l_suppkey = b.s_suppkey")
@@ -317,24 +342,36 @@ def export_annotations(spark, sf_dir):
 _KEY = "concat_ws('/', f.app_id, f.study_id, strftime(timezone('America/Los_Angeles', timezone('UTC', make_timestamp(created_ms * 1000))), '%Y-%m-%d'), concat(cast(r.record_id as varchar), '-', filename))"
 
 
-@query(with_views("records participants studies", f"select record_id, count(study_id) as n_studies, coalesce(max(case when study_id is null then key end), '') as app_key, coalesce(string_agg(case when study_id is not null then key end, ',' order by study_id), '') as study_keys, md5(any_value(filename)) as md5 from (select f.*, filename, {_KEY} as key from {_FAN} f join records r on r.record_id = f.record_id) group by record_id"))
+_PLACE = "case when f.study_id is null then 'project-' || f.app_id || '|folder-' || f.app_id else coalesce(project_id, '') || '|' || coalesce(view_id, '') end || '|raw-data|' || {key} || '|' || md5(priority) || '|2024-02-01'"
+
+
+@query(with_views("records participants studies", f"select record_id, count(study_id) as n_studies, coalesce(max(case when study_id is null then place end), '') as app_record, coalesce(string_agg(case when study_id is not null then study_id || '=' || place end, ',' order by study_id), '') as study_records from (select f.*, {_PLACE.replace('{key}', _KEY)} as place from {_FAN} f join records r on r.record_id = f.record_id left join (select distinct study_id, project_id, view_id from studies) s on s.study_id = f.study_id) group by record_id"))
 def export_manifest(spark, sf_dir):
-    out = L.export_manifest(_fanout(spark, sf_dir), view(spark, sf_dir, "records"))
-    keys = F.array_join(F.transform(F.array_sort(F.map_entries("study_keys")), lambda e: e["value"]), ",")
-    return out.select("record_id", "n_studies", F.coalesce("app_key", F.lit("")).alias("app_key"), keys.alias("study_keys"), "md5")
+    """One notice a record; the content of a record is its priority's text here."""
+    records = view(spark, sf_dir, "records").withColumn("content_md5", F.base64(F.unhex(F.md5("priority"))))
+    studies = view(spark, sf_dir, "studies").withColumn("folder_id", F.col("view_id"))
+    apps = _apps(spark, sf_dir).select("app_id", F.concat(F.lit("project-"), "app_id").alias("project_id"), F.concat(F.lit("folder-"), "app_id").alias("folder_id"))
+    out = L.export_manifest(_fanout(spark, sf_dir), records, studies, apps, "raw-data", "2024-02-01")
+    text = lambda r: F.concat_ws("|", *(F.coalesce(r[c], F.lit("")) for c in ("project_id", "folder_id", "bucket", "key", "md5", "exported_on")))
+    studies_ = F.transform(F.array_sort(F.map_entries("study_records")), lambda e: F.concat(e["key"], F.lit("="), text(e["value"])))
+    return out.select("record_id", F.size("study_records").cast("long").alias("n_studies"), F.when(F.col("app_record").isNull(), "").otherwise(text(F.col("app_record"))).alias("app_record"), F.array_join(studies_, ",").alias("study_records"))
 
 
-@query(with_views("records participants studies", f"select f.record_id, f.study_id from {_FAN} f where study_id in (select study_id from studies where export_enabled is true and configured is true and upload_table) and exists (select 1 from records r where r.record_id = f.record_id and r.app_id <> 'app3')"))
+@query(with_views("records participants studies", f"select f.record_id, f.study_id, r.priority as device, case when p.study_ids[1] = f.study_id and p.user_id % 2 = 0 then 'ext' || cast(p.user_id as varchar) when p.study_ids[1] = f.study_id then 'plain' else '' end as external_id from {_FAN} f join records r on r.record_id = f.record_id join participants p on p.user_id = r.user_id where study_id in (select study_id from studies where export_enabled is true and configured is true and upload_table) and r.app_id <> 'app3'"))
 def study_table_rows(spark, sf_dir):
     fan = _fanout(spark, sf_dir)
-    return L.study_table_rows(view(spark, sf_dir, "records").select("record_id"), fan, view(spark, sf_dir, "studies")).select("record_id", "study_id")
+    ids = F.expr("map(study_ids[0], if(user_id % 2 = 0, concat('ext', cast(user_id as string), ':', study_ids[0]), 'plain'))")
+    rows = view(spark, sf_dir, "records").select("record_id", "user_id", F.create_map(F.lit("device"), "priority").alias("metadata"))
+    out = L.study_table_rows(rows, fan, view(spark, sf_dir, "studies"), view(spark, sf_dir, "participants").select("user_id", ids.alias("external_ids")))
+    return out.select("record_id", "study_id", F.col("metadata")["device"].alias("device"), F.coalesce(F.try_element_at("metadata", F.lit("externalId")), F.lit("")).alias("external_id"))
 
 
-@query(with_views("records participants", "select record_id, coalesce(g, 'container') as assessment_guid, coalesce(case when len(data_groups) > 0 then array_to_string(list_sort(data_groups), ',') end, '') as data_groups, list_contains(data_groups, 'test_user') as is_test, priority as device, '' as start from (select *, case when record_id % 3 = 0 then 'guid' end as g from records) r join participants p on p.user_id = r.user_id where g is not null or r.app_id = 'app1'"))
+@query(with_views("records participants", "select record_id, r.created_ms + 1000 as created_ms, coalesce(g, 'container') as assessment_guid, coalesce(case when len(data_groups) > 0 then array_to_string(list_sort(data_groups), ',') end, '') as data_groups, list_contains(data_groups, 'test_user') as is_test, priority as device, '' as start from (select *, case when record_id % 3 = 0 then 'guid' end as g from records) r join participants p on p.user_id = r.user_id where g is not null or r.app_id = 'app1'"))
 def upload_table_row(spark, sf_dir):
     r = view(spark, sf_dir, "records").withColumns({"assessment_guid": F.expr("case when record_id % 3 = 0 then 'guid' end"), "app_id": F.when(F.col("app_id") == "app1", "arc").otherwise(F.col("app_id")), "metadata": F.create_map(F.lit("deviceInfo"), "priority")})
-    out = L.upload_table_row(r, view(spark, sf_dir, "participants"), ["deviceInfo", "startDate"])
-    return out.select("record_id", "assessment_guid", "data_groups", "is_test", F.col("metadata")["deviceInfo"].alias("device"), F.col("metadata")["startDate"].alias("start"))
+    uploads = view(spark, sf_dir, "records").select("record_id", (F.col("created_ms") + 1000).alias("created_ms"))
+    out = L.upload_table_row(r, uploads, view(spark, sf_dir, "participants"), ["deviceInfo", "startDate"])
+    return out.select("record_id", "created_ms", "assessment_guid", "data_groups", "is_test", F.col("metadata")["deviceInfo"].alias("device"), F.col("metadata")["startDate"].alias("start"))
 
 
 @query("select event_id, case event_id % 3 when 0 then 'phone' else '' end as device, event_id % 3 < 2 as has_keys from events")
@@ -376,28 +413,33 @@ def unexpected_columns(spark, sf_dir):
 
 
 def _payloads(spark, sf_dir):
-    item = F.to_json(F.collect_list(F.struct(F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("flag"), F.col("l_partkey").alias("part"))))
+    item = F.to_json(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("flag"), F.col("l_partkey").alias("part")))))
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(item.alias("items"))
     orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    text = F.concat(F.lit('{"summary":{"status":"'), "o_orderstatus", F.lit('","customer":'), F.col("o_custkey").cast("string"), F.lit('},"items":'), "items", F.lit(',"extra":1}'))
-    return orders.select(F.concat(F.lit("hc"), F.col("o_custkey").cast("string")).alias("health_code"), F.lit("2024-01-05").alias("created_date"), F.lit("orders").alias("endpoint_id"), text.alias("payload"), "o_orderkey")
+    text = F.concat(F.lit('{"summary":{"status":"'), "o_orderstatus", F.lit('","customer":'), F.col("o_custkey").cast("string"), F.lit(',"odd":true},"items":'), "items", F.lit(',"empty":{},"extra":1,"skip":2,"flat":3}'))
+    return orders.select(F.concat(F.lit("hc"), F.col("o_orderkey").cast("string")).alias("health_code"), F.lit("2024-01-05").alias("created_date"), F.lit("orders").alias("endpoint_id"), text.alias("payload"))
 
 
-SCHEMA = [("orders", "summary", "status", "STRING", 1), ("orders", "summary", "customer", "INTEGER", None), ("orders", "items", "line", "INTEGER", None), ("orders", "items", "flag", "STRING", 10), ("orders", "items", "part", "STRING", 2), ("orders", "items", "missing", "DATE", None)]
+SCHEMA = [("orders", "summary", "status", "STRING", 1), ("orders", "summary", "customer", "INTEGER", None), ("orders", "items", "line", "INTEGER", None), ("orders", "items", "flag", "STRING", 10), ("orders", "items", "part", "STRING", 2), ("orders", "items", "missing", "DATE", None), ("orders", "flat", "x", "INTEGER", None), ("orders", "empty", "x", "INTEGER", None)]
 
 
 def _schema(spark):
     return spark.createDataFrame(SCHEMA, "endpoint_id string, table_key string, column_id string, kind string, max_length int")
 
 
-@query("select table_id, column_id, value, count(*) as n from (select 'orders.summary' as table_id, unnest(['status', 'customer']) as column_id, unnest([left(o_orderstatus, 1), cast(o_custkey as varchar)]) as value from orders where o_orderkey in (select l_orderkey from lineitem) union all select 'orders.items', unnest(['line', 'flag', 'part']), unnest([cast(l_linenumber as varchar), l_returnflag, left(cast(l_partkey as varchar), 2)]) from lineitem join orders on o_orderkey = l_orderkey) group by all")
+_LINES = """select l_orderkey, unnest(['line', 'flag', 'part', 'rawData']) as column_id, row_number() over (partition by l_orderkey order by l_linenumber, l_returnflag, l_partkey) - 1 as row_no, unnest([cast(l_linenumber as varchar), l_returnflag, left(cast(l_partkey as varchar), 2), sha256('{"line":' || l_linenumber || ',"flag":"' || l_returnflag || '","part":' || l_partkey || '}')]) as value from lineitem"""
+
+
+@query(f"""select concat('hc', cast(o_orderkey as varchar)) as health_code, 'orders.summary' as table_id, 0 as row_no, unnest(['status', 'customer', 'rawData']) as column_id, unnest([left(o_orderstatus, 1), cast(o_custkey as varchar), sha256('{{"status":"' || o_orderstatus || '","customer":' || o_custkey || ',"odd":true}}')]) as value from orders where o_orderkey in (select l_orderkey from lineitem)
+    union all select concat('hc', cast(l_orderkey as varchar)), 'orders.items', cast(row_no as int), column_id, value from ({_LINES}) where l_orderkey in (select o_orderkey from orders)""")
 def tabulate_json(spark, sf_dir):
-    return L.tabulate_json(_payloads(spark, sf_dir), _schema(spark)).groupBy("table_id", "column_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    return L.tabulate_json(_payloads(spark, sf_dir), _schema(spark)).select("health_code", "table_id", "row_no", "column_id", "value")
 
 
-@query("select 'orders' as endpoint_id, 'extra' as key, count(*) as n from orders where o_orderkey in (select l_orderkey from lineitem)")
+@query("select 'orders' as endpoint_id, unnest(['extra', 'flat', 'summary']) as table_key, unnest(['', '', 'odd']) as column_id, unnest(['unexpected table', 'neither array nor object', 'unexpected column']) as problem, (select count(*) from orders where o_orderkey in (select l_orderkey from lineitem)) as n")
 def schema_key_audit(spark, sf_dir):
-    return P.schema_key_audit(_payloads(spark, sf_dir), _schema(spark).select("endpoint_id", F.col("table_key").alias("key")).distinct())
+    out = P.schema_key_audit(_payloads(spark, sf_dir), _schema(spark), spark.createDataFrame([("orders", "skip")], "endpoint_id string, table_key string"))
+    return out.withColumn("column_id", F.coalesce("column_id", F.lit("")))
 
 
 @query("select distinct sha256('{\"brand\":\"' || p_brand || '\"}') as file_id, '{\"brand\":\"' || p_brand || '\"}' as content from part")
@@ -421,15 +463,19 @@ def read_id_list(spark, sf_dir):
     return R.read_id_list(spark, path)
 
 
-@query()
+@query("select cast(n_regionkey as varchar) as endpoint_id, 'scope' as scope, n_name as table_key, n_name as column_id, case when n_nationkey % 2 = 0 then 'STRING' else 'INTEGER' end as kind, case when n_nationkey % 4 = 0 then 10 else 0 end as max_length, case when n_nationkey % 4 = 2 then 'text needs a length of 1 to 1000' else '' end as problem from nation union all select '', '', '', '', '', 0, 'not a document of endpoints' from region")
 def load_endpoint_schemas(spark, sf_dir):
-    """Endpoint schemas derived from the nations: a table per nation."""
+    """Endpoint schemas derived from the nations, a table per nation; and a broken document per region."""
     path = _folder(spark, "schemas")
     tables = F.collect_list(F.expr("struct(n_name as tableKey, array(struct(n_name as columnId, if(n_nationkey % 2 = 0, 'STRING', 'INTEGER') as columnType, if(n_nationkey % 4 = 0, 10, cast(null as int)) as maxLength)) as columns)"))
     by_region = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(tables.alias("t"))
-    doc = by_region.agg(F.to_json(F.struct(F.collect_list(F.expr("struct(cast(n_regionkey as string) as endpointId, 'scope' as scopeName, 'http://x' as url, t as tables)")).alias("endpoints"))).alias("value"))
-    doc.write.text(path)
-    return R.load_endpoint_schemas(spark, path)
+    endpoints = F.collect_list(F.expr("struct(cast(n_regionkey as string) as endpointId, 'scope' as scopeName, 'http://x' as url, t as tables)"))
+    doc = by_region.groupBy("n_regionkey").agg(F.to_json(F.struct(endpoints.alias("endpoints"))).alias("value"))
+    bad = table(spark, sf_dir, "region").select("r_regionkey", F.concat(F.lit("no document "), "r_name").alias("value"))
+    every = doc.select((F.col("n_regionkey") * 2).alias("file"), "value").unionByName(bad.select((F.col("r_regionkey") * 2 + 1).alias("file"), "value"))
+    every.repartition("file").write.partitionBy("file").text(path)
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return R.load_endpoint_schemas(spark, path).select(*map(text, ("endpoint_id", "scope", "table_key", "column_id", "kind", "problem")), F.coalesce("max_length", F.lit(0)).alias("max_length"))
 
 
 @query("select s_suppkey, finish_ms, 'done' as tag from (select s_suppkey, 1704067200000 + s_suppkey as finish_ms from supplier where s_suppkey = (select max(s_suppkey) from supplier))")

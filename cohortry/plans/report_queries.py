@@ -116,7 +116,7 @@ def uploads_by_status(spark, sf_dir):
 
 @query(with_views("uploads", f"select app_id, '-daily-upload-report' as report_id, '2024-01-01' as date, lower(status) as status, count(*) as n from uploads where requested_ms between {START} and {END} group by all"))
 def report_frame(spark, sf_dir):
-    return A.report_frame(A.uploads_by_status(view(spark, sf_dir, "uploads"), START, END), "app_id", "-daily-upload-report", "2024-01-01")
+    return A.report_frame(A.uploads_by_status(view(spark, sf_dir, "uploads"), START, END), "app_id", "-daily-upload-report", "2024-01-01T23:30:00-08:00")
 
 
 _MEMBERS = "(select * from (values ('by_status', 'enabled'), ('by_status', 'disabled'), ('by_status', 'unverified'), ('by_sharing', 'no_sharing'), ('by_sharing', 'sponsors_and_partners'), ('by_sharing', 'all_qualified_researchers')) t(metric, key))"

@@ -6,16 +6,30 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.scalars import clean_name, local_folder_date
-
-
-def write_assessment_csv(wide: DataFrame, path: str) -> None:
-    """A CSV set for each ``file_name``, with header."""
-    wide.write.partitionBy("file_name").option("header", True).option("emptyValue", "").csv(path)
+from ..functions.scalars import clean_name, local_folder_date, raw_object_key, upload_filename
+from ..operators.aggregates import column_union
+from ..operators.flatten import COMMON_COLUMNS, wide_upload_rows
+
+
+def write_assessment_csv(rows: DataFrame, names: dict[str, str], path: str) -> dict[str, list[str]]:
+    """A CSV set with header for each assessment in ``names`` (guid to file name), in a folder of that name; returns each one's columns.
+
+    Common columns come first, then the assessment's own metadata and data keys, each sorted. ``rows`` has the common
+    columns, metadata and data; the keys, some for each assessment, are what passes the driver.
+    """
+    renamed = rows.withColumn("assessment_guid", F.col("assessmentGuid"))
+    keys = {r.assessment_guid: r for r in column_union(renamed.filter(F.col("assessment_guid").isin(*names))).collect()}
+    written = {}
+    for guid, name in names.items():
+        own = keys.get(guid)
+        wide = wide_upload_rows(rows.filter(F.col("assessmentGuid") == guid), (own and own.metadata_keys) or [], (own and own.data_keys) or [], list(COMMON_COLUMNS))
+        wide.write.option("header", True).option("emptyValue", "").csv(f"{path}/{name}")
+        written[name] = wide.columns
+    return written
 
 
-def assessment_file_name(study: str, name: str, guid: str, title: str):
-    return F.concat_ws("-", study, clean_name(name), guid, clean_name(title))
+def assessment_file_name(study: str, name: str, guid, title):
+    return F.concat_ws("-", F.lit(study), clean_name(F.lit(name)), guid, clean_name(title))
 
 
 def write_tsv(df: DataFrame, path: str, first: tuple[str, ...] = ("healthCode", "createdDate", "rawData")) -> None:
@@ -58,16 +72,24 @@ def upsert_latest(current: DataFrame, incoming: DataFrame, keys: list[str], orde
 
 
 def with_dated_layout(df: DataFrame, ts, zone: str = "America/Los_Angeles") -> DataFrame:
-    return df.withColumn("date", local_folder_date(ts, zone).cast("string"))
+    """With ``date`` in the zone and the object's ``key``; a row without a study has none in it. ``df`` has app_id, study_id, upload_id and filename."""
+    key = raw_object_key("app_id", "study_id", F.col(ts), upload_filename("upload_id", "filename"), zone)
+    return df.withColumn("date", local_folder_date(ts, zone).cast("string")).withColumn("key", key)
 
 
 def write_dated_layout(df: DataFrame, path: str, ts, zone: str = "America/Los_Angeles") -> None:
-    """app_id=/study_id=/date= folders, the date in the zone."""
-    with_dated_layout(df, ts, zone).write.partitionBy("app_id", "study_id", "date").parquet(path)
-
-
-def write_extract_bundle(extracts: DataFrame, path: str) -> None:
-    extracts.write.partitionBy("request_id", "table_id").option("header", True).csv(path)
+    """``studies`` with app_id=/study_id=/date= folders, and ``apps`` with app_id=/date= for rows without a study; each row has its object key."""
+    dated = with_dated_layout(df, ts, zone)
+    for name, rows, keys in (("studies", dated.filter("study_id is not null"), ("app_id", "study_id", "date")), ("apps", dated.filter("study_id is null").drop("study_id"), ("app_id", "date"))):
+        rows.hint("rebalance", *keys).write.partitionBy(*keys).parquet(f"{path}/{name}")
+
+
+def write_extract_bundle(extracts: DataFrame, errors: DataFrame, path: str) -> None:
+    """Per request: ``data`` and ``survey`` rows as CSV in folders by table, and an ``error.log`` with a line each of (request_id, message)."""
+    for kind in ("data", "survey"):
+        rows = extracts.filter(F.col("kind") == kind).drop("kind")
+        rows.hint("rebalance", "request_id", "table_id").write.partitionBy("request_id", "table_id").option("header", True).option("escape", '"').csv(f"{path}/{kind}")
+    errors.select("request_id", F.col("message").alias("value")).hint("rebalance", "request_id").write.partitionBy("request_id").text(f"{path}/error.log")
 
 
 def extract_status(requests: DataFrame, extracts: DataFrame, errors: DataFrame) -> DataFrame:
