@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
-from .filters import export_configured
+from .filters import export_configured, sent
 
 # Fixed values.
 ATTACHMENT_TYPES = ("attachment_blob", "attachment_csv", "attachment_json_blob", "attachment_json_table", "attachment_v2")
@@ -24,7 +24,7 @@ def table_objects(payloads: DataFrame, schema: DataFrame) -> DataFrame:
     A top-level array has a row per object, an object one; empty objects are left out.
     """
     keys = payloads.select("health_code", "created_date", "endpoint_id", F.explode(F.from_json("payload", "map<string,string>")).alias("table_key", "raw"))
-    tables = keys.join(schema.select("endpoint_id", "table_key").distinct(), ["endpoint_id", "table_key"], "left_semi")
+    tables = keys.join(sent(schema.select("endpoint_id", "table_key").distinct()), ["endpoint_id", "table_key"], "left_semi")
     row = F.when(F.startswith("raw", F.lit("[")), F.from_json("raw", "array<string>")).when(F.startswith("raw", F.lit("{")), F.array("raw"))
     rows = tables.select("health_code", "created_date", "endpoint_id", "table_key", F.posexplode(row).alias("row_no", "object"))
     return rows.filter(F.startswith("object", F.lit("{")) & ~F.rlike("object", F.lit(r"^\{\s*\}$")))
@@ -36,17 +36,18 @@ def tabulate_json(payloads: DataFrame, schema: DataFrame) -> DataFrame:
     ``schema`` has (endpoint_id, table_key, column_id, kind, max_length). Each row also has a cell ``rawData``, the id of its whole
     JSON; cells without a value and columns that the schema lacks are left out.
     """
-    rows = table_objects(payloads, schema)
-    known = schema.select("endpoint_id", "table_key", "column_id", "kind", "max_length")
-    cells = rows.select("*", F.explode(F.from_json("object", "map<string,variant>")).alias("column_id", "v")).join(known, ["endpoint_id", "table_key", "column_id"])
+    names = ["endpoint_id", "table_key", "column_id", "kind", "max_length"]
+    whole = schema.select("endpoint_id", "table_key").distinct().select("*", F.lit("rawData").alias("column_id"), F.lit("FILEHANDLEID").alias("kind"), F.lit(None).cast("int").alias("max_length"))
+    known = schema.filter("column_id <> 'rawData'").select(*names).unionByName(whole)
+    tokens = F.map_concat(F.from_json("object", "map<string,variant>"), F.create_map(F.lit("rawData"), F.parse_json(F.lit("null"))))
+    cells = table_objects(payloads, schema).select("*", F.explode(tokens).alias("column_id", "v")).join(sent(known), names[:3])
     typed = cells.withColumn("token", F.schema_of_variant("v")).withColumn("text", F.to_json("v"))
     nested = F.startswith("text", F.lit("{")) | F.startswith("text", F.lit("["))
     raw = F.when(nested, F.try_element_at(F.from_json("object", "map<string,string>"), "column_id")).otherwise(F.col("text"))  # nested JSON keeps its order of keys
     value = F.coalesce(*(F.when(F.col("kind") == k, S.typed_token("v", "token", raw, k)) for k in S.KINDS))
     value = F.when((F.col("kind") == "STRING") & F.col("max_length").isNotNull(), F.left(value, F.col("max_length"))).otherwise(value)
-    table_id = F.concat_ws(".", "endpoint_id", "table_key").alias("table_id")
-    whole = rows.select("health_code", "created_date", table_id, "row_no", F.lit("rawData").alias("column_id"), F.lit("FILEHANDLEID").alias("kind"), F.sha2("object", 256).alias("value"))
-    return typed.select("health_code", "created_date", table_id, "row_no", "column_id", "kind", value.alias("value")).filter("value is not null").unionByName(whole)
+    value = F.when(F.col("column_id") == "rawData", F.sha2("object", 256)).otherwise(value)
+    return typed.select("health_code", "created_date", F.concat_ws(".", "endpoint_id", "table_key").alias("table_id"), "row_no", "column_id", "kind", value.alias("value")).filter("value is not null")
 
 
 def extract_attachments(rows: DataFrame, json_columns: list[str]) -> tuple[DataFrame, DataFrame]:
