@@ -1,11 +1,14 @@
 """Secrets in texts: fixed patterns, and assignment-aware lexing of source and configuration syntax.
 
-The lexer reads ``name = value``, ``name: value``, ``"name": value`` and ``name => value`` into pairs of a
-name and an expression of quoted literals, bare words and earlier names joined by ``+``. Names that are
-assigned a literal become constants, so ``A = "..."`` and ``password = A`` give the literal's place. A
+The lexer cuts a text into strings (single, double, back-quoted and tripled), words, operators, brackets and line ends. A parser reads
+``name = value``, ``name: value``, ``"name": value``, ``name => value``, ``name: type = value``, ``map["name"] = value``, values in calls
+and parentheses, on the next line, in lists, and under an enclosing name (``"password": {"value": ...}``), into pairs of
+names and expressions of literals, bare words and earlier names, joined by ``+`` or side by side. Names that are
+assigned literals become constants, so ``A = "..."`` and ``password = A`` give the literal's place; a later assignment of a name takes the place of an earlier. A
 literal is reported when its name is sensitive and the literal looks like a key.
 
-Defined results: a null or empty text has no spans; rows with equal ids are scanned each on its own.
+Defined results: a null or empty text has no spans; rows with equal ids are scanned each on its own; very long texts are scanned whole; other
+columns, whatever their names, are kept by ``redact`` and play no part.
 Spans count code points, the end is exclusive. A literal inside a span of a pattern isn't reported twice.
 """
 
@@ -31,9 +34,18 @@ SENSITIVE_PAIRS = frozenset({("api", "key"), ("auth", "key"), ("private", "key")
 LITERAL_HINTS = (b"pass", b"pwd", b"secret", b"token", b"credential", b"key", b"bearer")
 PLACEHOLDERS = re.compile(rb"(?i)^(x+|\*+|\.+|-+|null|none|true|false|changeme|placeholder|example.*|your.*|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%)$")
 
-_TERM = rb"""(?:"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|[A-Za-z0-9_][^\s"'`,;(){}\[\]<>+]*)"""
-PAIR = re.compile(rb"""([A-Za-z_][A-Za-z0-9_.-]*)["']?\]?[ \t]*(?::=|=>|=(?!=)|:(?!//))[ \t]*(""" + _TERM + rb"""(?:[ \t]*\+[ \t]*""" + _TERM + rb""")*)""")
-TERM = re.compile(_TERM)
+ADDRESS = re.compile(rb"(?i)^[a-z][a-z0-9+.-]*://[^@]*$")
+GENERIC = frozenset("value values default data text plain plaintext raw content current string".split())
+TRIPLE, STRING, WORD, OPERATOR, LINE = range(1, 6)
+TOKEN = re.compile(
+    rb'''("""(?:\\.|[^\\])*?"""|\'{3}(?:\\.|[^\\])*?\'{3})'''
+    rb"""|("(?:\\.|[^"\\\n])*"|(?<![A-Za-z0-9])'(?:\\.|[^'\\\n])*'|`[^`\n]*`)"""
+    rb"""|([A-Za-z0-9_$][A-Za-z0-9_.$-]*)|(:=|=>|[=!<>]=|[=:+(){}\[\],;])|(\n)"""
+)
+BARE = re.compile(rb"""[A-Za-z0-9_][^\s"'`,;(){}\[\]<>+]*""")
+NAME = re.compile(rb"[A-Za-z_$][A-Za-z0-9_.$-]*")
+ASSIGNS = (b"=", b":", b":=", b"=>")
+OPENS, CLOSES = (b"(", b"{", b"["), (b")", b"}", b"]")
 _PARTS = re.compile(rb"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -44,7 +56,7 @@ def sensitive(name: bytes) -> bool:
 
 def key_like(value: bytes, quoted: bool) -> float:
     """0 for what no key looks like, else bits of entropy per byte."""
-    if len(value) < 8 or PLACEHOLDERS.match(value) or b" " in value:
+    if len(value) < 8 or PLACEHOLDERS.match(value) or ADDRESS.match(value) or b" " in value:
         return 0.0
     counts = Counter(value)
     bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
@@ -52,27 +64,131 @@ def key_like(value: bytes, quoted: bool) -> float:
     return bits if bits >= 2.5 and mixed >= (2 if quoted else 3 - bool(re.search(rb"[0-9]", value))) else 0.0
 
 
+class Reader:
+    """The pairs of one text: ``for names, terms in Reader(data)``, a term being (start, end, quoted) in bytes; names go from the own to the outermost."""
+
+    def __init__(self, data: bytes):
+        self.data, self.constants = data, {}
+        self.tokens = [(m.lastindex, m.start(), m.end()) for m in TOKEN.finditer(data)]
+
+    def is_(self, i: int, *texts: bytes) -> bool:
+        return 0 <= i < len(self.tokens) and self.tokens[i][0] == OPERATOR and self.data[self.tokens[i][1] : self.tokens[i][2]] in texts
+
+    def kind(self, i: int) -> int:
+        return self.tokens[i][0] if 0 <= i < len(self.tokens) else 0
+
+    def inner(self, i: int) -> tuple[int, int, bool]:
+        kind, a, b = self.tokens[i]
+        cut = {TRIPLE: 3, STRING: 1}.get(kind, 0)
+        return a + cut, b - cut, cut > 0
+
+    def name(self, i: int) -> bytes | None:
+        """A word or quoted text that can be a name."""
+        if self.kind(i) not in (STRING, WORD):
+            return None
+        a, b, _ = self.inner(i)
+        return self.data[a:b] if NAME.fullmatch(self.data, a, b) else None
+
+    def left(self, i: int) -> bytes | None:
+        """What the operator at i assigns to."""
+        end = i - 1
+        if self.is_(end, b"]"):
+            start = next((k for k in range(end - 1, max(end - 8, -1), -1) if self.is_(k, b"[")), None)
+            if start is None:
+                return None
+            if end - start == 2 and self.kind(start + 1) == STRING:
+                return self.name(start + 1)
+            end = start - 1  # a type with parameters, or an element by number
+        own = self.name(end)
+        if own is not None and self.is_(i, b"=") and self.is_(end - 1, b":"):
+            return self.name(end - 2) or own  # name: type = value
+        return own
+
+    def right(self, i: int) -> tuple[list[tuple[int, int, bool]], int]:
+        """The terms of the value after the operator at i, and the token after them."""
+        data, terms, j = self.data, [], i + 1
+        below = inside = False
+        while self.kind(j) == LINE:
+            below, j = True, j + 1
+        while True:
+            if self.is_(j, b"("):
+                inside, j = True, j + 1
+                continue
+            kind = self.kind(j)
+            if kind in (TRIPLE, STRING):
+                terms.append(self.inner(j))
+                j += 1
+            elif kind == WORD and self.is_(j + 1, b"(") and self.tokens[j][2] == self.tokens[j + 1][1]:
+                depth, k = 1, j + 2
+                while depth and k < min(len(self.tokens), j + 64):
+                    depth += self.is_(k, *OPENS) - self.is_(k, *CLOSES)
+                    if self.kind(k) in (TRIPLE, STRING):
+                        terms.append(self.inner(k))
+                    k += 1
+                j = k
+            elif kind == WORD:
+                a, b = self.tokens[j][1:]
+                if data[a:b] in self.constants:
+                    terms += self.constants[data[a:b]]
+                    j += 1
+                else:
+                    m = BARE.match(data, a)
+                    end = m.end() if m else b
+                    terms.append((a, a + len(data[a:end].rstrip(b".:!?")), False))
+                    j += 1
+                    while j < len(self.tokens) and self.tokens[j][1] < end:
+                        j += 1
+            else:
+                break
+            if below and self.is_(j, *ASSIGNS):
+                return [], i + 1  # the next line has a pair of its own
+            while inside and self.kind(j) == LINE:
+                j += 1
+            if self.is_(j, b"+"):
+                j += 1
+            elif self.kind(j) not in (TRIPLE, STRING):
+                break
+        return terms, j
+
+    def __iter__(self) -> Iterator[tuple[list[bytes], list[tuple[int, int, bool]]]]:
+        scopes: list[tuple[bytes, bytes | None]] = []
+        i, opening = 0, None
+        while i < len(self.tokens):
+            outer = [n for _, n in reversed(scopes) if n]
+            if self.is_(i, *ASSIGNS) and not self.data.startswith(b"//", self.tokens[i][2]):
+                name, opening = self.left(i), None
+                if name is not None:
+                    terms, after = self.right(i)
+                    if terms:
+                        yield [name, *outer], terms
+                        if all(quoted for *_, quoted in terms):
+                            self.constants[name] = terms
+                        i = after
+                        continue
+                    opening = name
+            elif self.is_(i, *OPENS):
+                scopes.append((self.data[self.tokens[i][1] : self.tokens[i][2]], opening))
+                opening = None
+            elif self.is_(i, *CLOSES):
+                if scopes:
+                    scopes.pop()
+            elif self.kind(i) == STRING and scopes and scopes[-1][0] == b"[" and scopes[-1][1] and not self.is_(i + 1, *ASSIGNS):
+                yield outer, [self.inner(i)]
+            i += 1
+
+
 def literals(data: bytes) -> list[tuple[int, int, bytes, float]]:
     """(start, end, name, score) of literals that sensitive names get, in bytes."""
-    constants: dict[bytes, list[tuple[int, int, bool]]] = {}
     found: dict[tuple[int, int], tuple[bytes, float]] = {}
-    for m in PAIR.finditer(data):
-        name, terms = m[1], []
-        for t in TERM.finditer(data, m.start(2), m.end(2)):
-            if t[0][:1] in b"\"'":
-                terms.append((t.start() + 1, t.end() - 1, True))
-            elif t[0] in constants:
-                terms += constants[t[0]]
-            else:
-                terms.append((t.start(), t.start() + len(t[0].rstrip(b".:!?")), False))
-        if all(quoted for *_, quoted in terms):
-            constants[name] = terms
-        if sensitive(name):
-            score = key_like(b"".join(data[a:b] for a, b, _ in terms), all(q for *_, q in terms))
-            if score:
-                for a, b, _ in terms:
-                    if b > a:
-                        found.setdefault((a, b), (name, score))
+    for names, terms in Reader(data):
+        name = next((n for k, n in enumerate(names) if sensitive(n) and (k == 0 or names[0].lower().decode() in GENERIC)), None)
+        if name is None:
+            continue
+        score = key_like(b"".join(data[a:b] for a, b, _ in terms), all(q for *_, q in terms))
+        if score:
+            for a, b, _ in terms:
+                if b > a:
+                    found.setdefault((a, b), (name, score))
     return [(a, b, *v) for (a, b), v in found.items()]
 
 

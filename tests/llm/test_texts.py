@@ -67,6 +67,45 @@ def test_secrets_by_pattern_and_by_assignment():
     assert secret_scan.scan_text("The secret of a good token is to keep the password safe. Passphrase: something.".encode()) == []
 
 
+LITERALS = [
+    'let signingKey: string = "@";', "const apiSecret: Optional[str] = '@'", 'os.environ["DB_PASSPHRASE"] = "@"', 'os.environ["ACCESS_KEY"] = get("@")', '{"credentials": {"kind": "x", "value": "@"}}', "private_key:\n    @\nother: 1", 'passphrase = """@"""',
+    'pwd := `@`', "'db_pass' => '@',", 'KEYS = {"authKey": "@"}', "secret_keys = [\"@\", '@']", "user-pass: @", 'PART = "@"\nsigningKey = PART', 'encryptionKey = ("@"\n "@")',
+]
+CLEAN = ["the key: of the house", 'color = "@"', "It's a key and isn't a pass: nothing here", 'passphrase = ask("name")', "private_key:\nother_name: word", 'if authKey == "@": pass', "see the credentials: http://example.org/path1", 'keys = ["@"]', "{'secretary': '@'}"]
+
+
+def test_literals_of_many_syntaxes():
+    rng = random.Random(13)
+    for _ in range(40):
+        text, want = "", []
+        for kind, line in rng.sample([(1, x) for x in LITERALS] + [(0, x) for x in CLEAN], 6):
+            parts = line.split("@")
+            for k, part in enumerate(parts):
+                text += part
+                if k < len(parts) - 1:
+                    value = "".join(rng.choice("abcdefghkmnpqrstuvwxyzABCDEFGHKLMN23456789") for _ in range(12)) + "Z7q"
+                    if kind:
+                        want.append((len(text), len(text) + len(value)))
+                    text += value
+            text += rng.choice(["\n", "\n\nIt's prose, isn't it?\n"])
+        got = sorted((a, b) for a, b, *_ in secret_scan.literals(text.encode()))
+        assert got == sorted(want), (text, [text[a:b] for a, b in set(got) ^ set(want)])
+
+
+def brute_base(text):
+    kinds = [("assign", re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 8), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 16), ("hex", re.compile("[0-9a-f]+"), 0, 32)]
+    found = [(m.start(), k, m.end(), name) for k, (name, pattern, group, least) in enumerate(kinds) for m in pattern.finditer(text) if len(m[group]) >= least]
+    return [f"{name}:{a}:{b}" for a, _, b, name in sorted(found)]
+
+
+def test_base_spans_against_patterns_on_code_points():
+    rng = random.Random(14)
+    pieces = ["password", "Token", "api_key", "apikey", "é", "😀", "=", ": ", '"', "'", " ", "AKIA", "QWERTYUIOP1234", "0123456789abcdef", "abcdef0123456789", "secret", "x", "/+=", "\n", "ſecret"]
+    for _ in range(300):
+        text = "".join(rng.choice(pieces) for _ in range(30))
+        assert [f"{k}:{a}:{b}" for k, a, b, *_ in secret_scan.scan_text(text.encode()) if k != "literal"] == brute_base(text)
+
+
 def test_secret_digests_and_redaction(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "ü password=c1f6c02f845bf3028d end", "x"), (3, "ü password=c1f6c02f845bf3028d end", "x")]
     docs = spark.createDataFrame(rows, SCHEMA)
