@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from .bpe import vocabulary
 from .common import saved
 
-SALTS = 64
+ROWS = 100_000
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -90,18 +90,20 @@ def best_fit(counts: dict[int, int], capacity: int) -> pd.DataFrame:
 def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")
-    cut = saved(pieces(docs, path, capacity, end_id).withColumn("salt", salt), "pieces")
-    sizes = cut.groupBy("length", "salt").count().toPandas().sort_values(["length", "salt"])  # at most capacity * SALTS rows
-    if sizes.empty:
-        return cut.select("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    sizes["base"] = sizes.groupby("length")["count"].cumsum() - sizes["count"]
-    plan = best_fit(sizes.groupby("length")["count"].sum().to_dict(), capacity)
-    bases = spark.createDataFrame(sizes[["length", "salt", "base"]], "length long, salt int, base long")
+    cut = saved(pieces(docs, path, capacity, end_id), "pieces")
+    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``capacity`` rows
+    if not counts:
+        return cut.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    # pieces of one length are ranked in as many parts as they need
+    parts = F.array(*(F.lit(-(-counts.get(length, 1) // ROWS)) for length in range(1, capacity + 1)))
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.element_at(parts, F.col("length").cast("int"))).cast("int"))
+    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    bases = saved(salted.groupBy("length", "salt").count().withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0))).select("length", "salt", "base"), "bases")
+    plan = best_fit(counts, capacity)
     matches = spark.createDataFrame(plan.rename(columns={"length": "m_length"}), "m_length long, rank long, n long, sequence long, per long, at long")
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = cut.withColumn("k", F.row_number().over(own) - 1).join(F.broadcast(bases), ["length", "salt"]).withColumn("k", F.col("k") + F.col("base"))
-    placed = ranked.join(F.broadcast(matches), (F.col("length") == F.col("m_length")) & (F.col("k") >= F.col("rank")) & (F.col("k") < F.col("rank") + F.col("n")))
+    ranked = salted.withColumn("k", F.row_number().over(own) - 1).join(bases, ["length", "salt"]).withColumn("k", F.col("k") + F.col("base"))
+    placed = ranked.join(F.broadcast(matches), (F.col("length") == F.col("m_length")) & (F.col("k") >= F.col("rank")) & (F.col("k") < F.col("rank") + F.col("n")))  # runs of lengths and gaps: bounded by the capacity
     nth = F.col("k") - F.col("rank")
     return placed.select(
         "doc_id", "piece", "start", "length", "ids_crc32",
