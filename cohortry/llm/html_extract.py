@@ -39,7 +39,7 @@ from .common import saved
 DEPTH, HOSTS_HELD, SALTS, BROADCAST_BYTES = 120, 2000, 32, 32 << 20
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^>]*\Z""", re.DOTALL)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""(?<![\w:.-])(class|id|role|hidden)(?![\w:.-])\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 RAW = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.IGNORECASE) for t in ("script", "style", "textarea", "title", "noscript", "template", "iframe")}
 
 # The void and block elements of HTML, and what an article isn't.
@@ -54,6 +54,9 @@ NEVER_NOISE = frozenset({"html", "body", "main", "article"})
 ABOUT = frozenset("no not non has have with without".split())  # no-sidebar: a word on the page's layout, not what the element is
 
 
+WORDED = frozenset("p h1 h2 h3 h4 h5 h6 b i em strong span a q cite code mark small sub sup time".split())  # of these only a whole class word counts
+
+
 class Node:
     __slots__ = ("children", "label", "noise", "tag")
 
@@ -68,11 +71,12 @@ def _node(tag: str, attributes: str) -> Node:
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         words = value.split()
         if key == "hidden":
+            noise = True
             continue
-        parts = [re.split(r"[-_]+", x) for x in words]
+        parts = [[x] if tag in WORDED else re.split(r"[-_]+", x) for x in words]
         listed = listed or any(w in NOISE_WORDS for x in parts if x[0] not in ABOUT for w in x) or any(w in PAGE_NOISE for w in words) and tag != "article"
         if key != "id":
-            names += [re.sub(r"\d+", "0", w) for w in words[:3]]
+            names += [re.sub(r"\d+", "0", w) for w in words]
     noise = noise or listed and tag not in NEVER_NOISE
     return Node(tag, ".".join([tag, *names]) + ("!" if noise else "?" if listed and tag == "article" else ""), noise)
 
@@ -115,6 +119,8 @@ def parse(html: str) -> Node:
             elif stack[k].tag in LISTS:
                 break
         own = _node(tag, m[3] if m[2] else m[6])
+        if len(stack) > DEPTH and not own.noise and any(n.noise for n in stack[DEPTH:]):
+            own = Node(tag, own.label.rstrip("?!") + "!", True)  # what hangs higher than it stands is still part of the menu around it
         stack[min(len(stack), DEPTH) - 1].children.append(own)
         if tag in RAW:
             stop = RAW[tag].search(html, at)
@@ -386,11 +392,12 @@ def wrappers(pages: DataFrame) -> DataFrame:
 def main_texts(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars."""
 
-    @F.udf("string")
-    def chosen(wrapper: str) -> str:
-        return json.dumps(reading(json.loads(wrapper)))
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            roots = [json.dumps(reading(json.loads(wrapper))) for wrapper in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(roots, pa.string())], names=["host", "roots"])
 
-    hosts = saved(wrappers(pages).select("host", chosen("wrapper").alias("roots")), "wrappers")
+    hosts = saved(wrappers(pages).mapInArrow(chosen, "host string, roots string"), "wrappers")
     size = hosts.agg(F.sum(F.octet_length("host") + F.octet_length("roots"))).first()[0] or 0
     rows = _rows(pages)
     if size <= BROADCAST_BYTES:

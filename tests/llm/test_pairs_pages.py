@@ -222,6 +222,13 @@ def test_wrapper_is_union_free_and_order_independent():
     assert "(<p> #PCDATA </p>)*" in text and "(<ul> <li> text </li> </ul>)?" in text and html_extract.places(one) == html_extract.places(two) == [["html", "body", "article"]]
 
 
+def test_menus_below_any_depth_hidden_parts_and_inner_class_words():
+    deep = "<div>" * 200 + "<nav><ul><li><a>Menu</a></li></ul><p>more</p></nav><p>text</p>" + "</div>" * 200
+    assert html_extract.extract(f"<article>{deep}</article>", None) == "text"
+    assert html_extract.extract('<article><p hidden>no</p><p aria-hidden="false" data-hidden>yes</p><div class="a b c d cookie-notice">no</div></article>', None) == "yes"
+    assert html_extract.extract('<article><h2 class="share-of-gdp">Share</h2><p class="notice-board">Board</p></article>', None) == "Share\nBoard"
+
+
 def test_deep_and_odd_html():
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     assert html_extract.extract(deep, None) == "deep"
