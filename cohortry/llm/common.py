@@ -16,7 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on an Arrow batch of the session has ``BATCH_ROWS`` rows at most: texts are long, and a task holds a batch several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,6 +44,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -62,7 +74,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, max_bytes: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a text column into runs of rows of about ``max_bytes`` (one row at least).
 
     Yields (first row, end row, bytes, offsets); offsets has one entry more than rows and

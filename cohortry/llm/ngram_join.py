@@ -152,7 +152,7 @@ def _summaries(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), batch.column(2).slice(a, n), pa.array(_nodes(hashes, offsets)), pa.array(np.diff(offsets)), *(pa.array(x) for x in _parity(hashes, offsets).T.copy()), _wide_parity(hashes, offsets)], names=names)
                 held.append(hashes)
                 total += len(hashes)
-                if total > 2_000_000:
+                if total > 1_000_000:
                     yield repeated()
                     total = 0
         if held:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod
+from .common import bound_batches, crc32_mod
 
 EXAMPLES = 20_000
 TERMS = 1024
@@ -56,7 +56,7 @@ class _Known(dict):
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         found = tuple(t for f in features(word) if (t := self.terms.get(f)) is not None)
-        if len(self) < 500_000:
+        if len(self) < 100_000:
             self[word] = found
         return found
 
@@ -166,7 +166,7 @@ class ToxicityModel:
         odds, voters = self.vote(terms, weights)
         a, b = self.curve
         out = float(1 / (1 + np.exp(-(a + b * odds)))), [(self.ids[i], c) for i, c in voters[:5]]
-        if seen is not None and len(seen) < 100_000:
+        if seen is not None and len(seen) < 10_000:
             seen[key] = out
         return out
 
@@ -215,6 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
 
     ``examples`` bounds the labelled rows learnt from: those of the smallest hash of their id.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     usable = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
