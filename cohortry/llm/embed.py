@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved
+from .common import discard, saved
 from .graph import components
 
-ROTATIONS, SHARED, PART, IN_FILTER = 8, 12.0, 512, 300
+ROTATIONS, SHARED, PART, IN_FILTER = 8, 8.0, 512, 300
 
 
 def share_passing(alpha: float, cosine: float) -> float:
@@ -110,22 +110,21 @@ def _filters(nodes: DataFrame, d: int, kind: str, words: int, alpha: float) -> D
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 found = all_filters(_units(part.column(2).to_pylist(), kind), words, alpha, rotated)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(pa.int64()))], names=["node", "copies", "vector", "filters"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(pa.int32()))], names=["node", "copies", "vector", "filters"])
 
-    return nodes.select("node", "copies", "vector").mapInArrow(run, "node long, copies long, vector binary, filters array<long>")
+    return nodes.select("node", "copies", "vector").mapInArrow(run, "node long, copies long, vector binary, filters array<int>")
 
 
 def _tile(kind: str, cosine: float):
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        part, own = group.column("part").to_numpy(), group.column("filter")[0].as_py()
+        part = group.column("part").to_numpy()
         p, q = group.column("p")[0].as_py(), group.column("q")[0].as_py()
         node, copies = group.column("node").to_numpy(), group.column("copies").to_numpy().astype(float)
         x = _units(group.column("vector").to_pylist(), kind)
-        filters = group.column("filters").combine_chunks()
+        filters = group.column("smaller").combine_chunks()
         row = np.repeat(np.arange(len(node)), np.diff(filters.offsets.to_numpy()))
         number = filters.values.to_numpy()[filters.offsets[0].as_py() : filters.offsets[-1].as_py()]
-        row, number = row[number < own], number[number < own]
         names, column = np.unique(number, return_inverse=True)
         passed = np.zeros((len(node), len(names)), np.float32)
         passed[row, column] = 1
@@ -151,11 +150,11 @@ def _links(nodes: DataFrame, d: int, kind: str, cosine: float) -> DataFrame:
     """(node, links, root) of one tile each: how many rows its node links with, and a node reached."""
     words, alpha = plan(nodes.count(), cosine)
     listed = saved(_filters(nodes, d, kind, words, alpha), "filters")
-    each = listed.select("*", F.explode("filters").alias("filter"))
-    sizes = each.groupBy("filter").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("filter", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
+    each = listed.select("*", F.posexplode("filters").alias("pos", "filter")).withColumn("smaller", F.slice("filters", F.lit(1), F.col("pos"))).drop("filters", "pos")  # a tile needs the filters before its own
+    sizes = saved(listed.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("filter", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "sizes")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     dealt = each.join(sizes, "filter").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    tiles = dealt.select("filter", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "node", "copies", "vector", "filters")
+    tiles = dealt.select("filter", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "node", "copies", "vector", "smaller")
     return tiles.groupBy("filter", "p", "q").applyInArrow(_tile(kind, cosine), "node long, links long, root long")
 
 
@@ -176,9 +175,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     found = saved(found, "tiles")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    named = nodes.select("node", "copies", "least").join(groups, "node", "left").join(counts, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    answers = named.join(smallest, "group").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    named = saved(nodes.select("node", "copies", "least").join(groups, "node", "left").join(counts, "node", "left").withColumn("group", F.coalesce("component", "node")), "named")
+    smallest = saved(named.groupBy("group").agg(F.min("least").alias("component_id")), "smallest")  # so that Spark can split the joins' largest partitions
+    answers = saved(named.join(smallest, "group").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "answers")
     linked = good.join(answers, "node").select("vec_id", "n_links", "component_id")
     alone = rows.filter(F.col("vector").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    out = saved(linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))), "joined")
+    discard(rows, nodes, found, named, smallest, answers)
+    return out

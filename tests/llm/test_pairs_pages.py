@@ -156,6 +156,8 @@ def test_embeddings_against_brute_force(spark):
     assert (found <= link.sum(axis=1)).all() and found.sum() >= 0.98 * link.sum()
     assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in range(5000, 5006)) and got[len(x) - 1].component_id == 4
     assert embed.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    clash = spark.createDataFrame([(i, [1.0, float(i)], "x", 7) for i in (1, 1, 2)], "vec_id long, embedding array<double>, node string, filters int")
+    assert sorted(map(tuple, embed.near_duplicates(clash).collect())) == [(1, 2, 1, True)] * 2 + [(2, 2, 1, False)]
 
 
 @pytest.mark.parametrize(("n", "least"), [(1000, 16), (1_000_000, 128)])
