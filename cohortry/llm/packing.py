@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from .bpe import vocabulary
 from .common import saved
 
-ROWS = 100_000
+ROWS = 2_000
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
