@@ -250,3 +250,28 @@ def test_pipeline(spark):
             assert docs.columns == names and docs.count() <= before.count()
     ids = {r.doc_id for r in before.select("doc_id").collect()}
     assert ids == {r.doc_id for r in docs.select("doc_id").collect()} and docs.filter("offset + length > 1024").count() == 0
+
+
+def test_pipeline_on_odd_rows(spark):
+    import corpus_pipeline
+    from cohortry.llm.common import saved
+
+    sf = "/root/testdata/sf0.001"
+    words = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    rows = [(1, words("a", 90)), (2, words("a", 90) + " end"), (3, None), (3, ""), (None, None), (None, words("b", 80)), (7, words("c", 70)), (7, words("d", 70)), (7, words("d", 70)), (8, words("e", 30) + " " + words("c", 60)), (9, 'my password = "Xk29fjQ2pz88"'), (10, words("long", 60_000))]
+    names = ["key", "print", "spans", "salt", "n_chars"]
+    docs = spark.createDataFrame([(*x, *[i] * 5) for i, x in enumerate(rows)], "doc_id long, text string, " + ", ".join(f"{c} long" for c in names))
+    columns, texts = docs.columns, None
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "best_fit_packing":
+            texts = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+        docs = saved(stage(spark, docs, sf), name)
+        assert name == "best_fit_packing" or docs.columns == columns
+    want = [(1, words("a", 90)), (3, None), (3, ""), (None, None), (None, words("b", 80)), (7, words("c", 70)), (7, words("d", 70)), (8, words("e", 30)), (9, "my [SECRET]\""), (10, words("long", 60_000))]
+    assert texts == sorted(want, key=str)
+    got = docs.collect()
+    assert sum(r.doc_id == 3 and r.length == 1 for r in got) == 2 and max(r.length for r in got) == 1024
+    none = spark.createDataFrame([], "doc_id long, text string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        none = saved(stage(spark, none, sf), name)
+    assert none.count() == 0
