@@ -1,6 +1,9 @@
 """A training corpus from ``documents``: toxicity, near duplicates, repeated passages, secrets, packing.
 
-Each stage works on all that its predecessor kept; all but the last return the columns of their input.
+Each stage works on all that its predecessor kept; all but the last return the columns of their input, whatever their names.
+
+Defined results: a null or empty text is kept by all stages and packed as its end id alone; rows with a null id, equal ids or equal rows
+are judged row by row, but of rows of one id and text that has words one stays; an empty table gives empty results.
 """
 
 from __future__ import annotations
