@@ -1,174 +1,197 @@
 """Toxicity scores by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are the lower-cased words, and beginnings of words, that go with the label in the examples
-(chi-squared and lift); their document frequencies come from all documents. The examples, a bounded sample of labelled rows, stand in
-an inverted index whose lists are cut into blocks of examples; a block's largest weight per term
-bounds the cosine of all its examples, and blocks are read from the highest bound down until none can
-hold a nearer example, so the neighbours are exact. Examples with equal vectors are one entry with
-counts. Neighbours vote with weights that fall with distance; a logistic curve through leave-one-out votes of
-the examples turns votes into probabilities.
-
-Defined results: a null or empty text, and any text without a term, is scored like the examples without a
+Terms are all lower-cased words of the examples, and beginnings of five bytes of their longer words. A term's weight is
+its idf, from document frequencies over all documents, times how surely it goes with the label in
+the examples (never 0, so no term is left out). The examples, a bounded sample of labelled rows, stand in an
+inverted index. Lists of rare terms are read whole; those of frequent terms are cut into
+blocks of examples, and a block's largest weight per term bounds what they can add to the cosines of
+its examples. A block is read for a text only if it can hold a nearer example than those found, so the neighbours
+are exact (cosines count to five decimals; of equal ones the lower place wins). Examples with equal vectors are one
+entry with counts. Neighbours vote with weights that fall with distance; a logistic curve through
+leave-one-out votes of the examples turns votes into probabilities.
+
+Defined results: a null or empty text, and any text without a term of the examples, is scored like the examples without a
 term; without labelled examples every score is 0; repeated label rows count once, toxic if one is; ids, source,
-language and labels of a scored row are never read. Rows with equal ids are scored each on its own.
+language and labels of a scored row are never read. Rows with equal ids are scored each on its own. Terms are told
+apart by 64-bit hashes, and words that no example holds don't count in a text's length.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import chain
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, crc32_mod
+from .common import bound_batches, crc32_mod, discard, saved, slices
+from .words import mix, word_hashes, word_spans
 
-EXAMPLES = 20_000
-TERMS = 1024
+EXAMPLES = 4_000
 NEIGHBOURS = 25
 BLOCK = 64
+WAVE = 4  # blocks read between two looks at the bounds
+TEXTS = 128  # texts searched at once
+FEW = 8  # texts whose rare terms' lists are added up at once
+FREQUENT = 16  # a term in more than a 16th of the entries is frequent
 
 
-BEGINNINGS = (4, 5, 6, 7)
-_LETTERS = bytes((c + 32 if 65 <= c <= 90 else c) if chr(c).isalnum() or c > 127 else 32 for c in range(256))
+BEGINNING = 5
+_LETTERS = np.array([(c + 32 if 65 <= c <= 90 else c) if chr(c).isalnum() or c > 127 else 32 for c in range(256)], np.uint8)
+_MARK = np.uint64(0x5851F42D4C957F2D)
 
 
-def words(data: bytes | None) -> list[bytes]:
-    """Lower-cased runs of ASCII letters and digits and of other characters outside ASCII."""
-    return data.translate(_LETTERS).split() if data else []
+def term_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all terms of some texts, repeated ones too, and the text each stands in.
 
+    Words are lower-cased runs of ASCII letters and digits and of characters outside ASCII.
+    """
+    data = _LETTERS[data]
+    starts, ends, first = word_spans(data, offsets)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    longer = ends - starts > BEGINNING
+    begun = word_hashes(data, starts[longer], starts[longer] + BEGINNING, False)
+    return np.concatenate([word_hashes(data, starts, ends, False), mix(begun + _MARK)]), np.concatenate([text, text[longer]])
 
-def features(word: bytes) -> list[bytes]:
-    """The word, and its beginnings of some bytes, marked by a hyphen."""
-    return [word, *(word[:k] + b"-" for k in BEGINNINGS if len(word) > k)]
-
-
-class _Known(dict):
-    """Numbers of the terms that a word stands for, remembered for some words."""
-
-    def __init__(self, terms: dict[bytes, int]):
-        super().__init__()
-        self.terms = terms
-
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        found = tuple(t for f in features(word) if (t := self.terms.get(f)) is not None)
-        if len(self) < 100_000:
-            self[word] = found
-        return found
-
-    def __reduce__(self):
-        return _Known, (self.terms,)
 
-    def counts(self, data: bytes | None) -> list[tuple[int, int]]:
-        """(term, count) of a text; without any term, none. All words together, to the next power of two, are one more term."""
-        own = words(data)
-        found = Counter(chain.from_iterable(map(self.__getitem__, own)))
-        return [*sorted(found.items()), (len(self.terms), 1 << len(own).bit_length())] if found else []
+@dataclass
+class Bags:
+    """Texts as rows of (term, count), terms rising: row i is ``terms[at[i]:at[i + 1]]``."""
+
+    at: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
+
+    def part(self, a: int, b: int) -> Bags:
+        s = slice(self.at[a], self.at[b])
+        return Bags(self.at[a : b + 1] - self.at[a], self.terms[s], self.counts[s])
+
+
+def bags(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> Bags:
+    """The terms of the sorted ``vocabulary`` in each text."""
+    n = len(offsets) - 1
+    hashes, text = term_hashes(data, offsets)
+    if not len(hashes) or not len(vocabulary):
+        return Bags(np.zeros(n + 1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
+    own, which = np.unique(hashes, return_inverse=True)
+    place = np.searchsorted(vocabulary, own)
+    place[place == len(vocabulary)] = 0
+    place = np.where(vocabulary[place] == own, place, -1)[which]
+    known = place >= 0
+    keys, counts = np.unique(text[known] * len(vocabulary) + place[known], return_counts=True)
+    at = np.searchsorted(keys, np.arange(n + 1) * len(vocabulary))
+    return Bags(at, keys % len(vocabulary), counts)
 
 
-@dataclass
 class BlockMaxIndex:
-    """Unit vectors in blocks; ``tops[t]`` has the largest weight of term t in each block."""
-
-    vectors: np.ndarray  # entries x terms, float32 rows of unit length or zero
-    block: int = BLOCK
-    tops: np.ndarray = field(init=False)
-    lists: list = field(init=False)
-
-    def __post_init__(self):
-        n, terms = self.vectors.shape
-        blocks = -(-n // self.block)
-        self.tops = np.zeros((terms, blocks))
-        self.lists = [{} for _ in range(blocks)]  # block -> term -> (places, weights)
-        for b in range(blocks):
-            part = self.vectors[b * self.block : (b + 1) * self.block]
-            for t in np.flatnonzero(part.any(axis=0)).tolist():
-                places = np.flatnonzero(part[:, t])
-                self.lists[b][t] = (places, part[places, t])
-                self.tops[t, b] = part[places, t].max()
-
-    def nearest(self, terms: list[int], weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of largest cosine over 0 (ties: the lower place) and these cosines."""
-        bounds = weights @ self.tops[terms]
-        found, cosines = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(cosines) >= k and bounds[b] < cosines[k - 1] - 1e-9:
-                break
-            total = np.zeros(self.block)
-            lists = self.lists[b]
-            for t, w in zip(terms, weights.tolist(), strict=True):
-                if t in lists:
-                    places, own = lists[t]
-                    total[places] += w * own
-            hit = np.flatnonzero(total > 0)
-            found, cosines = np.concatenate([found, b * self.block + hit]), np.concatenate([cosines, total[hit]])
-            best = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[best], cosines[best]
-        return found, cosines
+    """Entries as unit vectors; ``tops[t]`` has the largest weight of the frequent term t in each block."""
+
+    def __init__(self, at: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int, block: int = BLOCK):
+        self.block, self.entries = block, len(at) - 1
+        self.blocks = max(-(-self.entries // block), 1)
+        order = np.argsort(terms, kind="stable")
+        entry = np.repeat(np.arange(self.entries), np.diff(at))[order].astype(np.int32)
+        self.size = np.bincount(terms, minlength=n_terms)
+        frequent = np.flatnonzero(self.size * FREQUENT > self.entries)
+        self.slot = np.full(n_terms, -1, np.int32)
+        self.slot[frequent] = np.arange(len(frequent))
+        slot, weight = self.slot[terms[order]], weights[order].astype(np.float32)
+        dense = np.zeros((len(frequent), self.blocks * block), np.float32)
+        dense[slot[slot >= 0], entry[slot >= 0]] = weight[slot >= 0]
+        self.dense = np.ascontiguousarray(dense.reshape(len(frequent), self.blocks, block).transpose(1, 0, 2))
+        self.tops = self.dense.max(axis=2).T.copy() if len(frequent) else np.zeros((0, self.blocks), np.float32)
+        self.entry, self.weight = entry[slot < 0], weight[slot < 0]
+        self.size[frequent] = 0
+        self.start = np.cumsum(self.size) - self.size
+
+    def nearest(self, at: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each row the k entries of largest cosine (ties: the lower place) and these cosines; cosine 0 is no neighbour."""
+        n, width = len(at) - 1, self.blocks * self.block
+        text, slot = np.repeat(np.arange(n), np.diff(at)), self.slot[terms]
+        rare = slot < 0
+        known = np.empty((n, self.blocks, self.block), np.float32)
+        listed_text, listed_terms, listed_weights = text[rare], terms[rare], weights[rare]
+        for a in range(0, n, FEW):
+            b = min(a + FEW, n)
+            s = slice(*np.searchsorted(listed_text, [a, b]))
+            size = self.size[listed_terms[s]]
+            which = np.repeat(np.arange(len(size)), size)
+            at_list = np.arange(len(which)) + (self.start[listed_terms[s]] - (np.cumsum(size) - size))[which]
+            cell = ((listed_text[s] - a) * width)[which] + self.entry[at_list]
+            known[a:b] = np.bincount(cell, listed_weights[s][which] * self.weight[at_list], (b - a) * width).reshape(b - a, self.blocks, self.block)
+        frequent = np.zeros((n, len(self.tops)), np.float32)
+        frequent[text[~rare], slot[~rare]] = weights[~rare]
+        bounds = known.max(axis=2) + frequent @ self.tops
+        keys = np.zeros((n, self.blocks, self.block), np.int64)
+        best, least = np.zeros((n, k), np.int64), np.zeros(n)
+        places = width - 1 - np.arange(width).reshape(self.blocks, self.block)
+        order = np.argsort(-bounds.max(axis=0), kind="stable")
+        for w in range(0, self.blocks, WAVE):
+            wave = order[w : w + WAVE]
+            open_ = (bounds[:, wave] > 0) & (bounds[:, wave] >= least[:, None] - 2e-5)
+            for j, b in enumerate(wave.tolist()):
+                rows = np.flatnonzero(open_[:, j])
+                if len(rows):
+                    cosine = np.rint((known[rows, b] + frequent[rows] @ self.dense[b]) * 1e5).astype(np.int64)
+                    keys[rows, b] = np.where(cosine > 0, cosine * width + places[b], 0)
+            rows = np.flatnonzero(open_.any(axis=1))
+            if len(rows):
+                both = np.concatenate([best[rows], keys[np.ix_(rows, wave)].reshape(len(rows), -1)], axis=1)
+                best[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+                least[rows] = best[rows].min(axis=1) // width / 1e5
+        best = -np.sort(-best, axis=1)
+        return np.where(best > 0, width - 1 - best % width, -1), best // width / 1e5
 
 
 @dataclass
 class ToxicityModel:
-    terms: dict[bytes, int]
-    idf: np.ndarray
+    vocabulary: np.ndarray  # hashes of the terms, rising
+    term_weights: np.ndarray
     index: BlockMaxIndex | None
     rows: np.ndarray  # examples of each entry
     toxic: np.ndarray  # toxic ones of these
-    ids: list  # an example's id of each entry
+    ids: np.ndarray  # an example's id of each entry
     zero: tuple[int, int]  # rows and toxic rows of the examples without a term
     prior: float
     curve: tuple[float, float] = (0.0, 1.0)
     k: int = NEIGHBOURS
-    known: _Known = field(init=False)
-
-    def __post_init__(self):
-        self.known = _Known(self.terms)
-
-    def vector(self, data: bytes | None) -> tuple[list[int], np.ndarray]:
-        counts = self.known.counts(data)
-        terms = [t for t, _ in counts]
-        weights = self.weigh(terms, [n for _, n in counts])
-        return terms, weights
-
-    def weigh(self, terms: list[int], counts: list[int]) -> np.ndarray:
-        w = (1 + np.log(np.array(counts, float))) * self.idf[terms]
-        return w / np.linalg.norm(w) if len(w) else w
-
-    def vote(self, terms: list[int], weights: np.ndarray, without: tuple[int, int] | None = None) -> tuple[float, list]:
-        """Log-odds of the weighted votes, and the voters as (entry, cosine); ``without``: an entry of which one row of this label is left out."""
-        if not terms or self.index is None:
-            n, y = self.zero
-            if without is not None:
-                n, y = n - 1, y - without[1]
-            voters, votes, total = [], float(y), float(n)
-        else:
-            found, cosines = self.index.nearest(terms, weights, self.k)
-            rows, toxic = self.rows[found].astype(float), self.toxic[found].astype(float)
-            if without is not None:
-                own = found == without[0]
-                rows[own] -= 1
-                toxic[own] -= without[1]
-            w = cosines**2 / np.maximum(1.02 - cosines, 0.02) * np.log1p(rows) / np.maximum(rows, 1)
-            votes, total = float(w @ toxic), float(w @ rows)
-            voters = list(zip(found.tolist(), cosines.tolist(), strict=True))
-        p = (votes + self.prior) / (total + 1)
-        return float(np.log(p) - np.log1p(-p)), voters
-
-    def score(self, data: bytes | None, seen: dict | None = None) -> tuple[float, list]:
-        terms, weights = self.vector(data)
-        key = (tuple(terms), weights.tobytes())
-        if seen is not None and key in seen:
-            return seen[key]
-        odds, voters = self.vote(terms, weights)
+
+    def weigh(self, rows: Bags) -> np.ndarray:
+        w = (1 + np.log(rows.counts)) * self.term_weights[rows.terms]
+        text = np.repeat(np.arange(len(rows.at) - 1), np.diff(rows.at))
+        return w / np.sqrt(np.bincount(text, w * w, len(rows.at) - 1))[text]
+
+    def votes(self, rows: Bags, own: np.ndarray | None = None, label: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log-odds of the weighted votes, and the voters' entries (-1: none) and cosines; ``own``: each row's entry, of which one row of ``label`` is left out."""
+        n = len(rows.at) - 1
+        y = np.full(n, float(self.zero[1] - label * (own is not None)))
+        total = np.full(n, float(self.zero[0] - (own is not None)))
+        found, cosines = np.full((n, self.k), -1), np.zeros((n, self.k))
+        some = np.flatnonzero(np.diff(rows.at))
+        if self.index is not None and len(some):
+            at = np.concatenate([[0], rows.at[some + 1]])
+            near, c = self.index.nearest(at, rows.terms, self.weigh(rows), self.k)
+            there = near >= 0
+            n_rows, n_toxic = np.where(there, self.rows[near], 0).astype(float), np.where(there, self.toxic[near], 0).astype(float)
+            if own is not None:
+                mine = near == own[some][:, None]
+                n_rows -= mine
+                n_toxic -= mine * label
+            w = c**2 / np.maximum(1.02 - c, 0.02) * np.log1p(n_rows) / np.maximum(n_rows, 1)
+            y[some], total[some], found[some], cosines[some] = (w * n_toxic).sum(axis=1), (w * n_rows).sum(axis=1), near, c
+        p = np.clip((y + self.prior) / (total + 1), 1e-12, 1 - 1e-12)
+        return np.log(p) - np.log1p(-p), found, cosines
+
+    def scores(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Scores, voters' entries and cosines of runs of texts."""
         a, b = self.curve
-        out = float(1 / (1 + np.exp(-(a + b * odds)))), [(self.ids[i], c) for i, c in voters[:5]]
-        if seen is not None and len(seen) < 10_000:
-            seen[key] = out
-        return out
+        for _, _, data, offsets in slices(texts):
+            rows = bags(data, offsets, self.vocabulary)
+            for i in range(0, len(offsets) - 1, TEXTS):
+                odds, found, cosines = self.votes(rows.part(i, min(i + TEXTS, len(offsets) - 1)))
+                yield 1 / (1 + np.exp(-(a + b * odds))) if len(self.rows) or self.zero[0] else np.zeros(len(odds)), found, cosines
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
@@ -181,36 +204,57 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
     return (float(w[0]), float(w[1])) if w[1] > 0 else (0.0, 1.0)
 
 
+def _signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(hashes.view(np.int64))
+
+
 def _term_counts(sample: DataFrame) -> DataFrame:
+    """Examples, and toxic ones, that hold each term."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every, bad = Counter(), Counter()
-            for data, toxic in zip(batch.column(0).cast(pa.large_binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = set(chain.from_iterable(map(features, set(words(data)))))
-                every.update(own)
-                if toxic:
-                    bad.update(own)
-            yield pa.RecordBatch.from_arrays([pa.array(list(every), pa.binary()), pa.array(list(every.values()), pa.int64()), pa.array([bad[w] for w in every], pa.int64())], names=["word", "n", "n_toxic"])
+            labels = batch.column(1).to_numpy(zero_copy_only=False)
+            for a, _, data, offsets in slices(batch.column(0)):
+                hashes, text = term_hashes(data, offsets)
+                order = np.lexsort((text, hashes))
+                hashes, text = hashes[order], text[order]
+                new = np.ones(len(hashes), bool)
+                new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+                own, which = np.unique(hashes[new], return_inverse=True)
+                bad = np.bincount(which, labels[a + text[new]] > 0, len(own)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([_signed(own), pa.array(np.bincount(which, minlength=len(own)).astype(np.int64)), pa.array(bad)], names=["term", "n", "n_toxic"])
 
-    return sample.select("text", "toxic").mapInArrow(run, "word binary, n long, n_toxic long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
+    return sample.select("text", "toxic").mapInArrow(run, "term long, n long, n_toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
 
 
-def _document_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[int, np.ndarray]:
+def _document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
     """Rows, and rows that hold each term, over all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # terms of the bounded examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, counts, known = 0, np.zeros(len(terms), np.int64), _Known(terms)
+        rows, counts = 0, np.zeros(len(shared.value), np.int64)
         for batch in batches:
             rows += batch.num_rows
-            for data in batch.column(0).cast(pa.large_binary()).to_pylist():
-                counts[list(set(chain.from_iterable(map(known.__getitem__, words(data)))))] += 1
-        yield pa.RecordBatch.from_pydict({"term": np.arange(-1, len(terms)), "n": np.concatenate([[rows], counts])})
+            for _, _, data, offsets in slices(batch.column(0)):
+                counts += np.bincount(bags(data, offsets, shared.value).terms, minlength=len(counts))
+        held = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"term": np.append(-1, held), "n": np.append(rows, counts[held])})
 
-    got = docs.select(F.col("text").cast("string")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas().set_index("term").n
-    return int(got.get(-1, 0)), np.array([got.get(i, 0) for i in range(len(terms))], float)
+    got = docs.select(F.col("text").cast("string")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(len(vocabulary) + 1, np.int64)
+    out[got.term] = got.n  # -1, all rows, is the last place
+    return int(out[-1]), out[:-1].astype(float)
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, least_chi2: float = 45.0, least_lift: float = 3.0) -> ToxicityModel:
+def association(n: np.ndarray, n_toxic: np.ndarray, rows: int, toxic: int) -> np.ndarray:
+    """From 0.0004 to about 1: how surely the log-odds of the label differ with the term."""
+    a, b = n_toxic + 0.5, n - n_toxic + 0.5
+    other_a, other_b = toxic - n_toxic + 0.5, rows - toxic - (n - n_toxic) + 0.5
+    z2 = np.log(a * other_b / (b * other_a)) ** 2 / (1 / a + 1 / b + 1 / other_a + 1 / other_b)
+    return (0.02 + z2 / (z2 + 20)) ** 2
+
+
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> ToxicityModel:
     """Learn from labelled rows whose crc32(doc_id as text) mod 4 is not 2.
 
     ``examples`` bounds the labelled rows learnt from: those of the smallest hash of their id.
@@ -226,46 +270,55 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     share = min(1.0, 1.05 * examples / max(usable.count(), 1))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
     given = usable.filter(place < int(share * (1 << 32))).orderBy(place, "doc_id").limit(examples)  # a little more than ``examples`` rows are sorted
-    sample = rows.join(F.broadcast(given), "doc_id")  # at most ``examples`` rows are broadcast
-    n, bad = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    sample = saved(rows.join(F.broadcast(given), "doc_id"), "examples")  # at most ``examples`` rows are broadcast
+    n, bad = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("toxic") > 0).cast("int")), F.lit(0))).first()
     if not n:
-        return ToxicityModel({}, np.empty(0), None, np.empty(0), np.empty(0), [], (0, 0), 0.0)
-    counts = _term_counts(sample).filter(F.col("n") >= 3)
-    a, b = F.col("n_toxic").cast("double"), (F.col("n") - F.col("n_toxic")).cast("double")
-    good = n - bad
-    chi2 = F.lit(float(n)) * F.pow(a * good - b * bad, F.lit(2.0)) / (F.greatest(F.lit(bad * good), F.lit(1)).cast("double") * (a + b) * F.greatest(n - a - b, F.lit(1.0)))
-    lift = (a + 0.5) / (bad + 1.0) / ((b + 0.5) / (good + 1.0))
-    chosen = counts.select("word", chi2.alias("chi2"), lift.alias("lift")).filter((F.col("chi2") >= least_chi2) & ((F.col("lift") >= least_lift) | (F.col("lift") <= 1 / least_lift))).orderBy(F.desc("chi2"), "word").limit(terms).collect()
-    at = {bytes(r.word): i for i, r in enumerate(chosen)}
-    total, df = _document_frequencies(rows, at)
-    idf = np.append(np.log((1 + total) / (1 + df)) + 1, 1.0)
+        return ToxicityModel(np.empty(0, np.uint64), np.empty(0), None, np.empty(0), np.empty(0), np.empty(0), (0, 0), 0.5)
+    counts = _term_counts(sample).toPandas()  # terms of the bounded examples
+    hashes = counts.term.to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    vocabulary = hashes[order]
+    total, df = _document_frequencies(rows, vocabulary)
+    strength = association(counts.n.to_numpy(float)[order], counts.n_toxic.to_numpy(float)[order], n, bad)
+    weights = (np.log((1 + total) / (1 + df)) + 1) * strength
+    shared = sample.sparkSession.sparkContext.broadcast(vocabulary)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(at)
         for batch in batches:
-            keys = [known.counts(data) for data in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([[t for t, _ in k] for k in keys], pa.list_(pa.int32())), pa.array([[c for _, c in k] for k in keys], pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms", "counts"])
-
-    got = sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>").groupBy("terms", "counts").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).orderBy("terms", "counts").collect()
-    zero = next(((r.n, r.toxic) for r in got if not r.terms), (0, 0))
-    kept = [r for r in got if r.terms]
-    model = ToxicityModel(at, idf, None, np.array([r.n for r in kept]), np.array([r.toxic for r in kept]), [r.doc_id for r in kept], zero, bad / n)
-    if kept:
-        matrix = np.zeros((len(kept), len(idf)), np.float32)
-        for i, r in enumerate(kept):
-            matrix[i, r.terms] = model.weigh(r.terms, r.counts)
-        model.index = BlockMaxIndex(matrix)
+            for a, b, data, offsets in slices(batch.column(1)):
+                own = bags(data, offsets, shared.value)
+                lists = [pa.ListArray.from_arrays(pa.array(own.at.astype(np.int32)), pa.array(v.astype(np.int32))) for v in (own.terms, own.counts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), *lists], names=["doc_id", "toxic", "terms", "counts"])
+
+    got = (
+        sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>")
+        .groupBy("terms", "counts")
+        .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.sum((F.col("toxic") > 0).cast("int")).alias("toxic"))
+        .toPandas()
+    )
+    discard(sample)
+    none = got.terms.map(len) == 0
+    zero = (int(got.n[none].sum()), int(got.toxic[none].sum()))
+    got = got[~none].assign(clean=lambda d: d.toxic == 0).sort_values(["clean", "doc_id", "n"], kind="stable")  # toxic entries share blocks
+    at = np.concatenate([[0], np.cumsum(got.terms.map(len).to_numpy(np.int64))]).astype(np.int64)
+    entries = Bags(at, *(np.concatenate([np.empty(0, np.int64), *got[c]]).astype(np.int64) for c in ("terms", "counts")))
+    model = ToxicityModel(vocabulary, weights, None, got.n.to_numpy(), got.toxic.to_numpy(), got.doc_id.to_numpy(), zero, min(max(bad / n, 0.5 / n), 1 - 0.5 / n))
+    if len(got):
+        model.index = BlockMaxIndex(at, entries.terms, model.weigh(entries), len(vocabulary))
+    empty = Bags(np.zeros(2, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
     votes, y, weight = [], [], []
-    for i, (own_n, own_bad, entry) in enumerate([(r.n, r.toxic, r) for r in kept] + [(*zero, None)]):
-        for label, rows_of in ((1, own_bad), (0, own_n - own_bad)):
-            if rows_of:
-                terms_of = (entry.terms, model.weigh(entry.terms, entry.counts)) if entry else ([], np.empty(0))
-                votes.append(model.vote(*terms_of, without=(i, label))[0])
-                y.append(label * rows_of)
-                weight.append(rows_of)
-    model.curve = _logistic(np.array(votes), np.array(y, float), np.array(weight, float))
-    if model.index is not None:
-        model.index.vectors = np.empty((0, 0), np.float32)  # tasks need only the lists
+    for label, own_rows, zero_rows in ((1, model.toxic, zero[1]), (0, model.rows - model.toxic, zero[0] - zero[1])):
+        for i in range(0, len(got), TEXTS):
+            j = min(i + TEXTS, len(got))
+            votes.append(model.votes(entries.part(i, j), np.arange(i, j), label)[0])
+            weight.append(own_rows[i:j])
+        if zero_rows:
+            votes.append(model.votes(empty, np.array([-2]), label)[0])
+            weight.append(np.array([zero_rows]))
+        y += [label] * (sum(map(len, votes)) - len(y))
+    n_rows = np.concatenate(weight).astype(float)
+    used = n_rows > 0
+    model.curve = _logistic(np.concatenate(votes)[used], (np.array(y) * n_rows)[used], n_rows[used])
     return model
 
 
@@ -274,11 +327,14 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the parameters of fit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict = {}
+        ids = shared.value.ids
         for batch in batches:
-            got = [shared.value.score(data, seen) for data in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            evidence = pa.array([[{"doc_id": i, "cosine": c} for i, c in e] for _, e in got], pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in got], pa.float64()), evidence], names=["doc_id", "score", "evidence"])
+            values, evidence = [], []
+            for own, found, cosines in shared.value.scores(batch.column(1)):
+                values += own.tolist()
+                evidence += [[{"doc_id": int(ids[i]), "cosine": c} for i, c in zip(f, cs, strict=True) if i >= 0] for f, cs in zip(found[:, :5].tolist(), cosines[:, :5].tolist(), strict=True)]
+            evidence = pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64()), evidence], names=["doc_id", "score", "evidence"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double>>")
 
@@ -288,10 +344,9 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) ->
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict = {}
         for batch in batches:
-            clean = [shared.value.score(data, seen)[0] < threshold for data in batch.column(at).cast(pa.large_binary()).to_pylist()]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            clean = [own < threshold for own, _, _ in shared.value.scores(batch.column(at))]
+            yield batch.filter(pa.array(np.concatenate([np.empty(0, bool), *clean]), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -173,15 +173,44 @@ def test_substring_dedup_of_short_null_and_clashing_rows(spark):
 
 def test_nearest_by_blocks_is_exact():
     rng = np.random.default_rng(6)
-    x = np.where(rng.random((500, 30)) < 0.15, rng.random((500, 30)), 0).astype(np.float32)
+    share = np.concatenate([np.full(20, 0.3), np.full(200, 0.02)])  # frequent and rare terms
+    x = np.where(rng.random((500, 220)) < share, rng.random((500, 220)), 0)
+    x[100:140] = x[100]  # ties
+    x[7] = 0
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    index = toxicity.BlockMaxIndex(x.copy(), block=16)
-    for q in x[:60]:
-        terms = np.flatnonzero(q).tolist()
-        if terms:
-            found, cosines = index.nearest(terms, q[terms].astype(float), 7)
-            want = np.sort(x.astype(float) @ q.astype(float))[::-1][:7]
-            assert np.allclose(cosines, want[: len(cosines)], atol=1e-6) and (len(cosines) == 7 or want[len(cosines)] <= 1e-9)
+    at = np.concatenate([[0], np.cumsum((x > 0).sum(axis=1))])
+    terms = np.nonzero(x)[1]
+    for block in (16, 64, 1000):
+        index = toxicity.BlockMaxIndex(at, terms, x[x > 0], 220, block=block)
+        assert 0 < len(index.tops) < 220
+        found, cosines = index.nearest(at, terms, x[x > 0], 7)
+        for i, q in enumerate(x):
+            all_ = np.rint((x @ q) * 1e5)
+            want = [j for j in np.lexsort((np.arange(500), -all_))[:7] if all_[j] > 0]
+            got = [j for j in found[i] if j >= 0]
+            assert np.abs(cosines[i, : len(want)] * 1e5 - all_[want]).max(initial=0) <= 1 and len(got) == len(want)
+            assert np.abs(all_[got] - all_[want]).max(initial=0) <= 1
+        assert found[100].tolist() == list(range(100, 107))
+
+
+def test_bags_and_weights_equal_plain_counts(spark):
+    rows = [(1, "Good good-day Daylight"), (2, None), (3, "daylights of É"), (4, ""), (5, "good")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i == 3)) for i, _ in rows], "doc_id long, toxic int"))
+    usable = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+
+    def own(text):
+        found = [w.lower() if w.isascii() else w for w in re.findall(r"[A-Za-z0-9\x80-\U0010ffff]+", text or "")]
+        return Counter(found + [w[:5] + "-" for w in found if len(w.encode()) > 5])
+
+    terms = {t for _, text in usable for t in own(text)}
+    assert len(model.vocabulary) == len(terms)
+    idf = sorted(np.log(6 / (1 + sum(t in own(text) for _, text in rows))) + 1 for t in terms)
+    n = {t: sum(t in own(text) for _, text in usable) for t in terms}
+    bad = {t: sum(t in own(text) for i, text in usable if i == 3) for t in terms}
+    strength = {t: toxicity.association(np.array([n[t]]), np.array([bad[t]]), len(usable), sum(i == 3 for i, _ in usable))[0] for t in terms}
+    want = sorted((np.log(6 / (1 + sum(t in own(text) for _, text in rows))) + 1) * strength[t] for t in terms)
+    assert np.allclose(sorted(model.term_weights), want) and min(idf) > 0 and min(want) > 0
 
 
 def test_toxicity(spark):
@@ -198,6 +227,8 @@ def test_toxicity(spark):
     assert all(r.predicted == int(r.doc_id % 5 == 0) for r in held) and got[1002].predicted == 1 and got[1000].predicted == got[1001].predicted == 0
     kept = toxicity.keep_clean(docs, toxicity.fit(docs, labels))
     assert kept.columns == docs.columns and kept.count() == sum(1 - r.predicted for r in got.values())
+    long = spark.createDataFrame([(0, texts[0][1] * 3000, "x"), (1, None, "x")], SCHEMA)
+    assert [r.predicted for r in toxicity.score(long, toxicity.fit(docs, labels)).selectExpr("doc_id", "int(score >= 0.3) predicted").orderBy("doc_id").collect()] == [1, 0]
     none = toxicity.digests(docs, labels.limit(0))
     assert none.filter("score <> 0").count() == 0 and toxicity.digests(docs.limit(0), labels).count() == 0
 
