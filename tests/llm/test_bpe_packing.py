@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
+from pyspark.sql import functions as F  # noqa: E402
+
 from cohortry.llm.bpe import ByteBPE, encode_digests, encode_documents, leaves  # noqa: E402
-from cohortry.llm.packing import best_fit, cut_lengths, pack  # noqa: E402
+from cohortry.llm.packing import cut_lengths, depths, pack, ranked, slot_counts, sweep  # noqa: E402
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = ["a", "the", "'s", "'", " ", "  ", "\n", "!!", "12", "é", "ß", "漢字", "😀", "<|endoftext|>", "\x85", "\xa0", "x" * 30, "ing", "…", "\x1c", "²"]
@@ -85,18 +87,45 @@ def test_packing(spark, library):
     assert pack(spark.createDataFrame([], SCHEMA), PATH).count() == 0
 
 
-def test_best_fit_equals_one_by_one():
+def one_by_one(sizes, capacity):
+    """Sequences that serial best fit by descending length takes."""
+    gaps = []
+    for s in sorted(sizes, reverse=True):
+        fit = min((g for g in gaps if g >= s), default=None)
+        if fit is None:
+            gaps.append(capacity - s)
+        else:
+            gaps[gaps.index(fit)] -= s
+    return len(gaps)
+
+
+def test_sequences_close_to_one_by_one(spark):
+    rng = random.Random(3)
+    rows = [(i, "word " * rng.choice([0, 1, 3, 7, 20, 45, 63, 90, 200]), "x") for i in range(400)]
+    got = pack(spark.createDataFrame(rows, SCHEMA), PATH, capacity=64).collect()
+    assert len({r.sequence_id for r in got}) <= 1.01 * one_by_one([r.length for r in got], 64) + 1
+
+
+def test_sweep_equals_one_by_one(spark):
     rng = random.Random(4)
-    for _ in range(50):
-        sizes = [rng.randint(1, 32) for _ in range(rng.randint(1, 200))]
-        gaps = []
-        for s in sorted(sizes, reverse=True):
-            fit = min((g for g in gaps if g >= s), default=None)
-            if fit is None:
-                gaps.append(32 - s)
-            else:
-                gaps[gaps.index(fit)] -= s
-        plan = best_fit({s: sizes.count(s) for s in set(sizes)}, 32)
-        used = {int(r.sequence + k // r.per) for r in plan.itertuples() for k in range(r.n)}
-        assert len(used) == len(gaps)
+    for n_slots, n_docs in ((40, 40), (60, 20), (10, 50)):
+        sizes, lengths = [rng.randint(1, 32) for _ in range(n_slots)], [rng.randint(1, 32) for _ in range(n_docs)]
+        slots = spark.createDataFrame(list(enumerate(sizes)), "sequence_id long, size long")
+        docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, size long")
+        a, b = np.bincount(sizes, minlength=33), np.bincount(lengths, minlength=33)
+        before, matched = depths(a, b)
+        found = sweep(ranked(slots, a, "sequence_id"), ranked(docs, b, "doc_id").withColumn("nth", F.col("k")), a, before).collect()
+        assert len({r.sequence_id for r in found}) == len({r.doc_id for r in found}) == len(found) == matched.sum()
+        free, want = list(sizes), []
+        for length in sorted(lengths, reverse=True):
+            if (fit := min((s for s in free if s >= length), default=None)) is not None:
+                free.remove(fit)
+                want.append((length, fit))
+        assert sorted((r.size, sizes[r.sequence_id]) for r in found) == sorted(want)
+
+
+def test_slots_and_cuts():
+    gaps = np.zeros(65, np.int64)
+    gaps[[10, 20, 64]] = 1, 2, 3
+    assert {i: int(n) for i, n in enumerate(slot_counts(gaps, 10, 16)) if n} == {16: 3 * 4, 20: 2}
     assert cut_lengths(64, 64) == [64] and cut_lengths(130, 64) == [2, 64, 64]
