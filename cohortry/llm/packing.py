@@ -65,6 +65,8 @@ def _by_size(values: np.ndarray) -> Column:
 
 def ranked(rows: DataFrame, counts: np.ndarray, *key: str) -> DataFrame:
     """``rows`` with k, a rank from 0 among the rows of one size; ``counts`` are the rows of each size, which is ranked in parts of ``ROWS``."""
+    if counts.max() <= ROWS:  # each size is one part
+        return rows.withColumn("k", F.row_number().over(Window.partitionBy("size").orderBy(*key)).cast("long") - 1)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(*key), _by_size(np.maximum(1, -(-counts // ROWS)))).cast("int"))
     before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = salted.groupBy("size", "salt").count().select("size", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))

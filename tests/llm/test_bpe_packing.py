@@ -106,7 +106,9 @@ def test_sequences_close_to_one_by_one(spark):
     assert len({r.sequence_id for r in got}) <= 1.01 * one_by_one([r.length for r in got], 64) + 1
 
 
-def test_sweep_equals_one_by_one(spark):
+@pytest.mark.parametrize("part", [2_000, 3])
+def test_sweep_equals_one_by_one(spark, monkeypatch, part):
+    monkeypatch.setattr("cohortry.llm.packing.ROWS", part)
     rng = random.Random(4)
     for n_slots, n_docs in ((40, 40), (60, 20), (10, 50)):
         sizes, lengths = [rng.randint(1, 32) for _ in range(n_slots)], [rng.randint(1, 32) for _ in range(n_docs)]
