@@ -1,4 +1,4 @@
-"""The thin registered queries of the ten operators: operator plus the digest columns of its contract."""
+"""The thin registered queries of the operators: operator plus the digest columns of its contract."""
 
 from __future__ import annotations
 
@@ -75,8 +75,18 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_wrapper_extraction, op2_log_bilinear_lm, op3_prefix_fingerprints, op4_best_fit_packing, op5_spherical_cap_filters, op6_ngram_jaccard_join, op7_secret_scan, op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree)}
+    every = (
+        op1_wrapper_extraction, op2_log_bilinear_lm, op3_prefix_fingerprints, op4_best_fit_packing, op5_spherical_cap_filters, op6_ngram_jaccard_join, op7_secret_scan,
+        op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree, op11_whitening,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
