@@ -81,13 +81,25 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact_dedup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_wrapper_extraction, op2_log_bilinear_lm, op3_prefix_fingerprints, op4_best_fit_packing, op5_spherical_cap_filters, op6_ngram_jaccard_join, op7_secret_scan,
-        op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree, op11_whitening,
+        op8_toxicity_knn, op9_substring_dedup, op10_bpe_tree, op11_whitening, op12_exact_dedup,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_exact_dedup": OP12_SQL}
