@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .filters import non_staff
 
@@ -67,10 +68,25 @@ def rows_by_assessment(rows: DataFrame, ids: DataFrame | None = None) -> DataFra
     return n if ids is None else ids.select("assessment_guid").distinct().join(n, "assessment_guid", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
+def column_keys(rows: DataFrame) -> DataFrame:
+    """(assessment_guid, kind, key, position): the distinct keys of metadata (kind 0) and then of data (1) of each assessment, each sorted and numbered from 1.
+
+    Keys are made distinct within tasks before they are sent, and numbered by a sort that spills, so an assessment may have any number of them.
+    """
+    part = lambda c, kind: rows.select("assessment_guid", F.lit(kind).alias("kind"), F.explode(F.map_keys(c)).alias("key"))
+    own = Window.partitionBy("assessment_guid").orderBy("kind", "key")
+    return part("metadata", 0).unionByName(part("data", 1)).distinct().withColumn("position", F.row_number().over(own).cast("long"))
+
+
+def keys_by_assessment(keys: DataFrame) -> DataFrame:
+    """(assessment_guid, metadata_keys, data_keys) of ``column_keys``: arrays, for assessments with few enough keys for a row."""
+    of = lambda kind: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("key"))))
+    return keys.groupBy("assessment_guid").agg(of(0).alias("metadata_keys"), of(1).alias("data_keys"))
+
+
 def column_union(rows: DataFrame) -> DataFrame:
     """(assessment_guid, metadata_keys, data_keys), each sorted."""
-    part = lambda c, name: rows.select("assessment_guid", F.explode(F.map_keys(c)).alias("k")).groupBy("assessment_guid").agg(F.array_sort(F.collect_set("k")).alias(name))
-    return part("metadata", "metadata_keys").join(part("data", "data_keys"), "assessment_guid", "full")
+    return keys_by_assessment(column_keys(rows))
 
 
 def distinct_attachments(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -71,12 +71,7 @@ def reminder_eligible_users(participants: DataFrame, consents: DataFrame, last_n
 def burst_start_events(events: DataFrame, config: DataFrame) -> DataFrame:
     """Events whose id is among the start events of the app's config."""
     ids = config.select("app_id", F.explode("start_event_ids").alias("event_id"))
-    return events.join(sent(ids), ["app_id", "event_id"], "left_semi")
-
-
-def sent(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """A dimension, marked for broadcast if a look at its first rows shows that it is small enough to be sent to every task."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return events.join(ids, ["app_id", "event_id"], "left_semi")
 
 
 def non_staff(participants: DataFrame) -> DataFrame:
@@ -113,17 +108,17 @@ def schema_key_audit(payloads: DataFrame, schema: DataFrame, ignored: DataFrame
     Tables that are neither in it nor ignored (endpoint_id, table_key), tables that are neither array nor object, and columns that their
     table lacks; column_id is null but for the last.
     """
-    tables = sent(schema.select("endpoint_id", "table_key").distinct())
+    tables = schema.select("endpoint_id", "table_key").distinct()
     keys = payloads.select("endpoint_id", F.explode(F.from_json("payload", "map<string,string>")).alias("table_key", "raw"))
     other = keys.join(tables, ["endpoint_id", "table_key"], "left_anti")
     if ignored is not None:
-        other = other.join(sent(ignored.select("endpoint_id", "table_key")), ["endpoint_id", "table_key"], "left_anti")
+        other = other.join(ignored.select("endpoint_id", "table_key"), ["endpoint_id", "table_key"], "left_anti")
     known = keys.join(tables, ["endpoint_id", "table_key"], "left_semi")
     array, single = F.startswith("raw", F.lit("[")), F.startswith("raw", F.lit("{"))
     odd = known.filter(F.col("raw").isNull() | ~(array | single))
     rows = known.select("endpoint_id", "table_key", F.explode(F.when(array, F.from_json("raw", "array<string>")).when(single, F.array("raw"))).alias("object"))
     names = rows.select("endpoint_id", "table_key", F.explode(F.json_object_keys("object")).alias("column_id"))
-    columns = names.join(sent(schema.select("endpoint_id", "table_key", "column_id")), ["endpoint_id", "table_key", "column_id"], "left_anti")
+    columns = names.join(schema.select("endpoint_id", "table_key", "column_id"), ["endpoint_id", "table_key", "column_id"], "left_anti")
     none = F.lit(None).cast("string").alias("column_id")
     found = [
         other.select("endpoint_id", "table_key", none, F.lit("unexpected table").alias("problem")), odd.select("endpoint_id", "table_key", none, F.lit("neither array nor object").alias("problem")),

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
-from .filters import export_configured, sent
+from .filters import export_configured
 
 # Fixed values.
 ATTACHMENT_TYPES = ("attachment_blob", "attachment_csv", "attachment_json_blob", "attachment_json_table", "attachment_v2")
 METADATA_FIELDS = ("deviceInfo", "startDate", "endDate")
 COMMON_COLUMNS = ("recordId", "studyIds", "assessmentGuid", "createdOn", "isTestData", "clientInfo", "healthCode", "participantVersion", "userAgent", "phoneInfo", "dataGroups")
 ROSTER_EXCLUDED = ("orgMembership", "type")
+LINKED_ACCOUNT = r".+UserId"  # fields with a participant's id in another system
 NO_ASSESSMENT_APPS = ("arc", "inv-arc")
 CONTAINER_ASSESSMENT = "container"
 
@@ -24,7 +27,7 @@ def table_objects(payloads: DataFrame, schema: DataFrame) -> DataFrame:
     A top-level array has a row per object, an object one; empty objects are left out.
     """
     keys = payloads.select("health_code", "created_date", "endpoint_id", F.explode(F.from_json("payload", "map<string,string>")).alias("table_key", "raw"))
-    tables = keys.join(sent(schema.select("endpoint_id", "table_key").distinct()), ["endpoint_id", "table_key"], "left_semi")
+    tables = keys.join(schema.select("endpoint_id", "table_key").distinct(), ["endpoint_id", "table_key"], "left_semi")
     row = F.when(F.startswith("raw", F.lit("[")), F.from_json("raw", "array<string>")).when(F.startswith("raw", F.lit("{")), F.array("raw"))
     rows = tables.select("health_code", "created_date", "endpoint_id", "table_key", F.posexplode(row).alias("row_no", "object"))
     return rows.filter(F.startswith("object", F.lit("{")) & ~F.rlike("object", F.lit(r"^\{\s*\}$")))
@@ -40,7 +43,7 @@ def tabulate_json(payloads: DataFrame, schema: DataFrame) -> DataFrame:
     whole = schema.select("endpoint_id", "table_key").distinct().select("*", F.lit("rawData").alias("column_id"), F.lit("FILEHANDLEID").alias("kind"), F.lit(None).cast("int").alias("max_length"))
     known = schema.filter("column_id <> 'rawData'").select(*names).unionByName(whole)
     tokens = F.map_concat(F.from_json("object", "map<string,variant>"), F.create_map(F.lit("rawData"), F.parse_json(F.lit("null"))))
-    cells = table_objects(payloads, schema).select("*", F.explode(tokens).alias("column_id", "v")).join(sent(known), names[:3])
+    cells = table_objects(payloads, schema).select("*", F.explode(tokens).alias("column_id", "v")).join(known, names[:3])
     typed = cells.withColumn("token", F.schema_of_variant("v")).withColumn("text", F.to_json("v"))
     nested = F.startswith("text", F.lit("{")) | F.startswith("text", F.lit("["))
     raw = F.when(nested, F.try_element_at(F.from_json("object", "map<string,string>"), "column_id")).otherwise(F.col("text"))  # nested JSON keeps its order of keys
@@ -134,13 +137,14 @@ def export_manifest(fanout: DataFrame, records: DataFrame, studies: DataFrame, a
     return grouped.agg(F.max(F.when(F.col("study_id").isNull(), F.col("record"))).alias("app_record"), F.map_from_entries(F.sort_array(pairs)).alias("study_records"))
 
 
-def study_table_rows(rows: DataFrame, fanout: DataFrame, studies: DataFrame, participants: DataFrame) -> DataFrame:
-    """A copy of an upload row for each of its studies with an upload table, with that study's external id; only beside an app-level export.
+def study_table_rows(rows: DataFrame, fanout: DataFrame, studies: DataFrame, participants: DataFrame, apps: DataFrame) -> DataFrame:
+    """A copy of an upload row for each of its studies with an upload table, with that study's external id; only beside an app-level export, by an app whose own upload table is on.
 
-    ``rows`` has record_id, user_id and metadata; ``participants`` has external_ids, a map by study.
+    ``rows`` has record_id, user_id and metadata; ``participants`` has external_ids, a map by study; ``apps`` and ``studies`` have upload_table (null is off).
     """
-    at_app = fanout.filter("study_id is null").select("record_id")
-    on = export_configured(studies).filter("upload_table").select("study_id").distinct()
+    tabled = apps.filter(F.coalesce("upload_table", F.lit(False))).select("app_id").distinct()
+    at_app = fanout.filter("study_id is null").join(tabled, "app_id", "left_semi").select("record_id")
+    on = export_configured(studies).filter(F.coalesce("upload_table", F.lit(False))).select("study_id").distinct()
     targets = fanout.filter("study_id is not null").join(at_app, "record_id", "left_semi").join(on, "study_id", "left_semi").select("record_id", "study_id")
     own = participants.select("user_id", F.explode("external_ids").alias("study_id", "_external"))
     each = rows.join(targets, "record_id").join(own, ["user_id", "study_id"], "left")
@@ -149,10 +153,10 @@ def study_table_rows(rows: DataFrame, fanout: DataFrame, studies: DataFrame, par
 
 
 def flatten_roster(participants: DataFrame, excluded: tuple[str, ...] = ROSTER_EXCLUDED) -> DataFrame:
-    """Every field but the excluded ones as text: objects as JSON, arrays and missing values empty."""
+    """Every field but the excluded ones and those of linked accounts as text: objects as JSON, arrays and missing values empty."""
     out = []
     for f in participants.schema.fields:
-        if f.name in excluded:
+        if f.name in excluded or re.fullmatch(LINKED_ACCOUNT, f.name):
             continue
         if isinstance(f.dataType, T.ArrayType):
             value = F.lit("")

@@ -19,8 +19,9 @@ def study_fanout(records: DataFrame, participants: DataFrame, schedule_studies:
     """
     member = participants.select("user_id", F.explode("study_ids").alias("study_id")).distinct()
     all_ = records.select("record_id", "app_id", "user_id", "schedule_guid").join(member, "user_id")
-    using = schedule_studies.select("schedule_guid", "study_id").distinct().withColumn("_uses", F.lit(True))
-    picked = all_.join(using, ["schedule_guid", "study_id"], "left").filter(F.col("schedule_guid").isNull() | F.col("_uses").isNotNull())
+    using = schedule_studies.select("schedule_guid", "study_id").distinct()
+    free = all_.filter("schedule_guid is null")  # past the join: as a key, null would gather them in one task
+    picked = free.unionByName(all_.filter("schedule_guid is not null").join(using, ["schedule_guid", "study_id"], "left_semi"))
     by_study = picked.join(export_configured(studies).select("study_id").distinct(), "study_id").select("record_id", "app_id", "study_id")
     by_app = records.join(export_configured(apps).select("app_id"), "app_id", "left_semi").select("record_id", "app_id", F.lit(None).cast("string").alias("study_id"))
     return by_study.unionByName(by_app)
@@ -51,7 +52,8 @@ def user_endpoint_pairs(users: DataFrame, endpoints: DataFrame) -> DataFrame:
 def timeline_enrich(records: DataFrame, timeline: DataFrame) -> DataFrame:
     """``metadata`` with the timeline's on top, by instance guid; without one it stays."""
     more = timeline.select("instance_guid", F.col("metadata").alias("_more"))
-    return records.join(more, "instance_guid", "left").withColumn("metadata", F.when(F.col("_more").isNull(), F.col("metadata")).otherwise(F.map_concat("metadata", "_more"))).drop("_more")
+    placed = records.filter("instance_guid is not null").join(more, "instance_guid", "left").withColumn("metadata", F.when(F.col("_more").isNull(), F.col("metadata")).otherwise(F.map_concat("metadata", "_more"))).drop("_more")
+    return placed.unionByName(records.filter("instance_guid is null"))
 
 
 def assessment_lookup(rows: DataFrame, local: DataFrame, shared: DataFrame) -> DataFrame:
@@ -79,24 +81,51 @@ def replace_file_handles(rows: DataFrame, summaries: DataFrame, columns: list[st
     return out.select(*rows.columns)
 
 
-def user_data_extract(requests: DataFrame, participants: DataFrame, data_rows: DataFrame) -> DataFrame:
-    """Rows of each request's user from start to end date, both included."""
+def date_bin(c, bin_days: int):
+    return F.floor(F.unix_date(c) / bin_days).cast("int")
+
+
+def spread_requests(requests: DataFrame, participants: DataFrame, data_rows: DataFrame, bin_days: int, most: int) -> DataFrame:
+    """(health_code, bin, chunk, chunks, request_id, start_date, end_date): a request's row for each bin of dates that it touches among the rows' dates.
+
+    Where a user has more than ``most`` requests in a bin, they are dealt into chunks of about as many.
+    """
+    dates = data_rows.agg(F.min("upload_date").alias("low"), F.max("upload_date").alias("high"))
     who = requests.join(participants.select("user_id", "health_code"), "user_id").select("request_id", "health_code", "start_date", "end_date")
-    return data_rows.join(who, "health_code").filter("upload_date between start_date and end_date").drop("start_date", "end_date")
+    clipped = who.withColumn("_from", F.greatest("start_date", dates.select("low").scalar())).withColumn("_to", F.least("end_date", dates.select("high").scalar()))
+    bins = F.when(F.col("_from") <= F.col("_to"), F.sequence(date_bin(F.col("_from"), bin_days), date_bin(F.col("_to"), bin_days)))
+    each = clipped.select("request_id", "health_code", "start_date", "end_date", F.explode(bins).alias("bin"))
+    chunks = each.groupBy("health_code", "bin").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("chunks"))
+    return each.join(chunks, ["health_code", "bin"]).withColumn("chunk", F.pmod(F.xxhash64("request_id"), F.col("chunks")).cast("int"))
+
+
+def user_data_extract(requests: DataFrame, participants: DataFrame, data_rows: DataFrame, bin_days: int = 32, most: int = 500) -> DataFrame:
+    """``data_rows`` of each request's user from start to end date, both included, with its request_id.
+
+    Rows meet requests in bins of dates, so a row is only compared with requests near its date; a row without any goes before that. A row
+    is copied once for each chunk of a user's requests in its bin.
+    """
+    spread = spread_requests(requests, participants, data_rows, bin_days, most)
+    wanted = spread.groupBy("health_code", "bin").agg(F.max("chunks").alias("_chunks"))
+    rows = data_rows.withColumn("bin", date_bin(F.col("upload_date"), bin_days)).join(wanted, ["health_code", "bin"])
+    dealt = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks")
+    return dealt.join(spread.drop("chunks"), ["health_code", "bin", "chunk"]).filter("upload_date between start_date and end_date").select("request_id", *data_rows.columns)
 
 
 def extract_tables(requests: DataFrame, participants: DataFrame, tables: dict[str, DataFrame], whole: dict[str, DataFrame]) -> DataFrame:
     """(request_id, table_id, kind, row): rows, as JSON, of every mapped table for each request's user and dates, and of the request's app every survey or metadata table whole.
 
-    Mapped tables have health_code and upload_date, the others app_id.
+    Mapped tables have health_code and upload_date, the others app_id. All mapped tables are joined at once, and so are all others.
     """
     parts = []
-    for name, rows in tables.items():
-        own = user_data_extract(requests, participants, rows)
-        parts.append(own.select("request_id", F.lit(name).alias("table_id"), F.lit("data").alias("kind"), F.to_json(F.struct(*rows.columns)).alias("row")))
-    for name, rows in whole.items():
-        own = rows.join(requests.select("request_id", "app_id"), "app_id")
-        parts.append(own.select("request_id", F.lit(name).alias("table_id"), F.lit("survey").alias("kind"), F.to_json(F.struct(*rows.columns)).alias("row")))
+    if tables:
+        data = [rows.select("health_code", "upload_date", F.lit(name).alias("table_id"), F.to_json(F.struct(*rows.columns)).alias("row")) for name, rows in tables.items()]
+        own = user_data_extract(requests, participants, reduce(DataFrame.unionByName, data))
+        parts.append(own.select("request_id", "table_id", F.lit("data").alias("kind"), "row"))
+    if whole:
+        every = [rows.select("app_id", F.lit(name).alias("table_id"), F.to_json(F.struct(*rows.columns)).alias("row")) for name, rows in whole.items()]
+        own = reduce(DataFrame.unionByName, every).join(requests.select("request_id", "app_id"), "app_id")
+        parts.append(own.select("request_id", "table_id", F.lit("survey").alias("kind"), "row"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -13,9 +13,12 @@ from ..operators import aggregates as A
 from ..operators import filters as P
 from ..operators import flatten as L
 from ..operators import joins as J
-from ..session import table
+from ..session import prepare, table
 from ..sources import readers as R
 from ..sources import sinks as K
+from ..sources.merged import merge_latest as merge_into
+from ..sources.merged import merged
+from ..sources.published import published
 from ..streaming import streams as X
 from .extensions import summarize
 from .registry import query
@@ -35,7 +38,7 @@ def _folder(spark, name: str) -> str:
 
 
 def _apps(spark, sf_dir):
-    return view(spark, sf_dir, "studies").select("app_id").distinct().withColumns({"export_enabled": F.col("app_id") != "app3", "configured": F.lit(True)})
+    return view(spark, sf_dir, "studies").select("app_id").distinct().withColumns({"export_enabled": F.col("app_id") != "app3", "configured": F.lit(True), "upload_table": F.when(F.col("app_id") != "app2", F.col("app_id") != "app1")})
 
 
 def _versions(spark, sf_dir):
@@ -248,6 +251,11 @@ def column_union(spark, sf_dir):
 _WIDE = """select cast(record_id as varchar) as record_id, coalesce(cast(participant_version as varchar), '') as participant_version, case when kind < 2 then 'a' else '' end as A, case kind when 0 then assessment_guid else '' end as B, case kind when 2 then health_code else '' end as C, case kind when 0 then 'x' else '' end as X, case kind when 0 then '' else health_code end as Y from upload_rows where assessment_guid = 'click'"""
 
 
+@query(with_views("upload_rows", "select assessment_guid, unnest([0, 0, 0, 1, 1]) as kind, unnest(['A', 'B', 'C', 'X', 'Y']) as key, unnest([1, 2, 3, 4, 5]) as position from upload_rows group by assessment_guid having count(distinct kind) = 3"))
+def column_keys(spark, sf_dir):
+    return A.column_keys(_maps(spark, sf_dir))
+
+
 def _wide(spark, sf_dir):
     return L.wide_upload_rows(_maps(spark, sf_dir).filter("assessment_guid = 'click'"), ["B", "A", "C"], ["X", "Y"], ["record_id", "participant_version"])
 
@@ -269,10 +277,10 @@ def write_assessment_csv(spark, sf_dir):
     rows = _maps(spark, sf_dir).select(*(F.expr(own[c]).alias(c) for c in L.COMMON_COLUMNS), "metadata", "data")
     path, guids = _folder(spark, "csv"), ("click", "view")
     names = {r.g: r.name for r in spark.createDataFrame([(g,) for g in guids], "g string").select("g", K.assessment_file_name("study1", "Study One", "g", F.concat(F.lit("First: "), "g")).alias("name")).collect()}
-    written = K.write_assessment_csv(rows, names, path)
-    sets = [spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in columns)).csv(f"{path}/{name}").withColumn("file_name", F.lit(name)) for name, columns in written.items()]
+    K.write_assessment_csv(rows, names, path, rows_per_file=20_000)
+    sets = [spark.read.options(header=True, escape='"', multiLine=True).csv(f"{path}/file_name={name}").drop("part").withColumn("file_name", F.lit(name)) for name in names.values()]
     back = sets[0].unionByName(sets[1], allowMissingColumns=True)
-    return back.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in back.columns))
+    return back.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in back.columns))
 
 
 @query("select c_custkey as healthCode, cast(c_nationkey as varchar) as n, c_mktsegment as segment from customer")
@@ -291,10 +299,17 @@ def append_evolving(spark, sf_dir):
     return out.select("p_partkey", F.coalesce("brand", F.lit("")).alias("brand"), F.coalesce("kind", F.lit("")).alias("kind"))
 
 
-@query("select unnest(['first', 'second']) as append, unnest([(select count(*) from orders where o_orderkey % 2 = 0), (select count(*) from orders where o_orderkey % 2 = 1)]) as n")
+@query("select case when o_orderkey % 2 = 0 then 'first' else 'second' end as append, count(*) as n, sum(o_orderkey)::bigint as ids from orders group by all")
 def append_checked(spark, sf_dir):
-    orders, path = table(spark, sf_dir, "orders"), _folder(spark, "checked")
-    return spark.createDataFrame([(name, K.append_checked(orders.filter(f"o_orderkey % 2 = {k}"), path)) for k, name in enumerate(("first", "second"))], "append string, n long")
+    """Two appends, one of them twice under its name, and one that must fail and leave no row."""
+    orders, path = table(spark, sf_dir, "orders").select("o_orderkey"), _folder(spark, "checked")
+    for k, name in enumerate(("first", "second", "second")):
+        K.append_checked(orders.filter(f"o_orderkey % 2 = {k and 1}").withColumn("append", F.lit(name)), path, name)
+    try:
+        K.append_checked(orders.withColumn("append", F.lit("wrong")), path, expected=-1)
+    except ValueError:
+        pass
+    return published(spark, path, "o_orderkey long, append string").groupBy("append").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("ids"))
 
 
 @query("select o_custkey, max(o_orderkey) as o_orderkey from orders group by all")
@@ -303,6 +318,16 @@ def upsert_latest(spark, sf_dir):
     return K.upsert_latest(orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 = 1"), ["o_custkey"], "o_orderkey")
 
 
+@query("select o_custkey, max(o_orderkey) as o_orderkey from orders group by all")
+def merge_latest(spark, sf_dir):
+    """The latest order of each customer, merged from three appends of all orders and a fourth of those of a tenth of the customers."""
+    orders, path = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), _folder(spark, "merged")
+    for k in range(3):
+        merge_into(orders.filter(f"o_orderkey % 3 = {k}"), path, ["o_custkey"], "o_orderkey", rows_per_file=5_000)
+    merge_into(orders.join(orders.agg((F.max("o_custkey") * 0.9).alias("low")), F.col("o_custkey") > F.col("low")).select("o_custkey", "o_orderkey"), path, ["o_custkey"], "o_orderkey", rows_per_file=5_000)
+    return merged(spark, path)
+
+
 @query("select app_id, study_id, date, concat_ws('/', app_id, nullif(study_id, ''), date, cast(event_id as varchar) || '-f ' || event_type) as key from (select *, concat('app', cast(user_id % 4 as varchar)) as app_id, case when user_id % 3 = 0 then '' else concat('study', cast(user_id % 3 as varchar)) end as study_id, strftime(timezone('America/Los_Angeles', timezone('UTC', ts)), '%Y-%m-%d') as date from events)")
 def write_dated_layout(spark, sf_dir):
     e, path = table(spark, sf_dir, "events"), _folder(spark, "dated")
@@ -357,12 +382,12 @@ def export_manifest(spark, sf_dir):
     return out.select("record_id", F.size("study_records").cast("long").alias("n_studies"), F.when(F.col("app_record").isNull(), "").otherwise(text(F.col("app_record"))).alias("app_record"), F.array_join(studies_, ",").alias("study_records"))
 
 
-@query(with_views("records participants studies", f"select f.record_id, f.study_id, r.priority as device, case when p.study_ids[1] = f.study_id and p.user_id % 2 = 0 then 'ext' || cast(p.user_id as varchar) when p.study_ids[1] = f.study_id then 'plain' else '' end as external_id from {_FAN} f join records r on r.record_id = f.record_id join participants p on p.user_id = r.user_id where study_id in (select study_id from studies where export_enabled is true and configured is true and upload_table) and r.app_id <> 'app3'"))
+@query(with_views("records participants studies", f"select f.record_id, f.study_id, r.priority as device, case when p.study_ids[1] = f.study_id and p.user_id % 2 = 0 then 'ext' || cast(p.user_id as varchar) when p.study_ids[1] = f.study_id then 'plain' else '' end as external_id from {_FAN} f join records r on r.record_id = f.record_id join participants p on p.user_id = r.user_id where study_id in (select study_id from studies where export_enabled is true and configured is true and upload_table) and r.app_id not in ('app1', 'app2', 'app3')"))
 def study_table_rows(spark, sf_dir):
     fan = _fanout(spark, sf_dir)
     ids = F.expr("map(study_ids[0], if(user_id % 2 = 0, concat('ext', cast(user_id as string), ':', study_ids[0]), 'plain'))")
     rows = view(spark, sf_dir, "records").select("record_id", "user_id", F.create_map(F.lit("device"), "priority").alias("metadata"))
-    out = L.study_table_rows(rows, fan, view(spark, sf_dir, "studies"), view(spark, sf_dir, "participants").select("user_id", ids.alias("external_ids")))
+    out = L.study_table_rows(rows, fan, view(spark, sf_dir, "studies"), view(spark, sf_dir, "participants").select("user_id", ids.alias("external_ids")), _apps(spark, sf_dir))
     return out.select("record_id", "study_id", F.col("metadata")["device"].alias("device"), F.coalesce(F.try_element_at("metadata", F.lit("externalId")), F.lit("")).alias("external_id"))
 
 
@@ -465,17 +490,26 @@ def read_id_list(spark, sf_dir):
 
 @query("select cast(n_regionkey as varchar) as endpoint_id, 'scope' as scope, n_name as table_key, n_name as column_id, case when n_nationkey % 2 = 0 then 'STRING' else 'INTEGER' end as kind, case when n_nationkey % 4 = 0 then 10 else 0 end as max_length, case when n_nationkey % 4 = 2 then 'text needs a length of 1 to 1000' else '' end as problem from nation union all select '', '', '', '', '', 0, 'not a document of endpoints' from region")
 def load_endpoint_schemas(spark, sf_dir):
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return R.load_endpoint_schemas(spark, _schema_files(spark, sf_dir)).select(*map(text, ("endpoint_id", "scope", "table_key", "column_id", "kind", "problem")), F.coalesce("max_length", F.lit(0)).alias("max_length"))
+
+
+@query("select cast(r_regionkey as varchar) as endpoint_id, unnest(['links', 'region' || r_regionkey]) as table_key from region where r_regionkey in (select n_regionkey from nation)")
+def load_ignored_keys(spark, sf_dir):
+    return R.load_ignored_keys(spark, _schema_files(spark, sf_dir))
+
+
+def _schema_files(spark, sf_dir) -> str:
     """Endpoint schemas derived from the nations, a table per nation; and a broken document per region."""
     path = _folder(spark, "schemas")
     tables = F.collect_list(F.expr("struct(n_name as tableKey, array(struct(n_name as columnId, if(n_nationkey % 2 = 0, 'STRING', 'INTEGER') as columnType, if(n_nationkey % 4 = 0, 10, cast(null as int)) as maxLength)) as columns)"))
     by_region = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(tables.alias("t"))
-    endpoints = F.collect_list(F.expr("struct(cast(n_regionkey as string) as endpointId, 'scope' as scopeName, 'http://x' as url, t as tables)"))
+    endpoints = F.collect_list(F.expr("struct(cast(n_regionkey as string) as endpointId, 'scope' as scopeName, 'http://x' as url, array('links', concat('region', n_regionkey)) as ignoredKeys, t as tables)"))
     doc = by_region.groupBy("n_regionkey").agg(F.to_json(F.struct(endpoints.alias("endpoints"))).alias("value"))
     bad = table(spark, sf_dir, "region").select("r_regionkey", F.concat(F.lit("no document "), "r_name").alias("value"))
     every = doc.select((F.col("n_regionkey") * 2).alias("file"), "value").unionByName(bad.select((F.col("r_regionkey") * 2 + 1).alias("file"), "value"))
     every.repartition("file").write.partitionBy("file").text(path)
-    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
-    return R.load_endpoint_schemas(spark, path).select(*map(text, ("endpoint_id", "scope", "table_key", "column_id", "kind", "problem")), F.coalesce("max_length", F.lit(0)).alias("max_length"))
+    return path
 
 
 @query("select s_suppkey, finish_ms, 'done' as tag from (select s_suppkey, 1704067200000 + s_suppkey as finish_ms from supplier where s_suppkey = (select max(s_suppkey) from supplier))")
@@ -526,14 +560,70 @@ def dedupe_redelivery(spark, sf_dir):
     return spark.read.schema("event_id long, ts timestamp").parquet(out).select("event_id")
 
 
+@query("select event_id from events")
+def dedupe_redelivery_ever(spark, sf_dir):
+    """Three deliveries, each long after the watermark of the one before: all events but every third, every second again, and all again."""
+    folder, out, state = _folder(spark, "again"), _folder(spark, "ever"), _folder(spark, "state")
+    e = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("kind"))
+    for day, which in enumerate(("event_id % 3 <> 0", "event_id % 2 = 0", "true")):
+        e.filter(which).withColumn("arrived", F.timestamp_millis(F.lit(FIRST_DAY + 10 * day * DAY))).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("event_id long, kind string, arrived timestamp").parquet(folder)
+        X.dedupe_redelivery_ever(stream, ["event_id"], "arrived", "1 day", out, state).awaitTermination()
+    return X.delivered_once(spark, out, "event_id long, kind string, arrived timestamp").select("event_id")
+
+
+_RESULTS = "select concat('r', cast(user_id % 40 as {s})) as request_id, cast({list}[{first} + cast(event_id % 8 as int)] as int) as http_status, cast(event_id as bigint) as time_ms from events"
+_COUNTED = f"""select request_id, http_status, time_ms, outcome, attempt, coalesce(next_try_ms, 0) as next_try_ms from (select *, case when outcome = 'retry' then time_ms + (60000 * pow(2, attempt - 1))::bigint end as next_try_ms from (
+    select request_id, http_status, time_ms, ((nth - 1) % 3 + 1)::int as attempt, case when o = 'retry' and (nth - 1) % 3 = 2 then 'dead' else o end as outcome from (select *, row_number() over (partition by request_id, round order by time_ms) as nth from (
+    select *, coalesce(sum(case when o = 'retry' then 0 else 1 end) over (partition by request_id order by time_ms rows between unbounded preceding and 1 preceding), 0) as round from (
+    select *, case when http_status between 200 and 299 then 'ok' when http_status = 400 or http_status between 404 and 499 then 'dropped' else 'retry' end as o from ({_RESULTS.format(s='varchar', list='[200, 500, 503, 401, 403, 502, 404, 500]', first=1)}))))))"""
+
+
+def _results(spark, sf_dir):
+    return spark.sql(_RESULTS.format(s="string", list="array(200, 500, 503, 401, 403, 502, 404, 500)", first=0).replace("from events", f"from parquet.`{sf_dir}/events.parquet`"))
+
+
+@query(_COUNTED)
+def count_attempts(spark, sf_dir):
+    return X.count_attempts(_results(prepare(spark), sf_dir), 3, 60_000).withColumn("next_try_ms", F.coalesce("next_try_ms", F.lit(0).cast("long")))
+
+
+@query(_COUNTED)
+def route_failures(spark, sf_dir):
+    """Results in two parts of time, so that requests go on where they were."""
+    folder, out, state = _folder(spark, "results"), _folder(spark, "outcomes"), _folder(spark, "state")
+    results = _results(prepare(spark), sf_dir)
+    half = results.agg(F.max("time_ms")).first()[0] // 2
+    for part in (F.col("time_ms") <= half, F.col("time_ms") > half):
+        results.filter(part).write.mode("append").parquet(folder)
+        X.route_failures(spark.readStream.schema(results.schema).parquet(folder), out, state, limit=3).awaitTermination()
+    return X.routed_failures(spark, out).withColumn("next_try_ms", F.coalesce("next_try_ms", F.lit(0).cast("long")))
+
+
+_LOGGED = f"(select user_id, type from (select *, row_number() over (partition by user_id order by time_ms desc, seq desc) as k from notification_log where time_ms < {FIRST_DAY + 24 * DAY}) where k = 1 and time_ms > {FIRST_DAY + 21 * DAY})"
+
+
+@query(with_views("participants notification_log", f"select user_id from participants where user_id not in (select user_id from {_LOGGED} where coalesce(type, '') <> 'PRE_BURST')"))
+def reminder_cooldown_stream(spark, sf_dir):
+    """The log in two parts, then every participant as a candidate."""
+    folder, out, state, now = _folder(spark, "log"), _folder(spark, "sent"), _folder(spark, "state"), FIRST_DAY + 24 * DAY
+    log = view(spark, sf_dir, "notification_log").select("user_id", "time_ms", "seq", F.lit(None).cast("string").alias("decision"), F.coalesce("type", F.lit("")).alias("type"))
+    people = view(spark, sf_dir, "participants").select("user_id", F.lit(now).cast("long").alias("time_ms"), F.lit(0).cast("long").alias("seq"), F.lit("EARLY").alias("decision"), F.lit(None).cast("string").alias("type"))
+    middle = FIRST_DAY + 22 * DAY
+    for part in (log.filter(F.col("time_ms") <= middle), log.filter((F.col("time_ms") > middle) & (F.col("time_ms") < now)), people):
+        part.write.mode("append").parquet(folder)
+        passed = X.reminder_cooldown_stream(spark.readStream.schema(log.schema).parquet(folder), 3)
+        passed.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("user_id long").parquet(out)
+
+
 @query("select case event_id % 4 when 0 then 'one' when 1 then 'two' else 'errors' end as target, count(*) as n from events group by all")
 def route_requests_stream(spark, sf_dir):
     folder, out = _folder(spark, "requests"), _folder(spark, "routed")
     value = F.expr("case event_id % 4 when 3 then 'not json' else concat('{\"service\":\"', case event_id % 4 when 0 then 'one' when 1 then 'two' else 'other' end, '\",\"body\":\"b\"}') end")
     table(spark, sf_dir, "events").select(value.alias("value")).write.text(folder)
-    sink = lambda name, df: df.withColumn("target", F.lit(name)).write.mode("append").parquet(out)
-    X.route_requests_stream(R.read_object_events(spark, folder), ["one", "two"], sink, _folder(spark, "state")).awaitTermination()
-    return spark.read.parquet(out).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+    X.route_requests_stream(R.read_object_events(spark, folder), ["one", "two"], out, _folder(spark, "state")).awaitTermination()
+    return X.routed_requests(spark, out).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select p_partkey % 20 as archive, count(*) as entries from part group by all")

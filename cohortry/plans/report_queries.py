@@ -231,6 +231,19 @@ def burst_decision(spark, sf_dir):
     return W.burst_decision(W.missed_day_runs(_calendar(spark, sf_dir)), **_LIMITS)
 
 
+@query(_with([_O, _ACTS, _STARTED, _CURRENT, _CALENDAR, _RUNS, _DECIDED], "select user_id, decision from dec"))
+def burst_decision_fold(spark, sf_dir):
+    """The decisions of the day from a state that goes from day to day, each written and read again."""
+    from .export_queries import _folder
+
+    starts, acts, path = _starts(spark, sf_dir), _days(spark, sf_dir), _folder(spark, "bursts")
+    state = spark.createDataFrame([], W.BURST_STATE)
+    for day in range(TODAY - CONFIG["length"] + 1, TODAY + 1):
+        W.advance_bursts(state, starts, acts, day, CONFIG["length"], **_LIMITS).write.parquet(f"{path}/day={day}")
+        state = spark.read.schema(W.BURST_STATE).parquet(f"{path}/day={day}")
+    return W.state_decisions(state, starts, TODAY, CONFIG["length"], CONFIG["head"], CONFIG["tail"])
+
+
 _COMMITMENT = "com as (select p.user_id, case when json_valid(data) then json_extract_string(case when json_valid(data) then data end, '$.benefits') end as commitment from participants p left join (select user_id, data, row_number() over (partition by user_id order by seq) as k from report_data where report_id = 'Engagement' and report_date = '2000-12-31') r on r.user_id = p.user_id and k = 1)"
 
 

@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 EVENTS = "struct<Records:array<struct<eventSource:string,eventName:string,eventTime:string,s3:struct<bucket:struct<name:string>,object:struct<key:string,size:bigint>>>>>"
 
@@ -19,12 +18,17 @@ def read_id_list(spark: SparkSession, path: str, column: str = "id") -> DataFram
     return spark.read.text(path).select(F.trim("value").alias(column)).filter(F.col(column) != "")
 
 
+SCHEMA_SHAPE = "struct<endpoints:array<struct<endpointId:string,scopeName:string,url:string,ignoredKeys:array<string>,tables:array<struct<tableKey:string,columns:array<struct<columnId:string,columnType:string,maxLength:int>>>>>>>"
+
+
+def _endpoints(spark: SparkSession, path: str) -> DataFrame:
+    docs = spark.read.text(path, wholetext=True).select(F.from_json("value", SCHEMA_SHAPE).endpoints.alias("endpoints"))
+    return docs.select(F.col("endpoints").isNull().alias("broken"), F.explode_outer("endpoints").alias("e"))
+
+
 def load_endpoint_schemas(spark: SparkSession, path: str) -> DataFrame:
     """(endpoint_id, scope, table_key, column_id, kind, max_length, problem) of JSON documents of endpoints, a file each; one that isn't such a document has a row with a problem."""
-    shape = "struct<endpoints:array<struct<endpointId:string,scopeName:string,url:string,ignoredKeys:array<string>,tables:array<struct<tableKey:string,columns:array<struct<columnId:string,columnType:string,maxLength:int>>>>>>>"
-    docs = spark.read.text(path, wholetext=True).select(F.from_json("value", shape).endpoints.alias("endpoints"))
-    docs = docs.select(F.col("endpoints").isNull().alias("broken"), F.explode_outer("endpoints").alias("e"))
-    tables = docs.select("broken", "e.endpointId", "e.scopeName", "e.url", F.explode_outer("e.tables").alias("t"))
+    tables = _endpoints(spark, path).select("broken", "e.endpointId", "e.scopeName", "e.url", F.explode_outer("e.tables").alias("t"))
     columns = tables.select("broken", "endpointId", "scopeName", "url", "t.tableKey", F.explode_outer("t.columns").alias("c"))
     problem = (
         F.when(F.col("broken"), "not a document of endpoints")
@@ -36,14 +40,10 @@ def load_endpoint_schemas(spark: SparkSession, path: str) -> DataFrame:
     return columns.select(F.col("endpointId").alias("endpoint_id"), F.col("scopeName").alias("scope"), F.col("tableKey").alias("table_key"), F.col("c.columnId").alias("column_id"), F.col("c.columnType").alias("kind"), F.col("c.maxLength").alias("max_length"), problem.alias("problem"))
 
 
-def table_types(schema: DataFrame) -> dict[tuple[str, str], T.StructType]:
-    """The type of each table (endpoint_id, table_key) of a loaded schema without problems: the common columns, then its own."""
-    of = {"BOOLEAN": T.BooleanType(), "DATE": T.LongType(), "DOUBLE": T.DoubleType(), "INTEGER": T.LongType()}
-    out: dict[tuple[str, str], T.StructType] = {}
-    for r in schema.filter("problem is null").orderBy("endpoint_id", "table_key", "column_id").collect():  # as many rows as the documents have columns
-        common = T.StructType([T.StructField(c, T.StringType()) for c in ("healthCode", "createdDate", "rawData")])
-        out.setdefault((r.endpoint_id, r.table_key), common).add(r.column_id, of.get(r.kind, T.StringType()))
-    return out
+def load_ignored_keys(spark: SparkSession, path: str) -> DataFrame:
+    """(endpoint_id, table_key) of the keys that the documents' endpoints ignore, for ``schema_key_audit``."""
+    keys = _endpoints(spark, path).select(F.col("e.endpointId").alias("endpoint_id"), F.explode("e.ignoredKeys").alias("table_key"))
+    return keys.filter("endpoint_id is not null and table_key is not null").distinct()
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:

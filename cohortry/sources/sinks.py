@@ -2,30 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import clean_name, local_folder_date, raw_object_key, upload_filename
-from ..operators.aggregates import column_union
-from ..operators.flatten import COMMON_COLUMNS, wide_upload_rows
+from ..operators.aggregates import column_keys, keys_by_assessment
+from ..operators.flatten import COMMON_COLUMNS
+from .published import publish
+
+
+def csv_cell(c):
+    """A value as CSV: in quotes, with inner ones doubled, where it needs them."""
+    return F.when(F.rlike(c, F.lit('[",\\r\\n]')), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+
+
+def _common_cells():
+    return F.array(*(csv_cell(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in COMMON_COLUMNS))
+
+
+def _narrow_lines(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Lines of assessments whose key lists go with each row."""
+    cells = lambda keys_, values: F.transform(F.coalesce(keys_, F.array().cast("array<string>")), lambda k: csv_cell(F.coalesce(F.try_element_at(values, k), F.lit(""))))
+    each = rows.join(keys, "assessment_guid")
+    return each.select("file_name", "part", F.array_join(F.concat(_common_cells(), cells(F.col("metadata_keys"), F.col("metadata")), cells(F.col("data_keys"), F.col("data"))), ",").alias("value"))
 
 
-def write_assessment_csv(rows: DataFrame, names: dict[str, str], path: str) -> dict[str, list[str]]:
-    """A CSV set with header for each assessment in ``names`` (guid to file name), in a folder of that name; returns each one's columns.
+def _wide_lines(rows: DataFrame, positions: DataFrame, widths: DataFrame) -> DataFrame:
+    """Lines of assessments with so many keys that a row only meets its own: each finds its position, and commas fill the gaps."""
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_line", F.array_join(_common_cells(), ","))
+    entry = lambda c, kind: F.transform(F.coalesce(F.map_entries(c), F.array().cast("array<struct<key:string,value:string>>")), lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].alias("value")))
+    some = numbered.select("assessment_guid", "_row", F.explode(F.concat(entry("metadata", 0), entry("data", 1))).alias("e")).select("assessment_guid", "_row", "e.kind", "e.key", csv_cell(F.coalesce("e.value", F.lit(""))).alias("cell"))
+    placed = some.join(positions, ["assessment_guid", "kind", "key"]).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("position", "cell"))).alias("_cells"))
+    whole = numbered.select("assessment_guid", "file_name", "part", "_row", "_line").join(placed, "_row", "left").join(widths, "assessment_guid")
+    cells = F.coalesce("_cells", F.array().cast(placed.schema["_cells"].dataType))
+    before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_all"), i - 1)["position"])
+    pieces = F.transform("_all", lambda c, i: F.concat(F.repeat(F.lit(","), (c["position"] - before(i)).cast("int")), c["cell"]))
+    last = F.coalesce(F.get("_all", F.size("_all") - 1)["position"], F.lit(0))
+    return whole.withColumn("_all", cells).select("file_name", "part", F.concat("_line", F.array_join(pieces, ""), F.repeat(F.lit(","), (F.col("width") - last).cast("int"))).alias("value"))
 
-    Common columns come first, then the assessment's own metadata and data keys, each sorted. ``rows`` has the common
-    columns, metadata and data; the keys, some for each assessment, are what passes the driver.
+
+def write_assessment_csv(rows: DataFrame, names: dict[str, str], path: str, rows_per_file: int = 1_000_000, most_keys: int = 10_000) -> None:
+    """A CSV set for each assessment in ``names`` (guid to file name), in the folder ``file_name=NAME``: files of ``rows_per_file`` rows or so, each with a header.
+
+    Common columns come first, then the assessment's own metadata and data keys, each sorted. ``rows`` has the common columns, metadata and data. All
+    assessments are written by one job that reads the rows once, after one that finds their keys. Assessments of more than ``most_keys`` keys are written by positions, and
+    no list of keys passes the driver.
     """
-    renamed = rows.withColumn("assessment_guid", F.col("assessmentGuid"))
-    keys = {r.assessment_guid: r for r in column_union(renamed.filter(F.col("assessment_guid").isin(*names))).collect()}
-    written = {}
-    for guid, name in names.items():
-        own = keys.get(guid)
-        wide = wide_upload_rows(rows.filter(F.col("assessmentGuid") == guid), (own and own.metadata_keys) or [], (own and own.data_keys) or [], list(COMMON_COLUMNS))
-        wide.write.option("header", True).option("emptyValue", "").csv(f"{path}/{name}")
-        written[name] = wide.columns
-    return written
+    spark = rows.sparkSession
+    named = spark.createDataFrame(list(names.items()), "assessment_guid string, file_name string")
+    own = rows.withColumn("assessment_guid", F.col("assessmentGuid")).join(named, "assessment_guid")
+    counts = named.join(own.groupBy("assessment_guid").agg(F.count(F.lit(1)).alias("n")), "assessment_guid", "left")
+    parts = counts.select("assessment_guid", "file_name", F.greatest(F.ceil(F.col("n") / rows_per_file), F.lit(1)).cast("int").alias("parts")).persist()
+    keys = column_keys(own).persist()
+    try:
+        widths = parts.join(keys.groupBy("assessment_guid").agg(F.count(F.lit(1)).alias("width")), "assessment_guid", "left").select("assessment_guid", F.coalesce("width", F.lit(0).cast("long")).alias("width"))
+        small, large = widths.filter(F.col("width") <= most_keys), widths.filter(F.col("width") > most_keys)
+        lists = keys_by_assessment(keys.join(small, "assessment_guid", "left_semi"))
+        spread = own.join(parts.drop("file_name"), "assessment_guid").withColumn("part", F.pmod(F.xxhash64("recordId", "createdOn", F.spark_partition_id()), F.col("parts")).cast("int"))
+        lines = _narrow_lines(spread, small.select("assessment_guid").join(lists, "assessment_guid", "left"))
+        if large.limit(1).count():
+            positions = keys.join(large, "assessment_guid", "left_semi")
+            lines = lines.unionByName(_wide_lines(spread.join(large.select("assessment_guid"), "assessment_guid", "left_semi"), positions, large))
+        head = keys.groupBy("assessment_guid").agg(F.sort_array(F.collect_list(F.struct("position", csv_cell(F.col("key")).alias("cell"))))["cell"].alias("_keys"))  # the header itself
+        header = F.array_join(F.concat(F.array(*map(F.lit, COMMON_COLUMNS)), F.coalesce("_keys", F.array().cast("array<string>"))), ",")
+        heads = parts.join(head, "assessment_guid", "left").select("file_name", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), header.alias("value"))
+        every = heads.withColumn("_nth", F.lit(0)).unionByName(lines.withColumn("_nth", F.lit(1)))
+        every.repartition("file_name", "part").sortWithinPartitions("file_name", "part", "_nth").drop("_nth").write.partitionBy("file_name", "part").text(path)
+    finally:
+        keys.unpersist()
+        parts.unpersist()
 
 
 def assessment_file_name(study: str, name: str, guid, title):
@@ -44,24 +92,13 @@ def append_evolving(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.option("mergeSchema", True).parquet(path)
 
 
-def append_checked(df: DataFrame, path: str) -> int:
-    """Append, and fail unless as many rows were written as the frame has."""
-    before = _rows(df.sparkSession, path)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
-    written = _rows(df.sparkSession, path) - before
-    if written != seen.get["n"]:
-        raise ValueError(f"{seen.get['n']} rows expected, {written} written")
-    return written
-
+def append_checked(df: DataFrame, path: str, name: str | None = None, expected: int | None = None) -> int:
+    """Append, and fail unless as many rows were written as the frame has, and as ``expected`` if that is given.
 
-def _rows(spark: SparkSession, path: str) -> int:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(path).count()
-    except AnalysisException:  # not there yet
-        return 0
+    Rows show all at once, after they were counted; a failing append leaves the table as it was. The table is read by ``published``. An append under
+    a name that is there already writes nothing and gives 0.
+    """
+    return publish(df, path, name or uuid.uuid4().hex, expected=expected) or 0
 
 
 def upsert_latest(current: DataFrame, incoming: DataFrame, keys: list[str], order: str) -> DataFrame:
