@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.scalars import clean_name, local_folder_date, raw_object_key, upload_filename
 from ..operators.aggregates import column_keys, keys_by_assessment
 from ..operators.flatten import COMMON_COLUMNS
-from .published import publish
+from .published import delete, publish
 
 
 def csv_cell(c):
@@ -31,8 +31,8 @@ def _narrow_lines(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _wide_lines(rows: DataFrame, positions: DataFrame, widths: DataFrame) -> DataFrame:
-    """Lines of assessments with so many keys that a row only meets its own: each finds its position, and commas fill the gaps."""
-    numbered = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_line", F.array_join(_common_cells(), ","))
+    """Lines of assessments with so many keys that a row only meets its own: each finds its position, and commas fill the gaps. ``rows`` have a number, ``_row``."""
+    numbered = rows.withColumn("_line", F.array_join(_common_cells(), ","))
     entry = lambda c, kind: F.transform(F.coalesce(F.map_entries(c), F.array().cast("array<struct<key:string,value:string>>")), lambda e: F.struct(F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].alias("value")))
     some = numbered.select("assessment_guid", "_row", F.explode(F.concat(entry("metadata", 0), entry("data", 1))).alias("e")).select("assessment_guid", "_row", "e.kind", "e.key", csv_cell(F.coalesce("e.value", F.lit(""))).alias("cell"))
     placed = some.join(positions, ["assessment_guid", "kind", "key"]).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("position", "cell"))).alias("_cells"))
@@ -48,10 +48,10 @@ def write_assessment_csv(rows: DataFrame, names: dict[str, str], path: str, rows
     """A CSV set for each assessment in ``names`` (guid to file name), in the folder ``file_name=NAME``: files of ``rows_per_file`` rows or so, each with a header.
 
     Common columns come first, then the assessment's own metadata and data keys, each sorted. ``rows`` has the common columns, metadata and data. All
-    assessments are written by one job that reads the rows once, after one that finds their keys. Assessments of more than ``most_keys`` keys are written by positions, and
-    no list of keys passes the driver.
+    assessments are written by one job, which reads the rows once; two before it count them and find their keys. Assessments of more than ``most_keys`` keys are
+    written by positions, from a copy of their rows beside ``path`` that is deleted then. No list of keys passes the driver.
     """
-    spark = rows.sparkSession
+    spark, staged = rows.sparkSession, f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     named = spark.createDataFrame(list(names.items()), "assessment_guid string, file_name string")
     own = rows.withColumn("assessment_guid", F.col("assessmentGuid")).join(named, "assessment_guid")
     counts = named.join(own.groupBy("assessment_guid").agg(F.count(F.lit(1)).alias("n")), "assessment_guid", "left")
@@ -64,8 +64,9 @@ def write_assessment_csv(rows: DataFrame, names: dict[str, str], path: str, rows
         spread = own.join(parts.drop("file_name"), "assessment_guid").withColumn("part", F.pmod(F.xxhash64("recordId", "createdOn", F.spark_partition_id()), F.col("parts")).cast("int"))
         lines = _narrow_lines(spread, small.select("assessment_guid").join(lists, "assessment_guid", "left"))
         if large.limit(1).count():
-            positions = keys.join(large, "assessment_guid", "left_semi")
-            lines = lines.unionByName(_wide_lines(spread.join(large.select("assessment_guid"), "assessment_guid", "left_semi"), positions, large))
+            positions, numbered = keys.join(large, "assessment_guid", "left_semi"), spread.join(large.select("assessment_guid"), "assessment_guid", "left_semi").withColumn("_row", F.monotonically_increasing_id())
+            numbered.write.parquet(staged)  # so that a row keeps its number, whatever task is run again
+            lines = lines.unionByName(_wide_lines(spark.read.schema(numbered.schema).parquet(staged), positions, large))
         head = keys.groupBy("assessment_guid").agg(F.sort_array(F.collect_list(F.struct("position", csv_cell(F.col("key")).alias("cell"))))["cell"].alias("_keys"))  # the header itself
         header = F.array_join(F.concat(F.array(*map(F.lit, COMMON_COLUMNS)), F.coalesce("_keys", F.array().cast("array<string>"))), ",")
         heads = parts.join(head, "assessment_guid", "left").select("file_name", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), header.alias("value"))
@@ -74,6 +75,7 @@ def write_assessment_csv(rows: DataFrame, names: dict[str, str], path: str, rows
     finally:
         keys.unpersist()
         parts.unpersist()
+        delete(spark, staged)
 
 
 def assessment_file_name(study: str, name: str, guid, title):

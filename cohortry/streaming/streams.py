@@ -51,11 +51,17 @@ def count_attempts(results: DataFrame, limit: int, delay_ms: int) -> DataFrame:
     return out.select("request_id", "http_status", "time_ms", "outcome", "attempt", F.when(F.col("outcome") == "retry", F.col("time_ms") + wait).alias("next_try_ms"))
 
 
+def run_through(batch: DataFrame) -> None:
+    """Compute all of a batch that is published already: its query's state must be written again before the batch counts as done."""
+    batch.write.format("noop").mode("overwrite").save()
+
+
 def route_failures(stream: DataFrame, path: str, checkpoint: str, limit: int = 5, delay_ms: int = 60_000) -> StreamingQuery:
     """Results of requests by outcome: ``path`` has folders for ok, dropped, retry (with attempt and time of the next try) and dead letters; read them by ``routed_failures``."""
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, path, transaction(batch.sparkSession, checkpoint, batch_id), by=("outcome",))
+        if publish(batch, path, transaction(batch.sparkSession, checkpoint, batch_id), by=("outcome",)) is None:
+            run_through(batch)
 
     return count_attempts(stream, limit, delay_ms).writeStream.foreachBatch(send).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -108,7 +114,8 @@ def dedupe_redelivery_ever(stream: DataFrame, keys: list[str], arrival_column: s
             known = probed.filter("_maybe").alias("r").join(seen.alias("s"), condition, "left_anti")
             new = probed.filter("not _maybe").unionByName(known.select(*probed.columns)).drop("_maybe").persist()
             try:
-                publish(new.select(*batch.columns), f"{path}/rows", name)
+                if publish(new.select(*batch.columns), f"{path}/rows", name) is None:
+                    run_through(rows)
                 publish(new.select(*keys, "_bucket"), f"{path}/keys", name, by=("_bucket",))
                 each = new.select("_bucket", F.explode("_bits").alias("_bit"))
                 publish(each.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap")), f"{path}/bloom", name)
