@@ -5,7 +5,8 @@ The lexer cuts a text into strings (single, double, back-quoted and tripled), wo
 and parentheses, on the next line, in lists, and under an enclosing name (``"password": {"value": ...}``), into pairs of
 names and expressions of literals, bare words and earlier names, joined by ``+`` or side by side. Names that are
 assigned literals become constants, so ``A = "..."`` and ``password = A`` give the literal's place; a later assignment of a name takes the place of an earlier. A
-literal is reported when its name is sensitive and the literal looks like a key.
+literal is reported when its name is sensitive and the literal looks like a key: 8 to ``KEY_BYTES`` bytes, of ``KEY_PARTS`` joined parts at most. Parts of a larger value are judged
+each on its own, and it is no constant. Time is in proportion to the text's length, also for quotes and brackets that nothing closes.
 
 Defined results: a null or empty text has no spans; rows with equal ids are scanned each on its own; very long texts are scanned whole; other
 columns, whatever their names, are kept by ``redact`` and play no part.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,11 +39,10 @@ PLACEHOLDERS = re.compile(rb"(?i)^(x+|\*+|\.+|-+|null|none|true|false|changeme|p
 ADDRESS = re.compile(rb"(?i)^[a-z][a-z0-9+.-]*://[^@]*$")
 GENERIC = frozenset("value values default data text plain plaintext raw content current string".split())
 TRIPLE, STRING, WORD, OPERATOR, LINE = range(1, 6)
-TOKEN = re.compile(
-    rb'''("""(?:\\.|[^\\])*?"""|\'{3}(?:\\.|[^\\])*?\'{3})'''
-    rb"""|("(?:\\.|[^"\\\n])*"|(?<![A-Za-z0-9])'(?:\\.|[^'\\\n])*'|`[^`\n]*`)"""
-    rb"""|([A-Za-z0-9_$][A-Za-z0-9_.$-]*)|(:=|=>|[=!<>]=|[=:+(){}\[\],;])|(\n)"""
-)
+KEY_BYTES, KEY_PARTS = 4_096, 256  # a key has no more; a longer value's parts are judged one by one
+START = re.compile(rb"""("{3}|'{3})|(["`]|(?<![A-Za-z0-9])')|([A-Za-z0-9_$][A-Za-z0-9_.$-]*)|(:=|=>|[=!<>]=|[=:+(){}\[\],;])|(\n)""")
+TRIPLES = {b'"""': re.compile(rb'"""(?:\\.|[^\\])*?"""'), b"'''": re.compile(rb"'{3}(?:\\.|[^\\])*?'{3}")}
+STRINGS = {b'"': re.compile(rb'"(?:\\.|[^"\\\n])*+"'), b"'": re.compile(rb"'(?:\\.|[^'\\\n])*+'"), b"`": re.compile(rb"`[^`\n]*+`")}
 BARE = re.compile(rb"""[A-Za-z0-9_][^\s"'`,;(){}\[\]<>+]*""")
 NAME = re.compile(rb"[A-Za-z_$][A-Za-z0-9_.$-]*")
 ASSIGNS = (b"=", b":", b":=", b"=>")
@@ -56,7 +57,7 @@ def sensitive(name: bytes) -> bool:
 
 def key_like(value: bytes, quoted: bool) -> float:
     """0 for what no key looks like, else bits of entropy per byte."""
-    if len(value) < 8 or PLACEHOLDERS.match(value) or ADDRESS.match(value) or b" " in value:
+    if not 8 <= len(value) <= KEY_BYTES or PLACEHOLDERS.match(value) or ADDRESS.match(value) or b" " in value:
         return 0.0
     counts = Counter(value)
     bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
@@ -64,15 +65,60 @@ def key_like(value: bytes, quoted: bool) -> float:
     return bits if bits >= 2.5 and mixed >= (2 if quoted else 3 - bool(re.search(rb"[0-9]", value))) else 0.0
 
 
+def lex(data: bytes) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of all tokens. A quote that nothing closes is none, and no later one of its kind is closed: on its line, or at all for a tripled one; so it isn't looked for again."""
+    out, at, open_until, endless = [], 0, {}, set()
+    while (m := START.search(data, at)) is not None:
+        kind, a, at = m.lastindex, m.start(), m.end()
+        if kind == TRIPLE:
+            mark = m[0]
+            whole = TRIPLES[mark].match(data, a) if mark not in endless else None
+            if whole is None:
+                endless.add(mark)
+                kind, at = STRING, a + 2  # an empty string
+            else:
+                at = whole.end()
+        elif kind == STRING:
+            mark = m[0]
+            whole = STRINGS[mark].match(data, a) if open_until.get(mark, -1) <= a else None
+            if whole is None:
+                if open_until.get(mark, -1) <= a:
+                    end = data.find(b"\n", a)
+                    open_until[mark] = len(data) if end < 0 else end
+                continue
+            at = whole.end()
+        out.append((kind, a, at))
+    return out
+
+
 class Reader:
-    """The pairs of one text: ``for names, terms in Reader(data)``, a term being (start, end, quoted) in bytes; names go from the own to the outermost."""
+    """The pairs of one text: ``for name, outer, terms in Reader(data)``, a term being (start, end, quoted) in bytes, ``outer`` the nearest sensitive name that encloses the pair.
+
+    Each token is looked at a bounded number of times: brackets are matched once, and a call is read whole only if no pair stands in it.
+    """
 
     def __init__(self, data: bytes):
-        self.data, self.constants = data, {}
-        self.tokens = [(m.lastindex, m.start(), m.end()) for m in TOKEN.finditer(data)]
+        self.data, self.constants, self.tokens = data, {}, lex(data)
+        n = len(self.tokens)
+        self.ops = [data[a:b] if kind == OPERATOR else b"" for kind, a, b in self.tokens]
+        self.match, self.strings, self.pairs = [n] * n, [0] * (n + 1), [0] * (n + 1)  # the other bracket; strings, and assignments and braces, before each token
+        stack, strings, pairs = [], 0, 0
+        for i, text in enumerate(self.ops):
+            if not text:
+                strings += self.tokens[i][0] <= STRING
+            elif text in OPENS:
+                stack.append(i)
+                pairs += text == b"{"
+            elif text in CLOSES:
+                self.match[i] = stack.pop() if stack else -1
+                if self.match[i] >= 0:
+                    self.match[self.match[i]] = i
+            else:
+                pairs += text in ASSIGNS
+            self.strings[i + 1], self.pairs[i + 1] = strings, pairs
 
     def is_(self, i: int, *texts: bytes) -> bool:
-        return 0 <= i < len(self.tokens) and self.tokens[i][0] == OPERATOR and self.data[self.tokens[i][1] : self.tokens[i][2]] in texts
+        return 0 <= i < len(self.ops) and self.ops[i] in texts
 
     def kind(self, i: int) -> int:
         return self.tokens[i][0] if 0 <= i < len(self.tokens) else 0
@@ -93,8 +139,8 @@ class Reader:
         """What the operator at i assigns to."""
         end = i - 1
         if self.is_(end, b"]"):
-            start = next((k for k in range(end - 1, max(end - 8, -1), -1) if self.is_(k, b"[")), None)
-            if start is None:
+            start = self.match[end]
+            if not self.is_(start, b"["):
                 return None
             if end - start == 2 and self.kind(start + 1) == STRING:
                 return self.name(start + 1)
@@ -119,13 +165,18 @@ class Reader:
                 terms.append(self.inner(j))
                 j += 1
             elif kind == WORD and self.is_(j + 1, b"(") and self.tokens[j][2] == self.tokens[j + 1][1]:
-                depth, k = 1, j + 2
-                while depth and k < min(len(self.tokens), j + 64):
-                    depth += self.is_(k, *OPENS) - self.is_(k, *CLOSES)
-                    if self.kind(k) in (TRIPLE, STRING):
-                        terms.append(self.inner(k))
-                    k += 1
-                j = k
+                end = self.match[j + 1]
+                if self.pairs[end] > self.pairs[j + 2]:  # pairs of its own: only the call's own arguments count, and the call is read on
+                    k = j + 2
+                    while k < end:
+                        if self.kind(k) in (TRIPLE, STRING):
+                            terms.append(self.inner(k))
+                        k = self.match[k] + 1 if self.is_(k, *OPENS) else k + 1
+                    j += 1
+                    break
+                if self.strings[end] > self.strings[j + 2]:
+                    terms += [self.inner(k) for k in range(j + 2, end) if self.kind(k) in (TRIPLE, STRING)]
+                j = end + 1
             elif kind == WORD:
                 a, b = self.tokens[j][1:]
                 if data[a:b] in self.constants:
@@ -150,45 +201,51 @@ class Reader:
                 break
         return terms, j
 
-    def __iter__(self) -> Iterator[tuple[list[bytes], list[tuple[int, int, bool]]]]:
-        scopes: list[tuple[bytes, bytes | None]] = []
-        i, opening = 0, None
-        while i < len(self.tokens):
-            outer = [n for _, n in reversed(scopes) if n]
-            if self.is_(i, *ASSIGNS) and not self.data.startswith(b"//", self.tokens[i][2]):
-                name, opening = self.left(i), None
+    def __iter__(self) -> Iterator[tuple[bytes, bytes | None, list[tuple[int, int, bool]]]]:
+        scopes: list[tuple[bytes, bytes | None, bytes | None]] = []  # bracket, own name, nearest sensitive name
+        i, opening, n, ops, tokens = 0, None, len(self.tokens), self.ops, self.tokens
+        while i < n:
+            op = ops[i]
+            if not op:
+                if tokens[i][0] == STRING and scopes and scopes[-1][0] == b"[" and scopes[-1][1] and not self.is_(i + 1, *ASSIGNS):
+                    yield scopes[-1][1], scopes[-1][2], [self.inner(i)]
+            elif op in ASSIGNS:
+                name, opening = self.left(i) if not self.data.startswith(b"//", tokens[i][2]) else None, None
                 if name is not None:
                     terms, after = self.right(i)
                     if terms:
-                        yield [name, *outer], terms
-                        if all(quoted for *_, quoted in terms):
-                            self.constants[name] = terms
+                        yield name, scopes[-1][2] if scopes else None, terms
+                        held = [t for t in terms if t[1] > t[0]]
+                        if all(quoted for *_, quoted in terms) and len(held) <= KEY_PARTS and sum(b - a for a, b, _ in held) <= KEY_BYTES:
+                            self.constants[name] = held
+                        else:
+                            self.constants.pop(name, None)
                         i = after
                         continue
                     opening = name
-            elif self.is_(i, *OPENS):
-                scopes.append((self.data[self.tokens[i][1] : self.tokens[i][2]], opening))
+            elif op in OPENS:
+                outer = scopes[-1][2] if scopes else None
+                scopes.append((op, opening, opening if opening and sensitive(opening) else outer))
                 opening = None
-            elif self.is_(i, *CLOSES):
-                if scopes:
-                    scopes.pop()
-            elif self.kind(i) == STRING and scopes and scopes[-1][0] == b"[" and scopes[-1][1] and not self.is_(i + 1, *ASSIGNS):
-                yield outer, [self.inner(i)]
+            elif op in CLOSES and scopes:
+                scopes.pop()
             i += 1
 
 
 def literals(data: bytes) -> list[tuple[int, int, bytes, float]]:
     """(start, end, name, score) of literals that sensitive names get, in bytes."""
     found: dict[tuple[int, int], tuple[bytes, float]] = {}
-    for names, terms in Reader(data):
-        name = next((n for k, n in enumerate(names) if sensitive(n) and (k == 0 or names[0].lower().decode() in GENERIC)), None)
+    for own, outer, terms in Reader(data):
+        name = own if sensitive(own) else outer if own.lower().decode("utf-8", "replace") in GENERIC else None
         if name is None:
             continue
-        score = key_like(b"".join(data[a:b] for a, b, _ in terms), all(q for *_, q in terms))
-        if score:
-            for a, b, _ in terms:
-                if b > a:
-                    found.setdefault((a, b), (name, score))
+        whole = len(terms) <= KEY_PARTS and sum(b - a for a, b, _ in terms) <= KEY_BYTES
+        for group in [terms] if whole else [[t] for t in terms]:
+            score = key_like(b"".join(data[a:b] for a, b, _ in group), all(q for *_, q in group))
+            if score:
+                for a, b, _ in group:
+                    if b > a:
+                        found.setdefault((a, b), (name, score))
     return [(a, b, *v) for (a, b), v in found.items()]
 
 
@@ -202,8 +259,9 @@ def scan_text(data: bytes) -> list[tuple[str, int, int, str | None, float | None
         spans += [(m.start(), 1, m.end(), None, None) for m in ACCESS.finditer(data) if len(m[0]) >= 16]
     spans += [(m.start(), 2, m.end(), None, None) for m in HEX.finditer(data)]
     if any(h in lower for h in LITERAL_HINTS):
-        base = list(spans)
-        spans += [(a, 3, b, name, score) for a, b, name, score in literals(data) if not any(s[0] <= a and b <= s[2] for s in base)]
+        base = [sorted((s[0], s[2]) for s in spans if s[1] == k) for k in range(3)]  # a kind's spans don't overlap
+        covered = lambda a, b: any((at := bisect_right(own, (a, len(data) + 1)) - 1) >= 0 and b <= own[at][1] for own in base)
+        spans += [(a, 3, b, name, score) for a, b, name, score in literals(data) if not covered(a, b)]
     spans.sort(key=lambda s: (s[0], s[1], s[2]))
     if data.isascii():
         return [(KINDS[k], a, b, n and n.decode(), s) for a, k, b, n, s in spans]
