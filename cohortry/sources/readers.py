@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import io
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+PACKED = ["path", "entry", "packed", "method", "size", "crc", "error"]
 EVENTS = "struct<Records:array<struct<eventSource:string,eventName:string,eventTime:string,s3:struct<bucket:struct<name:string>,object:struct<key:string,size:bigint>>>>>"
 
 
@@ -51,35 +54,87 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("health_code string, endpoint_id string, created_date string, payload string").json(path)
 
 
-def expand_archives(spark: SparkSession, glob: str, max_entries: int = 100, max_size: int = 100_000_000) -> DataFrame:
-    """(path, entry, content, error): entries of zip files; a file over a limit, with repeated names or broken gives one error row."""
+DEFLATED, STORED = 8, 0  # fixed values of the format: methods
+LOCAL_HEADER = 30  # bytes before an entry's name
 
-    def entries(data: bytes) -> list[tuple[str, bytes]]:
+
+def archive_entries(data: bytes, max_entries: int, max_size: int) -> list[tuple[str, int, int, int, int, int]]:
+    """(name, start, packed size, method, size, crc) of an archive's entries, from its directory; ValueError if it is broken or over a limit."""
+    try:
         with zipfile.ZipFile(io.BytesIO(data)) as z:
             infos = [i for i in z.infolist() if not i.is_dir()]
-            if len(infos) > max_entries:
-                raise ValueError("too many entries")
-            if len({i.filename for i in infos}) < len(infos):
-                raise ValueError("repeated entry")
-            out = []
-            for i in infos:
-                with z.open(i) as f:
-                    content = b"" if i.file_size > max_size else f.read(max_size + 1)
-                if i.file_size > max_size or len(content) > max_size:
-                    raise ValueError("entry too large")
-                out.append((i.filename, content))
-            return out
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    except (zipfile.BadZipFile, NotImplementedError, UnicodeDecodeError, struct.error) as e:
+        raise ValueError(str(e)) from e
+    if len(infos) > max_entries:
+        raise ValueError("too many entries")
+    if len({i.filename for i in infos}) < len(infos):
+        raise ValueError("repeated entry")
+    if any(i.file_size > max_size for i in infos):
+        raise ValueError("entry too large")
+    out = []
+    for i in infos:
+        if i.flag_bits & 1 or i.compress_type not in (STORED, DEFLATED):
+            raise ValueError(f"{i.filename} can't be read")
+        header = data[i.header_offset : i.header_offset + LOCAL_HEADER]
+        if len(header) < LOCAL_HEADER or header[:4] != b"PK\x03\x04":
+            raise ValueError(f"no entry where {i.filename} should be")
+        start = i.header_offset + LOCAL_HEADER + int.from_bytes(header[26:28], "little") + int.from_bytes(header[28:30], "little")
+        out.append((i.filename, start, i.compress_size, i.compress_type, i.file_size, i.CRC))
+    return out
+
+
+def inflated(packed: bytes, method: int, size: int, crc: int, max_size: int) -> bytes:
+    """An entry's content; ValueError if it is larger than it says or allowed, or isn't what the directory says."""
+    if method == DEFLATED:
+        stream = zlib.decompressobj(-15)
+        try:
+            content = stream.decompress(packed, max_size + 1)
+        except zlib.error as e:
+            raise ValueError(str(e)) from e
+    else:
+        content = packed
+    if len(content) > max_size:
+        raise ValueError("entry too large")
+    if len(content) != size or zlib.crc32(content) != crc:
+        raise ValueError("entry broken")
+    return content
+
+
+def expand_archives(spark: SparkSession, glob: str, max_entries: int = 100, max_size: int = 100_000_000, tasks: int | None = None) -> DataFrame:
+    """(path, entry, content, error): entries of zip files; a file over a limit, with repeated names or broken gives one error row and no entry.
+
+    A task that has read an archive only reads its directory and cuts it into packed entries; these are dealt to all tasks (``tasks``, by default the shuffle partitions),
+    an entry a row, and unpacked there, so a few large archives keep many tasks busy and a task holds one entry's content at a time. Archives of which an entry turns out
+    broken or too large while it is unpacked are told by a join on the few paths with an error.
+    """
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path, data in zip(frame["path"], frame["content"], strict=True):
                 try:
-                    rows = [(path, name, content, None) for name, content in entries(data)]
-                except (ValueError, zipfile.BadZipFile) as e:
-                    rows = [(path, None, None, str(e))]
-                yield pd.DataFrame(rows, columns=["path", "entry", "content", "error"])
+                    for name, start, packed, method, size, crc in archive_entries(data, max_entries, max_size):
+                        yield pd.DataFrame([(path, name, data[start : start + packed], method, size, crc, None)], columns=PACKED)
+                except ValueError as e:
+                    yield pd.DataFrame([(path, None, None, None, None, None, str(e))], columns=PACKED)
 
-    return spark.read.format("binaryFile").load(glob).select("path", "content").mapInPandas(run, "path string, entry string, content binary, error string")
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                content, error = None, r.error
+                if error is None:
+                    try:
+                        content = inflated(r.packed, int(r.method), int(r.size), int(r.crc), max_size)
+                    except ValueError as e:
+                        error = str(e)
+                yield pd.DataFrame([(r.path, r.entry, content, error)], columns=["path", "entry", "content", "error"])
+
+    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    packed = files.mapInPandas(cut, "path string, entry string, packed binary, method int, size long, crc long, error string")
+    dealt = packed.repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "entry")
+    rows = dealt.mapInPandas(unpack, "path string, entry string, content binary, error string")
+    failed = rows.filter("error is not null").groupBy("path").agg(F.min("error").alias("error"))
+    good = rows.filter("error is null").join(failed.select("path"), "path", "left_anti").select("path", "entry", "content", "error")
+    return good.unionByName(failed.select("path", F.lit(None).cast("string").alias("entry"), F.lit(None).cast("binary").alias("content"), "error"))
 
 
 def query_upload_rows(rows: DataFrame, assessment: str | None = None, start_ms: int | None = None, end_ms: int | None = None, include_test: bool = False) -> DataFrame:

@@ -26,6 +26,37 @@ def test_archives(spark, tmp_path):
     assert got["many.zip"] == [(None, "too many entries")] and got["large.zip"] == [(None, "entry too large")] and got["broken.zip"][0][0] is None
 
 
+def test_odd_archives(spark, tmp_path):
+    big = bytes(range(256)) * 400
+    with zipfile.ZipFile(tmp_path / "mixed.zip", "w") as z:
+        z.writestr("stored", big, zipfile.ZIP_STORED)
+        z.writestr("deflated", big, zipfile.ZIP_DEFLATED)
+        z.writestr("ü/none", b"", zipfile.ZIP_DEFLATED)
+        z.mkdir("folder")
+    good = (tmp_path / "mixed.zip").read_bytes()
+    (tmp_path / "empty.zip").write_bytes(b"PK\x05\x06" + bytes(18))
+    (tmp_path / "cut.zip").write_bytes(good[:5000])
+    at = good.index(b"deflated") + 60
+    (tmp_path / "changed.zip").write_bytes(good[:at] + bytes([good[at] ^ 255]) + good[at + 1 :])
+    with zipfile.ZipFile(tmp_path / "bomb.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("fine", b"fine")
+        z.writestr("lies", bytes(5_000_000))
+    bomb = (tmp_path / "bomb.zip").read_bytes()
+    (tmp_path / "bomb.zip").write_bytes(bomb.replace((5_000_000).to_bytes(4, "little"), (10).to_bytes(4, "little")))
+    with zipfile.ZipFile(tmp_path / "packed.zip", "w", zipfile.ZIP_LZMA) as z:
+        z.writestr("x", b"y")
+    with pytest.warns(UserWarning), zipfile.ZipFile(tmp_path / "twice.zip", "w") as z:
+        z.writestr("a", b"1")
+        z.writestr("a", b"2")
+    got = {}
+    for r in R.expand_archives(spark, str(tmp_path), max_size=200_000, tasks=3).collect():
+        got.setdefault(r.path.rsplit("/", 1)[1], []).append((r.entry, r.content if r.content is None else bytes(r.content), r.error))
+    assert sorted(got.pop("mixed.zip")) == [("deflated", big, None), ("stored", big, None), ("ü/none", b"", None)]
+    assert "empty.zip" not in got and got["bomb.zip"] == [(None, None, "entry too large")] and got["twice.zip"] == [(None, None, "repeated entry")]
+    assert got.keys() == {"cut.zip", "changed.zip", "bomb.zip", "packed.zip", "twice.zip"}
+    assert all(len(rows) == 1 and rows[0][:2] == (None, None) and rows[0][2] for rows in got.values())
+
+
 def test_archives_of_the_query_follow_the_rows_and_show_errors(spark, tmp_path):
     from cohortry.plans.export_queries import expand_archives
 
