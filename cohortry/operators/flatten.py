@@ -119,16 +119,17 @@ def export_annotations(records: DataFrame) -> DataFrame:
     return texts.unionByName(version)
 
 
-def export_manifest(fanout: DataFrame, records: DataFrame, studies: DataFrame, apps: DataFrame, bucket: str, exported_on: str) -> DataFrame:
+def export_manifest(fanout: DataFrame, studies: DataFrame, apps: DataFrame, bucket: str, exported_on: str) -> DataFrame:
     """(record_id, app_record, study_records): one notice a record, with where its file is at app level and by study.
 
-    ``records`` has (record_id, filename, created_ms, content_md5), the digest of the content in Base64; ``studies`` and ``apps``
+    ``fanout`` carries (filename, created_ms, content_md5) of its records, the last one the content's digest in Base64; ``studies`` and ``apps``
     have (project_id, folder_id) of their exports.
     """
-    file = records.select("record_id", "filename", "created_ms", S.base64_md5_to_hex("content_md5").alias("md5"))
     of_study = studies.select("study_id", F.struct("project_id", "folder_id").alias("_of_study")).distinct()
     of_app = apps.select("app_id", F.struct("project_id", "folder_id").alias("_of_app")).distinct()
-    each = fanout.join(of_study, "study_id", "left").join(of_app, "app_id", "left").join(file, "record_id")
+    spread = F.when(F.col("study_id").isNull(), F.concat(F.lit("\0"), F.xxhash64("record_id").cast("string"))).otherwise(F.col("study_id"))  # app-level rows don't meet in one task
+    files = fanout.withColumn("md5", S.base64_md5_to_hex("content_md5")).withColumn("_study", spread)
+    each = files.join(of_study.withColumnRenamed("study_id", "_study"), "_study", "left").join(of_app, "app_id", "left")
     place = F.when(F.col("study_id").isNull(), F.col("_of_app")).otherwise(F.col("_of_study"))
     key = S.raw_object_key("app_id", "study_id", F.timestamp_millis("created_ms"), S.upload_filename("record_id", "filename"))
     record = F.struct(place["project_id"].alias("project_id"), place["folder_id"].alias("folder_id"), F.lit(bucket).alias("bucket"), key.alias("key"), "md5", F.lit(exported_on).alias("exported_on"))

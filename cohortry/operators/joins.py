@@ -12,19 +12,23 @@ from .filters import export_configured
 UNKNOWN_ERROR = "Unknown error downloading attachment"  # fixed value
 
 
-def study_fanout(records: DataFrame, participants: DataFrame, schedule_studies: DataFrame, studies: DataFrame, apps: DataFrame) -> DataFrame:
-    """(record_id, app_id, study_id): a record's configured studies, and a row without study where its app is configured.
+def study_fanout(records: DataFrame, participants: DataFrame, schedule_studies: DataFrame, studies: DataFrame, apps: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(record_id, app_id, study_id) and the columns to ``carry``: a record's configured studies, and a row without study where its app is configured.
 
-    The participant's studies count, of a record with a schedule only those that use the schedule.
+    The participant's studies count, of a record with a schedule only those that use the schedule. Records are read once: they meet their user's studies
+    and their schedule's as arrays. Records without a schedule are spread by record, so that they don't meet in one task.
     """
-    member = participants.select("user_id", F.explode("study_ids").alias("study_id")).distinct()
-    all_ = records.select("record_id", "app_id", "user_id", "schedule_guid").join(member, "user_id")
-    using = schedule_studies.select("schedule_guid", "study_id").distinct()
-    free = all_.filter("schedule_guid is null")  # past the join: as a key, null would gather them in one task
-    picked = free.unionByName(all_.filter("schedule_guid is not null").join(using, ["schedule_guid", "study_id"], "left_semi"))
-    by_study = picked.join(export_configured(studies).select("study_id").distinct(), "study_id").select("record_id", "app_id", "study_id")
-    by_app = records.join(export_configured(apps).select("app_id"), "app_id", "left_semi").select("record_id", "app_id", F.lit(None).cast("string").alias("study_id"))
-    return by_study.unionByName(by_app)
+    on, none = export_configured(studies).select("study_id").distinct(), F.array().cast("array<string>")
+    member = participants.select("user_id", F.explode("study_ids").alias("study_id")).join(on, "study_id", "left_semi").groupBy("user_id").agg(F.collect_set("study_id").alias("_studies"))
+    using = schedule_studies.filter("schedule_guid is not null").groupBy(F.col("schedule_guid").alias("_key")).agg(F.collect_set("study_id").alias("_using"))
+    app = export_configured(apps).select("app_id").distinct().withColumn("_app", F.lit(True))
+    free = F.col("schedule_guid").isNull()
+    keyed = records.select("record_id", "app_id", "user_id", "schedule_guid", *carry).withColumn("_key", F.when(free, F.concat(F.lit("\0"), F.xxhash64("record_id").cast("string"))).otherwise(F.col("schedule_guid")))
+    each = keyed.join(using, "_key", "left").join(app, "app_id", "left").join(member, "user_id", "left")
+    own = F.coalesce("_studies", none)
+    picked = F.when(free, own).otherwise(F.array_intersect(own, F.coalesce("_using", none)))
+    whole = F.when(F.col("_app"), F.array(F.lit(None).cast("string"))).otherwise(none)
+    return each.select("record_id", "app_id", F.explode(F.concat(picked, whole)).alias("study_id"), *carry)
 
 
 def version_fanout(versions: DataFrame, studies: DataFrame, apps: DataFrame) -> DataFrame:

@@ -55,9 +55,9 @@ _FAN = f"""(select record_id, r.app_id, m.study_id from records r join (select d
     union all select record_id, app_id, null from records where app_id <> 'app3' and app_id in (select app_id from studies))"""
 
 
-def _fanout(spark, sf_dir):
-    studies = view(spark, sf_dir, "studies")
-    return J.study_fanout(view(spark, sf_dir, "records"), view(spark, sf_dir, "participants"), studies.filter("schedule_guid is not null"), studies, _apps(spark, sf_dir))
+def _fanout(spark, sf_dir, carry=()):
+    studies, records = view(spark, sf_dir, "studies"), view(spark, sf_dir, "records").withColumn("content_md5", F.base64(F.unhex(F.md5("priority"))))
+    return J.study_fanout(records, view(spark, sf_dir, "participants"), studies.filter("schedule_guid is not null"), studies, _apps(spark, sf_dir), carry)
 
 
 @query(with_views("records participants studies", f"select record_id, app_id, coalesce(study_id, '') as study_id from {_FAN}"))
@@ -373,10 +373,9 @@ _PLACE = "case when f.study_id is null then 'project-' || f.app_id || '|folder-'
 @query(with_views("records participants studies", f"select record_id, count(study_id) as n_studies, coalesce(max(case when study_id is null then place end), '') as app_record, coalesce(string_agg(case when study_id is not null then study_id || '=' || place end, ',' order by study_id), '') as study_records from (select f.*, {_PLACE.replace('{key}', _KEY)} as place from {_FAN} f join records r on r.record_id = f.record_id left join (select distinct study_id, project_id, view_id from studies) s on s.study_id = f.study_id) group by record_id"))
 def export_manifest(spark, sf_dir):
     """One notice a record; the content of a record is its priority's text here."""
-    records = view(spark, sf_dir, "records").withColumn("content_md5", F.base64(F.unhex(F.md5("priority"))))
     studies = view(spark, sf_dir, "studies").withColumn("folder_id", F.col("view_id"))
     apps = _apps(spark, sf_dir).select("app_id", F.concat(F.lit("project-"), "app_id").alias("project_id"), F.concat(F.lit("folder-"), "app_id").alias("folder_id"))
-    out = L.export_manifest(_fanout(spark, sf_dir), records, studies, apps, "raw-data", "2024-02-01")
+    out = L.export_manifest(_fanout(spark, sf_dir, ("filename", "created_ms", "content_md5")), studies, apps, "raw-data", "2024-02-01")
     text = lambda r: F.concat_ws("|", *(F.coalesce(r[c], F.lit("")) for c in ("project_id", "folder_id", "bucket", "key", "md5", "exported_on")))
     studies_ = F.transform(F.array_sort(F.map_entries("study_records")), lambda e: F.concat(e["key"], F.lit("="), text(e["value"])))
     return out.select("record_id", F.size("study_records").cast("long").alias("n_studies"), F.when(F.col("app_record").isNull(), "").otherwise(text(F.col("app_record"))).alias("app_record"), F.array_join(studies_, ",").alias("study_records"))
