@@ -9,8 +9,8 @@ So a conflict over a slot is resolved by rank, no slot is given twice, and a dep
 that found no slot try again in the next superstep; for those larger than all gaps new sequences are opened. Ranks, depths, matches and gaps are Spark tables; the driver
 sees only counts by size (at most ``capacity``) and their running sums.
 
-Defined results: a null text is an empty document with only the end id; texts of any length are cut, whole, into pieces of ``capacity``; repeated rows are packed
-each on its own; an empty table gives an empty result.
+Defined results: a null text is an empty document with only the end id; texts of any length are cut, whole, into pieces of ``capacity``; repeated rows and rows
+with equal or null ids are packed each on its own, ranked by doc_id (null first), piece and content, then as they were read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,12 +64,15 @@ def _by_size(values: np.ndarray) -> Column:
 
 
 def ranked(rows: DataFrame, counts: np.ndarray, *key: str) -> DataFrame:
-    """``rows`` with k, a rank from 0 among the rows of one size; ``counts`` are the rows of each size, which is ranked in parts of ``ROWS``."""
+    """``rows`` with k, a rank from 0 among the rows of one size; ``counts`` are the rows of each size, which is ranked in parts of ``ROWS``. No two rows of a size have one ``key``."""
     if counts.max() <= ROWS:  # each size is one part
         return rows.withColumn("k", F.row_number().over(Window.partitionBy("size").orderBy(*key)).cast("long") - 1)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(*key), _by_size(np.maximum(1, -(-counts // ROWS)))).cast("int"))
-    before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = salted.groupBy("size", "salt").count().select("size", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    each = salted.groupBy("size", "salt").count().withColumn("block", F.expr(f"salt div {ROWS}"))
+    ahead = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = each.groupBy("size", "block").agg(F.sum("count").alias("n")).select("size", "block", F.coalesce(F.sum("n").over(ahead("size", "block")), F.lit(0)).alias("first"))
+    inner = each.withColumn("base", F.coalesce(F.sum("count").over(ahead("size", "block", "salt")), F.lit(0)))  # running sums in blocks of parts, and over blocks
+    bases = inner.join(blocks, ["size", "block"]).select("size", "salt", (F.col("base") + F.col("first")).alias("base"))
     own = Window.partitionBy("size", "salt").orderBy(*key)
     return salted.withColumn("k", F.row_number().over(own) - 1).join(bases, ["size", "salt"]).withColumn("k", F.col("k") + F.col("base")).drop("salt", "base")
 
@@ -117,9 +120,9 @@ def sweep(slots: DataFrame, docs: DataFrame, n_slots: np.ndarray, before: np.nda
 def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    cut = saved(pieces(docs, path, capacity, end_id).withColumnRenamed("length", "size"), "pieces")
+    cut = saved(pieces(docs, path, capacity, end_id).withColumnRenamed("length", "size").withColumn("row", F.monotonically_increasing_id()), "pieces")  # equal rows differ by ``row``
     left = counts_of(cut, capacity)
-    ranks = saved(ranked(cut, left, "doc_id", "piece", "start", "ids_crc32").orderBy("size", "k"), "ranks")
+    ranks = saved(ranked(cut, left, "doc_id", "piece", "start", "ids_crc32", "row").drop("row").orderBy("size", "k"), "ranks")
     discard(cut)
     opened, left[capacity] = int(left[capacity]), 0  # whole sequences
     placed, root, step = np.zeros_like(left), scratch_path(spark, "placed"), 0

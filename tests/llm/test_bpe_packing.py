@@ -131,3 +131,24 @@ def test_slots_and_cuts():
     gaps[[10, 20, 64]] = 1, 2, 3
     assert {i: int(n) for i, n in enumerate(slot_counts(gaps, 10, 16)) if n} == {16: 3 * 4, 20: 2}
     assert cut_lengths(64, 64) == [64] and cut_lengths(130, 64) == [2, 64, 64]
+
+
+def test_many_equal_rows_are_ranked_in_parts(spark, monkeypatch):
+    monkeypatch.setattr("cohortry.llm.packing.ROWS", 20)
+    rows = [(7, "same words here", "x")] * 900 + [(None, "same words here", "x")] * 60 + [(i, "word " * (i % 40), "x") for i in range(100)]
+    got = pack(spark.createDataFrame(rows, SCHEMA).repartition(6), PATH, capacity=64).collect()
+    assert len(got) == sum(1 for _ in rows) and sum(r.doc_id == 7 for r in got) == 901
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in by.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) <= 64
+    counts = np.zeros(65, np.int64)
+    counts[5] = 960
+    equal = spark.range(960).select(F.lit(5).cast("long").alias("size"), F.lit("same").alias("text"), F.col("id").alias("row"))
+    assert sorted(r.k for r in ranked(equal, counts, "text", "row").collect()) == list(range(960))
+    plan = ranked(equal, counts, "text", "row")._jdf.queryExecution().optimizedPlan().toString()
+    assert "block" in plan
+    salts = equal.groupBy(F.pmod(F.xxhash64("text", "row"), F.lit(48))).count().collect()
+    assert len(salts) > 40 and max(r["count"] for r in salts) < 60
