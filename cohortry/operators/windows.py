@@ -68,11 +68,13 @@ def upcoming_burst(starts: DataFrame, day: int) -> DataFrame:
 
 
 def burst_decisions(starts: DataFrame, activities: DataFrame, day: int, length: int, head: int, tail: int, n_miss: int, n_consec: int, n_done: int, cutoff: int) -> DataFrame:
-    """(user_id, decision) of the day; a coming burst goes before a running one."""
-    coming = upcoming_burst(starts, day)
-    running = current_burst(starts, day, length, head, tail)
-    decided = burst_decision(missed_day_runs(burst_calendar(running, activities, day)), n_miss, n_consec, n_done, cutoff)
-    return coming.unionByName(decided.join(coming, "user_id", "left_anti"))
+    """(user_id, decision) of the day; a coming burst goes before a running one. Starts are read and grouped by user once for both."""
+    begun = starts.withColumn("start_day", local_day("ts_ms", "offset_minutes"))
+    holds = F.lit(day).between(F.col("start_day"), F.col("start_day") + length - 1)
+    users = begun.groupBy("user_id").agg(F.bool_or(F.col("start_day") - 1 == day).alias("coming"), F.min_by("start_day", F.when(holds, F.struct("ts_ms", "seq"))).alias("start_day"))
+    inside = (F.lit(day) >= F.col("start_day") + head) & (F.lit(day) <= F.col("start_day") + length - 1 - tail)
+    decided = burst_decision(missed_day_runs(burst_calendar(users.filter(~F.col("coming") & inside).select("user_id", "start_day"), activities, day)), n_miss, n_consec, n_done, cutoff)
+    return users.filter("coming").select("user_id", F.lit("PRE_BURST").alias("decision")).unionByName(decided)
 
 
 def bursts_holding(starts: DataFrame, day: int, length: int) -> DataFrame:

@@ -70,11 +70,11 @@ def version_fanout(spark, sf_dir):
     return J.version_fanout(_versions(spark, sf_dir), view(spark, sf_dir, "studies"), _apps(spark, sf_dir)).select("user_id", "app_id", F.coalesce("study_id", F.lit("")).alias("study_id"))
 
 
-@query(with_views("participants studies", f"select concat_ws('.', app_id, study_id) as table_id, count(*) as n, sum(user_id)::bigint as ids from {_VFAN} where user_id in (select o_custkey from orders) group by all"))
+@query(with_views("participants studies", f"select user_id, concat_ws('.', app_id, study_id) as table_id, user_id % 5 as participant_version, 'hc' || user_id as health_code from {_VFAN} where user_id in (select o_custkey from orders)"))
 def redrive_versions(spark, sf_dir):
     ids = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"))
     out = J.redrive_versions(ids, _versions(spark, sf_dir), view(spark, sf_dir, "studies"), _apps(spark, sf_dir))
-    return out.groupBy("table_id").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("ids"))
+    return out.select("user_id", "table_id", F.col("participant_version").cast("long").alias("participant_version"), "health_code")
 
 
 @query("select c_custkey as user_id from customer where c_custkey not in (select o_custkey from orders where o_orderkey % 7 = 0)")
@@ -227,6 +227,17 @@ def route_requests(spark, sf_dir):
     return out.select("event_id", F.coalesce("service", F.lit("")).alias("service"), "error", F.coalesce("body", F.lit("")).alias("body"))
 
 
+@query(with_views("data_rows participants requests studies", f"select request_id, table_id, kind, key::bigint as key, '' as message from {_TABLES} union all select request_id, '', 'error', 0, 'Error downloading survey: no such table, \"x\"' from requests where request_id % 4 = 0"))
+def extract_bundle_contents(spark, sf_dir):
+    """Every row and message of the written bundles."""
+    path = _folder(spark, "bundle")
+    errors = view(spark, sf_dir, "requests").filter("request_id % 4 = 0").select("request_id", F.lit('Error downloading survey: no such table, "x"').alias("message"))
+    K.write_extract_bundle(_tables(spark, sf_dir), errors, path)
+    rows = [spark.read.option("header", True).option("escape", '"').csv(f"{path}/{kind}").select(F.col("request_id").cast("long").alias("request_id"), F.col("table_id").cast("string").alias("table_id"), F.lit(kind).alias("kind"), F.get_json_object("row", "$.record_id").cast("long").alias("key"), F.lit("").alias("message")) for kind in ("data", "survey")]
+    log = spark.read.text(f"{path}/error.log").select(F.col("request_id").cast("long").alias("request_id"), F.lit("").alias("table_id"), F.lit("error").alias("kind"), F.lit(0).cast("long").alias("key"), F.col("value").alias("message"))
+    return rows[0].unionByName(rows[1]).unionByName(log)
+
+
 @query(with_views("upload_rows", f"select record_id from upload_rows where assessment_guid = 'click' and created_ms >= {FIRST_DAY + 3 * DAY} and created_ms < {FIRST_DAY + 9 * DAY} and not is_test"))
 def query_upload_rows(spark, sf_dir):
     return R.query_upload_rows(view(spark, sf_dir, "upload_rows"), "click", FIRST_DAY + 3 * DAY, FIRST_DAY + 9 * DAY).select("record_id")
