@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .common import discard, saved
 from .graph import components
 
-ROTATIONS, SHARED, PART, IN_FILTER = 8, 8.0, 512, 300
+ROTATIONS, SHARED, PART, IN_FILTER, LIFTED = 8, 8.0, 512, 300, 64
 
 
 def share_passing(alpha: float, cosine: float) -> float:
@@ -56,10 +56,10 @@ def plan(n: int, cosine: float) -> tuple[int, float]:
 
 
 def codes(d: int, words: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rotation, and the code of each half."""
-    rng = np.random.default_rng(seed)
-    rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
-    return rotation, rng.standard_normal((d // 2, words)), rng.standard_normal((d - d // 2, words))
+    """Rotation, and the code of each half. Vectors of few dimensions are rotated into ``LIFTED``, where filters depend less on each other; products stay."""
+    rng, wide = np.random.default_rng(seed), max(d, LIFTED)
+    rotation = np.linalg.qr(rng.standard_normal((wide, wide)))[0][:d]
+    return rotation, rng.standard_normal((wide // 2, words)), rng.standard_normal((wide - wide // 2, words))
 
 
 def decode(one: np.ndarray, two: np.ndarray, alpha: float) -> np.ndarray:
@@ -74,7 +74,7 @@ def decode(one: np.ndarray, two: np.ndarray, alpha: float) -> np.ndarray:
 
 def all_filters(x: np.ndarray, words: int, alpha: float, rotated: list) -> list[np.ndarray]:
     """Numbers of the filters that each unit vector passes, over all rotations, ascending."""
-    half, out = x.shape[1] // 2, []
+    half, out = rotated[0][0].shape[1] // 2, []
     for k, (rotation, one, two) in enumerate(rotated):
         y = x @ rotation
         s, t = y[:, :half] @ one, y[:, half:] @ two
