@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from .common import discard, saved, shuffle_partitions
 
 WIDTH = 32  # hexadecimal digits of a turn's digest
-TURNS, LATEST = 20_000, 5
+TURNS, LATEST = 100_000, 5
 NODE = "part int, node string, parent string, depth long, conv_id long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends string, is_open boolean"
 NAMES = [c.split()[0] for c in NODE.split(", ")]
 
@@ -171,7 +171,7 @@ def part_nodes(part: int, keys: list[str], ids: list[int], sizes: list[list[int]
 
 
 def parts_nodes(parts: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows of ``NODE`` of every part; a part has ``TURNS`` turns or so, and its shared depths come with it."""
+    """Rows of ``NODE`` of every part; a part has ``TURNS`` turns or so at most, and its shared depths come with it."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         both = table.to_pydict()
@@ -244,7 +244,7 @@ def trie(conversations: DataFrame) -> DataFrame:
     rows = saved(built, "rebuilt")
     discard(built._scratch)
     total = rows.agg(F.coalesce(F.sum(F.size("sizes") + 1), F.lit(0))).first()[0]
-    n_parts = -(-total // TURNS) or 1
+    n_parts = max(-(-total // TURNS), shuffle_partitions(spark))
     parts = saved(rows.repartitionByRange(n_parts, "key", "conv_id").withColumn("part", F.spark_partition_id()), "parts")
     discard(rows)
     nodes = saved(parts_nodes(parts, shared_depths(parts)), "nodes")
