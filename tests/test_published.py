@@ -164,3 +164,27 @@ def test_a_million_keys_in_one_assessment(spark, tmp_path):
     for i, cells in got.items():
         filled = {k: v for k, v in cells.items() if v and k != "client"}
         assert len(filled) in (each, each - 0) and all(k == f"key{v}" and int(v) // each == int(i) for k, v in filled.items())
+
+
+def test_compaction(spark, tmp_path, monkeypatch):
+    from cohortry.sources import published as P
+
+    path, schema = str(tmp_path / "t"), "id long, kind string"
+    frame = lambda a, b: spark.range(a, b).withColumn("kind", F.concat(F.lit("k"), (F.col("id") % 2).cast("string")))
+    for k in range(4):
+        assert publish(frame(10 * k, 10 * k + 10), path, f"q-{k}", by=("kind",)) == 10
+    want = [(i, f"k{i % 2}") for i in range(40)]
+    monkeypatch.setattr(P, "move", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        P.compact(spark, path, schema, ("kind",))
+    monkeypatch.undo()
+    assert rows(spark, path, schema) == want and publish(frame(0, 10), path, "q-0", by=("kind",)) is None
+    assert P.compact(spark, path, schema, ("kind",), keep=1) == 3
+    assert rows(spark, path, schema) == want and len(names(spark, path)) == 5  # replaced folders are there, and not read
+    assert P.vacuum(spark, path) == 3 and rows(spark, path, schema) == want and len(names(spark, path)) == 2
+    assert all(publish(frame(0, 10), path, f"q-{k}", by=("kind",)) is None for k in range(4))  # for ever
+    publish(frame(40, 50), path, "q-4", by=("kind",))
+    assert P.compact(spark, path, schema, ("kind",)) == 3 and P.vacuum(spark, path) == 3
+    assert rows(spark, path, schema) == want + [(i, f"k{i % 2}") for i in range(40, 50)]
+    assert all(publish(frame(0, 10), path, f"q-{k}", by=("kind",)) is None for k in range(5)) and P.compact(spark, path, schema) == 0
+    assert sorted(r.id for r in published(spark, path, schema, F.col("kind") == "k1").collect()) == list(range(1, 50, 2))
