@@ -20,10 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound_batches, crc32_mod, discard, saved, slices
@@ -145,11 +147,15 @@ class BlockMaxIndex:
         return np.where(best > 0, width - 1 - best % width, -1), best // width / 1e5
 
 
+NO_ENTRIES = Bags(np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
+NO_TERM = Bags(np.zeros(2, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))  # one text
+
+
 @dataclass
 class ToxicityModel:
     vocabulary: np.ndarray  # hashes of the terms, rising
     term_weights: np.ndarray
-    index: BlockMaxIndex | None
+    entries: Bags  # different examples with a term
     rows: np.ndarray  # examples of each entry
     toxic: np.ndarray  # toxic ones of these
     ids: np.ndarray  # an example's id of each entry
@@ -158,6 +164,14 @@ class ToxicityModel:
     curve: tuple[float, float] = (0.0, 1.0)
     k: int = NEIGHBOURS
 
+    @cached_property
+    def index(self) -> BlockMaxIndex | None:
+        """Built where it is first searched, and not sent."""
+        return BlockMaxIndex(self.entries.at, self.entries.terms, self.weigh(self.entries), len(self.vocabulary)) if len(self.rows) else None
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "index"}
+
     def weigh(self, rows: Bags) -> np.ndarray:
         w = (1 + np.log(rows.counts)) * self.term_weights[rows.terms]
         text = np.repeat(np.arange(len(rows.at) - 1), np.diff(rows.at))
@@ -240,9 +254,9 @@ def _document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int,
         held = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"term": np.append(-1, held), "n": np.append(rows, counts[held])})
 
-    got = docs.select(F.col("text").cast("string")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    got = docs.select(F.col("text").cast("string")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(vocabulary) + 1, np.int64)
-    out[got.term] = got.n  # -1, all rows, is the last place
+    out[got["term"].to_numpy()] = got["n"].to_numpy()  # -1, all rows, is the last place
     return int(out[-1]), out[:-1].astype(float)
 
 
@@ -273,13 +287,13 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Toxicit
     sample = saved(rows.join(F.broadcast(given), "doc_id"), "examples")  # at most ``examples`` rows are broadcast
     n, bad = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("toxic") > 0).cast("int")), F.lit(0))).first()
     if not n:
-        return ToxicityModel(np.empty(0, np.uint64), np.empty(0), None, np.empty(0), np.empty(0), np.empty(0), (0, 0), 0.5)
-    counts = _term_counts(sample).toPandas()  # terms of the bounded examples
-    hashes = counts.term.to_numpy(np.int64).view(np.uint64)
+        return ToxicityModel(np.empty(0, np.uint64), np.empty(0), NO_ENTRIES, np.empty(0), np.empty(0), np.empty(0), (0, 0), 0.5)
+    counts = _term_counts(sample).toArrow()  # terms of the bounded examples
+    hashes = counts["term"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     vocabulary = hashes[order]
     total, df = _document_frequencies(rows, vocabulary)
-    strength = association(counts.n.to_numpy(float)[order], counts.n_toxic.to_numpy(float)[order], n, bad)
+    strength = association(counts["n"].to_numpy().astype(float)[order], counts["n_toxic"].to_numpy().astype(float)[order], n, bad)
     weights = (np.log((1 + total) / (1 + df)) + 1) * strength
     shared = sample.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -294,34 +308,49 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Toxicit
         sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>")
         .groupBy("terms", "counts")
         .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.sum((F.col("toxic") > 0).cast("int")).alias("toxic"))
-        .toPandas()
+        .toArrow()
     )
     discard(sample)
-    none = got.terms.map(len) == 0
-    zero = (int(got.n[none].sum()), int(got.toxic[none].sum()))
-    got = got[~none].assign(clean=lambda d: d.toxic == 0).sort_values(["clean", "doc_id", "n"], kind="stable")  # toxic entries share blocks
-    at = np.concatenate([[0], np.cumsum(got.terms.map(len).to_numpy(np.int64))]).astype(np.int64)
-    entries = Bags(at, *(np.concatenate([np.empty(0, np.int64), *got[c]]).astype(np.int64) for c in ("terms", "counts")))
-    model = ToxicityModel(vocabulary, weights, None, got.n.to_numpy(), got.toxic.to_numpy(), got.doc_id.to_numpy(), zero, min(max(bad / n, 0.5 / n), 1 - 0.5 / n))
-    if len(got):
-        model.index = BlockMaxIndex(at, entries.terms, model.weigh(entries), len(vocabulary))
-    empty = Bags(np.zeros(2, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
+    none = pc.equal(pc.list_value_length(got["terms"]), 0)
+    zero = tuple(pc.sum(got.filter(none)[c]).as_py() or 0 for c in ("n", "toxic"))
+    got = got.filter(pc.invert(none)).combine_chunks()
+    toxic, ids, rows_of = (got[c].to_numpy() for c in ("toxic", "doc_id", "n"))
+    got = got.take(np.lexsort((rows_of, ids, toxic == 0)))  # toxic entries share blocks
+    at = np.concatenate([[0], np.cumsum(pc.list_value_length(got["terms"]).to_numpy().astype(np.int64))]).astype(np.int64)
+    entries = Bags(at, *(got[c].combine_chunks().flatten().to_numpy().astype(np.int64) for c in ("terms", "counts")))
+    model = ToxicityModel(vocabulary, weights, entries, got["n"].to_numpy(), got["toxic"].to_numpy(), got["doc_id"].to_numpy(), zero, min(max(bad / n, 0.5 / n), 1 - 0.5 / n))
     votes, y, weight = [], [], []
-    for label, own_rows, zero_rows in ((1, model.toxic, zero[1]), (0, model.rows - model.toxic, zero[0] - zero[1])):
-        for i in range(0, len(got), TEXTS):
-            j = min(i + TEXTS, len(got))
-            votes.append(model.votes(entries.part(i, j), np.arange(i, j), label)[0])
-            weight.append(own_rows[i:j])
+    if len(got):
+        left_out = _leave_one_out(docs.sparkSession, model)
+        for label, own_rows in ((1, model.toxic), (0, model.rows - model.toxic)):
+            votes, y, weight = [*votes, left_out[label]], [*y, np.full(len(got), label)], [*weight, own_rows]
+    for label, zero_rows in ((1, zero[1]), (0, zero[0] - zero[1])):
         if zero_rows:
-            votes.append(model.votes(empty, np.array([-2]), label)[0])
-            weight.append(np.array([zero_rows]))
-        y += [label] * (sum(map(len, votes)) - len(y))
+            votes, y, weight = [*votes, model.votes(NO_TERM, np.array([-2]), label)[0]], [*y, [label]], [*weight, [zero_rows]]
     n_rows = np.concatenate(weight).astype(float)
     used = n_rows > 0
-    model.curve = _logistic(np.concatenate(votes)[used], (np.array(y) * n_rows)[used], n_rows[used])
+    model.curve = _logistic(np.concatenate(votes)[used], (np.concatenate(y) * n_rows)[used], n_rows[used])
     return model
 
 
+def _leave_one_out(spark: SparkSession, model: ToxicityModel) -> np.ndarray:
+    """Each entry's votes as one of a clean row (first line) and of a toxic one, without that row. Tasks search the index, which isn't built on the driver."""
+    shared, n = spark.sparkContext.broadcast(model), len(model.rows)  # bounded by the parameters of fit
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                part = np.arange(i, min(i + TEXTS, n))
+                own = [shared.value.votes(shared.value.entries.part(i, i + len(part)), part, label)[0] for label in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(part), *map(pa.array, own)], names=["entry", "clean", "toxic"])
+
+    got = spark.range(0, n, TEXTS).mapInArrow(run, "entry long, clean double, toxic double").toArrow()
+    out = np.zeros((2, n))
+    out[:, got["entry"].to_numpy()] = got["clean"].to_numpy(), got["toxic"].to_numpy()
+    shared.unpersist()
+    return out
+
+
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score and evidence (ids and cosines of the nearest examples) of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the parameters of fit
