@@ -437,12 +437,12 @@ def _shared(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     summaries = saved(_summaries(rows, k), "summaries")
     ours = summaries.filter("n >= 0")
     often = summaries.filter("n < 0").groupBy("node").agg(F.sum("doc_id").alias("count"))
-    often = largest(often, "count", FREQUENT).toPandas().sort_values(["count", "node"])
+    often = largest(often, "count", FREQUENT).toArrow().sort_by([("count", "ascending"), ("node", "ascending")])
     copied = ours.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("first")).filter("rows > 1")
-    copied = largest(copied, "rows", FREQUENT).toPandas().sort_values("node")
-    ranks, counts = often["node"].to_numpy(np.int64).view(np.uint64), often["count"].to_numpy(np.int64)
+    copied = largest(copied, "rows", FREQUENT).toArrow().sort_by("node")
+    ranks, counts = often["node"].to_numpy().view(np.uint64), often["count"].to_numpy()
     expected = (ours.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
-    postings = saved(_postings(rows, ranks, counts, (copied["node"].to_numpy(np.int64), copied["first"].to_numpy(np.int64)), expected, k, percent), "postings")
+    postings = saved(_postings(rows, ranks, counts, (copied["node"].to_numpy(), copied["first"].to_numpy()), expected, k, percent), "postings")
     lists, two = _shared_lists(postings)
     lists = saved(lists, "lists")
     discard(postings, two)

@@ -330,6 +330,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Toxicit
     n_rows = np.concatenate(weight).astype(float)
     used = n_rows > 0
     model.curve = _logistic(np.concatenate(votes)[used], (np.concatenate(y) * n_rows)[used], n_rows[used])
+    del got, counts
+    pa.default_memory_pool().release_unused()  # to the driver's other work
     return model
 
 
@@ -347,7 +349,7 @@ def _leave_one_out(spark: SparkSession, model: ToxicityModel) -> np.ndarray:
     got = spark.range(0, n, TEXTS).mapInArrow(run, "entry long, clean double, toxic double").toArrow()
     out = np.zeros((2, n))
     out[:, got["entry"].to_numpy()] = got["clean"].to_numpy(), got["toxic"].to_numpy()
-    shared.unpersist()
+    shared.destroy()
     return out
 
 
