@@ -16,6 +16,8 @@ neither does what stands on one page only (an optional part). Where nothing at a
 A page's text is what its tokens put into the slots there, without menus, forms, adverts, notices, comments
 and the like, and without a header outside article and main elements. Names never rule out html, body and main
 elements; an article element with the name of, say, a comment is only read if most of the host's text stands in such.
+A class or id word rules a block out when all its parts are listed names or words of layout (related-posts). One with other
+parts (related-work) is a hint: the host's wrapper decides, and the block goes if most of its slot text stands in links.
 
 Defined results: a null, empty or tagless html gives its bare text or none; a null url is the host ''; pages
 with equal ids are extracted each on its own; a page that lacks its host's places is judged by its own wrapper.
@@ -28,6 +30,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from math import isqrt
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,10 +39,11 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-DEPTH, HOSTS_HELD, SALTS, BROADCAST_BYTES = 120, 2000, 32, 32 << 20
+DEPTH, HOSTS_HELD, SALTS, BROADCAST_BYTES = 120, 2000, 32, 32 << 20  # SALTS: of pages that are joined with their hosts
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^>]*\Z""", re.DOTALL)
-ATTRIBUTE = re.compile(r"""(?<![\w:.-])(class|id|role|hidden)(?![\w:.-])\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")  # one after the other, so that values aren't read as names
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 RAW = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.IGNORECASE) for t in ("script", "style", "textarea", "title", "noscript", "template", "iframe")}
 
 # The void and block elements of HTML, and what an article isn't.
@@ -47,8 +51,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LISTS = frozenset("ul ol dl table menu dir select".split())
-NOISE_TAGS = frozenset("nav aside footer form button select option textarea script style noscript template iframe object svg canvas dialog menu head title input label".split())
-NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar menu nav navbar navigation breadcrumb breadcrumbs cookie cookies consent notice notices newsletter subscribe share sharing social related recommended popup modal comment comments disqus reply replies masthead pagination pager contentinfo complementary".split())
+NOISE_TAGS = frozenset("nav aside footer form button select option textarea script style noscript template iframe object svg canvas dialog menu head title input".split())
+NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar menu nav navbar navigation breadcrumb breadcrumbs cookie cookies consent notice notices newsletter subscribe share sharing social related recommended popup modal comment comments disqus reply replies masthead pagination pager contentinfo complementary rail responses teaser teasers trending outbrain taboola".split())
+LAYOUT = frozenset("area article articles bar block body bottom box button buttons center column container content count entry footer form group header icon icons inner item items js left link links list main message outer overlay page panel post posts right row section site slot stories text thread title top unit widget wrap wrapper".split())
 PAGE_NOISE = frozenset({"header", "footer"})
 NEVER_NOISE = frozenset({"html", "body", "main", "article"})
 ABOUT = frozenset("no not non has have with without".split())  # no-sidebar: a word on the page's layout, not what the element is
@@ -66,19 +71,28 @@ class Node:
 
 
 def _node(tag: str, attributes: str) -> Node:
-    noise, listed, names = tag in NOISE_TAGS, False, []
+    noise, listed, hinted, names = tag in NOISE_TAGS, False, False, []
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
-        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        words = value.split()
-        if key == "hidden":
+        key = m[1].lower()
+        if key not in ("class", "id", "role", "hidden", "aria-hidden", "style"):
+            continue
+        value = (m[2] or m[3] or m[4] or "").lower()
+        if key == "hidden" or key == "aria-hidden" and value.strip() == "true" or key == "style" and UNSEEN.search(value):
             noise = True
+        if key not in ("class", "id", "role"):
             continue
-        parts = [[x] if tag in WORDED else re.split(r"[-_]+", x) for x in words]
-        listed = listed or any(w in NOISE_WORDS for x in parts if x[0] not in ABOUT for w in x) or any(w in PAGE_NOISE for w in words) and tag != "article"
+        words = value.split()
+        for word in words:
+            parts = [word] if tag in WORDED else [x for x in re.split(r"[-_]+", word) if x]
+            if parts and parts[0] not in ABOUT and not NOISE_WORDS.isdisjoint(parts):
+                whole = all(x in NOISE_WORDS or x in LAYOUT or x.isdigit() for x in parts)
+                listed, hinted = listed or whole, hinted or not whole
+        listed = listed or any(w in PAGE_NOISE for w in words) and tag != "article"
         if key != "id":
             names += [re.sub(r"\d+", "0", w) for w in words]
     noise = noise or listed and tag not in NEVER_NOISE
-    return Node(tag, ".".join([tag, *names]) + ("!" if noise else "?" if listed and tag == "article" else ""), noise)
+    mark = "!" if noise else "?" if listed and tag == "article" else "~" if hinted and tag not in NEVER_NOISE else ""
+    return Node(tag, ".".join([tag, *names]) + mark, noise)
 
 
 def parse(html: str) -> Node:
@@ -120,7 +134,7 @@ def parse(html: str) -> Node:
                 break
         own = _node(tag, m[3] if m[2] else m[6])
         if len(stack) > DEPTH and not own.noise and any(n.noise for n in stack[DEPTH:]):
-            own = Node(tag, own.label.rstrip("?!") + "!", True)  # what hangs higher than it stands is still part of the menu around it
+            own = Node(tag, own.label.rstrip("?!~") + "!", True)  # what hangs higher than it stands is still part of the menu around it
         stack[min(len(stack), DEPTH) - 1].children.append(own)
         if tag in RAW:
             stop = RAW[tag].search(html, at)
@@ -224,7 +238,11 @@ def expression(part: list, label: str = "") -> str:
 
 
 def _tag(label: str) -> str:
-    return label.split(".")[0].rstrip("!?")
+    return label.split(".")[0].rstrip("!?~")
+
+
+def _is_main(label: str) -> bool:
+    return _tag(label) == "main" or "main" in label.rstrip("~").split(".")[1:]
 
 
 def places(wrapper: list) -> list[list[str]]:
@@ -232,7 +250,7 @@ def places(wrapper: list) -> list[list[str]]:
     constants = not _text(wrapper, "", False, links=True, listed=True)
     every = _text(wrapper, "", constants, links=True, listed=True)
     clean = lambda x: _tag(x) == "article" and not x.endswith("?")
-    for is_root, least in ((clean, 1), (lambda x: _tag(x) == "article", every / 2), (lambda x: _tag(x) == "main" or "main" in x.split(".")[1:], 1)):
+    for is_root, least in ((clean, 1), (lambda x: _tag(x) == "article", every / 2), (_is_main, 1)):
         found: list[tuple[list[str], int]] = []
         stack = [([], wrapper)]
         while stack:
@@ -269,27 +287,29 @@ def _text(part: list, label: str, constants: bool, links: bool = False, listed:
     return sum(_text(p, x, constants, links, listed) for x, p in part[PARTS].items())
 
 
-def _constants(part: list) -> dict:
-    """The template's texts under a place, as a tree of labels."""
+def _constants(part: list, alone: bool) -> dict:
+    """What isn't the article's under a place, as a tree of labels: the template's texts, and as None hinted blocks of links. ``alone``: no template can be told."""
     out: dict = {}
     for label, p in part[PARTS].items():
         if p[TEXT] is not None:
-            if _template(p):
+            if not alone and _template(p):
                 out[label] = {}
-        elif not label.endswith("!") and (own := _constants(p)):
+        elif label.endswith("~") and 2 * _text(p, "", alone) < _text(p, "", alone, links=True):
+            out[label] = None
+        elif not label.endswith("!") and (own := _constants(p, alone)):
             out[label] = own
     return out
 
 
 def reading(wrapper: list) -> list:
-    """How the host's pages are read: the path of each place and the template's texts there."""
+    """How the host's pages are read: the path of each place and what isn't the article's there."""
     alone = not _text(wrapper, "", False, links=True, listed=True)  # nothing differs: no template to be told
     out = []
     for path in places(wrapper):
         part = wrapper
         for label in path:
             part = part[PARTS][label]
-        out.append([path, {} if alone else _constants(part)])
+        out.append([path, _constants(part, alone)])
     return out
 
 
@@ -312,7 +332,7 @@ def slot_texts(page: Node, roots: list) -> list[str] | None:
             if isinstance(child, str):
                 line.append(child)
                 slot = slot or "#text" not in template and not child.isspace()
-            elif child.noise or child.label.endswith("?") or child.tag == "header" and not inside:
+            elif child.noise or child.label.endswith("?") or child.tag == "header" and not inside or template.get(child.label, {}) is None:
                 if child.tag in BLOCK:
                     flush()
             else:
@@ -329,7 +349,7 @@ def slot_texts(page: Node, roots: list) -> list[str] | None:
         if path in wanted:
             found = True
             flush()
-            put(node, wanted[path], any(_tag(x) in ("article", "main") or "main" in x.split(".")[1:] for x in path))
+            put(node, wanted[path], any(_tag(x) == "article" or _is_main(x) for x in path))
             flush()
             return
         for child in node.children:
@@ -360,7 +380,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper): the wrapper of each host as JSON, from all of its pages."""
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt, held = TaskContext.get().partitionId() % SALTS, {}
+        salt, held = isqrt(TaskContext.get().partitionId()), {}  # of n tasks, the root of n salts, each of twice as many tasks at most
 
         def sent() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_pydict({"host": list(held), "salt": pa.array([salt] * len(held), pa.int32()), "wrapper": [json.dumps(w) for w in held.values()]})

@@ -231,6 +231,23 @@ def test_menus_below_any_depth_hidden_parts_and_inner_class_words():
     assert html_extract.extract('<article><h2 class="share-of-gdp">Share</h2><p class="notice-board">Board</p></article>', None) == "Share\nBoard"
 
 
+def test_names_with_other_parts_are_only_hints():
+    parts = '<section class="related-work"><p>Before {0}</p></section><table class="share-prices"><tr><td>Oil {0}</td></tr></table><ul class="social-sciences"><li>Law {0}</li></ul><p><label>Set</label> to ten {0}.</p>'
+    junk = '<div class="related-posts"><p>x {0}</p></div><ul class="related-reading"><li><a href="/{0}">Other {0}</a></li><li><a>More {0}</a></li></ul><section class="responses"><p>Nice {0}</p></section><div class="rail"><p>Buy {0}</p></div><p style="display: none">a {0}</p><p aria-hidden="true">b {0}</p>'
+    wrapper, pages = None, [html_extract.parse(f"<body><article><h1>T {i}</h1>{parts.format(i)}{junk.format(i)}</article></body>") for i in range(4)]
+    for p in pages:
+        own = html_extract.wrapper_of(p)
+        wrapper = own if wrapper is None else html_extract.align(wrapper, own)
+    for i, p in enumerate(pages):
+        wanted = [f"T {i}", f"Before {i}", f"Oil {i}", f"Law {i}", f"Set to ten {i}."]
+        assert html_extract.slot_texts(p, html_extract.reading(wrapper)) == wanted  # by the host's wrapper
+        assert html_extract.slot_texts(p, html_extract.reading(html_extract.wrapper_of(p))) == wanted  # by its own
+
+
+def test_values_of_attributes_are_not_names():
+    assert html_extract.extract("""<article><p title="a hidden class=menu">one</p><p data-hidden=1 data-class='ad' alt='id="nav"'>two</p><p CLASS = 'ad'>no</p><p hidden=hidden>no</p><p style="color:red">three</p></article>""", None) == "one\ntwo\nthree"
+
+
 def test_deep_and_odd_html():
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     assert html_extract.extract(deep, None) == "deep"
