@@ -97,10 +97,11 @@ def slices(texts: pa.Array, max_bytes: int = 1 << 18) -> Iterator[tuple[int, int
         a = b
 
 
-def largest(df: DataFrame, column: str, most: int) -> DataFrame:
+def largest(df: DataFrame, column: str, most: int, some: bool = False) -> DataFrame:
     """At most ``most`` rows, those of the largest values of a positive count: all of some size class or none of it.
 
     The classes are sixteenths of powers of two, so finding the smallest takes few rows, and no task sends more than it keeps.
+    With ``some``, if the largest class alone is too large, the rows of it whose hashes fall in the first slices that fit.
     """
     size = F.floor(F.log2(column) * 16)
     classes = df.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect()  # some hundred rows
@@ -110,6 +111,15 @@ def largest(df: DataFrame, column: str, most: int) -> DataFrame:
         if total > most:
             break
         least = r["size"]
+    if least is None and some and classes:
+        first = df.filter(size >= classes[0]["size"]).withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(4096)))
+        total, end = 0, 0
+        for r in first.groupBy("_slice").count().orderBy("_slice").collect():  # 4,096 rows at most
+            total += r["count"]
+            if total > most:
+                break
+            end = r["_slice"] + 1
+        return first.filter(F.col("_slice") < end).drop("_slice")
     return df.filter(size >= least) if least is not None else df.limit(0)
 
 

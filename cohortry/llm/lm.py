@@ -131,7 +131,7 @@ class Classes:
 
 
 def frequent(counts: DataFrame) -> Classes:
-    top = largest(counts.filter("bucket >= 0"), "n", HOT).toPandas().sort_values(["n", "hash"], ascending=[False, True])
+    top = largest(counts.filter("bucket >= 0"), "n", HOT, some=True).toPandas().sort_values(["n", "hash"], ascending=[False, True])
     rank = np.arange(len(top))
     bucket = top["bucket"].to_numpy(np.int64)
     target, context = np.where(rank < TARGETS, rank, TARGETS + bucket), np.where(rank < CONTEXTS, rank, CONTEXTS + bucket)

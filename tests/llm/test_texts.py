@@ -277,3 +277,13 @@ def test_shapes_are_bounded(bits):
     starts, ends, _ = word_spans(data, np.array([0, len(data)]))
     found = lm.shapes(data, starts, ends)
     assert len(found) == 4 and found.min() >= 0 and found.max() < lm.BUCKETS
+
+
+def test_largest_of_equal_sizes(spark):
+    from cohortry.llm.common import largest
+
+    same = spark.range(20_000).selectExpr("id as hash", "7L as n")
+    assert largest(same, "n", 1000).count() == 0 and largest(same.limit(0), "n", 1000, some=True).count() == 0
+    assert 900 <= largest(same, "n", 1000, some=True).count() <= 1000
+    mixed = same.unionByName(spark.range(50).selectExpr("-id - 1 as hash", "900L as n"))
+    assert {r.n for r in largest(mixed, "n", 1000, some=True).collect()} == {900}
