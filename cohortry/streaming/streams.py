@@ -83,14 +83,18 @@ def _bloom_bits(key_hash: str, buckets: int, hashes: int):
     return bucket, F.array(*(F.pmod(F.xxhash64(F.col(key_hash), F.lit(i)), F.lit(32_768)).cast("int") for i in range(hashes)))
 
 
+FOLDERS = 32
+
+
 def dedupe_redelivery_ever(stream: DataFrame, keys: list[str], arrival_column: str, watermark: str, path: str, checkpoint: str, buckets: int = 1024, hashes: int = 4) -> StreamingQuery:
     """Every key once, however late it comes again: published under ``path`` as ``rows``, read by ``delivered_once``.
 
-    Two memories: the stream's state keeps the keys of the last ``watermark``; older ones are in the table ``keys``, in ``buckets`` folders by key hash, with a
-    Bloom filter of 32,768 bits a bucket beside it. A batch's keys that the filter doesn't know are new; only the others, few but for redelivered ones, are looked up, in
-    the folders of their buckets. A filter that fills up (some 3,000 keys a bucket) lets more keys through to the lookup and changes no result.
+    Two memories: the stream's state (on RocksDB) keeps the keys of the last ``watermark``; older ones are in the table ``keys``, in ``FOLDERS`` folders by key hash, each written
+    by one task of a batch, with a Bloom filter of 32,768 bits for each of ``buckets`` beside it. A batch's keys that the filter doesn't know are new; only the others, few but for redelivered ones,
+    are looked up, in the folders that they fall into. A filter that fills up (some 3,000 keys a bucket) lets more keys through to the lookup and changes no result.
     ``arrival_column`` is when a message came, not when it was sent: rows behind the watermark are lost to state.
     """
+    stream.sparkSession.conf.set(*ROCKS)
     once = dedupe_redelivery(stream, keys, arrival_column, watermark)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields if f.name in keys)
 
@@ -99,30 +103,30 @@ def dedupe_redelivery_ever(stream: DataFrame, keys: list[str], arrival_column: s
         name = transaction(spark, checkpoint, batch_id)
         before = F.col("publication") != name  # a batch that runs again doesn't count as seen by itself
         bucket, bits = _bloom_bits("_hash", buckets, hashes)
-        rows = batch.withColumn("_hash", F.xxhash64(*keys)).withColumn("_bucket", bucket).withColumn("_bits", bits).persist()
+        rows = batch.withColumn("_hash", F.xxhash64(*keys)).withColumn("_bucket", bucket).withColumn("_folder", F.col("_bucket") % FOLDERS).withColumn("_bits", bits)
+        bitmaps = published(spark, f"{path}/bloom", "_bucket int, _bitmap binary", before).groupBy("_bucket").agg(F.bitmap_or_agg("_bitmap").alias("_bitmap"))
+        byte = lambda p: F.conv(F.hex(F.substring(F.col("_bitmap"), F.shiftright(p, 3) + 1, F.lit(1))), 16, 10).cast("int")
+        held = F.forall("_bits", lambda p: F.floor(byte(p) / F.pow(F.lit(2), p % 8)) % 2 == 1)
+        probed = rows.join(bitmaps, "_bucket", "left").withColumn("_maybe", F.coalesce(held, F.lit(False))).drop("_bitmap").persist()
         try:
-            bitmaps = published(spark, f"{path}/bloom", "_bucket int, _bitmap binary", before).groupBy("_bucket").agg(F.bitmap_or_agg("_bitmap").alias("_bitmap"))
-            byte = lambda p: F.conv(F.hex(F.substring(F.col("_bitmap"), F.shiftright(p, 3) + 1, F.lit(1))), 16, 10).cast("int")
-            held = F.forall("_bits", lambda p: F.floor(byte(p) / F.pow(F.lit(2), p % 8)) % 2 == 1)
-            maybe = F.coalesce(held, F.lit(False))
-            probed = rows.join(bitmaps, "_bucket", "left").withColumn("_maybe", maybe).drop("_bitmap")
-            seen = published(spark, f"{path}/keys", f"{schema}, _bucket int", before)
-            same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-            condition = F.col("r._bucket") == F.col("s._bucket")
-            for c in same:
-                condition = condition & c
-            known = probed.filter("_maybe").alias("r").join(seen.alias("s"), condition, "left_anti")
+            maybe = probed.filter("_maybe")
+            folders = [r._folder for r in maybe.select("_folder").distinct().collect()]  # FOLDERS at most
+            seen = published(spark, f"{path}/keys", f"{schema}, _folder int", before & F.col("_folder").isin(folders))
+            condition = F.col("r._folder") == F.col("s._folder")
+            for k in keys:
+                condition = condition & F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}"))
+            known = maybe.alias("r").join(seen.alias("s"), condition, "left_anti")
             new = probed.filter("not _maybe").unionByName(known.select(*probed.columns)).drop("_maybe").persist()
             try:
                 if publish(new.select(*batch.columns), f"{path}/rows", name) is None:
-                    run_through(rows)
-                publish(new.select(*keys, "_bucket"), f"{path}/keys", name, by=("_bucket",))
+                    run_through(probed)
+                publish(new.select(*keys, "_folder").hint("rebalance", "_folder"), f"{path}/keys", name, by=("_folder",))
                 each = new.select("_bucket", F.explode("_bits").alias("_bit"))
                 publish(each.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap")), f"{path}/bloom", name)
             finally:
                 new.unpersist()
         finally:
-            rows.unpersist()
+            probed.unpersist()
 
     return once.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
