@@ -134,8 +134,12 @@ def extract_tables(requests: DataFrame, participants: DataFrame, tables: dict[st
 
 
 def canonical_schemas(schemas: DataFrame, table_map: DataFrame) -> DataFrame:
-    """(table_id, schema_id, revision): of the schemas mapped to a table the one of highest revision, ties by id."""
-    mapped = schemas.join(table_map, ["app_id", "schema_id", "revision"])
+    """(table_id, schema_id, revision): of the schemas mapped to a table the one of highest revision, ties by id.
+
+    Schemas only tell which mappings count, so repeated ones meet as one before the join.
+    """
+    names = ["app_id", "schema_id", "revision"]
+    mapped = table_map.join(schemas.select(*names).distinct(), names, "left_semi")
     return mapped.groupBy("table_id").agg(F.max(F.struct("revision", "app_id", "schema_id")).alias("s")).select("table_id", "s.app_id", "s.schema_id", "s.revision")
 
 
