@@ -162,8 +162,8 @@ def write_extract_bundle(spark, sf_dir):
     requests = view(spark, sf_dir, "requests")
     path = _folder(spark, "bundle")
     K.write_extract_bundle(_tables(spark, sf_dir), requests.filter("request_id % 4 = 0").select("request_id", F.lit("Error downloading survey: no such table").alias("message")), path)
-    data, surveys = (spark.read.option("header", True).option("escape", '"').csv(f"{path}/{kind}") for kind in ("data", "survey"))
-    status = K.extract_status(requests, data, spark.read.text(f"{path}/error.log"))
+    data, surveys, errors = (K.read_extract_bundle(spark, path, kind).withColumn("request_id", F.col("request_id").cast("long")) for kind in K.BUNDLE)
+    status = K.extract_status(requests, data, errors)
     n = data.withColumn("survey", F.lit(0)).unionByName(surveys.withColumn("survey", F.lit(1))).filter("get_json_object(row, '$.record_id') is not null").groupBy("request_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("survey").alias("n_surveys"))
     return status.join(n, "request_id", "left").select("request_id", "n_tables", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"), F.coalesce("n_surveys", F.lit(0).cast("long")).alias("n_surveys"), "n_errors", "status")
 
@@ -233,8 +233,9 @@ def extract_bundle_contents(spark, sf_dir):
     path = _folder(spark, "bundle")
     errors = view(spark, sf_dir, "requests").filter("request_id % 4 = 0").select("request_id", F.lit('Error downloading survey: no such table, "x"').alias("message"))
     K.write_extract_bundle(_tables(spark, sf_dir), errors, path)
-    rows = [spark.read.option("header", True).option("escape", '"').csv(f"{path}/{kind}").select(F.col("request_id").cast("long").alias("request_id"), F.col("table_id").cast("string").alias("table_id"), F.lit(kind).alias("kind"), F.get_json_object("row", "$.record_id").cast("long").alias("key"), F.lit("").alias("message")) for kind in ("data", "survey")]
-    log = spark.read.text(f"{path}/error.log").select(F.col("request_id").cast("long").alias("request_id"), F.lit("").alias("table_id"), F.lit("error").alias("kind"), F.lit(0).cast("long").alias("key"), F.col("value").alias("message"))
+    own = F.col("request_id").cast("long").alias("request_id")
+    rows = [K.read_extract_bundle(spark, path, kind).select(own, "table_id", F.lit(kind).alias("kind"), F.get_json_object("row", "$.record_id").cast("long").alias("key"), F.lit("").alias("message")) for kind in ("data", "survey")]
+    log = K.read_extract_bundle(spark, path, "error.log").select(own, F.lit("").alias("table_id"), F.lit("error").alias("kind"), F.lit(0).cast("long").alias("key"), "message")
     return rows[0].unionByName(rows[1]).unionByName(log)
 
 
