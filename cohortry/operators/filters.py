@@ -106,19 +106,19 @@ def schema_key_audit(payloads: DataFrame, schema: DataFrame, ignored: DataFrame
     """(endpoint_id, table_key, column_id, problem, n): what payloads hold beside the schema (endpoint_id, table_key, column_id).
 
     Tables that are neither in it nor ignored (endpoint_id, table_key), tables that are neither array nor object, and columns that their
-    table lacks; column_id is null but for the last.
+    table lacks; column_id is null but for the last. The schema, a configuration, is sent to all tasks.
     """
-    tables = schema.select("endpoint_id", "table_key").distinct()
+    tables = F.broadcast(schema.select("endpoint_id", "table_key").distinct())
     keys = payloads.select("endpoint_id", F.explode(F.from_json("payload", "map<string,string>")).alias("table_key", "raw"))
     other = keys.join(tables, ["endpoint_id", "table_key"], "left_anti")
     if ignored is not None:
-        other = other.join(ignored.select("endpoint_id", "table_key"), ["endpoint_id", "table_key"], "left_anti")
+        other = other.join(F.broadcast(ignored.select("endpoint_id", "table_key")), ["endpoint_id", "table_key"], "left_anti")
     known = keys.join(tables, ["endpoint_id", "table_key"], "left_semi")
     array, single = F.startswith("raw", F.lit("[")), F.startswith("raw", F.lit("{"))
     odd = known.filter(F.col("raw").isNull() | ~(array | single))
     rows = known.select("endpoint_id", "table_key", F.explode(F.when(array, F.from_json("raw", "array<string>")).when(single, F.array("raw"))).alias("object"))
     names = rows.select("endpoint_id", "table_key", F.explode(F.json_object_keys("object")).alias("column_id"))
-    columns = names.join(schema.select("endpoint_id", "table_key", "column_id"), ["endpoint_id", "table_key", "column_id"], "left_anti")
+    columns = names.join(F.broadcast(schema.select("endpoint_id", "table_key", "column_id")), ["endpoint_id", "table_key", "column_id"], "left_anti")
     none = F.lit(None).cast("string").alias("column_id")
     found = [
         other.select("endpoint_id", "table_key", none, F.lit("unexpected table").alias("problem")), odd.select("endpoint_id", "table_key", none, F.lit("neither array nor object").alias("problem")),

@@ -24,10 +24,10 @@ CONTAINER_ASSESSMENT = "container"
 def table_objects(payloads: DataFrame, schema: DataFrame) -> DataFrame:
     """(health_code, created_date, endpoint_id, table_key, row_no, object): the objects of the tables that the schema has.
 
-    A top-level array has a row per object, an object one; empty objects are left out.
+    A top-level array has a row per object, an object one; empty objects are left out. The schema, a configuration, is sent to all tasks, so texts aren't shuffled.
     """
     keys = payloads.select("health_code", "created_date", "endpoint_id", F.explode(F.from_json("payload", "map<string,string>")).alias("table_key", "raw"))
-    tables = keys.join(schema.select("endpoint_id", "table_key").distinct(), ["endpoint_id", "table_key"], "left_semi")
+    tables = keys.join(F.broadcast(schema.select("endpoint_id", "table_key").distinct()), ["endpoint_id", "table_key"], "left_semi")
     row = F.when(F.startswith("raw", F.lit("[")), F.from_json("raw", "array<string>")).when(F.startswith("raw", F.lit("{")), F.array("raw"))
     rows = tables.select("health_code", "created_date", "endpoint_id", "table_key", F.posexplode(row).alias("row_no", "object"))
     return rows.filter(F.startswith("object", F.lit("{")) & ~F.rlike("object", F.lit(r"^\{\s*\}$")))
@@ -43,7 +43,7 @@ def tabulate_json(payloads: DataFrame, schema: DataFrame) -> DataFrame:
     whole = schema.select("endpoint_id", "table_key").distinct().select("*", F.lit("rawData").alias("column_id"), F.lit("FILEHANDLEID").alias("kind"), F.lit(None).cast("int").alias("max_length"))
     known = schema.filter("column_id <> 'rawData'").select(*names).unionByName(whole)
     tokens = F.map_concat(F.from_json("object", "map<string,variant>"), F.create_map(F.lit("rawData"), F.parse_json(F.lit("null"))))
-    cells = table_objects(payloads, schema).select("*", F.explode(tokens).alias("column_id", "v")).join(known, names[:3])
+    cells = table_objects(payloads, schema).select("*", F.explode(tokens).alias("column_id", "v")).join(F.broadcast(known), names[:3])
     typed = cells.withColumn("token", F.schema_of_variant("v")).withColumn("text", F.to_json("v"))
     nested = F.startswith("text", F.lit("{")) | F.startswith("text", F.lit("["))
     raw = F.when(nested, F.try_element_at(F.from_json("object", "map<string,string>"), "column_id")).otherwise(F.col("text"))  # nested JSON keeps its order of keys
