@@ -648,9 +648,10 @@ def expand_archives(spark, sf_dir):
 
 
 def _write_zips(parts, folder):
-    """One file for each fifty keys, by Spark's writer, so that any shared folder will do."""
-    made = parts.withColumn("zip", F.expr("p_partkey div 50")).groupBy("zip").applyInPandas(_zipped, "zip long, content binary")
-    made.select("zip", F.col("content").cast("string").alias("value")).write.partitionBy("zip").text(folder)
+    """One file for each fifty keys, by Spark's writer, so that any shared folder will do; tasks rename their own files, and no fewer write than there are shuffle partitions, as files take longer than their bytes."""
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = parts.withColumn("zip", F.expr("p_partkey div 50")).repartition(tasks, "zip").groupBy("zip").applyInPandas(_zipped, "content binary")
+    made.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(folder)
 
 
 def _zipped(frame):
@@ -663,7 +664,7 @@ def _zipped(frame):
         for key, name in zip(frame["p_partkey"], frame["p_name"], strict=True):
             z.writestr(f"{key}.json", json.dumps({"name": name}))
         z.comment = b"\n"  # the last byte, which the writer adds to each row
-    return pd.DataFrame({"zip": [int(frame["zip"].iloc[0])], "content": [data.getvalue()[:-1]]})
+    return pd.DataFrame({"content": [data.getvalue()[:-1]]})
 
 
 @query("select user_id, 'EARLY' as type, concat('m', cast(user_id as varchar)) as message from (select c_custkey as user_id from customer where c_custkey % 3 = 0)")

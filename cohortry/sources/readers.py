@@ -8,11 +8,12 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PACKED = ["path", "entry", "packed", "method", "size", "crc", "error"]
+PACKED = pa.schema([("path", pa.string()), ("entry", pa.string()), ("packed", pa.binary()), ("method", pa.int32()), ("size", pa.int64()), ("crc", pa.int64()), ("error", pa.string())])
+UNPACKED = pa.schema([("path", pa.string()), ("entry", pa.string()), ("content", pa.binary()), ("error", pa.string())])
 EVENTS = "struct<Records:array<struct<eventSource:string,eventName:string,eventTime:string,s3:struct<bucket:struct<name:string>,object:struct<key:string,size:bigint>>>>>"
 
 
@@ -100,41 +101,93 @@ def inflated(packed: bytes, method: int, size: int, crc: int, max_size: int) ->
     return content
 
 
-def expand_archives(spark: SparkSession, glob: str, max_entries: int = 100, max_size: int = 100_000_000, tasks: int | None = None) -> DataFrame:
+BATCH_ROWS, BATCH_BYTES = 1_000, 1 << 22
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows, whose third field is bytes or None, in batches of ``BATCH_ROWS`` or about ``BATCH_BYTES``."""
+    held, total = [], 0
+    for r in rows:
+        held.append(r)
+        total += len(r[2] or b"")
+        if len(held) >= BATCH_ROWS or total >= BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x, strict=True)) for x in held], schema)
+            held, total = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x, strict=True)) for x in held], schema)
+
+
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
+
+
+def unpacked(path: str, data: bytes, max_entries: int, max_size: int) -> Iterator[tuple]:
+    """(path, entry, content, error) of an archive's entries, or one error row. Contents of more than ``BATCH_BYTES`` in all are checked first and then unpacked again, one at a time."""
+    try:
+        entries = archive_entries(data, max_entries, max_size)
+    except ValueError as e:
+        yield path, None, None, str(e)
+        return
+    content = lambda e: inflated(data[e[1] : e[1] + e[2]], *e[3:], max_size)
+    keep, contents, errors = sum(e[4] for e in entries) <= BATCH_BYTES, [], []
+    for e in entries:
+        try:
+            got = content(e)
+            contents += [got] if keep else []
+        except ValueError as error:
+            errors.append(str(error))
+    if errors:
+        yield path, None, None, min(errors)
+        return
+    for i, e in enumerate(entries):
+        yield path, e[0], contents[i] if keep else content(e), None
+
+
+def expand_archives(spark: SparkSession, glob: str, max_entries: int = 100, max_size: int = 100_000_000, tasks: int | None = None, small: int = 1 << 22) -> DataFrame:
     """(path, entry, content, error): entries of zip files; a file over a limit, with repeated names or broken gives one error row and no entry.
 
-    A task that has read an archive only reads its directory and cuts it into packed entries; these are dealt to all tasks (``tasks``, by default the shuffle partitions),
-    an entry a row, and unpacked there, so a few large archives keep many tasks busy and a task holds one entry's content at a time. Archives of which an entry turns out
-    broken or too large while it is unpacked are told by a join on the few paths with an error.
+    A file of up to ``small`` bytes is unpacked by the task that reads it, in one pass. Of a larger one that task only reads the directory and cuts it into packed entries; these are dealt to all
+    tasks (``tasks``, by default the shuffle partitions), an entry a row, and unpacked there, so a few large archives keep many tasks busy. Large archives of which an entry turns out
+    broken or too large while it is unpacked are told by a join on the few paths with an error. A task holds one entry's content at a time, or a batch of small ones.
+    Whether there are large files is looked up by their lengths when this is called.
     """
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for path, data in zip(frame["path"], frame["content"], strict=True):
-                try:
-                    for name, start, packed, method, size, crc in archive_entries(data, max_entries, max_size):
-                        yield pd.DataFrame([(path, name, data[start : start + packed], method, size, crc, None)], columns=PACKED)
-                except ValueError as e:
-                    yield pd.DataFrame([(path, None, None, None, None, None, str(e))], columns=PACKED)
-
-    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for r in frame.itertuples(index=False):
-                content, error = None, r.error
-                if error is None:
-                    try:
-                        content = inflated(r.packed, int(r.method), int(r.size), int(r.crc), max_size)
-                    except ValueError as e:
-                        error = str(e)
-                yield pd.DataFrame([(r.path, r.entry, content, error)], columns=["path", "entry", "content", "error"])
-
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-    packed = files.mapInPandas(cut, "path string, entry string, packed binary, method int, size long, crc long, error string")
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches((r for path, data in _values(batches) for r in unpacked(path, data, max_entries, max_size)), UNPACKED)
+
+    def entries(path: str, data: bytes) -> Iterator[tuple]:
+        try:
+            for name, start, packed, method, size, crc in archive_entries(data, max_entries, max_size):
+                yield path, name, data[start : start + packed], method, size, crc, None
+        except ValueError as e:
+            yield path, None, None, None, None, None, str(e)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches((r for path, data in _values(batches) for r in entries(path, data)), PACKED)
+
+    def content(path, entry, packed, method, size, crc, error) -> tuple:
+        if error is not None:
+            return path, entry, None, error
+        try:
+            return path, entry, inflated(packed, method, size, crc, max_size), None
+        except ValueError as e:
+            return path, entry, None, str(e)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches((content(*r) for r in _values(batches)), UNPACKED)
+
+    files, kinds = spark.read.format("binaryFile").load(glob), "path string, entry string, content binary, error string"
+    out = files.filter(F.col("length") <= small).select("path", "content").mapInArrow(whole, kinds)
+    if (files.agg(F.max("length")).first()[0] or 0) <= small:
+        return out
+    packed = files.filter(F.col("length") > small).select("path", "content").mapInArrow(cut, "path string, entry string, packed binary, method int, size long, crc long, error string")
     dealt = packed.repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "entry")
-    rows = dealt.mapInPandas(unpack, "path string, entry string, content binary, error string")
+    rows = dealt.mapInArrow(unpack, kinds)
     failed = rows.filter("error is not null").groupBy("path").agg(F.min("error").alias("error"))
     good = rows.filter("error is null").join(failed.select("path"), "path", "left_anti").select("path", "entry", "content", "error")
-    return good.unionByName(failed.select("path", F.lit(None).cast("string").alias("entry"), F.lit(None).cast("binary").alias("content"), "error"))
+    return out.unionByName(good).unionByName(failed.select("path", F.lit(None).cast("string").alias("entry"), F.lit(None).cast("binary").alias("content"), "error"))
 
 
 def query_upload_rows(rows: DataFrame, assessment: str | None = None, start_ms: int | None = None, end_ms: int | None = None, include_test: bool = False) -> DataFrame:
