@@ -120,7 +120,7 @@ def dedupe_redelivery_ever(stream: DataFrame, keys: list[str], arrival_column: s
             try:
                 if publish(new.select(*batch.columns), f"{path}/rows", name) is None:
                     run_through(probed)
-                publish(new.select(*keys, "_folder").hint("rebalance", "_folder"), f"{path}/keys", name, by=("_folder",))
+                publish(new.select(*keys, "_folder").repartition("_folder"), f"{path}/keys", name, by=("_folder",))
                 each = new.select("_bucket", F.explode("_bits").alias("_bit"))
                 publish(each.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap")), f"{path}/bloom", name)
             finally:
