@@ -106,7 +106,7 @@ def test_files_of_keys_follow_the_folders(spark, tmp_path):
     """A batch writes a file a folder, not one for each task and bucket."""
     folder, out = str(tmp_path / "in"), tmp_path / "out"
     for a in (0, 1500):  # the second delivery brings half of the first again
-        spark.range(a, a + 3000).select("id", F.timestamp_millis(F.lit(a * DAY)).alias("arrived")).repartition(4).write.mode("append").parquet(folder)
+        spark.range(a, a + 3000).select("id", F.timestamp_millis(F.lit((a + 1) * DAY)).alias("arrived")).repartition(4).write.mode("append").parquet(folder)
         run(X.dedupe_redelivery_ever(spark.readStream.schema("id long, arrived timestamp").parquet(folder), ["id"], "arrived", "1 hour", str(out), str(tmp_path / "state")))
         assert len(list((out / "keys").rglob("part-*.parquet"))) <= (a // 1500 + 1) * 2 * X.FOLDERS
     assert sorted(r.id for r in X.delivered_once(spark, str(out), "id long, arrived timestamp").collect()) == list(range(4500))
