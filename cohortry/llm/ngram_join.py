@@ -5,12 +5,14 @@ by how often. Two sets of similarity t or more share a shingle among the first |
 index lists are kept of these only, each sorted by set size with the shingle's position.
 
 Index level: a count-min sketch drops shingles of one set; in a list only the block of sizes that can match is
-read, positions bound the overlap, and parities bound the difference of two sets: 256 bits in the lists, then
-as many as a set has shingles for the pairs that are left.
+read, positions bound the overlap, and parities bound the difference of two sets: 512 bits in the lists, then
+as many as a set has shingles for the pairs that are left. A pair is given in the first list it meets in, as far as the four
+entries before tell, and its number of entries still to come bounds what it can share.
 Answer level: equal sets are one node. First each list links each node with the one before it and with the
 first, and each node's likeliest pair of these is verified, a pair a node at most; what is found groups nodes, and nodes of one group need no more comparison for their
-component. Lists whose nodes lie in one group are then skipped whole; in the others only pairs across
-groups are left, and of these a pair (x, y) falls away if a set r, highly similar to x with its similarity
+component. Lists whose nodes lie in one group are then skipped whole; in the others each entry gives its likeliest pair with
+another group, which is verified as before, while that links more than a hundredth of the grouped nodes. Only then all pairs across
+groups are taken, and of these a pair (x, y) falls away if a set r, highly similar to x with its similarity
 known, has a known similarity to y that is too far off: Jaccard distance is a metric. All
 others are verified on whole sets. Long lists are dealt into tiles of two parts each. To verify, each text is sent to its pair's
 end of more pairs, whose own text is sent once for each ``PER_TASK`` of them.
@@ -31,7 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, largest, new_names, saved, slices
@@ -43,7 +45,9 @@ FREQUENT, LONG_LIST = 200_000, 5_000
 PER_TASK = 256
 LIKELY_TURNS = 2
 TOP, TRUE, NONE = np.uint64(1 << 63), np.ones(1, bool), np.empty(0, np.uint64)
-PARITY = [f"b{i}" for i in range(4)]
+PARITY_BITS, PREVIOUS, TILE_ROWS = 512, 4, 20_000
+PARITY = [f"b{i}" for i in range(PARITY_BITS // 64)]
+BEFORE = [f"before{i}" for i in range(PREVIOUS)]
 
 
 def shingle_sets(texts: pa.Array, k: int, ranks: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -84,14 +88,14 @@ def _nodes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _parity(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """256 bits of each row's set, a bit being the parity of the shingles that fall on it: rows x 4."""
-    bit, n, out = (mix(hashes) & np.uint64(255)).astype(np.int64), len(offsets) - 1, []
+    """``PARITY_BITS`` bits of each row's set, a bit being the parity of the shingles that fall on it: rows x words of 64 bits."""
+    bit, n, out = (mix(hashes) & np.uint64(PARITY_BITS - 1)).astype(np.int64), len(offsets) - 1, []
     for a in range(0, n, 2048):
         b = min(a + 2048, n)
         row = np.repeat(np.arange(b - a), np.diff(offsets[a : b + 1]))
-        odd = np.bincount(row * 256 + bit[offsets[a] : offsets[b]], minlength=(b - a) * 256) & 1
-        out.append(np.packbits(odd.astype(np.uint8).reshape(b - a, 256), axis=1).view(np.int64))
-    return np.concatenate(out) if out else np.empty((0, 4), np.int64)
+        odd = np.bincount(row * PARITY_BITS + bit[offsets[a] : offsets[b]], minlength=(b - a) * PARITY_BITS) & 1
+        out.append(np.packbits(odd.astype(np.uint8).reshape(b - a, PARITY_BITS), axis=1).view(np.int64))
+    return np.concatenate(out) if out else np.empty((0, len(PARITY)), np.int64)
 
 
 def _wide_parity(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -211,7 +215,7 @@ def _shared_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _arrays(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
-    """Columns as arrays, the parity as one of rows x 4."""
+    """Columns as arrays, the parity as one of rows x words."""
     return [*(batch.column(c).to_numpy() for c in names), np.stack([batch.column(b).to_numpy() for b in PARITY], 1)]
 
 
@@ -243,8 +247,8 @@ def _narrowed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
     of = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}"))
     pairs = saved(pairs, "pairs")
-    large = pairs.filter("size > 256").join(of("x"), "x").join(of("y"), "y").select("x", "y", "size", "n_x", "n_y", "wide_x", "wide_y").mapInArrow(run, PAIRS)
-    out = saved(pairs.filter("size <= 256").unionByName(large), "narrowed")
+    large = pairs.filter(F.col("size") > PARITY_BITS).join(of("x"), "x").join(of("y"), "y").select("x", "y", "size", "n_x", "n_y", "wide_x", "wide_y").mapInArrow(run, PAIRS)
+    out = saved(pairs.filter(F.col("size") <= PARITY_BITS).unionByName(large), "narrowed")
     discard(pairs)
     return out
 
@@ -287,62 +291,104 @@ def _neighbours(lists: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, PAIRS).distinct()
 
 
-def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """(x, y, differ, size) of all nodes of different groups in a list that sizes, positions and parities leave; ``lists`` has the length of each entry's list.
+def _windows(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) for all low[i] <= j < high[i], some hundred thousand pairs at a time; all of an i come at once."""
+    ends = np.cumsum(high - low)
+    a = 0
+    while a < len(low):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 200_000, side="right")))
+        counts = (high - low)[a:b]
+        i = np.repeat(np.arange(a, b), counts)
+        yield i, np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts) + low[i]
+        a = b
+
+
+def _across(lists: DataFrame, percent: int, best: bool = False) -> DataFrame:
+    """(x, y, differ, size) of all nodes of different groups in a list that sizes, positions and parities leave.
+
+    ``lists`` has the length of each entry's list, the tokens of the node's entries before it, the nearest ``PREVIOUS`` of them, and the number of those after it.
+    A pair is given where it meets first: not in a list whose token comes after one that both have among those before it. So no overlap is missed
+    before the place it meets at, and what comes after bounds the overlap of the sets and of the stored entries.
+    With ``best`` an entry gives its likeliest pair with the largest group of its list and with the others, so pairs are at most twice the entries, whatever the size of the groups.
 
     A list of more than ``LONG_LIST`` entries is dealt by node into parts, and each two parts meet in a tile of their own.
     """
 
-    def pairs(mine, two_parts, node, group, n, at, bits) -> Iterator[np.ndarray]:
-        _, inverse, sizes = np.unique(group, return_inverse=True, return_counts=True)
-        largest = sizes.argmax()
-        indexed = at < index_length(n, percent)
-        for i in np.flatnonzero(inverse != largest).tolist():
-            a, b = np.searchsorted(n, [-(-int(n[i]) * percent // 100), int(n[i]) * 100 // percent + 1])
-            j = np.arange(a, b)
-            j = j[(inverse[j] != inverse[i]) & ((inverse[j] == largest) | (j < i)) & np.where(n[j] <= n[i], indexed[j], indexed[i]) & ((mine[j] != mine[i]) | ~two_parts)]
-            bound = np.minimum(at[j], at[i]) + np.minimum(n[j] - at[j], n[i] - at[i])
-            j = j[bound * (100 + percent) >= percent * (n[j].astype(np.int64) + n[i])]
-            differ = _differ(bits[j], bits[i])
-            good = _may_match(n[j], n[i], differ, percent)
-            if good.any():
-                yield _pairs(np.full(good.sum(), node[i]), node[j[good]], differ[good], np.maximum(n[j[good]], n[i]))
+    def pairs(token, low, high, mine, node, group, n, at, after, before, bits) -> Iterator[np.ndarray]:
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        tile = np.cumsum(new) - 1
+        order = np.lexsort((group, tile))  # entries of the largest group of a tile meet no one of their own
+        run = np.ones(len(order), bool)
+        run[1:] = (tile[order][1:] != tile[order][:-1]) | (group[order][1:] != group[order][:-1])
+        of_run = np.cumsum(run) - 1
+        sizes = np.bincount(of_run)
+        by_size = np.lexsort((sizes, tile[order][run]))
+        largest = np.zeros(len(sizes), bool)
+        largest[by_size[np.append(np.diff(tile[order][run][by_size]) != 0, True)]] = True
+        in_largest = np.empty(len(order), bool)
+        in_largest[order] = largest[of_run]
+
+        n, at, after = (x.astype(np.int64) for x in (n, at, after))
+        place = (tile << 32) + n
+        rest = np.flatnonzero(~in_largest)
+        least, most = (tile[rest] << 32) - (-n[rest] * percent // 100), (tile[rest] << 32) + n[rest] * 100 // percent
+        mates = np.flatnonzero(in_largest)
+        sides = [(mates, np.searchsorted(place[mates], least), np.searchsorted(place[mates], most, side="right")), (rest, np.searchsorted(place[rest], least), np.arange(len(rest)))]
+        indexed, prefix = at < index_length(n, percent), prefix_length(n, percent)
+        for others, start, end in sides:
+            for i, j in _windows(start, np.maximum(start, end)):
+                i, j = rest[i], others[j]
+                keep = (group[i] != group[j]) & np.where(n[j] <= n[i], indexed[j], indexed[i]) & ((mine[i] != mine[j]) | (low[i] == high[i]))
+                i, j = i[keep], j[keep]
+                both = -(-percent * (n[i] + n[j]) // (100 + percent))
+                keep = (np.minimum(n[i] - at[i], n[j] - at[j]) >= both) & (1 + np.minimum(after[i], after[j]) >= np.minimum(prefix[i] - n[i], prefix[j] - n[j]) + both)
+                i, j = i[keep], j[keep]
+                differ = _differ(bits[i], bits[j])
+                keep = _may_match(n[i], n[j], differ, percent)
+                i, j, differ = i[keep], j[keep], differ[keep]
+                earlier = np.zeros(len(i), bool)
+                for x in before:
+                    for y in before:
+                        earlier |= (x[i] == y[j]) & (x[i] != token[i])
+                i, j, differ = i[~earlier], j[~earlier], differ[~earlier]
+                if best and len(i):
+                    order = np.lexsort((node[j], differ, i))
+                    order = order[np.append(True, np.diff(i[order]) != 0)]
+                    i, j, differ = i[order], j[order], differ[order]
+                if len(i):
+                    yield _pairs(node[i], node[j], differ, np.maximum(n[i], n[j]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, of = [], None
+        held, total = [], 0
 
-        def found() -> Iterator[pa.RecordBatch]:
-            got, total = [], 0
-            mine, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            for more in pairs(mine, of[1] != of[2], *rest):
-                got.append(more)
-                total += len(more)
-                if total > 100_000:
-                    yield _pair_batch(got)
-                    got, total = [], 0
-            if got:
-                yield _pair_batch(got)
+        def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            *rest, bits = columns
+            for more in pairs(*rest[:9], rest[9:], bits):
+                yield _pair_batch([more])
 
         for batch in batches:
-            token, low, high, *rest = _arrays(batch, ["token", "low", "high", "part", "node", "group", "n", "at"])
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-            edges = [*np.flatnonzero(new).tolist(), len(token)]
-            for a, b in zip(edges, edges[1:], strict=False):
-                tile = (token[a], low[a], high[a])
-                if held and tile != of:
-                    yield from found()
-                of = tile
-                held.append([x[a:b] for x in rest])
+            if not batch.num_rows:
+                continue
+            held.append(_arrays(batch, ["token", "low", "high", "part", "node", "group", "n", "at", "after", *BEFORE]))
+            total += batch.num_rows
+            if total >= TILE_ROWS:
+                columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+                last = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1]) & (columns[2] == columns[2][-1])
+                end = int(np.argmax(last))  # the last tile may go on
+                if end:
+                    yield from found([x[:end] for x in columns])
+                held, total = [[x[end:].copy() for x in columns]], len(last) - end
+                if total >= TILE_ROWS:
+                    total = 0  # a tile of many rows: look again after as many more
         if held:
-            yield from found()
+            yield from found([np.concatenate(x) for x in zip(*held, strict=True)])
 
     parts = F.ceil(F.col("entries") / LONG_LIST).cast("int")
     dealt = lists.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    ordered = tiles.select("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "group", "n", "at", *PARITY)
-    return ordered.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "n", "node").mapInArrow(run, PAIRS).dropDuplicates(["x", "y"])
+    ordered = tiles.select("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "group", "n", "at", "after", *BEFORE, *PARITY)
+    return ordered.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "n", "node").mapInArrow(run, PAIRS)
 
 
 def _texts(rows: DataFrame, ours: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -451,15 +497,34 @@ def _shared(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     return summaries, lists, saved(nodes.select("node", "size", (length - F.col("shared")).cast("long").alias("own"), *PARITY, "wide"), "nodes")
 
 
-def _open_pairs(lists: DataFrame, grouped: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The saved pairs of the lists whose nodes are in two groups or more."""
-    entries = saved(lists.join(grouped.select("node", "group", *PARITY), "node"), "entries")
+def _open_entries(lists: DataFrame, grouped: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The saved entries of the lists whose nodes are in two groups or more, as ``_across`` takes them.
+
+    Nodes of different groups that share a token are in such a list, so their entries before and after hold all that they share.
+    """
+    entries = saved(lists.join(grouped.select("node", "group"), "node"), "entries")
     open_ = saved(entries.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("entries")).filter("low < high").select("token", "entries"), "open")
-    out = _narrowed(_across(entries.join(open_, "token"), percent), nodes, percent)
+    own = Window.partitionBy("node").orderBy("at")
+    before = [F.coalesce(F.lag("token", i + 1).over(own), "token").alias(c) for i, c in enumerate(BEFORE)]
+    after = F.count(F.lit(1)).over(Window.partitionBy("node")) - F.row_number().over(own)
+    placed = entries.select("token", "node", "group", "n", "at").join(open_, "token").select("*", *before, after.cast("int").alias("after"))
+    out = saved(placed.join(nodes.select("node", *PARITY), "node"), "placed")
     discard(entries, open_)
     return out
 
 
+def _open_pairs(lists: DataFrame, grouped: DataFrame, nodes: DataFrame, percent: int, best: bool = False) -> DataFrame:
+    """The saved pairs of the lists whose nodes are in two groups or more; with ``best`` at most two an entry."""
+    placed = _open_entries(lists, grouped, nodes)
+    out = _narrowed(_across(placed, percent, best).dropDuplicates(["x", "y"]), nodes, percent)
+    discard(placed)
+    return out
+
+
+def _with_groups(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    return nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"))
+
+
 def _grouped(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The saved summaries of all rows, and the saved table (node, component) of the nodes that are linked."""
     summaries, lists, nodes = _shared(rows, k, percent)
@@ -469,9 +534,20 @@ def _grouped(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
     texts = [_texts(rows, summaries.filter("n >= 0"), near)]
     checked = [_verified(texts[0], near, k)]
     groups = components(_linked(checked[0], percent))
-    grouped = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"), *PARITY)
-    left = _open_pairs(lists, grouped, nodes, percent)
-    some = saved(_apart(left.join(checked[0].select("x", "y"), ["x", "y"], "left_anti"), groups), "apart")
+    while True:  # groups grow together before all their pairs are looked for
+        likely = _open_pairs(lists, _with_groups(nodes, groups), nodes, percent, best=True)
+        todo = saved(_likeliest(_apart(likely.join(union_of(checked).select("x", "y"), ["x", "y"], "left_anti"), groups)), "todo")
+        linked = 0
+        if todo.take(1):
+            texts.append(_texts(rows, summaries.filter("n >= 0"), todo))
+            checked.append(_verified(texts[-1], todo, k))
+            linked = _linked(checked[-1], percent).count()
+            groups = components(_linked(union_of(checked), percent))
+        discard(likely, todo)
+        if linked * 100 <= groups.count():
+            break
+    left = _open_pairs(lists, _with_groups(nodes, groups), nodes, percent)
+    some = saved(_apart(left.join(union_of(checked).select("x", "y"), ["x", "y"], "left_anti"), groups), "apart")
     if some.take(1):
         texts.append(_texts(rows, summaries.filter("n >= 0"), some))
         for turn in range(LIKELY_TURNS + 1):  # first each node's likeliest pair, which leaves few pairs across groups; at last all
@@ -480,7 +556,7 @@ def _grouped(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
             todo = saved(_likeliest(open_pairs), "todo") if turn < LIKELY_TURNS else _not_far(open_pairs.select("x", "y"), known, percent)
             more = bool(todo.take(1))
             if more:
-                checked.append(_verified(texts[1], todo, k))
+                checked.append(_verified(texts[-1], todo, k))
                 groups = components(_linked(union_of(checked), percent))
             discard(todo)
             if not more:
@@ -550,7 +626,7 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """
     rows = _rows(docs)
     summaries, lists, nodes = _shared(rows, k, percent)
-    pairs = _open_pairs(lists, nodes.withColumn("group", F.col("node")), nodes, percent)
+    pairs = _open_pairs(lists, nodes.select("node", F.col("node").alias("group")), nodes, percent)
     texts = _texts(rows, summaries.filter("n >= 0"), pairs)
     verified = _verified(texts, pairs.select("x", "y"), k)
     discard(summaries, lists, nodes, pairs, texts)

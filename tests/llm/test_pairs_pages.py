@@ -103,6 +103,30 @@ def test_set_join_of_tiles_large_sets_and_few_rows(spark, monkeypatch):
     assert [tuple(r) for r in ngram_join.join(docs.filter("doc_id = 1")).collect()] == [(1, len(sets[1]), 1)]
 
 
+def test_pairs_across_groups_follow_the_entries(spark, monkeypatch):
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(50):  # copies of copies: all are links, but each node's likeliest pair is within its two
+        w = list(base)
+        w[rng.randrange(100)] = f"e{i}"
+        rows += [(2 * i, " ".join(w), "x"), (2 * i + 1, " ".join([*w, f"f{i}"]), "x")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    made, drop = [], type(docs).dropDuplicates
+
+    def counted(df, columns=None):
+        if df.columns == ["x", "y", "differ", "size"]:
+            made.append(df.count())
+        return drop(df, columns)
+
+    monkeypatch.setattr(type(docs), "dropDuplicates", counted)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs, k=5, percent=80).collect()}
+    sets = {i: shingles(t, 5) for i, t, _ in rows}
+    near = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert got == roots(near, sets) and len(near) > 2000
+    assert made and max(made) <= 20 * len(rows)  # prefixes have 20 entries; 24,837 rows before
+
+
 def test_near_duplicates_with_clashing_columns(spark):
     import corpus_pipeline
 
